@@ -18,19 +18,22 @@ emits more than k rows per query.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from labelwright.functions.labels import literal_array, vocabulary
+from labelwright.functions.local import local_table
+from labelwright.functions.scaling import fit_scaler, raw_vector
 from labelwright.operators.blocks import (
     SAMPLE_BYTES,
     SAMPLE_PER_CELL,
+    Cells,
     build_cells,
     nearest_in_block,
 )
-from labelwright.functions.labels import literal_array, vocabulary
-from labelwright.functions.local import local_table
-from labelwright.functions.scaling import fit_scaler, raw_vector
 from labelwright.sources.scratch import store
 from labelwright.spec import LabelledSpec, Params
 
@@ -38,6 +41,8 @@ NEIGHBOURS = "array<struct<d:double,nid:bigint,label:string>>"
 DECIMALS = 9
 QUERIES_PER_TASK = 4096
 PER_CELL = 512
+PER_CELL_MANY_DIMS = 4096
+FEW_DIMS = 8
 HOT_KEYS = 1000
 HOT_ROWS = 100_000
 
@@ -73,69 +78,112 @@ def _whole_number_id(df: DataFrame, id_col: str) -> None:
         raise ValueError(f"the neighbour search needs a whole-number id, not {id_col!r}")
 
 
-def nearest_neighbours(
-    vectors: DataFrame, k: int = Params.k, queries: DataFrame | None = None
-) -> DataFrame:
-    """(id, label, neighbours) for every row: its k nearest other rows, nearest first.
+@dataclass(frozen=True)
+class NeighbourIndex:
+    """Collapsed points of a table and the cells they lie in; serves any number of searches."""
 
-    ``queries`` (id, x, label) are searched among ``vectors`` instead, where a row
-    may find a row of the same id only if it is a different data set.
-    """
+    points: DataFrame
+    labels: tuple[str, ...]
+    k: int
+    rows: int
+    dims: int
+    cells: Cells | None
+    parts: np.ndarray
+
+    @property
+    def copies(self) -> int:
+        return self.k + 1
+
+
+def build_index(vectors: DataFrame, k: int = Params.k) -> NeighbourIndex:
+    """Index (id, x, label) for searches of up to k neighbours."""
     if k < 1:
         raise ValueError("k must be at least 1")
-    itself = queries is None
-    wanted = k + 1 if itself else k
-    rows = store(vectors, "vectors")
-    asked = rows if itself else store(queries, "queries")
-    shape = rows.agg(
+    shape = vectors.agg(
         F.count("*").alias("n"),
         F.min(F.size("x")).alias("dims"),
         F.max(F.size("x")).alias("widest"),
-        F.count_if(F.exists("x", lambda v: v.isNull())).alias("nulls"),
+        F.count_if(F.exists("x", lambda v: v.isNull() | F.isnan(v))).alias("nulls"),
     ).first()
-    if shape["n"] < wanted:
-        raise ValueError(f"{k} neighbours need at least {wanted} rows, found {shape['n']}")
+    if shape["n"] < k:
+        raise ValueError(f"{k} neighbours need at least {k} rows, found {shape['n']}")
     if shape["dims"] != shape["widest"] or shape["nulls"]:
         raise ValueError("all feature vectors must have the same length and no null")
-    labels = vocabulary(rows, "label")
-
+    labels = vocabulary(vectors, "label")
     by_point = Window.partitionBy("x").orderBy("id")
+    index = F.array_position(literal_array(labels), F.col("label")) - 1
     points = store(
-        rows.withColumn("_n", F.row_number().over(by_point))
-        .where(F.col("_n") <= wanted)
-        .select(
-            "id", "x", (F.array_position(literal_array(labels), F.col("label")) - 1).cast("int").alias("li"),
-            (F.col("_n") == 1).alias("head"),
-        ),
+        vectors.withColumn("_n", F.row_number().over(by_point))
+        .where(F.col("_n") <= k + 1)
+        .select("id", "x", index.cast("int").alias("li"), (F.col("_n") == 1).alias("head")),
         "points",
     )
-    if itself:
-        heads = points.where("head").select(F.col("id").alias("qid"), "x")
+    dims = int(shape["dims"])
+    per_cell = PER_CELL if dims <= FEW_DIMS else PER_CELL_MANY_DIMS
+    total = points.count()
+    cells = _cut_space(points, total, dims, k + 1, per_cell)
+    if cells is None:
+        sizes = np.array([total])
     else:
-        heads = asked.groupBy("x").agg(F.min("id").alias("qid")).select("qid", "x")
-    found = _search(points, heads, wanted, int(shape["dims"]))
+        sizes = _count_by(_placed(points, cells, None), "cell", cells.count)
+    parts = np.maximum(1, np.ceil(sizes / (4 * per_cell))).astype(np.int64)
+    return NeighbourIndex(points, tuple(labels), k, int(shape["n"]), dims, cells, parts)
+
+
+def nearest_neighbours(
+    vectors: DataFrame, k: int = Params.k, queries: DataFrame | None = None
+) -> DataFrame:
+    """(id, label, neighbours) for every row: its k nearest other rows, nearest first.
+
+    With ``queries`` (id, x, label) those rows are searched among ``vectors`` instead.
+    """
+    rows = store(vectors, "vectors")
+    if queries is not None:
+        return search_index(build_index(rows, k), store(queries, "queries"))
+    index = build_index(rows, k)
+    if index.rows <= k:
+        raise ValueError(f"{k} neighbours need at least {k + 1} rows, found {index.rows}")
+    heads = index.points.where("head").select(F.col("id").alias("qid"), "x")
+    return _neighbour_lists(index, rows, heads, index.rows, skip_same_id=True)
+
+
+def search_index(
+    index: NeighbourIndex, queries: DataFrame, skip_same_id: bool = False
+) -> DataFrame:
+    """Neighbours of other rows (id, x, label); any further column is kept.
+
+    ``skip_same_id`` is for rows that may be in the index themselves.
+    """
+    heads = queries.groupBy("x").agg(F.min("id").alias("qid")).select("qid", "x")
+    return _neighbour_lists(index, queries, heads, queries.count(), skip_same_id)
+
+
+def _neighbour_lists(
+    index: NeighbourIndex, rows: DataFrame, heads: DataFrame, n: int, skip_same_id: bool
+) -> DataFrame:
+    found = _search(index, heads, index.k + 1 if skip_same_id else index.k)
     lists = found.groupBy("qid").agg(
         F.first("x").alias("x"),
         F.array_sort(F.collect_list(F.struct("d", "nid", "li"))).alias("near"),
     )
-    joined = _join_on_point(asked, lists.select("x", "near"), itself, int(shape["n"]))
+    joined = _join_on_point(rows, lists.select("x", "near"), n)
     near = F.col("near")
-    if itself:
-        others = F.filter(near, lambda v: v["nid"] != F.col("id"))
-        near = F.slice(others, 1, k)
-    vocab = literal_array(labels)
+    if skip_same_id:
+        near = F.filter(near, lambda v: v["nid"] != F.col("id"))
+    vocab = literal_array(list(index.labels))
     named = F.transform(
-        near,
+        F.slice(near, 1, index.k),
         lambda v: F.struct(
             v["d"].alias("d"),
             v["nid"].alias("nid"),
             F.element_at(vocab, v["li"] + 1).alias("label"),
         ),
     )
-    return joined.select("id", "label", named.alias("neighbours"))
+    kept = [c for c in rows.columns if c not in ("id", "x", "label")]
+    return joined.select("id", "label", named.alias("neighbours"), *kept)
 
 
-def _join_on_point(rows: DataFrame, lists: DataFrame, itself: bool, n: int) -> DataFrame:
+def _join_on_point(rows: DataFrame, lists: DataFrame, n: int) -> DataFrame:
     """Give every row the list of its point.
 
     A point shared by very many rows is joined by broadcast: at most HOT_KEYS
@@ -156,35 +204,22 @@ def _join_on_point(rows: DataFrame, lists: DataFrame, itself: bool, n: int) -> D
     return usual.unionByName(many)
 
 
-def _search(points: DataFrame, heads: DataFrame, k: int, dims: int) -> DataFrame:
+def _search(index: NeighbourIndex, heads: DataFrame, k: int) -> DataFrame:
     """(qid, x, d, nid, li): the k nearest points of each head."""
-    total = points.count()
-    per_cell = PER_CELL if dims <= 8 else 4096
-    cells = _cut_space(points, total, dims, k, per_cell)
-    if cells is None:
-        sizes = np.array([total])
-    else:
-        sizes = _count_by(_placed(points, cells, None), "cell", cells.count)
-    parts = np.maximum(1, np.ceil(sizes / (4 * per_cell))).astype(np.int64)
+    points, cells, parts = index.points, index.cells, index.parts
     home = heads.select("qid", "x", F.lit(float("inf")).alias("reach"))
     first = _visit(_at_home(home, cells, parts), points, cells, parts, k)
+    listed = F.explode(F.arrays_zip("d", "nid", "li")).alias("v")
     if len(parts) == 1 and parts[0] == 1:
-        return first.select("qid", "x", F.explode(_zipped()).alias("v")).select("qid", "x", "v.*")
+        return first.select("qid", "x", listed).select("qid", "x", "v.*")
     first = store(first, "first")
     bounded = first.select("qid", "x", F.element_at("d", -1).alias("reach"), "block")
     second = _visit(_abroad(bounded, cells, parts), points, cells, parts, k)
-    both = first.select("qid", "x", "d", "nid", "li").unionByName(
-        second.select("qid", "x", "d", "nid", "li")
-    )
-    flat = both.select("qid", "x", F.explode(_zipped()).alias("v")).select("qid", "x", "v.*")
+    flat = first.unionByName(second).select("qid", "x", listed).select("qid", "x", "v.*")
     best = Window.partitionBy("qid").orderBy("d", "nid")
     return flat.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k).drop("_n")
 
 
-def _zipped() -> Column:
-    return F.arrays_zip("d", "nid", "li")
-
-
 def _cut_space(points: DataFrame, total: int, dims: int, k: int, per_cell: int):
     """Cells from a hashed sample whose size in bytes is bounded whatever the table."""
     if total <= 2 * per_cell:

@@ -57,7 +57,9 @@ class LabelNoise:
     def _noisy(self, df: DataFrame, levels: list[float]) -> DataFrame:
         spec = self.spec
         row_id, label = F.col(spec.id_col), F.col("original_label")
-        base = spec.project(df).withColumnRenamed(spec.label_col, "original_label")
+        own = (spec.id_col, *spec.feature_cols, spec.label_col)
+        kept = [c for c in df.columns if c not in own]
+        base = spec.project(df, kept).withColumnRenamed(spec.label_col, "original_label")
         states = F.array(
             *[
                 F.struct(
@@ -76,6 +78,7 @@ class LabelNoise:
             .alias(spec.label_col),
             "original_label",
             F.col("_s.flipped").alias("flipped"),
+            *kept,
         )
 
 
@@ -131,20 +134,20 @@ def transitions(noisy: DataFrame, spec: LabelledSpec, noise: LabelNoise) -> Data
 
 def noise_metadata(ledger: DataFrame, noise: LabelNoise, source: str) -> DataFrame:
     """One record per level; label_changes nests original label, new label and count."""
+    nested = F.transform(
+        F.array_sort(F.collect_list(F.struct("original_label", "pairs"))),
+        lambda v: F.struct(v["original_label"], F.map_from_entries(v["pairs"])),
+    )
     changes = (
         ledger.groupBy("noise_level", "original_label")
         .agg(
             F.sum("n").alias("changed"),
-            F.map_from_entries(
-                F.array_sort(F.collect_list(F.struct("new_label", "n")))
-            ).alias("to"),
+            F.array_sort(F.collect_list(F.struct("new_label", "n"))).alias("pairs"),
         )
         .groupBy("noise_level")
         .agg(
             F.sum("changed").alias("noisy_rows"),
-            F.to_json(
-                F.map_from_entries(F.array_sort(F.collect_list(F.struct("original_label", "to"))))
-            ).alias("label_changes"),
+            F.to_json(F.map_from_entries(nested)).alias("label_changes"),
         )
     )
     return changes.select(
@@ -157,11 +160,13 @@ def noise_metadata(ledger: DataFrame, noise: LabelNoise, source: str) -> DataFra
     )
 
 
-def nesting_violations(sweep: DataFrame, spec: LabelledSpec) -> DataFrame:
+def nesting_violations(
+    sweep: DataFrame, spec: LabelledSpec, levels: tuple[float, ...]
+) -> DataFrame:
     """For each pair of neighbouring levels: rows flipped at the lower level that are
     not flipped to the same label at the higher one."""
-    levels = sorted(r[0] for r in sweep.select("noise_level").distinct().collect())
-    steps = [(a, b) for a, b in zip(levels, levels[1:])]
+    ordered = sorted(levels)
+    steps = list(zip(ordered, ordered[1:]))
     pairs = F.array(
         *[F.struct(F.lit(a).alias("lower"), F.lit(b).alias("higher")) for a, b in steps]
     )

@@ -34,13 +34,14 @@ class LabelledSpec:
         if bad:
             raise ValueError(f"features must be numeric: {bad}")
 
-    def project(self, df: DataFrame) -> DataFrame:
-        """The table with exactly the spec's columns; the label as a string."""
+    def project(self, df: DataFrame, keep: list[str] = ()) -> DataFrame:
+        """The spec's columns, features as doubles and the label as a string, and any to keep."""
         self.check(df)
         return df.select(
             self.id_col,
             *[F.col(c).cast("double").alias(c) for c in self.feature_cols],
             F.col(self.label_col).cast("string").alias(self.label_col),
+            *keep,
         )
 
 
