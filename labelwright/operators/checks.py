@@ -73,8 +73,8 @@ def check_ranges(
     entries = []
     for i, c in enumerate(spec.feature_cols):
         entries += [
-            _entry("range_min", c, F.col(f"a{i}") >= low, F.col(f"a{i}"), low),
-            _entry("range_max", c, F.col(f"b{i}") <= high, F.col(f"b{i}"), high),
+            _entry("range_min", c, F.col(f"a{i}") >= low, F.col(f"a{i}") + 0.0, low),
+            _entry("range_max", c, F.col(f"b{i}") <= high, F.col(f"b{i}") + 0.0, high),
         ]
     return _entries(row, entries)
 

@@ -36,8 +36,11 @@ def performance_degradation(clean: DataFrame, noisy: DataFrame, by: tuple[str, .
 
 
 def worst_metric(degradation: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
-    """The metric that lost most; equal drops go to the first name."""
-    order = Window.partitionBy(*(by or [F.lit(1)])).orderBy(F.col("relative_drop_pct").desc(), "metric")
+    """The metric that lost most; equal drops go to the first of the compared ones."""
+    listed = F.array(*[F.lit(m) for m in COMPARED])
+    order = Window.partitionBy(*(by or [F.lit(1)])).orderBy(
+        F.round("relative_drop_pct", 9).desc(), F.array_position(listed, F.col("metric"))
+    )
     return (
         degradation.withColumn("_n", F.row_number().over(order))
         .where("_n = 1")
@@ -47,7 +50,9 @@ def worst_metric(degradation: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
 def worst_level(degradation: DataFrame, metric: str = "accuracy") -> DataFrame:
     """The noise level with the largest relative drop of a metric."""
-    order = Window.partitionBy("metric").orderBy(F.col("relative_drop_pct").desc(), "noise_level")
+    order = Window.partitionBy("metric").orderBy(
+        F.round("relative_drop_pct", 9).desc(), "noise_level"
+    )
     return (
         degradation.where(F.col("metric") == metric)
         .withColumn("_n", F.row_number().over(order))

@@ -95,8 +95,8 @@ def build_pipeline(
             )
         )
     else:
-        svm = LinearSVC(regParam=1.0 / (params.c * rows), maxIter=min(100, params.max_iter))
-        stages.append(OneVsRest(classifier=svm, **common))
+        svm = LinearSVC(regParam=1.0 / (params.c * rows), maxIter=params.svm_iter, tol=1e-4)
+        stages.append(OneVsRest(classifier=svm, parallelism=4, **common))
     return Pipeline(stages=stages)
 
 

@@ -246,13 +246,13 @@ def knn_votes(bands: DataFrame, level: float = 0.1) -> tuple[DataFrame, list[str
         I.SCORED_SQL,
         """SELECT id, label AS true_label, prediction AS predicted_label, round(top, 6) AS prediction_confidence,
              round(probs[list_position(v, label)], 6) AS true_label_confidence
-           FROM scored, vocab WHERE prediction <> label AND top > 0.7""",
+           FROM scored, vocab WHERE prediction <> label AND top > 0.8::DOUBLE""",
     ),
 )
 def confident_disagreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored, labels = knn_votes(I.part_bands(spark, sf_dir))
     return I.rounded(
-        D.confident_disagreement(scored, labels, 0.7), "prediction_confidence", "true_label_confidence"
+        D.confident_disagreement(scored, labels), "prediction_confidence", "true_label_confidence"
     )
 
 

@@ -62,6 +62,7 @@ class Params:
     max_depth: int = 30
     c: float = 1.0
     max_iter: int = 1000
+    svm_iter: int = 100
     max_classes: int = 10_000
 
 

@@ -30,6 +30,8 @@ def score_suspects(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
         # The batch plan can be read once only; the search needs it twice.
         rows = store(batch, "batch")
         near = search_index(index, rows, skip_same_id)
