@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from labelwright.functions.labels import literal_array, vocabulary
+from labelwright.functions.labels import literal_array
 from labelwright.functions.local import local_table
 from labelwright.functions.scaling import fit_scaler, raw_vector
 from labelwright.operators.blocks import (
@@ -39,7 +39,9 @@ from labelwright.spec import LabelledSpec, Params
 
 NEIGHBOURS = "array<struct<d:double,nid:bigint,label:string>>"
 DECIMALS = 9
-QUERIES_PER_TASK = 4096
+WORK_PER_GROUP = 1 << 25
+FEWEST_QUERIES = 128
+MOST_QUERIES = 4096
 PER_CELL = 512
 PER_CELL_MANY_DIMS = 4096
 FEW_DIMS = 8
@@ -58,7 +60,7 @@ def feature_vectors(
     x = fitted.vector() if normalize else raw_vector(spec.feature_cols)
     return labelled.select(
         F.col(spec.id_col).cast("bigint").alias("id"),
-        x.alias("x"),
+        _plain(x).alias("x"),
         F.col(spec.label_col).cast("string").alias("label"),
     )
 
@@ -68,11 +70,16 @@ def array_vectors(df: DataFrame, id_col: str, array_col: str, label_col: str) ->
     _whole_number_id(df, id_col)
     return df.where(F.col(label_col).isNotNull()).select(
         F.col(id_col).cast("bigint").alias("id"),
-        F.col(array_col).cast("array<double>").alias("x"),
+        _plain(F.col(array_col).cast("array<double>")).alias("x"),
         F.col(label_col).cast("string").alias("label"),
     )
 
 
+def _plain(x: Column) -> Column:
+    """Negative zero becomes zero, so that equal vectors are equal as keys too."""
+    return F.transform(x, lambda v: v + F.lit(0.0))
+
+
 def _whole_number_id(df: DataFrame, id_col: str) -> None:
     if not isinstance(df.schema[id_col].dataType, T.IntegralType):
         raise ValueError(f"the neighbour search needs a whole-number id, not {id_col!r}")
@@ -88,29 +95,41 @@ class NeighbourIndex:
     rows: int
     dims: int
     cells: Cells | None
+    sizes: np.ndarray
     parts: np.ndarray
+    distinct: bool
 
-    @property
-    def copies(self) -> int:
-        return self.k + 1
+    def per_block(self) -> np.ndarray:
+        """About how many points each block holds."""
+        return np.repeat(np.ceil(self.sizes / self.parts).astype(np.int64), self.parts)
 
 
 def build_index(vectors: DataFrame, k: int = Params.k) -> NeighbourIndex:
     """Index (id, x, label) for searches of up to k neighbours."""
     if k < 1:
         raise ValueError("k must be at least 1")
-    shape = vectors.agg(
-        F.count("*").alias("n"),
-        F.min(F.size("x")).alias("dims"),
-        F.max(F.size("x")).alias("widest"),
-        F.count_if(F.exists("x", lambda v: v.isNull() | F.isnan(v))).alias("nulls"),
-    ).first()
-    if shape["n"] < k:
-        raise ValueError(f"{k} neighbours need at least {k} rows, found {shape['n']}")
-    if shape["dims"] != shape["widest"] or shape["nulls"]:
+    shapes = (
+        vectors.groupBy("label")
+        .agg(
+            F.count("*").alias("n"),
+            F.min(F.size("x")).alias("dims"),
+            F.max(F.size("x")).alias("widest"),
+            F.count_if(F.exists("x", lambda v: v.isNull() | F.isnan(v))).alias("nulls"),
+        )
+        .limit(Params.max_classes + 1)
+        .collect()
+    )
+    if len(shapes) > Params.max_classes:
+        raise ValueError(f"more than {Params.max_classes} classes")
+    rows = sum(r["n"] for r in shapes)
+    if rows < k:
+        raise ValueError(f"{k} neighbours need at least {k} rows, found {rows}")
+    dims = shapes[0]["dims"]
+    if any(r["dims"] != dims or r["widest"] != dims or r["nulls"] for r in shapes):
         raise ValueError("all feature vectors must have the same length and no null")
-    labels = vocabulary(vectors, "label")
-    by_point = Window.partitionBy("x").orderBy("id")
+    labels = sorted(r["label"] for r in shapes)
+    # The hash leads the sort key, because numbers sort faster than arrays.
+    by_point = Window.partitionBy(F.xxhash64("x"), "x").orderBy("id")
     index = F.array_position(literal_array(labels), F.col("label")) - 1
     points = store(
         vectors.withColumn("_n", F.row_number().over(by_point))
@@ -118,16 +137,17 @@ def build_index(vectors: DataFrame, k: int = Params.k) -> NeighbourIndex:
         .select("id", "x", index.cast("int").alias("li"), (F.col("_n") == 1).alias("head")),
         "points",
     )
-    dims = int(shape["dims"])
     per_cell = PER_CELL if dims <= FEW_DIMS else PER_CELL_MANY_DIMS
-    total = points.count()
+    held = points.agg(F.count("*").alias("points"), F.count_if("head").alias("heads")).first()
+    total = held["points"]
     cells = _cut_space(points, total, dims, k + 1, per_cell)
     if cells is None:
         sizes = np.array([total])
     else:
         sizes = _count_by(_placed(points, cells, None), "cell", cells.count)
     parts = np.maximum(1, np.ceil(sizes / (4 * per_cell))).astype(np.int64)
-    return NeighbourIndex(points, tuple(labels), k, int(shape["n"]), dims, cells, parts)
+    distinct = held["heads"] == rows
+    return NeighbourIndex(points, tuple(labels), k, rows, dims, cells, sizes, parts, distinct)
 
 
 def nearest_neighbours(
@@ -144,7 +164,8 @@ def nearest_neighbours(
     if index.rows <= k:
         raise ValueError(f"{k} neighbours need at least {k + 1} rows, found {index.rows}")
     heads = index.points.where("head").select(F.col("id").alias("qid"), "x")
-    return _neighbour_lists(index, rows, heads, index.rows, skip_same_id=True)
+    found = _search(index, heads, k + 1, index.per_block())
+    return _lists_per_row(index, rows, found, index.rows, True, index.distinct)
 
 
 def search_index(
@@ -155,18 +176,26 @@ def search_index(
     ``skip_same_id`` is for rows that may be in the index themselves.
     """
     heads = queries.groupBy("x").agg(F.min("id").alias("qid")).select("qid", "x")
-    return _neighbour_lists(index, queries, heads, queries.count(), skip_same_id)
+    found = _search(index, heads, index.k + 1 if skip_same_id else index.k, None)
+    return _lists_per_row(index, queries, found, queries.count(), skip_same_id, False)
 
 
-def _neighbour_lists(
-    index: NeighbourIndex, rows: DataFrame, heads: DataFrame, n: int, skip_same_id: bool
+def _lists_per_row(
+    index: NeighbourIndex,
+    rows: DataFrame,
+    found: DataFrame,
+    n: int,
+    skip_same_id: bool,
+    distinct: bool,
 ) -> DataFrame:
-    found = _search(index, heads, index.k + 1 if skip_same_id else index.k)
-    lists = found.groupBy("qid").agg(
-        F.first("x").alias("x"),
-        F.array_sort(F.collect_list(F.struct("d", "nid", "li"))).alias("near"),
-    )
-    joined = _join_on_point(rows, lists.select("x", "near"), n)
+    """One list per row; where no two rows share a point, the query id is the row id."""
+    near = F.array_sort(F.collect_list(F.struct("d", "nid", "li"))).alias("near")
+    if distinct:
+        lists = found.groupBy(F.col("qid").alias("id")).agg(near)
+        joined = rows.drop("x").join(lists, "id")
+    else:
+        lists = found.groupBy("qid").agg(F.first("x").alias("x"), near).drop("qid")
+        joined = _join_on_point(rows, lists, n)
     near = F.col("near")
     if skip_same_id:
         near = F.filter(near, lambda v: v["nid"] != F.col("id"))
@@ -195,26 +224,32 @@ def _join_on_point(rows: DataFrame, lists: DataFrame, n: int) -> DataFrame:
         hot = (
             rows.groupBy("x").count().where(F.col("count") > limit).select("x").collect()
         )
+    rows = rows.withColumn("_h", F.xxhash64("x"))
+    lists = lists.withColumn("_h", F.xxhash64("x"))
     if not hot:
-        return rows.join(lists, "x")
+        return rows.join(lists, ["_h", "x"])
     keys = local_table(rows.sparkSession, [(r["x"],) for r in hot], "x array<double>")
     few = F.broadcast(keys)
-    usual = rows.join(few, "x", "left_anti").join(lists, "x")
-    many = rows.join(F.broadcast(lists.join(few, "x", "left_semi")), "x")
+    usual = rows.join(few, "x", "left_anti").join(lists, ["_h", "x"])
+    many = rows.join(F.broadcast(lists.join(few, "x", "left_semi")), ["_h", "x"])
     return usual.unionByName(many)
 
 
-def _search(index: NeighbourIndex, heads: DataFrame, k: int) -> DataFrame:
-    """(qid, x, d, nid, li): the k nearest points of each head."""
-    points, cells, parts = index.points, index.cells, index.parts
-    home = heads.select("qid", "x", F.lit(float("inf")).alias("reach"))
-    first = _visit(_at_home(home, cells, parts), points, cells, parts, k)
+def _search(
+    index: NeighbourIndex, heads: DataFrame, k: int, expected: np.ndarray | None
+) -> DataFrame:
+    """(qid, x, d, nid, li): the k nearest points of each head.
+
+    ``expected`` bounds the heads per block where that is known.
+    """
+    home = _at_home(heads.select("qid", "x", F.lit(float("inf")).alias("reach")), index)
+    first = _visit(home, index, k, expected)
     listed = F.explode(F.arrays_zip("d", "nid", "li")).alias("v")
-    if len(parts) == 1 and parts[0] == 1:
+    if int(index.parts.sum()) == 1:
         return first.select("qid", "x", listed).select("qid", "x", "v.*")
     first = store(first, "first")
     bounded = first.select("qid", "x", F.element_at("d", -1).alias("reach"), "block")
-    second = _visit(_abroad(bounded, cells, parts), points, cells, parts, k)
+    second = _visit(_abroad(bounded, index), index, k, None)
     flat = first.unionByName(second).select("qid", "x", listed).select("qid", "x", "v.*")
     best = Window.partitionBy("qid").orderBy("d", "nid")
     return flat.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k).drop("_n")
@@ -280,9 +315,9 @@ def _placed(points: DataFrame, cells, parts) -> DataFrame:
     )
 
 
-def _at_home(heads: DataFrame, cells, parts: np.ndarray) -> DataFrame:
+def _at_home(heads: DataFrame, index: NeighbourIndex) -> DataFrame:
     """Each query with the block it lies in."""
-    shared = heads.sparkSession.sparkContext.broadcast((cells, parts))
+    shared = heads.sparkSession.sparkContext.broadcast((index.cells, index.parts))
 
     def place(batches):
         cells, parts = shared.value
@@ -295,9 +330,9 @@ def _at_home(heads: DataFrame, cells, parts: np.ndarray) -> DataFrame:
     return heads.mapInArrow(place, "qid bigint, x array<double>, reach double, block bigint")
 
 
-def _abroad(bounded: DataFrame, cells, parts: np.ndarray) -> DataFrame:
+def _abroad(bounded: DataFrame, index: NeighbourIndex) -> DataFrame:
     """Each query with every other block that may hold a closer point."""
-    shared = bounded.sparkSession.sparkContext.broadcast((cells, parts))
+    shared = bounded.sparkSession.sparkContext.broadcast((index.cells, index.parts))
     slack = 2.0 * 10.0**-DECIMALS
 
     def visit(batches):
@@ -332,16 +367,21 @@ def _count_by(df: DataFrame, column: str, size: int) -> np.ndarray:
     return out
 
 
-def _visit(visits: DataFrame, points: DataFrame, cells, parts: np.ndarray, k: int) -> DataFrame:
+def _visit(
+    visits: DataFrame, index: NeighbourIndex, k: int, expected: np.ndarray | None
+) -> DataFrame:
     """Search each visited block; one row per query and block with the k best points.
 
     Queries of one block are dealt over as many groups as keep a group small, and
     the block's points are copied to each of them.
     """
-    blocks = int(parts.sum())
-    spark = points.sparkSession
-    groups = np.ceil(_count_by(visits, "block", blocks) / QUERIES_PER_TASK).astype(np.int64)
-    shared = spark.sparkContext.broadcast(groups)
+    per_block = index.per_block()
+    if expected is None:
+        expected = _count_by(visits, "block", len(per_block))
+    work = np.maximum(1, per_block) * index.dims
+    at_once = np.clip(WORK_PER_GROUP // work, FEWEST_QUERIES, MOST_QUERIES)
+    groups = np.ceil(expected / at_once).astype(np.int64)
+    shared = visits.sparkSession.sparkContext.broadcast(groups)
     scale = 10.0**DECIMALS
 
     def deal(batches):
@@ -391,7 +431,7 @@ def _visit(visits: DataFrame, points: DataFrame, cells, parts: np.ndarray, k: in
     dealt = visits.mapInArrow(
         deal, "qid bigint, x array<double>, reach double, block bigint, turn bigint"
     )
-    copied = _placed(points, cells, parts).mapInArrow(
+    copied = _placed(index.points, index.cells, index.parts).mapInArrow(
         copy, "id bigint, x array<double>, li int, block bigint, turn bigint"
     )
     return (
