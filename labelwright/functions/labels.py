@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from labelwright.functions.local import local_table
@@ -31,7 +33,8 @@ def vocabulary(df: DataFrame, label_col: str, max_classes: int = 10_000) -> list
 
 
 def literal_array(labels: list[str]) -> Column:
-    return F.array(*[F.lit(v) for v in labels]) if labels else F.array().cast("array<string>")
+    """The vocabulary as one constant, however many labels there are."""
+    return F.from_json(F.lit(json.dumps(labels)), "array<string>")
 
 
 def encode(label: Column, labels: list[str]) -> Column:

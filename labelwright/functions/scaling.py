@@ -36,7 +36,7 @@ def fit_scaler(df: DataFrame, cols: tuple[str, ...]) -> Scaler:
             F.stddev_pop(x).alias(f"s{i}"),
             F.count_if(x.isNull()).alias(f"n{i}"),
         ]
-    row = df.agg(*aggs).first()
+    row = df.agg(*aggs).collect()[0]
     nulls = [c for i, c in enumerate(cols) if row[f"n{i}"]]
     if nulls:
         raise ValueError(f"null values in features: {nulls}")

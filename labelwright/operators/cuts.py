@@ -38,13 +38,15 @@ def rank_cuts(
     order: list[Column],
     ranks: dict[str, list[int]],
     group: Column | None = None,
+    largest: int | None = None,
 ) -> list[Cut]:
     """Order values of the rows at the wanted ranks (1 is the smallest).
 
     ``key`` is a whole number in [0, 2**bits) that never decreases along
     ``order``; the order must be total. ``ranks`` has one entry per group ("" when
     there is no grouping). The driver holds about ``COUNTED_BUCKETS`` counts per round,
-    shared by the groups, whatever the number of rows.
+    shared by the groups, whatever the number of rows. ``largest`` is the size of the
+    largest group where it is known; counting is skipped if that can be sorted.
     """
     spark = df.sparkSession
     wanted = [(g, r) for g, rs in ranks.items() for r in sorted(set(rs)) if r > 0]
@@ -59,7 +61,7 @@ def rank_cuts(
     schema = "_g string, _bucket bigint, _need bigint, _rank bigint"
     targets = [(g, 0, r, r) for g, r in wanted]
     shift = bits
-    while True:
+    while largest is None or largest > SORTABLE_ROWS:
         shares = max(1, len({(g, b) for g, b, _, _ in targets}), len(ranks))
         finer = max(0, shift - max(2, int(math.log2(COUNTED_BUCKETS / shares))))
         rows = base if shift == bits else _inside(base, shift, targets, schema)
@@ -81,9 +83,7 @@ def rank_cuts(
             found.append((g, int(hit["_fine"]), int(need - hit["_upto"] + hit["_n"]), rank))
             largest = max(largest, int(hit["_n"]))
         targets, shift = found, finer
-        if largest <= SORTABLE_ROWS:
-            break
-        if shift == 0:
+        if shift == 0 and largest > SORTABLE_ROWS:
             raise ValueError("too many rows share one order key; the row id must be unique")
     within = Window.partitionBy("_g", "_bucket").orderBy(*names)
     picked = (
@@ -92,13 +92,16 @@ def rank_cuts(
         .join(F.broadcast(local_table(spark, targets, schema)), ["_g", "_bucket", "_need"])
         .collect()
     )
+    if len(picked) != len(wanted):
+        raise ValueError("a wanted rank exceeds the number of rows of its group")
     return [Cut(r["_g"], r["_rank"], tuple(r[n] for n in names)) for r in picked]
 
 
 def _inside(base: DataFrame, shift: int, targets: list[tuple], schema: str) -> DataFrame:
     """Rows of the buckets that hold a wanted rank."""
     held = local_table(base.sparkSession, targets, schema).select("_g", "_bucket").distinct()
-    return base.withColumn("_bucket", F.shiftright("_key", shift)).join(
+    coarse = F.shiftright("_key", shift) if shift < 63 else F.lit(0).cast("bigint")
+    return base.withColumn("_bucket", coarse).join(
         F.broadcast(held), ["_g", "_bucket"], "left_semi"
     )
 

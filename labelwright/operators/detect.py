@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from labelwright.functions.labels import literal_array
 from labelwright.operators.noise import LabelNoise
@@ -42,31 +42,60 @@ def relabel(near: DataFrame, noise: LabelNoise, levels: list[float] | None = Non
     search serves every level and the noisy labels need no join.
     """
     levels = list(noise.counts) if levels is None else levels
-    out = None
-    states = F.array(*[F.lit(level) for level in levels])
-    rows = near.withColumn("noise_level", F.explode(states))
-
-    def label_of(row_id: Column, label: Column) -> Column:
-        pick = F.when(F.lit(False), label)
-        for level in levels:
-            pick = pick.when(
-                F.col("noise_level") == level, noise.label_at(level, row_id, label)
-            )
-        return pick
-
-    out = rows.select(
-        "noise_level",
-        "id",
-        label_of(F.col("id"), F.col("label")).alias("label"),
-        F.col("label").alias("original_label"),
-        F.transform(
-            "neighbours",
-            lambda v: F.struct(
-                v["d"].alias("d"), v["nid"].alias("nid"), label_of(v["nid"], v["label"]).alias("label")
-            ),
-        ).alias("neighbours"),
+    hashed = F.transform(
+        "neighbours",
+        lambda v: F.struct(
+            v["d"].alias("d"), v["nid"].alias("nid"), v["label"].alias("label"), noise.hash(v["nid"]).alias("h")
+        ),
+    )
+    decided = F.transform(
+        "_hashed",
+        lambda v: F.named_struct(
+            F.lit("d"),
+            v["d"],
+            F.lit("nid"),
+            v["nid"],
+            F.lit("label"),
+            v["label"],
+            F.lit("other"),
+            noise.other_label(v["h"], v["label"]),
+            F.lit("from"),
+            noise.flips_from(v["h"], v["nid"], v["label"]),
+        ),
+    )
+    label, level = F.col("original_label"), F.col("noise_level")
+    flipped = F.coalesce(level >= F.col("_from"), F.lit(False))
+    return (
+        near.select(
+            "id",
+            F.col("label").alias("original_label"),
+            hashed.alias("_hashed"),
+            noise.hash(F.col("id")).alias("_h"),
+        )
+        .select(
+            "id",
+            label,
+            decided.alias("_near"),
+            noise.other_label(F.col("_h"), label).alias("_other"),
+            noise.flips_from(F.col("_h"), F.col("id"), label).alias("_from"),
+            F.explode(F.array(*[F.lit(v) for v in levels])).alias("noise_level"),
+        )
+        .select(
+            "noise_level",
+            "id",
+            F.when(flipped, F.col("_other")).otherwise(label).alias("label"),
+            label,
+            F.transform(
+                "_near",
+                lambda v: F.struct(
+                    v["d"].alias("d"),
+                    v["nid"].alias("nid"),
+                    F.when(level >= v["from"], v["other"]).otherwise(v["label"]).alias("label"),
+                ),
+            ).alias("neighbours"),
+            flipped.alias("flipped"),
+        )
     )
-    return out.withColumn("flipped", F.col("label") != F.col("original_label"))
 
 
 def neighbour_detail(suspects: DataFrame) -> DataFrame:
@@ -192,8 +221,6 @@ def detection_roc(flags: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
 
     Rows are counted per ratio first; there are at most k+1 of them.
     """
-    from pyspark.sql import Window
-
     counted = flags.groupBy(*by, F.col("disagreement_ratio").alias("threshold")).agg(
         F.count_if("flipped").alias("hits"), F.count_if(~F.col("flipped")).alias("misses")
     )

@@ -38,8 +38,8 @@ def inject_outliers(
 ) -> DataFrame:
     """Set every feature of ``min(rows, n)`` rows to mean + 5 sample deviations."""
     stats = _stats(df, spec)
-    k = min(rows, int(stats[""][0]))
-    cuts = hash_cuts(df, spec.id_col, seed, {"": [k]})
+    n = int(stats[""][0])
+    cuts = hash_cuts(df, spec.id_col, seed, {"": [min(rows, n)]}, rows=n)
     hit = within_cut(spec.id_col, seed, cuts[0] if cuts else None)
     return df.withColumn("outlier", hit).withColumns(
         {

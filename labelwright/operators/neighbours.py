@@ -138,7 +138,7 @@ def build_index(vectors: DataFrame, k: int = Params.k) -> NeighbourIndex:
         "points",
     )
     per_cell = PER_CELL if dims <= FEW_DIMS else PER_CELL_MANY_DIMS
-    held = points.agg(F.count("*").alias("points"), F.count_if("head").alias("heads")).first()
+    held = points.agg(F.count("*").alias("points"), F.count_if("head").alias("heads")).collect()[0]
     total = held["points"]
     cells = _cut_space(points, total, dims, k + 1, per_cell)
     if cells is None:
@@ -156,16 +156,16 @@ def nearest_neighbours(
     """(id, label, neighbours) for every row: its k nearest other rows, nearest first.
 
     With ``queries`` (id, x, label) those rows are searched among ``vectors`` instead.
+    Both are read more than once: store them first if they are costly to compute.
     """
-    rows = store(vectors, "vectors")
     if queries is not None:
-        return search_index(build_index(rows, k), store(queries, "queries"))
-    index = build_index(rows, k)
+        return search_index(build_index(vectors, k), queries)
+    index = build_index(vectors, k)
     if index.rows <= k:
         raise ValueError(f"{k} neighbours need at least {k + 1} rows, found {index.rows}")
     heads = index.points.where("head").select(F.col("id").alias("qid"), "x")
     found = _search(index, heads, k + 1, index.per_block())
-    return _lists_per_row(index, rows, found, index.rows, True, index.distinct)
+    return _lists_per_row(index, vectors, found, index.rows, True, index.distinct)
 
 
 def search_index(

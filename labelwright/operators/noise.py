@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from labelwright.functions.hashing import digits, row_hash
 from labelwright.functions.labels import class_counts, literal_array
-from labelwright.operators.cuts import Cut
+from labelwright.operators.cuts import Cut, at_or_before
 from labelwright.operators.sampling import hash_cuts, within_cut
 from labelwright.spec import LabelledSpec, Params, check_level
 
@@ -28,24 +28,34 @@ class LabelNoise:
     counts: dict[float, int]
     cuts: dict[float, Cut | None]
 
-    def selected(self, level: float, row_id: Column | None = None, label: Column | None = None) -> Column:
-        row_id = F.col(self.spec.id_col) if row_id is None else row_id
-        label = F.col(self.spec.label_col) if label is None else label
-        return within_cut(row_id, self.seed, self.cuts[level]) & label.isNotNull()
+    def selected(self, level: float) -> Column:
+        """True for the rows that flip at the level."""
+        row_id = F.col(self.spec.id_col)
+        return within_cut(row_id, self.seed, self.cuts[level]) & F.col(self.spec.label_col).isNotNull()
 
-    def other_label(self, row_id: Column, label: Column) -> Column:
+    def hash(self, row_id: Column) -> Column:
+        return row_hash(row_id, self.seed)
+
+    def flips_from(self, h: Column, row_id: Column, label: Column) -> Column:
+        """The lowest level at which the row flips; null if it never does.
+
+        One hash and one comparison per level decide every level at once.
+        """
+        pick = F.when(label.isNull(), F.lit(None).cast("double"))
+        for level in sorted(self.cuts):
+            cut = self.cuts[level]
+            if cut is not None:
+                ends = [F.lit(v) for v in cut.values]
+                pick = pick.when(at_or_before([h, row_id], ends), F.lit(level))
+        return pick
+
+    def other_label(self, h: Column, label: Column) -> Column:
         """One of the other labels, each equally likely, from the last digits of the hash."""
         vocab = literal_array(list(self.labels))
-        step = F.pmod(digits(row_hash(row_id, self.seed), 25), F.lit(len(self.labels) - 1)) + 1
-        place = F.pmod(F.array_position(vocab, label) - 1 + step, F.lit(len(self.labels)))
+        step = digits(h, 25) % (len(self.labels) - 1)
+        place = (F.array_position(vocab, label) + step) % len(self.labels)
         return F.element_at(vocab, (place + 1).cast("int"))
 
-    def label_at(self, level: float, row_id: Column, label: Column) -> Column:
-        """The label that (row_id, label) carries at the level."""
-        return F.when(
-            self.selected(level, row_id, label), self.other_label(row_id, label)
-        ).otherwise(label)
-
     def flip(self, df: DataFrame, level: float) -> DataFrame:
         """The table at one level, with its original label and a flag."""
         return self._noisy(df, [level])
@@ -56,29 +66,30 @@ class LabelNoise:
 
     def _noisy(self, df: DataFrame, levels: list[float]) -> DataFrame:
         spec = self.spec
-        row_id, label = F.col(spec.id_col), F.col("original_label")
         own = (spec.id_col, *spec.feature_cols, spec.label_col)
         kept = [c for c in df.columns if c not in own]
-        base = spec.project(df, kept).withColumnRenamed(spec.label_col, "original_label")
-        states = F.array(
-            *[
-                F.struct(
-                    F.lit(level).alias("noise_level"),
-                    F.coalesce(self.selected(level, row_id, label), F.lit(False)).alias("flipped"),
-                )
-                for level in levels
-            ]
-        )
-        return base.withColumn("_s", F.explode(states)).select(
-            F.col("_s.noise_level").alias("noise_level"),
-            spec.id_col,
-            *spec.feature_cols,
-            F.when(F.col("_s.flipped"), self.other_label(row_id, label))
-            .otherwise(label)
-            .alias(spec.label_col),
-            "original_label",
-            F.col("_s.flipped").alias("flipped"),
-            *kept,
+        row_id, label, h = F.col(spec.id_col), F.col("original_label"), F.col("_h")
+        return (
+            spec.project(df, kept)
+            .withColumnRenamed(spec.label_col, "original_label")
+            .withColumn("_h", self.hash(row_id))
+            .withColumns(
+                {
+                    "_from": self.flips_from(h, row_id, label),
+                    "_other": self.other_label(h, label),
+                    "noise_level": F.explode(F.array(*[F.lit(level) for level in levels])),
+                }
+            )
+            .withColumn("flipped", F.coalesce(F.col("noise_level") >= F.col("_from"), F.lit(False)))
+            .select(
+                "noise_level",
+                spec.id_col,
+                *spec.feature_cols,
+                F.when(F.col("flipped"), F.col("_other")).otherwise(label).alias(spec.label_col),
+                "original_label",
+                "flipped",
+                *kept,
+            )
         )
 
 
@@ -97,7 +108,7 @@ def fit_label_noise(
     n = sum(classes.values())
     counts = {level: int(n * level) for level in levels}
     labelled = df.where(F.col(spec.label_col).isNotNull())
-    found = hash_cuts(labelled, spec.id_col, seed, {"": list(counts.values())})
+    found = hash_cuts(labelled, spec.id_col, seed, {"": list(counts.values())}, rows=n)
     by_rank = {c.rank: c for c in found}
     cuts = {level: by_rank.get(k) for level, k in counts.items()}
     return LabelNoise(spec, seed, tuple(classes), n, counts, cuts)

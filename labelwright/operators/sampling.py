@@ -22,9 +22,11 @@ def hash_cuts(
     seed: int,
     ranks: dict[str, list[int]],
     group: Column | None = None,
+    rows: int | None = None,
 ) -> list[Cut]:
     order = hash_order(id_col, seed)
-    return rank_cuts(df, digits(order[0], 1, HASH_DIGITS), HASH_BITS, order, ranks, group)
+    key = digits(order[0], 1, HASH_DIGITS)
+    return rank_cuts(df, key, HASH_BITS, order, ranks, group, rows)
 
 
 def within_cut(id_col: Column | str, seed: int, cut: Cut | None) -> Column:
@@ -38,6 +40,6 @@ def sample_exact(df: DataFrame, id_col: str, fraction: float, seed: int = 42) ->
     """Exactly ``int(n * fraction)`` rows, the same ones on every run."""
     if not 0.0 <= fraction <= 1.0:
         raise ValueError(f"fraction must be between 0.0 and 1.0, got {fraction}")
-    k = int(df.count() * fraction)
-    cuts = hash_cuts(df, id_col, seed, {"": [k]})
+    n = df.count()
+    cuts = hash_cuts(df, id_col, seed, {"": [int(n * fraction)]}, rows=n)
     return df.where(within_cut(id_col, seed, cuts[0] if cuts else None))

@@ -42,11 +42,14 @@ def train_test_split(
     order = hash_order(spec.id_col, seed)
     label = F.col(spec.label_col).cast("string")
     if not stratify:
-        cuts = hash_cuts(df.where(label.isNotNull()), spec.id_col, seed, {"": [test_rows]})
+        cuts = hash_cuts(
+            df.where(label.isNotNull()), spec.id_col, seed, {"": [test_rows]}, rows=sum(counts.values())
+        )
         test = at_or_before(order, [F.lit(v) for v in cuts[0].values])
         return df.where(label.isNotNull()).withColumn("is_test", test)
     quotas = class_quotas(counts, test_rows)
-    cuts = hash_cuts(df, spec.id_col, seed, {c: [q] for c, q in quotas.items()}, label)
+    ranks = {c: [q] for c, q in quotas.items()}
+    cuts = hash_cuts(df, spec.id_col, seed, ranks, label, max(counts.values()))
     table = _cut_table(df, spec, [(c.group, [c.values]) for c in cuts], list(counts), 2)
     marked = df.where(label.isNotNull()).join(
         F.broadcast(table), label == F.col("_label"), "left"
@@ -74,7 +77,9 @@ def stratified_folds(df: DataFrame, spec: LabelledSpec, folds: int = Params.fold
     low, high = df.agg(F.min(row_id), F.max(row_id)).first()
     labelled = df.where(label.isNotNull())
     bits = max(1, int(high - low).bit_length())
-    found = rank_cuts(labelled, row_id - F.lit(low), bits, [row_id], ranks, label)
+    found = rank_cuts(
+        labelled, row_id - F.lit(low), bits, [row_id], ranks, label, max(counts.values())
+    )
     by_rank = {(c.group, c.rank): c for c in found}
     rows = []
     for c, n in counts.items():
