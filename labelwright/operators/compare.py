@@ -153,6 +153,14 @@ def cv_summary(fold_scores: DataFrame) -> DataFrame:
     )
 
 
+def fold_stability(summary: DataFrame) -> DataFrame:
+    """Spread of the fold accuracies against their mean, with its level."""
+    cv = F.when(F.col("cv_mean") > 0, F.col("cv_std") / F.col("cv_mean")).otherwise(F.lit(0.0))
+    return summary.withColumn("coefficient_of_variation", cv).withColumn(
+        "stability_level", stability_level(F.col("coefficient_of_variation"))
+    )
+
+
 def model_comparison(metrics: DataFrame) -> DataFrame:
     """Printable table: one row per model, four decimals, titled columns as rows' names."""
     shown = (*COMPARED, "cv_mean")

@@ -26,10 +26,12 @@ def confusion_matrix(
 ) -> DataFrame:
     """Every cell of the matrix; rows are the true label, empty cells count 0."""
     cells = confusion_cells(scored, by)
-    grid = label_grid(scored.sparkSession, labels, "label", "prediction")
     if by:
-        runs = cells.select(*by).distinct().withColumn("_label", F.explode(literal_array(labels)))
-        grid = runs.join(F.broadcast(grid), F.col("_label") == F.col("label")).drop("_label")
+        every = literal_array(labels)
+        runs = cells.select(*by).distinct()
+        grid = runs.withColumn("label", F.explode(every)).withColumn("prediction", F.explode(every))
+    else:
+        grid = label_grid(scored.sparkSession, labels, "label", "prediction")
     return grid.join(cells, [*by, "label", "prediction"], "left").withColumn(
         "n", F.coalesce("n", F.lit(0).cast("bigint"))
     )

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from labelwright.operators import compare as C
 from labelwright.operators.centroid import fit_centroids
-from labelwright.operators.detect import suspicion_summary
+from labelwright.operators.detect import neighbour_suspects, quarantine, suspicion_summary
 from labelwright.operators.metrics import classification_metrics
+from labelwright.operators.neighbours import feature_vectors, nearest_neighbours
 from labelwright.operators.noise import fit_label_noise
 from labelwright.operators.split import stratified_folds, train_test_split
 from labelwright.plans import inputs as I
@@ -222,6 +223,58 @@ def cv_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return I.rounded(C.cv_summary(scores), "cv_mean", "cv_std")
 
 
+@query(
+    "fold_stability",
+    I.with_sql(
+        *FOLD_SQL,
+        """SELECT 'centroid' AS model, round(m, 6) AS cv_mean, round(s, 6) AS cv_std, n AS folds,
+             round(CASE WHEN m > 0 THEN s / m ELSE 0 END, 6) AS coefficient_of_variation,
+             CASE WHEN s < 0.1 * m OR m <= 0 THEN 'high' WHEN s < 0.2 * m THEN 'medium' ELSE 'low' END AS stability_level
+           FROM (SELECT avg(accuracy) AS m, stddev_pop(accuracy) AS s, count(*) AS n FROM accuracies)""",
+    ),
+)
+def fold_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = fold_scores(store(I.order_bands(spark, sf_dir), "bands"))
+    return I.rounded(
+        C.fold_stability(C.cv_summary(scores)), "cv_mean", "cv_std", "coefficient_of_variation"
+    )
+
+
+# Train on all noisy rows, and on those that are not suspicious; test on the original labels.
+RETRAIN_SQL = (
+    I.PART_BANDS_SQL,
+    I.SPLIT_SQL,
+    I.noisy_sql((0.5,), "q, p, c"),
+    I.SCALED_SQL,
+    I.near_sql(),
+    I.LONG_SQL,
+    I.SUSPECTS_SQL,
+    """tr AS (SELECT r.run, n.id, n.label, n.q, n.p, n.c FROM noisy n JOIN split s ON n.id = s.id AND NOT s.is_test
+         JOIN suspects u ON u.id = n.id JOIN (SELECT unnest(['all', 'kept']) AS run) r ON r.run = 'all' OR NOT u.suspicious)""",
+    """te AS (SELECT r.run, s.id, s.label, s.q, s.p, s.c FROM split s, (SELECT unnest(['all', 'kept']) AS run) r WHERE s.is_test)""",
+    I.centroid_sql(),
+    I.AVERAGES_SQL,
+)
+
+
+@query(
+    "quarantine_retrain",
+    I.with_sql(*RETRAIN_SQL, "SELECT run AS training, metric, round(value, 6) AS value FROM metrics"),
+)
+def quarantine_retrain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What setting suspects aside before training is worth."""
+    split = store(train_test_split(I.part_bands(spark, sf_dir), I.BANDS), "split")
+    noisy = store(fit_label_noise(split, I.BANDS, (0.5,)).flip(split, 0.5), "noisy")
+    flags = neighbour_suspects(nearest_neighbours(feature_vectors(noisy, I.BANDS)))
+    train = noisy.where("not is_test")
+    stacked = stack_datasets({"all": train, "kept": quarantine(train, flags, "id")})
+    model = fit_centroids(stacked, I.BANDS, by="dataset")
+    test = split.where("is_test")
+    scored = model.score(stack_datasets({"all": test, "kept": test}))
+    metrics = classification_metrics(scored, ("dataset",))
+    return I.rounded(metrics.withColumnRenamed("dataset", "training"), "value")
+
+
 # Two classifiers on one split: class means and neighbours' votes.
 MODELS_SQL = (
     I.PART_BANDS_SQL,
