@@ -18,6 +18,7 @@ emits more than k rows per query.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,7 +40,10 @@ from labelwright.spec import LabelledSpec, Params
 
 NEIGHBOURS = "array<struct<d:double,nid:bigint,label:string>>"
 DECIMALS = 9
-WORK_PER_GROUP = 1 << 25
+# Coordinate differences per group: enough groups for all cores, but as few copies
+# of a block's points as the cores allow.
+LEAST_WORK = 1 << 22
+MOST_WORK = 1 << 32
 FEWEST_QUERIES = 128
 MOST_QUERIES = 4096
 PER_CELL = 512
@@ -144,7 +148,7 @@ def build_index(vectors: DataFrame, k: int = Params.k) -> NeighbourIndex:
     if cells is None:
         sizes = np.array([total])
     else:
-        sizes = _count_by(_placed(points, cells, None), "cell", cells.count)
+        sizes = _count_by(points.select("x"), _cells_of(points, cells), cells.count)
     parts = np.maximum(1, np.ceil(sizes / (4 * per_cell))).astype(np.int64)
     distinct = held["heads"] == rows
     return NeighbourIndex(points, tuple(labels), k, rows, dims, cells, sizes, parts, distinct)
@@ -242,14 +246,16 @@ def _search(
 
     ``expected`` bounds the heads per block where that is known.
     """
-    home = _at_home(heads.select("qid", "x", F.lit(float("inf")).alias("reach")), index)
-    first = _visit(home, index, k, expected)
+    unbounded = heads.select("qid", "x", F.lit(float("inf")).alias("reach"))
+    first = _visit(unbounded, _home(index), index, k, expected)
     listed = F.explode(F.arrays_zip("d", "nid", "li")).alias("v")
     if int(index.parts.sum()) == 1:
         return first.select("qid", "x", listed).select("qid", "x", "v.*")
     first = store(first, "first")
-    bounded = first.select("qid", "x", F.element_at("d", -1).alias("reach"), "block")
-    second = _visit(_abroad(bounded, index), index, k, None)
+    # A block may hold fewer than k points; then it bounds nothing.
+    reach = F.when(F.size("d") >= k, F.element_at("d", -1)).otherwise(F.lit(float("inf")))
+    bounded = first.select("qid", "x", reach.alias("reach"), "block")
+    second = _visit(bounded, _abroad(index), index, k, None)
     flat = first.unionByName(second).select("qid", "x", listed).select("qid", "x", "v.*")
     best = Window.partitionBy("qid").orderBy("d", "nid")
     return flat.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k).drop("_n")
@@ -291,51 +297,42 @@ def _starts(parts: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.cumsum(parts)])
 
 
-def _placed(points: DataFrame, cells, parts) -> DataFrame:
-    """Points with their cell, and with their block once the parts are known."""
-    spark = points.sparkSession
-    shared = spark.sparkContext.broadcast((cells, parts))
+Batches = Iterator[pa.RecordBatch]
+Step = Callable[[Batches], Batches]
 
-    def place(batches):
-        cells, parts = shared.value
+
+def _cells_of(points: DataFrame, cells: Cells) -> Step:
+    shared = points.sparkSession.sparkContext.broadcast(cells)
+
+    def step(batches: Batches) -> Batches:
         for batch in batches:
-            x = _matrix(batch.column("x"))
-            cell = _cell_of(x, cells)
-            if parts is None:
-                yield pa.RecordBatch.from_arrays([pa.array(cell)], ["cell"])
-            else:
-                ids = batch.column("id").to_numpy()
-                block = _starts(parts)[cell] + _part_of(ids, cell, parts)
-                yield batch.append_column("block", pa.array(block))
-
-    if parts is None:
-        return points.select("x").mapInArrow(place, "cell bigint")
-    return points.select("id", "x", "li").mapInArrow(
-        place, "id bigint, x array<double>, li int, block bigint"
-    )
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(_cell_of(_matrix(batch.column("x")), shared.value))], ["block"]
+            )
 
+    return step
 
-def _at_home(heads: DataFrame, index: NeighbourIndex) -> DataFrame:
-    """Each query with the block it lies in."""
-    shared = heads.sparkSession.sparkContext.broadcast((index.cells, index.parts))
 
-    def place(batches):
+def _home(index: NeighbourIndex, id_col: str = "qid") -> Step:
+    """Adds the block that a row lies in."""
+    shared = index.points.sparkSession.sparkContext.broadcast((index.cells, index.parts))
+
+    def step(batches: Batches) -> Batches:
         cells, parts = shared.value
         for batch in batches:
             cell = _cell_of(_matrix(batch.column("x")), cells)
-            ids = batch.column("qid").to_numpy()
-            block = _starts(parts)[cell] + _part_of(ids, cell, parts)
+            block = _starts(parts)[cell] + _part_of(batch.column(id_col).to_numpy(), cell, parts)
             yield batch.append_column("block", pa.array(block))
 
-    return heads.mapInArrow(place, "qid bigint, x array<double>, reach double, block bigint")
+    return step
 
 
-def _abroad(bounded: DataFrame, index: NeighbourIndex) -> DataFrame:
+def _abroad(index: NeighbourIndex) -> Step:
     """Each query with every other block that may hold a closer point."""
-    shared = bounded.sparkSession.sparkContext.broadcast((index.cells, index.parts))
+    shared = index.points.sparkSession.sparkContext.broadcast((index.cells, index.parts))
     slack = 2.0 * 10.0**-DECIMALS
 
-    def visit(batches):
+    def step(batches: Batches) -> Batches:
         cells, parts = shared.value
         starts = _starts(parts)
         for batch in batches:
@@ -349,56 +346,78 @@ def _abroad(bounded: DataFrame, index: NeighbourIndex) -> DataFrame:
                 else:
                     who, cell = cells.within(x, reach + slack)
                 times = parts[cell]
+                turn = _counting_up(times)
                 who, cell = np.repeat(who, times), np.repeat(cell, times)
-                turn = np.arange(len(who)) - np.repeat(np.cumsum(times) - times, times)
                 block = starts[cell] + turn
                 away = block != home[who]
                 taken = piece.select(["qid", "x", "reach"]).take(pa.array(who[away]))
                 yield taken.append_column("block", pa.array(block[away]))
 
-    return bounded.mapInArrow(visit, "qid bigint, x array<double>, reach double, block bigint")
+    return step
+
+
+def _counting_up(times: np.ndarray) -> np.ndarray:
+    """0, 1, … for each entry as often as it is repeated."""
+    return np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+
 
+def _count_by(source: DataFrame, step: Step, size: int) -> np.ndarray:
+    """Rows per block after the step, added up per batch before the shuffle.
 
-def _count_by(df: DataFrame, column: str, size: int) -> np.ndarray:
-    """Rows per cell or block; the number of cells is bounded by the sample."""
-    counted = df.groupBy(column).count().toArrow()
+    The number of blocks is bounded by the sample.
+    """
+
+    def count(batches: Batches) -> Batches:
+        for batch in step(batches):
+            block, n = np.unique(batch.column("block").to_numpy(), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(n)], ["block", "n"])
+
+    counted = (
+        source.mapInArrow(count, "block bigint, n bigint")
+        .groupBy("block")
+        .agg(F.sum("n").alias("n"))
+        .toArrow()
+    )
     out = np.zeros(size, dtype=np.int64)
-    out[counted.column(column).to_numpy()] = counted.column("count").to_numpy()
+    out[counted.column("block").to_numpy()] = counted.column("n").to_numpy()
     return out
 
 
 def _visit(
-    visits: DataFrame, index: NeighbourIndex, k: int, expected: np.ndarray | None
+    source: DataFrame, step: Step, index: NeighbourIndex, k: int, expected: np.ndarray | None
 ) -> DataFrame:
-    """Search each visited block; one row per query and block with the k best points.
+    """Search the blocks that the step assigns to each query (qid, x, reach).
 
-    Queries of one block are dealt over as many groups as keep a group small, and
-    the block's points are copied to each of them.
+    Gives one row per query and block with the k best points. Queries of one block
+    are dealt over as many groups as keep a group small, and the block's points are
+    copied to each of them.
     """
     per_block = index.per_block()
     if expected is None:
-        expected = _count_by(visits, "block", len(per_block))
+        expected = _count_by(source, step, len(per_block))
+    context = source.sparkSession.sparkContext
     work = np.maximum(1, per_block) * index.dims
-    at_once = np.clip(WORK_PER_GROUP // work, FEWEST_QUERIES, MOST_QUERIES)
+    goal = (expected * work).sum() // (4 * context.defaultParallelism)
+    goal = np.clip(goal, LEAST_WORK, MOST_WORK)
+    at_once = np.clip(goal // work, FEWEST_QUERIES, MOST_QUERIES)
     groups = np.ceil(expected / at_once).astype(np.int64)
-    shared = visits.sparkSession.sparkContext.broadcast(groups)
+    shared = context.broadcast(groups)
     scale = 10.0**DECIMALS
+    place = _home(index, "id")
 
-    def deal(batches):
-        for batch in batches:
+    def deal(batches: Batches) -> Batches:
+        for batch in step(batches):
             block = batch.column("block").to_numpy()
-            ids = batch.column("qid").to_numpy()
-            turn = _part_of(ids, block, np.maximum(shared.value, 1))
+            turn = _part_of(batch.column("qid").to_numpy(), block, np.maximum(shared.value, 1))
             yield batch.append_column("turn", pa.array(turn))
 
-    def copy(batches):
-        for batch in batches:
+    def copy(batches: Batches) -> Batches:
+        for batch in place(batches):
             times = shared.value[batch.column("block").to_numpy()]
             who = np.repeat(np.arange(batch.num_rows), times)
-            turn = np.arange(len(who)) - np.repeat(np.cumsum(times) - times, times)
-            yield batch.take(pa.array(who)).append_column("turn", pa.array(turn))
+            yield batch.take(pa.array(who)).append_column("turn", pa.array(_counting_up(times)))
 
-    def search(key, asked, held):
+    def search(key, asked: pa.Table, held: pa.Table) -> pa.Table:
         if asked.num_rows == 0 or held.num_rows == 0:
             return _RESULT.empty_table()
         held = held.sort_by("id")
@@ -418,20 +437,13 @@ def _visit(
             pa.ListArray.from_arrays(ends, pa.array(v))
             for v in (dist, ids[col], held.column("li").to_numpy()[col])
         ]
-        return pa.Table.from_arrays(
-            [
-                taken.column("qid").combine_chunks(),
-                taken.column("x").combine_chunks(),
-                taken.column("block").combine_chunks(),
-                *lists,
-            ],
-            schema=_RESULT,
-        )
+        known = [taken.column(c).combine_chunks() for c in ("qid", "x", "block")]
+        return pa.Table.from_arrays([*known, *lists], schema=_RESULT)
 
-    dealt = visits.mapInArrow(
+    dealt = source.mapInArrow(
         deal, "qid bigint, x array<double>, reach double, block bigint, turn bigint"
     )
-    copied = _placed(index.points, index.cells, index.parts).mapInArrow(
+    copied = index.points.select("id", "x", "li").mapInArrow(
         copy, "id bigint, x array<double>, li int, block bigint, turn bigint"
     )
     return (

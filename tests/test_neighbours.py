@@ -81,6 +81,15 @@ def test_crowded_cells_are_cut_by_hash(spark, monkeypatch):
     assert result(N.nearest_neighbours(frame(spark, ids, x), 3)) == brute(ids, x, 3)
 
 
+def test_blocks_with_fewer_points_than_neighbours(spark, monkeypatch):
+    monkeypatch.setattr(N, "PER_CELL", 3)
+    monkeypatch.setattr(N, "SAMPLE_BYTES", 8)
+    rng = np.random.default_rng(15)
+    ids, x = np.arange(60), rng.normal(size=(60, 2))
+    assert N.build_index(frame(spark, ids, x), 25).parts[0] > 2
+    assert result(N.nearest_neighbours(frame(spark, ids, x), 25)) == brute(ids, x, 25)
+
+
 def test_many_queries_of_one_block_are_dealt_out(spark, tiny_cells, monkeypatch):
     monkeypatch.setattr(N, "MOST_QUERIES", 10)
     monkeypatch.setattr(N, "FEWEST_QUERIES", 10)
