@@ -7,6 +7,7 @@ row for row, which tree ensembles do not.
 
 from __future__ import annotations
 
+import json
 import math
 from dataclasses import dataclass
 
@@ -22,7 +23,7 @@ MAX_MOMENTS = 100_000
 
 @dataclass(frozen=True)
 class Centroids:
-    """Per run (a value of the ``by`` column): means, deviations, and one centre per class."""
+    """Per run (a value of the ``by`` column): means, deviations, and one class mean each."""
 
     spec: LabelledSpec
     by: str | None
@@ -31,38 +32,44 @@ class Centroids:
 
     def score(self, df: DataFrame) -> DataFrame:
         """Add ``probs`` (share of exp(-distance)) and ``prediction``."""
-        key = F.lit("") if self.by is None else F.col(self.by).cast("string")
-        table = local_table(
-            df.sparkSession,
-            [(str(run), m, s, c) for run, (m, s, c) in self.runs.items()],
-            "_run string, _m array<double>, _s array<double>, _c array<array<double>>",
-        )
+        rows = [(str(run), stds, centres) for run, (_, stds, centres) in self.runs.items()]
+        if self.by is None:
+            placed = df.withColumns(
+                {
+                    "_s": F.from_json(F.lit(json.dumps(rows[0][1])), "array<double>"),
+                    "_c": F.from_json(F.lit(json.dumps(rows[0][2])), "array<array<double>>"),
+                }
+            )
+        else:
+            schema = "_run string, _s array<double>, _c array<array<double>>"
+            table = local_table(df.sparkSession, rows, schema)
+            placed = df.join(F.broadcast(table), F.col(self.by).cast("string") == F.col("_run"))
         x = F.array(*[F.col(c).cast("double") for c in self.spec.feature_cols])
-        z = F.zip_with(
-            F.zip_with(x, F.col("_m"), lambda a, m: a - m), F.col("_s"), lambda a, s: a / s
-        )
-        weight = lambda c: F.when(c.isNull(), F.lit(0.0)).otherwise(
-            F.exp(-_distance(F.col("_z"), c))
-        )
-        weights = F.transform("_c", weight)
+
+        def weight(centre: Column) -> Column:
+            gaps = F.zip_with(
+                F.zip_with(x, centre, lambda a, b: a - b), F.col("_s"), lambda g, sd: g / sd
+            )
+            square = F.aggregate(gaps, F.lit(0.0), lambda total, g: total + g * g)
+            return F.when(centre.isNull(), F.lit(0.0)).otherwise(
+                F.exp(-F.round(F.sqrt(square), 9))
+            )
+
         total = F.aggregate("_w", F.lit(0.0), lambda a, w: a + w)
+        # The total is repeated beside the weights, so that it is summed once per row.
+        totals = F.array_repeat(total, len(self.labels))
         return (
-            df.withColumn("_key", key)
-            .join(F.broadcast(table), F.col("_key") == F.col("_run"))
-            .withColumn("_z", z)
-            .withColumn("_w", weights)
-            .withColumn("_t", total)
-            .withColumn("probs", F.transform("_w", lambda w: w / F.col("_t")))
-            .withColumn("prediction", predicted(F.col("_w"), list(self.labels)))
-            .drop("_key", "_run", "_m", "_s", "_c", "_z", "_w", "_t")
+            placed.withColumn("_w", F.transform("_c", weight))
+            .withColumns(
+                {
+                    "probs": F.zip_with("_w", totals, lambda w, t: w / t),
+                    "prediction": predicted(F.col("_w"), list(self.labels)),
+                }
+            )
+            .drop("_run", "_s", "_c", "_w")
         )
 
 
-def _distance(a: Column, b: Column) -> Column:
-    gaps = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
-    return F.round(F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda s, v: s + v)), 9)
-
-
 def fit_centroids(
     df: DataFrame, spec: LabelledSpec, by: str | None = None, held_out: bool = False
 ) -> Centroids:
@@ -101,10 +108,7 @@ def fit_centroids(
             centres.append(merged)
         whole = _merge([c for c in centres if c], d)
         stds = [math.sqrt(q / whole[0]) or 1.0 for q in whole[2]]
-        scaled = [
-            [(m - a) / s for m, a, s in zip(c[1], whole[1], stds)] if c else None for c in centres
-        ]
-        runs[name] = (whole[1], stds, scaled)
+        runs[name] = (whole[1], stds, [c[1] if c else None for c in centres])
     return Centroids(spec, by, labels, runs)
 
 
