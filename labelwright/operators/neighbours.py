@@ -84,6 +84,12 @@ def _plain(x: Column) -> Column:
     return F.transform(x, lambda v: v + F.lit(0.0))
 
 
+def _unusable() -> Column:
+    return F.exists(
+        "x", lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == F.lit(float("inf")))
+    )
+
+
 def _whole_number_id(df: DataFrame, id_col: str) -> None:
     if not isinstance(df.schema[id_col].dataType, T.IntegralType):
         raise ValueError(f"the neighbour search needs a whole-number id, not {id_col!r}")
@@ -118,7 +124,7 @@ def build_index(vectors: DataFrame, k: int = Params.k) -> NeighbourIndex:
             F.count("*").alias("n"),
             F.min(F.size("x")).alias("dims"),
             F.max(F.size("x")).alias("widest"),
-            F.count_if(F.exists("x", lambda v: v.isNull() | F.isnan(v))).alias("nulls"),
+            F.count_if(_unusable()).alias("nulls"),
         )
         .limit(Params.max_classes + 1)
         .collect()
@@ -130,7 +136,7 @@ def build_index(vectors: DataFrame, k: int = Params.k) -> NeighbourIndex:
         raise ValueError(f"{k} neighbours need at least {k} rows, found {rows}")
     dims = shapes[0]["dims"]
     if any(r["dims"] != dims or r["widest"] != dims or r["nulls"] for r in shapes):
-        raise ValueError("all feature vectors must have the same length and no null")
+        raise ValueError("all feature vectors must have the same length and finite values")
     labels = sorted(r["label"] for r in shapes)
     # The hash leads the sort key, because numbers sort faster than arrays.
     by_point = Window.partitionBy(F.xxhash64("x"), "x").orderBy("id")
@@ -179,9 +185,13 @@ def search_index(
 
     ``skip_same_id`` is for rows that may be in the index themselves.
     """
+    other = (F.size("x") != index.dims) | _unusable()
+    asked = queries.agg(F.count("*").alias("n"), F.count_if(other).alias("other")).collect()[0]
+    if asked["other"]:
+        raise ValueError(f"queries need {index.dims} finite values each")
     heads = queries.groupBy("x").agg(F.min("id").alias("qid")).select("qid", "x")
     found = _search(index, heads, index.k + 1 if skip_same_id else index.k, None)
-    return _lists_per_row(index, queries, found, queries.count(), skip_same_id, False)
+    return _lists_per_row(index, queries, found, asked["n"], skip_same_id, False)
 
 
 def _lists_per_row(
@@ -232,6 +242,7 @@ def _join_on_point(rows: DataFrame, lists: DataFrame, n: int) -> DataFrame:
     lists = lists.withColumn("_h", F.xxhash64("x"))
     if not hot:
         return rows.join(lists, ["_h", "x"])
+    lists = store(lists, "lists")
     keys = local_table(rows.sparkSession, [(r["x"],) for r in hot], "x array<double>")
     few = F.broadcast(keys)
     usual = rows.join(few, "x", "left_anti").join(lists, ["_h", "x"])

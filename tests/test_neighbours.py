@@ -130,8 +130,20 @@ def test_too_few_rows_and_bad_vectors(spark):
     ragged = spark.createDataFrame(
         [(1, [1.0], "a"), (2, [1.0, 2.0], "a"), (3, [0.0], "b")], "id bigint, x array<double>, label string"
     )
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="finite"):
         N.nearest_neighbours(ragged, 1)
+    endless = frame(spark, range(3), [[0.0], [1.0], [float("inf")]])
+    with pytest.raises(ValueError, match="finite"):
+        N.nearest_neighbours(endless, 1)
+    index = N.build_index(frame(spark, range(9), np.arange(9.0).reshape(9, 1)), 2)
+    with pytest.raises(ValueError, match="finite"):
+        N.search_index(index, ragged)
+
+
+def test_no_queries_give_no_rows(spark, tiny_cells):
+    rng = np.random.default_rng(3)
+    df = frame(spark, range(200), rng.normal(size=(200, 2)))
+    assert N.search_index(N.build_index(df, 3), df.where("id < 0")).isEmpty()
 
 
 def test_null_feature_is_an_error_and_null_label_is_left_out(spark, clean):
