@@ -24,3 +24,12 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelwright.llm import decontaminate
 
     return decontaminate.hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from labelwright.llm import pieces
+
+    return pieces.token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
