@@ -33,3 +33,17 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelwright.llm import pieces
 
     return pieces.token_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelwright.llm import line_quality
+
+    return line_quality.line_quality(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelwright.llm import language_id
+
+    return language_id.identify(_table(spark, sf_dir, "documents"))
