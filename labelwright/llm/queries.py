@@ -47,3 +47,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelwright.llm import language_id
 
     return language_id.identify(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_site_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelwright.llm import site_template
+
+    return site_template.main_text(_table(spark, sf_dir, "pages"))
