@@ -54,3 +54,10 @@ def op4_site_template(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelwright.llm import site_template
 
     return site_template.main_text(_table(spark, sf_dir, "pages"))
+
+
+@query
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelwright.llm import randomness
+
+    return randomness.secrets(_table(spark, sf_dir, "documents"))
