@@ -8,6 +8,7 @@ none is tried twice. Compatibility is checked by merging the two tokens' charact
 
 No token of the vocabulary has a word start inside, nor holds a character that is in no
 longer token, so words are encoded apart and kept in a cache of a bounded size per worker.
+What a word's ids decode to is checked when it enters the cache.
 Unknown characters fall back to byte tokens. Defined results: null is the empty text, which
 has no tokens; every row is handled on its own.
 """
@@ -26,7 +27,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
 SPACE = "▁"
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
 CACHE_PAIRS = 1_000_000
 LONG_WORD = 256
 
@@ -50,16 +51,20 @@ class Pieces:
             raise ValueError("the model must fall back to bytes")
         if any(SPACE in p[1:] and set(p) != {SPACE} for p in self.rank):
             raise ValueError("the model has tokens that span words")
+        self.raw = [bytes([self.bytes[i]]) if i in self.bytes else self.text.get(i, "").replace(SPACE, " ").encode() for i in range(self.size)]
+        self.chars = {p for p in self.rank if len(p) == 1}
         self.found = ahocorasick.Automaton()
         for piece, (_, i) in self.rank.items():
-            self.found.add_word(piece, (len(piece), i))
+            # A token that merging its own characters does not make is never made.
+            if len(piece) < 3 or self.merged(piece) == [piece]:
+                self.found.add_word(piece, (len(piece), i))
         self.found.make_automaton()
         joined = {c for p in self.rank if len(p) > 1 for c in p}
         # A character in no longer token never merges, so words may also be cut around it.
         alone = "".join(c for c in "\n\t\r" if c not in joined)
         self.words = re.compile(f"[{re.escape(alone)}]|{SPACE}*[^{SPACE}{re.escape(alone)}]+|{SPACE}+") if alone else re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         self.fits: dict[int, bool] = {}
-        self.cache: dict[str, tuple[str, int, bytes]] = {}
+        self.cache: dict[str, str] = {}
 
     def merged(self, text: str) -> list[str]:
         """Merge the best-ranked adjacent parts, leftmost first, until none can be."""
@@ -85,55 +90,45 @@ class Pieces:
             fits = self.fits[key] = self.merged(a + b) == [a, b]
         return fits
 
-    def reachable(self, token: int) -> bool:
-        """A token that merging its own characters makes."""
-        key = -1 - token
-        fits = self.fits.get(key)
-        if fits is None:
-            fits = self.fits[key] = self.merged(self.text[token]) == [self.text[token]]
-        return fits
-
     def backtrack(self, word: str) -> list[int]:
         """Tokens of a word whose characters are all in the vocabulary."""
         n = len(word)
+        # Tokens that start at each place, longest last. A prefix has one encoding at most,
+        # so a place is reached with one last token and its options are used up once.
         at: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, (length, token) in self.found.iter(word):
-            at[end - length + 1].append((length, token))
-        failed = bytearray(n // 8 + 1)
+        for end, found in self.found.iter(word):
+            at[end - found[0] + 1].append(found)
+        failed = bytearray((n >> 3) + 1)
         out: list[int] = []
-        # Options still open at each place on the path, longest last.
-        open_at = [sorted(at[0])]
-        place = 0
+        steps: list[int] = []
+        place, base, fits, compatible = 0, -1, self.fits, self.compatible
         while place < n:
-            options, step = open_at[-1], None
+            options = at[place]
             while options:
                 length, token = options.pop()
                 to = place + length
-                if failed[to >> 3] >> (to & 7) & 1 or not self.reachable(token):
-                    continue
-                if out and not self.compatible(out[-1], token):
+                if failed[to >> 3] >> (to & 7) & 1:
                     continue
-                step = length, token
-                break
-            if step:
-                place += step[0]
-                out.append(step[1])
-                open_at.append(sorted(at[place]) if place < n else [])
+                if base < 0 or fits.get(base + token) or base + token not in fits and compatible(out[-1], token):
+                    out.append(token)
+                    steps.append(length)
+                    place, base = to, token * self.size
+                    break
             else:
                 if not out:
                     raise ValueError(f"no encoding of {word!r}")
                 failed[place >> 3] |= 1 << (place & 7)
-                open_at.pop()
-                place -= len(self.text[out.pop()])
+                out.pop()
+                place -= steps.pop()
+                base = out[-1] * self.size if out else -1
         return out
 
     def _known(self, word: str) -> list[int]:
-        rank = self.rank
-        if all(c in rank for c in word):
+        if self.chars.issuperset(word):
             return self.backtrack(word)
         out, run = [], []
         for c in word:
-            if c in rank:
+            if c in self.chars:
                 run.append(c)
                 continue
             if run:
@@ -142,11 +137,14 @@ class Pieces:
             out += [self.byte_id[b] for b in c.encode()]
         return out + self.backtrack("".join(run)) if run else out
 
-    def _word(self, word: str) -> tuple[str, int, bytes]:
+    def _word(self, word: str) -> str:
+        """Ids of a word, written; they decode to the word with spaces for its marks."""
         got = self.cache.get(word)
         if got is None:
             ids = self._known(word)
-            got = ",".join(map(str, ids)), len(ids), self.spelt(ids)
+            if self.spelt(ids) != word.replace(SPACE, " ").encode():
+                raise ValueError(f"{word!r} does not decode to itself")
+            got = ",".join(map(str, ids))
             if len(word) <= LONG_WORD:
                 if len(self.cache) >= CACHE_WORDS:
                     self.cache.clear()
@@ -157,17 +155,16 @@ class Pieces:
         return self.words.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for w in self._marked(text) for i in self._word(w)[0].split(",")]
+        return [int(i) for w in self._marked(text) for i in self._word(w).split(",")]
 
     def spelt(self, ids: list[int]) -> bytes:
         """Bytes of the tokens, word starts as spaces."""
-        parts = [bytes([self.bytes[i]]) if i in self.bytes else self.text[i].replace(SPACE, " ").encode() for i in ids if i in self.bytes or i in self.text]
-        return b"".join(parts)
+        return b"".join([self.raw[i] for i in ids])
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids: the space put before the text goes, bad bytes become U+FFFD."""
         out = self.spelt(ids)
-        first = next((i for i in ids if i in self.bytes or i in self.text), None)
+        first = next((i for i in ids if self.raw[i]), None)
         if first in self.text and out[:1] == b" ":
             out = out[1:]
         return out.decode("utf-8", "replace")
@@ -179,10 +176,10 @@ class Pieces:
             empty = hashlib.sha256(b"").hexdigest()
             return 0, empty, empty
         cache, miss = self.cache.get, self._word
-        done = [cache(w) or miss(w) for w in words]
-        ids = hashlib.sha256(",".join([d[0] for d in done]).encode()).hexdigest()
-        spelt = b"".join([d[2] for d in done])[1:]
-        return sum([d[1] for d in done]), ids, hashlib.sha256(spelt).hexdigest()
+        ids = ",".join([cache(w) or miss(w) for w in words])
+        # Each word's ids have been decoded to it, so their texts are the words'.
+        spelt = "".join(words)[1:].replace(SPACE, " ")
+        return ids.count(",") + 1, hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(spelt.encode()).hexdigest()
 
 
 @lru_cache(maxsize=1)
