@@ -61,3 +61,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelwright.llm import randomness
 
     return randomness.secrets(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelwright.llm import suffix_dedup
+
+    return suffix_dedup.without_repeats(_table(spark, sf_dir, "documents")).drop("kept")
