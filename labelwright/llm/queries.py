@@ -68,3 +68,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelwright.llm import suffix_dedup
 
     return suffix_dedup.without_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
+@query
+def op7_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelwright.llm import sanitise
+
+    return sanitise.personal_data(_table(spark, sf_dir, "documents"))
