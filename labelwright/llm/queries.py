@@ -75,3 +75,10 @@ def op7_sanitise(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelwright.llm import sanitise
 
     return sanitise.personal_data(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelwright.llm import order_minhash
+
+    return order_minhash.near_duplicates(_table(spark, sf_dir, "documents"))
