@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from labelwright.llm import arrays
+from labelwright.llm.rows import packed
 from labelwright.sources.scratch import store
 
 WINDOW = 13
@@ -331,5 +332,5 @@ def clean_rows(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW) -> Dat
     keyed = texts.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("doc_id"), "text")
     bad = hits(keyed, benchmark, size).where("contaminated").select("doc_id.*").distinct()
     bad = bad.select(F.col("doc_id").alias("_id"), F.col("h").alias("_h"))
-    match = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_h"))
-    return docs.join(bad, match, "left_anti")
+    match = F.col("_row.doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("_row.text") == F.col("_h"))
+    return packed(docs).join(bad, match, "left_anti").select("_row.*")

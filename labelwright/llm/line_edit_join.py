@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from labelwright.llm.components import components
+from labelwright.llm.rows import packed
 from labelwright.sources.scratch import store
 
 EDITS = 2
@@ -151,14 +152,15 @@ def probe_keys(text: Column, edits: int) -> Column:
 
 
 def _with_keys(docs: DataFrame) -> DataFrame:
-    text = F.coalesce("text", F.lit(""))
-    return docs.withColumns({"_k1": F.xxhash64("doc_id", text), "_k2": F.xxhash64(text, "doc_id", F.lit(71))})
+    """The rows as _row, and their two keys."""
+    text = F.coalesce("_row.text", F.lit(""))
+    return packed(docs).withColumns({"_k1": F.xxhash64("_row.doc_id", text), "_k2": F.xxhash64(text, "_row.doc_id", F.lit(71))})
 
 
 def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc_id, _k1, _k2, _pos, _line, _h1, _h2) of every line that is long enough."""
     keyed = _with_keys(docs.select("doc_id", "text"))
-    lines = keyed.select("doc_id", "_k1", "_k2", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("_pos", "_raw"))
+    lines = keyed.select("_row.doc_id", "_k1", "_k2", F.posexplode(F.split(F.coalesce("_row.text", F.lit("")), "\n")).alias("_pos", "_raw"))
     line = F.trim("_raw")
     return (
         lines.select("doc_id", "_k1", "_k2", "_pos", line.alias("_line"))
@@ -258,9 +260,9 @@ def _is_long(min_chars: int):
 def near_equal_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, hot: int = HOT) -> DataFrame:
     """One row per document: n_lines, n_links of them to different lines, n_removed, kept_sha256, classes."""
     joined = _joined(docs.select("doc_id", "text"), edits, min_chars, hot)
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
+    lines = F.split(F.coalesce("_row.text", F.lit("")), "\n")
     return joined.select(
-        "doc_id",
+        "_row.doc_id",
         F.size(F.filter(lines, _is_long(min_chars))).cast("long").alias("n_lines"),
         F.coalesce("_n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
@@ -276,14 +278,14 @@ def _joined(docs: DataFrame, edits: int, min_chars: int, hot: int) -> DataFrame:
 
 def _left() -> Column:
     """The text without the places to remove."""
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
+    lines = F.split(F.coalesce("_row.text", F.lit("")), "\n")
     rest = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("_gone", i)), "\n")
-    return F.when(F.size("_gone") > 0, rest).otherwise(F.coalesce("text", F.lit("")))
+    return F.when(F.size("_gone") > 0, rest).otherwise(F.coalesce("_row.text", F.lit("")))
 
 
 def without_near_equal_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, hot: int = HOT) -> DataFrame:
     """The rows of docs with lines removed; a row that loses all its words with them goes too."""
     joined = _joined(docs, edits, min_chars, hot)
-    text = F.when(F.size("_gone") > 0, _left()).otherwise(F.col("text"))
+    text = F.when(F.size("_gone") > 0, _left()).otherwise(F.col("_row.text"))
     left = joined.where(~((F.coalesce(F.size("_gone"), F.lit(0)) > 0) & (F.trim(F.translate(_left(), "\n\t\r", "   ")) == "")))
-    return left.select(*[text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
+    return left.select(*[text.alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns])

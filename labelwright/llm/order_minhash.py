@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from labelwright.llm import arrays
 from labelwright.llm.components import components
+from labelwright.llm.rows import packed
 from labelwright.sources.scratch import store
 
 SHINGLE = 5
@@ -260,12 +261,12 @@ def one_of_each(
     docs: DataFrame, size: int = SHINGLE, wanted: float = SIMILARITY, count: int = SKETCHES, kept: int = KEPT
 ) -> DataFrame:
     """The rows of docs with one row per class, the one that names it; rows without a word all stay."""
-    key = lambda *salt: F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit("").cast("binary")), *salt)
+    key = lambda *salt: F.xxhash64(F.coalesce(F.col("_row.text").cast("binary"), F.lit("").cast("binary")), *salt)
     classes = _classes(_keyed(docs), size, wanted, count, kept)
-    rows = docs.withColumns({"_k1": key(), "_k2": key(F.lit(53))})
+    rows = packed(docs).withColumns({"_k1": key(), "_k2": key(F.lit(53))})
     joined = rows.join(classes, (F.col("_k1") == F.col("_p")) & (F.col("_k2") == F.col("_q")), "left")
-    stands = (F.col("_owner.p") == F.col("_k1")) & (F.col("_owner.q") == F.col("_k2")) & F.col("_owner.id").eqNullSafe(F.col("doc_id"))
+    stands = (F.col("_owner.p") == F.col("_k1")) & (F.col("_owner.q") == F.col("_k2")) & F.col("_owner.id").eqNullSafe(F.col("_row.doc_id"))
     kept_rows = joined.where(F.col("_texts").isNull() | stands)
-    single = kept_rows.where(F.col("_texts").isNull() | (F.col("_copies") == 1)).select(*docs.columns)
-    several = kept_rows.where(F.col("_copies") > 1).dropDuplicates(["_k1", "_k2"]).select(*docs.columns)
+    single = kept_rows.where(F.col("_texts").isNull() | (F.col("_copies") == 1)).select("_row.*")
+    several = kept_rows.where(F.col("_copies") > 1).dropDuplicates(["_k1", "_k2"]).select("_row.*")
     return single.unionByName(several)

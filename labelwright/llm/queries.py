@@ -89,3 +89,10 @@ def op8_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelwright.llm import line_edit_join
 
     return line_edit_join.near_equal_lines(_table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
