@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F, types as T
 
 from labelwright.functions.local import local_table
-from labelwright.spec import LabelledSpec, Params
+from labelwright.functions.scaling import missing
+from labelwright.spec import LabelledSpec
 
 
 def _all() -> WindowSpec:
@@ -31,8 +36,9 @@ def _entries(row: DataFrame, entries: list[Column]) -> DataFrame:
 
 
 def check_nulls(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Missing values per column: nulls, and not-a-number in floating columns."""
     columns = columns or df.columns
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(columns)])
+    counts = df.agg(*[F.count_if(missing(df, c)).alias(f"n{i}") for i, c in enumerate(columns)])
     return _entries(
         counts,
         [_entry("no_nulls", c, F.col(f"n{i}") == 0, F.col(f"n{i}"), 0) for i, c in enumerate(columns)],
@@ -160,82 +166,68 @@ def check_metric_bounds(
     return _entries(both, entries)
 
 
-MAX_CLASSES = Params.max_classes
-
-
 def class_histogram(df: DataFrame, feature: str, label_col: str, bins: int = 20) -> DataFrame:
-    """Equal-width bins between each class's own minimum and maximum; the last bin is closed."""
-    x = F.col(feature).cast("double")
-    rows = df.select(F.col(label_col).cast("string").alias("label"), x.alias("x")).where(
-        "x is not null"
-    )
-    found = (
-        rows.groupBy("label")
-        .agg(F.min("x").alias("low"), F.max("x").alias("high"))
-        .limit(MAX_CLASSES + 1)
-        .collect()
-    )
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"{label_col} has more than {MAX_CLASSES} classes")
-    ends = local_table(
-        df.sparkSession, [tuple(r) for r in found], "label string, low double, high double"
-    )
-    place = F.when(F.col("high") > F.col("low"), F.least(
-        F.floor((F.col("x") - F.col("low")) / (F.col("high") - F.col("low")) * bins), F.lit(bins - 1)
-    )).otherwise(F.lit(bins // 2))
+    """Equal-width bins between each class's own minimum and maximum; the last bin is closed.
+
+    Missing values are in no bin; a class that has some gets a row for them with a null bin.
+    """
+    x = F.when(~missing(df, feature), F.col(feature).cast("double"))
+    rows = df.select(F.col(label_col).cast("string").alias("label"), x.alias("x"))
+    ends = rows.groupBy("label").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    width = F.col("high") - F.col("low")
+    place = F.when(F.col("x").isNull(), F.lit(None)).when(
+        width > 0, F.least(F.floor((F.col("x") - F.col("low")) / width * bins), F.lit(bins - 1))
+    ).otherwise(F.lit(bins // 2))
     return (
-        rows.join(F.broadcast(ends), "label")
+        rows.join(ends, "label")
         .groupBy("label", place.cast("int").alias("bin"))
         .agg(F.count("*").alias("n"), F.first("low").alias("low"), F.first("high").alias("high"))
     )
 
 
-WIDE_TABLE = 20
+PARTS = ("n", "a", "b", "aa", "bb", "ab")
 
 
 def correlation_matrix(df: DataFrame, features: tuple[str, ...]) -> DataFrame:
-    """(feature_a, feature_b, corr, well_formed) for all ordered pairs."""
-    if len(features) > WIDE_TABLE:
-        return _wide_correlation(df, features)
-    x = [F.col(c).cast("double") for c in features]
-    d = len(features)
-    row = df.agg(
-        *[F.corr(x[i], x[j]).alias(f"c{i}_{j}") for i in range(d) for j in range(i + 1, d)],
-        *[F.var_samp(x[i]).alias(f"v{i}") for i in range(d)],
-    )
-    entries = []
-    for i in range(d):
-        for j in range(d):
-            a, b = min(i, j), max(i, j)
-            value = (
-                F.when(F.col(f"v{i}") > 0, F.lit(1.0)) if i == j else F.col(f"c{a}_{b}")
-            )
-            entries.append(
-                F.struct(
-                    F.lit(features[i]).alias("feature_a"),
-                    F.lit(features[j]).alias("feature_b"),
-                    value.alias("corr"),
-                )
-            )
-    return _entries(row, entries).withColumn(
-        "well_formed", F.col("corr").isNotNull() & ~F.isnan("corr") & F.col("corr").between(-1.000001, 1.000001)
-    )
-
-
-def _wide_correlation(df: DataFrame, features: tuple[str, ...]) -> DataFrame:
-    """Many features: the library's distributed correlation, d x d numbers on the driver."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+    """(feature_a, feature_b, corr, well_formed) for all ordered pairs, whatever their number.
 
-    vectors = VectorAssembler(inputCols=list(features), outputCol="x").transform(df).select("x")
-    values = Correlation.corr(vectors, "x").first()[0].toArray()
-    rows = [
-        (a, b, float(values[i, j]), bool(abs(values[i, j]) <= 1.000001))
-        for i, a in enumerate(features)
-        for j, b in enumerate(features)
-    ]
-    return local_table(
-        df.sparkSession, rows, "feature_a string, feature_b string, corr double, well_formed boolean"
+    A pair is judged on the rows that have both values; a pair without variation there has
+    no correlation and is not well formed. Two passes: the means, then products of centred
+    values, summed as matrices per batch and dealt out as one row per pair and task.
+    """
+    d = len(features)
+    x = [F.when(~missing(df, c), F.col(c).cast("double")) for c in features]
+    centre = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(x)]).first()
+    centred = df.select(F.array(*[c - F.lit(m) if m is not None else F.lit(None).cast("double") for c, m in zip(x, centre)]).alias("x"))
+    left, right = np.triu_indices(d)
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(PARTS), d, d))
+        for batch in batches:
+            column = batch.column(0)
+            values = column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), d)
+            there = ~np.isnan(values)
+            v, w = np.where(there, values, 0.0), there.astype(float)
+            total += np.stack([w.T @ w, v.T @ w, w.T @ v, (v * v).T @ w, w.T @ (v * v), v.T @ v])
+        columns = [pa.array(left), pa.array(right), *[pa.array(t[left, right]) for t in total]]
+        yield pa.RecordBatch.from_arrays(columns, ["i", "j", *PARTS])
+
+    schema = "i bigint, j bigint, " + ", ".join(f"{p} double" for p in PARTS)
+    sums = centred.mapInArrow(summed, schema).groupBy("i", "j").agg(*[F.sum(p).alias(p) for p in PARTS])
+    n = F.col("n")
+    spread = lambda square, one: F.col(square) - F.try_divide(F.col(one) * F.col(one), n)
+    both = F.col("ab") - F.try_divide(F.col("a") * F.col("b"), n)
+    # What rounding leaves of a constant column is no variation.
+    varies = lambda square, one: spread(square, one) > 1e-12 * F.greatest(F.col(square), F.lit(1e-300))
+    corr = F.when(varies("aa", "a") & varies("bb", "b"), both / F.sqrt(spread("aa", "a") * spread("bb", "b")))
+    names = F.array(*[F.lit(c) for c in features])
+    half = sums.select("i", "j", F.when(F.col("i") == F.col("j"), F.when(varies("aa", "a"), F.lit(1.0))).otherwise(corr).alias("corr"))
+    whole = half.unionByName(half.where("i != j").select(F.col("j").alias("i"), F.col("i").alias("j"), "corr"))
+    return whole.select(
+        names[F.col("i").cast("int")].alias("feature_a"),
+        names[F.col("j").cast("int")].alias("feature_b"),
+        "corr",
+        F.coalesce(F.col("corr").between(-1.000001, 1.000001), F.lit(False)).alias("well_formed"),
     )
 
 

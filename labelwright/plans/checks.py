@@ -133,17 +133,58 @@ def class_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.class_histogram(I.table(spark, sf_dir, "documents"), "n_chars", "lang")
 
 
+HOLES = "CASE WHEN event_id % 7 = 0 THEN 'NaN'::DOUBLE WHEN event_id % 11 = 0 THEN NULL ELSE value END"
+
+
+def _with_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with some values made missing, half of them as not-a-number."""
+    id_ = F.col("event_id")
+    value = F.when(id_ % 7 == 0, F.lit(float("nan"))).when(id_ % 11 == 0, F.lit(None)).otherwise(F.col("value"))
+    return I.events(spark, sf_dir).withColumn("value", value.cast("double"))
+
+
+@query(
+    "check_nulls_nan",
+    f"""SELECT 'no_nulls' AS "check", 'value' AS "column", count(*) = 0 AS passed, count(*)::DOUBLE AS observed, 0::DOUBLE AS "limit"
+        FROM (SELECT {HOLES} AS x FROM events) WHERE x IS NULL OR isnan(x)
+        UNION ALL SELECT 'no_nulls', 'event_type', count(*) = 0, count(*)::DOUBLE, 0::DOUBLE FROM events WHERE event_type IS NULL""",
+)
+def check_nulls_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return K.check_nulls(_with_holes(spark, sf_dir), ["value", "event_type"])
+
+
+@query(
+    "class_histogram_missing",
+    f"""WITH rows AS (SELECT event_type AS label, CASE WHEN NOT isnan({HOLES}) THEN {HOLES} END AS x FROM events),
+          ends AS (SELECT label, min(x) AS low, max(x) AS high FROM rows GROUP BY label)
+        SELECT label, CASE WHEN x IS NULL THEN -1 ELSE least(floor((x - low) / (high - low) * 20), 19) END::INT AS bin,
+          count(*) AS n, low, high FROM rows JOIN ends USING (label) GROUP BY ALL""",
+)
+def class_histogram_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bins = K.class_histogram(_with_holes(spark, sf_dir), "value", "event_type")
+    return bins.withColumn("bin", F.coalesce("bin", F.lit(-1)))
+
+
+# A constant column, and one with both kinds of missing values, beside the others.
+ODD = (*LINES.feature_cols, "flat", "holes")
+ODD_SQL = """odd AS (SELECT l_quantity, l_extendedprice, l_discount, l_tax, 3::DOUBLE AS flat,
+  CASE WHEN l_partkey % 5 = 0 OR l_partkey % 7 = 0 THEN NULL ELSE l_extendedprice END AS holes FROM lineitem)"""
+
+
 @query(
     "correlation_matrix",
-    " UNION ALL ".join(
-        f"""SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr({a}, {b}), 6) AS corr,
-            true AS well_formed FROM lineitem"""
-        if a != b
-        else f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, 1::DOUBLE AS corr, true AS well_formed"
-        for a in LINES.feature_cols
-        for b in LINES.feature_cols
+    I.with_sql(
+        ODD_SQL,
+        " UNION ALL ".join(
+            f"""SELECT '{a}' AS feature_a, '{b}' AS feature_b, """
+            + ("NULL::DOUBLE AS corr, false AS well_formed" if "flat" in (a, b) else f"round(corr({a}, {b}), 6) AS corr, true AS well_formed FROM odd")
+            for a in ODD
+            for b in ODD
+        ),
     ),
 )
 def correlation_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = I.table(spark, sf_dir, "lineitem")
-    return I.rounded(K.correlation_matrix(df, LINES.feature_cols), "corr")
+    part = F.col("l_partkey")
+    holes = F.when(part % 5 == 0, F.lit(float("nan"))).when(part % 7 == 0, F.lit(None)).otherwise(F.col("l_extendedprice"))
+    return I.rounded(K.correlation_matrix(df.withColumns({"flat": F.lit(3.0), "holes": holes.cast("double")}), ODD), "corr")

@@ -3,6 +3,7 @@
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 from labelwright.plans import ORACLES, QUERIES
@@ -28,7 +29,7 @@ def db(sf_dir):
 
 def normal(frame):
     frame = frame[sorted(frame.columns)]
-    show = lambda v: "null" if v is None or v != v else f"{v:.6f}" if isinstance(v, float) else str(v)
+    show = lambda v: "null" if v is None or v is pd.NA or v != v else f"{v:.6f}" if isinstance(v, float) else str(v)
     return sorted(tuple(show(v) for v in row) for row in frame.itertuples(index=False))
 
 

@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -136,12 +137,32 @@ def test_checks(spark, clean):
     assert passed(K.check_nulls(holes))["feature1"] is False
 
 
-def test_wide_correlation_equals_the_narrow_one(spark, monkeypatch):
-    df = spark.range(200).select("id", F.randn(1).alias("a"), F.randn(2).alias("b")).withColumn("c", F.expr("a + b"))
-    narrow = {(r.feature_a, r.feature_b): r.corr for r in K.correlation_matrix(df, ("a", "b", "c")).collect()}
-    monkeypatch.setattr(K, "WIDE_TABLE", 1)
-    wide = {(r.feature_a, r.feature_b): r.corr for r in K.correlation_matrix(df, ("a", "b", "c")).collect()}
-    assert narrow == pytest.approx(wide)
+def test_correlation_of_awkward_columns(spark):
+    rng = np.random.default_rng(1)
+    data = pd.DataFrame(rng.normal(size=(200, 25)), columns=[f"f{i}" for i in range(25)])
+    data["f1"] = 1e6 + data["f0"] * 2 + data["f1"] * 0.1
+    data["f2"] = 7.5
+    data.loc[::3, "f3"] = np.nan
+    df = spark.createDataFrame(data).withColumn("f4", F.when(F.col("f5") > 0, F.col("f4")))
+    for names in (tuple(data.columns[:6]), tuple(data.columns)):
+        got = {(r.feature_a, r.feature_b): r for r in K.correlation_matrix(df, names).collect()}
+        assert len(got) == len(names) ** 2
+        want = df.select(*names).toPandas().corr(min_periods=2)
+        for (a, b), r in got.items():
+            if "f2" in (a, b):
+                assert r["corr"] is None and not r.well_formed
+            else:
+                assert abs(r["corr"] - want.loc[a, b]) < 1e-9 and r.well_formed
+
+
+def test_missing_values_are_seen(spark):
+    passed = lambda df: {r["column"]: r.passed for r in df.collect()}
+    df = spark.createDataFrame([(1, 1.0, "a"), (2, 5.0, "a"), (3, float("nan"), "a"), (4, None, "b")], "id long, x double, label string")
+    assert passed(K.check_nulls(df)) == {"id": True, "x": False, "label": True}
+    with pytest.raises(ValueError, match="missing"):
+        fit_scaler(df.where("id < 4"), ("x",))
+    bins = {(r.label, r.bin): r.n for r in K.class_histogram(df, "x", "label", 4).collect()}
+    assert bins == {("a", 0): 1, ("a", 3): 1, ("a", None): 1, ("b", None): 1}
 
 
 def test_histogram_of_a_constant_class(spark):
