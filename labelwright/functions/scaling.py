@@ -14,6 +14,7 @@ class Scaler:
     cols: tuple[str, ...]
     means: tuple[float, ...]
     stds: tuple[float, ...]
+    rows: int = 0
 
     def column(self, name: str) -> Column:
         i = self.cols.index(name)
@@ -35,7 +36,7 @@ def missing(df: DataFrame, name: str) -> Column:
 
 def fit_scaler(df: DataFrame, cols: tuple[str, ...]) -> Scaler:
     """One aggregation; the result is two numbers per column. A missing feature is an error."""
-    aggs = []
+    aggs = [F.count("*").alias("rows")]
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [
@@ -49,7 +50,7 @@ def fit_scaler(df: DataFrame, cols: tuple[str, ...]) -> Scaler:
         raise ValueError(f"missing values in features: {nulls}")
     means = tuple(row[f"m{i}"] if row[f"m{i}"] is not None else 0.0 for i in range(len(cols)))
     stds = tuple(row[f"s{i}"] or 1.0 for i in range(len(cols)))
-    return Scaler(tuple(cols), means, stds)
+    return Scaler(tuple(cols), means, stds, row["rows"])
 
 
 def raw_vector(cols: tuple[str, ...]) -> Column:

@@ -7,26 +7,29 @@ training rows only.
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import asdict
+
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import PCA, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
-from labelwright.functions.labels import literal_array
+from labelwright.functions.labels import class_counts, literal_array
 from labelwright.functions.scaling import Scaler, fit_scaler
 from labelwright.operators.compare import cv_summary
 from labelwright.operators.metrics import classification_metrics
 from labelwright.operators.split import stratified_folds, train_test_split
 from labelwright.sources.scratch import store
+from labelwright.sources.tables import log_run
 from labelwright.spec import LabelledSpec, Params
 
 RANDOM_FOREST = "random_forest"
 KERNEL_SVM = "svm"
 LOGISTIC = "logistic_regression"
 MODELS = (RANDOM_FOREST, KERNEL_SVM, LOGISTIC)
-KERNEL_FEATURES = 64
 
 
 def scaling_stage(scaler: Scaler) -> SQLTransformer:
@@ -38,7 +41,7 @@ def scaling_stage(scaler: Scaler) -> SQLTransformer:
     return SQLTransformer(statement=f"SELECT *, {', '.join(parts)} FROM __THIS__")
 
 
-def kernel_stage(dims: int, seed: int, features: int = KERNEL_FEATURES) -> SQLTransformer:
+def kernel_stage(dims: int, seed: int, features: int) -> SQLTransformer:
     """Random Fourier features of the RBF kernel on standardised columns.
 
     Rahimi and Recht (2007): cos(w·x + b) with normal w and uniform b. The kernel
@@ -63,7 +66,7 @@ def build_pipeline(
         raise ValueError(f"unknown model: {name}")
     d = len(spec.feature_cols)
     stats = fit_scaler(train, spec.feature_cols)
-    rows = train.count()
+    rows = stats.rows
     index = StringIndexer(
         inputCol=spec.label_col,
         outputCol="label_idx",
@@ -73,8 +76,8 @@ def build_pipeline(
     inputs = [f"z_{i}" for i in range(d)]
     stages = [index, scaling_stage(stats)]
     if name == KERNEL_SVM:
-        stages.append(kernel_stage(d, params.seed))
-        inputs = [f"r_{j}" for j in range(KERNEL_FEATURES)]
+        stages.append(kernel_stage(d, params.seed, params.kernel_features))
+        inputs = [f"r_{j}" for j in range(params.kernel_features)]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features"))
     common = {"featuresCol": "features", "labelCol": "label_idx", "predictionCol": "prediction_idx"}
     if name == RANDOM_FOREST:
@@ -95,8 +98,34 @@ def build_pipeline(
             )
         )
     else:
-        svm = LinearSVC(regParam=1.0 / (params.c * rows), maxIter=params.svm_iter, tol=1e-4)
-        stages.append(OneVsRest(classifier=svm, parallelism=4, **common))
+        classes = range(len(class_counts(train, spec.label_col, params.max_classes)))
+        own = ", ".join(f"CAST(label_idx = {k} AS DOUBLE) AS own_{k}" for k in classes)
+        stages.append(SQLTransformer(statement=f"SELECT *, {own} FROM __THIS__"))
+        for k in classes:
+            stages.append(
+                LinearSVC(
+                    featuresCol="features",
+                    labelCol=f"own_{k}",
+                    predictionCol=f"is_{k}",
+                    rawPredictionCol=f"margin_{k}",
+                    regParam=1.0 / (params.c * rows),
+                    maxIter=params.svm_iter,
+                    tol=1e-4,
+                )
+            )
+        stages.append(VectorAssembler(inputCols=[f"margin_{k}" for k in classes], outputCol="margins"))
+        # Probabilities of the margins of one class against the rest, as Platt scaling gives them.
+        stages.append(
+            LogisticRegression(
+                featuresCol="margins",
+                labelCol="label_idx",
+                predictionCol="prediction_idx",
+                family="multinomial",
+                maxIter=params.max_iter,
+                regParam=1.0 / rows,
+                standardization=False,
+            )
+        )
     return Pipeline(stages=stages)
 
 
@@ -111,18 +140,9 @@ def vocabulary_of(model: PipelineModel) -> list[str]:
 
 
 def score_model(model: PipelineModel, df: DataFrame, spec: LabelledSpec) -> DataFrame:
-    """Scored table with the training encoder and scaler.
-
-    ``probs`` holds probabilities; the kernel classifier has margins only, so its
-    ``probs`` is null.
-    """
+    """Scored table with the training encoder and scaler; ``probs`` in vocabulary order."""
     labels = vocabulary_of(model)
     scored = model.transform(df)
-    probs = (
-        vector_to_array("probability")
-        if "probability" in scored.columns
-        else F.lit(None).cast("array<double>")
-    )
     keep = [c for c in df.columns if c not in (spec.id_col, spec.label_col, *spec.feature_cols)]
     return scored.select(
         F.col(spec.id_col).alias("id"),
@@ -130,7 +150,7 @@ def score_model(model: PipelineModel, df: DataFrame, spec: LabelledSpec) -> Data
         F.element_at(
             literal_array(labels), (F.col("prediction_idx") + 1).cast("int")
         ).alias("prediction"),
-        probs.alias("probs"),
+        vector_to_array("probability").alias("probs"),
         *keep,
     )
 
@@ -143,20 +163,27 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def cross_validate(
+def fold_scores(
     name: str, df: DataFrame, spec: LabelledSpec, params: Params = Params()
 ) -> DataFrame:
-    """(model, cv_mean, cv_std, folds); scaling is fitted inside each fold."""
-    folded = store(stratified_folds(spec.project(df), spec, params.folds), "folds")
+    """(model, fold, rows, accuracy); scaling is fitted inside each fold."""
+    folded = store(stratified_folds(spec.project(df), spec, params.folds), "folds", "fold")
     scores = None
     for fold in range(1, params.folds + 1):
         model = fit_model(name, folded.where(F.col("fold") != fold), spec, params)
         held = score_model(model, folded.where(F.col("fold") == fold), spec)
         scores = held if scores is None else scores.unionByName(held)
-    accuracy = scores.groupBy("fold").agg(
-        F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy")
+    return scores.groupBy(F.lit(name).alias("model"), "fold").agg(
+        F.count("*").alias("rows"),
+        F.avg((F.col("label") == F.col("prediction")).cast("double")).alias("accuracy"),
     )
-    return cv_summary(accuracy.withColumn("model", F.lit(name)))
+
+
+def cross_validate(
+    name: str, df: DataFrame, spec: LabelledSpec, params: Params = Params()
+) -> DataFrame:
+    """(model, cv_mean, cv_std, folds)."""
+    return cv_summary(fold_scores(name, df, spec, params))
 
 
 def train_single(
@@ -187,10 +214,13 @@ def train_all(
     params: Params = Params(),
     names: tuple[str, ...] = MODELS,
     cv: bool = True,
+    run_log: str | None = None,
+    dataset: str = "",
 ) -> tuple[dict[str, PipelineModel], DataFrame, dict[str, str]]:
     """Every model on one split: models, long metrics, and errors by model.
 
-    A model that fails is recorded and the others go on.
+    A model that fails is recorded and the others go on. With ``run_log`` the parameters
+    and metrics of each run are appended to that table of runs.
     """
     split = store(
         train_test_split(spec.project(df), spec, params.test_size, params.seed), "split"
@@ -204,6 +234,8 @@ def train_all(
             errors[name] = str(error)
             continue
         models[name] = model
+        if run_log:
+            log_run(df.sparkSession, run_log, uuid.uuid4().hex, name, dataset, asdict(params), own)
         metrics = own if metrics is None else metrics.unionByName(own)
     if metrics is None:
         raise RuntimeError(f"no model could be trained: {errors}")

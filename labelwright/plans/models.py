@@ -1,110 +1,283 @@
-"""Queries: trained models. Ensembles are not reproducible bit by bit, so rows only."""
+"""Queries: trained models, at the settings of the experiment.
+
+Ensembles are not reproducible bit by bit, so their queries give what is: row counts of the
+split, the folds and the classes, and whether the measured accuracies keep their bounds (1 if
+so). The logistic model also shows that the gradient of its loss has vanished.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from labelwright.functions.local import local_table
+from labelwright.functions.scaling import fit_scaler
 from labelwright.operators import compare as C
 from labelwright.operators import models as M
 from labelwright.operators.detect import confident_disagreement
 from labelwright.operators.metrics import classification_metrics
 from labelwright.operators.noise import fit_label_noise
 from labelwright.operators.split import stratified_folds, train_test_split
-from labelwright.functions.local import local_table
 from labelwright.plans import inputs as I
 from labelwright.plans.catalog import query
 from labelwright.sources.scratch import new_path, store
+from labelwright.sources.tables import read_runs
 from labelwright.spec import Params
 
-# Sizes that suit three features; the defaults are 100 trees of depth 30.
-SMALL = Params(trees=20, max_depth=10, max_iter=100, svm_iter=20)
+PARAMS = Params()
+# A model must beat chance over three classes by 0.2; one trained on noise must beat chance.
+CHANCE = 1.0 / 3.0
+GRADIENT = 1e-3
+
+COUNTS_SQL = """counts AS (SELECT 'train_rows' AS measure, count(*)::DOUBLE AS value FROM split WHERE NOT is_test
+  UNION ALL SELECT 'test_rows', count(*) FROM split WHERE is_test
+  UNION ALL SELECT 'support/' || label, count(*) FROM split WHERE is_test GROUP BY label
+  UNION ALL SELECT 'fold_rows/' || fold, count(*) FROM (
+    SELECT ntile(5) OVER (PARTITION BY label ORDER BY id) AS fold FROM split WHERE NOT is_test) GROUP BY fold)"""
+
+
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store(train_test_split(I.part_bands(spark, sf_dir), I.BANDS), "split")
 
 
 def noisy_split(spark: SparkSession, sf_dir: str, level: float = 0.1) -> DataFrame:
-    split = train_test_split(I.part_bands(spark, sf_dir), I.BANDS)
-    split = store(split, "split")
+    split = _split(spark, sf_dir)
     return store(fit_label_noise(split, I.BANDS, (level,)).flip(split, level), "noisy")
 
 
+def _row(measure: str | Column, value: Column) -> Column:
+    name = F.lit(measure) if isinstance(measure, str) else measure
+    return F.struct(name.alias("measure"), value.cast("double").alias("value"))
+
+
+def _rows(df: DataFrame, *entries: Column) -> DataFrame:
+    return df.select(F.explode(F.array(*entries)).alias("e")).select("e.*")
+
+
+def _supports(scored: DataFrame) -> DataFrame:
+    counted = scored.groupBy("label").count()
+    return _rows(counted, _row(F.concat(F.lit("support/"), "label"), F.col("count"))).unionByName(
+        _rows(scored.agg(F.count("*").alias("n")), _row("test_rows", F.col("n")))
+    )
+
+
+def _bound(name: str, metrics: DataFrame, metric: str, low: float) -> DataFrame:
+    one = metrics.where(F.col("metric") == metric)
+    return _rows(one, _row(name, (F.col("value") > low) & (F.col("value") <= 1.0)))
+
+
+def largest_gradient(model, train: DataFrame, params: Params) -> float:
+    """Largest slope of the penalised loss at the fitted coefficients, over the whole table."""
+    fitted = model.stages[-1]
+    weights = fitted.coefficientMatrix.toArray()
+    scored = model.transform(train).withColumn("_p", vector_to_array("probability"))
+    slopes = []
+    for k in range(weights.shape[0]):
+        off = F.col("_p")[k] - (F.col("label_idx") == k).cast("double")
+        slopes += [F.avg(off * F.col(f"z_{j}")).alias(f"g{k}_{j}") for j in range(weights.shape[1])]
+        slopes.append(F.avg(off).alias(f"b{k}"))
+    row = scored.agg(F.count("*").alias("n"), *slopes).first()
+    penalty = 1.0 / (params.c * row["n"])
+    steep = [abs(row[f"g{k}_{j}"] + penalty * weights[k, j]) for k in range(weights.shape[0]) for j in range(weights.shape[1])]
+    return max(*steep, *[abs(row[f"b{k}"]) for k in range(weights.shape[0])])
+
+
 def _single(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        split = store(train_test_split(I.part_bands(spark, sf_dir), I.BANDS), "split")
-        _, metrics = M.train_single(name, split, I.BANDS, SMALL, cv=False)
-        return metrics
+        split = _split(spark, sf_dir)
+        train = split.where("not is_test")
+        model = M.fit_model(name, train, I.BANDS, PARAMS)
+        scored = store(M.score_model(model, split.where("is_test"), I.BANDS), "scored")
+        folds = store(M.fold_scores(name, train, I.BANDS, PARAMS), "fold_scores")
+        cv = C.cv_summary(folds).unpivot([], ["cv_mean"], "metric", "value")
+        out = (
+            _rows(train.agg(F.count("*").alias("n")), _row("train_rows", F.col("n")))
+            .unionByName(_supports(scored))
+            .unionByName(_rows(folds, _row(F.concat(F.lit("fold_rows/"), F.col("fold").cast("string")), F.col("rows"))))
+            .unionByName(_bound("accuracy_bound", classification_metrics(scored), "accuracy", CHANCE + 0.2))
+            .unionByName(_bound("cv_bound", cv, "cv_mean", CHANCE + 0.2))
+        )
+        if name == M.LOGISTIC:
+            flat = largest_gradient(model, train, PARAMS) < GRADIENT
+            out = out.unionByName(local_table(spark, [("gradient_bound", float(flat))], "measure string, value double"))
+        return out.select(F.lit(name).alias("model"), "measure", "value")
 
     return run
 
 
-for _name, _model in (
+for _query, _model in (
     ("train_random_forest", M.RANDOM_FOREST),
     ("train_logistic", M.LOGISTIC),
     ("train_kernel_svm", M.KERNEL_SVM),
 ):
-    query(_name)(_single(_model))
+    _bounds = ["accuracy_bound", "cv_bound"] + ["gradient_bound"] * (_model == M.LOGISTIC)
+    _all = " UNION ALL ".join(["SELECT * FROM counts", *[f"SELECT '{b}', 1" for b in _bounds]])
+    query(_query, I.with_sql(I.PART_BANDS_SQL, I.SPLIT_SQL, COUNTS_SQL, f"SELECT '{_model}' AS model, measure, value FROM ({_all})"))(_single(_model))
 
 
-@query("train_all")
+@query(
+    "train_all",
+    " UNION ALL ".join(
+        f"SELECT '{m}' AS model, unnest(['accuracy_bound', 'cv_bound', 'logged_metrics', 'logged_params']) AS measure, unnest([1, 1, 12, {len(PARAMS.__dict__)}]::DOUBLE[]) AS value"
+        for m in M.MODELS
+    ),
+)
 def train_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three models with cross-validation, as the printable comparison."""
+    """Three models on one split with cross-validation, and what the run log has of them."""
     bands = store(I.part_bands(spark, sf_dir), "bands")
-    _, metrics, _ = M.train_all(bands, I.BANDS, Params(trees=10, max_depth=6, max_iter=50, svm_iter=10, folds=3))
-    return C.model_comparison(metrics)
+    log = new_path(spark, "runs")
+    _, metrics, _ = M.train_all(bands, I.BANDS, PARAMS, run_log=log, dataset="part_bands")
+    good = F.when(F.col("metric") == "accuracy", "accuracy_bound").otherwise("cv_bound")
+    bounds = metrics.where("metric in ('accuracy', 'cv_mean')").select("model", good.alias("measure"), F.col("value").between(CHANCE + 0.2, 1.0).cast("double").alias("value"))
+    logged = read_runs(spark, log).groupBy("model", "kind").count()
+    counts = logged.select("model", F.concat(F.lit("logged_"), "kind", F.lit("s")).alias("measure"), F.col("count").cast("double").alias("value"))
+    return bounds.unionByName(counts)
+
+
+SUPPORT_SQL = """SELECT 'support/' || label AS measure, count(*)::DOUBLE AS value FROM split WHERE is_test GROUP BY label
+  UNION ALL SELECT 'test_rows', count(*) FROM split WHERE is_test"""
 
 
-@query("evaluate_saved_model")
+@query(
+    "evaluate_saved_model",
+    I.with_sql(I.PART_BANDS_SQL, I.SPLIT_SQL, SUPPORT_SQL + " UNION ALL SELECT 'mismatches', 0 UNION ALL SELECT 'accuracy_bound', 1"),
+)
 def evaluate_saved_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit, save, load, and score with the training encoder and scaler."""
-    split = store(train_test_split(I.part_bands(spark, sf_dir), I.BANDS), "split")
+    split = _split(spark, sf_dir)
     path = new_path(spark, "model")
-    M.save_model(M.fit_model(M.LOGISTIC, split.where("not is_test"), I.BANDS, SMALL), path)
-    scored = M.score_model(M.load_model(path), split.where("is_test"), I.BANDS)
-    return classification_metrics(scored)
+    model = M.fit_model(M.LOGISTIC, split.where("not is_test"), I.BANDS, PARAMS)
+    M.save_model(model, path)
+    test = split.where("is_test")
+    scored = store(M.score_model(M.load_model(path), test, I.BANDS), "scored")
+    own = M.score_model(model, test, I.BANDS).select("id", F.col("prediction").alias("own"))
+    differ = scored.join(own, "id", "full").agg(F.count_if(~F.col("prediction").eqNullSafe(F.col("own"))).alias("n"))
+    return (
+        _supports(scored)
+        .unionByName(_rows(differ, _row("mismatches", F.col("n"))))
+        .unionByName(_bound("accuracy_bound", classification_metrics(scored), "accuracy", CHANCE + 0.2))
+    )
 
 
-@query("clean_vs_noisy_models")
+@query(
+    "clean_vs_noisy_models",
+    I.with_sql(
+        I.PART_BANDS_SQL,
+        I.SPLIT_SQL,
+        SUPPORT_SQL
+        + """ UNION ALL SELECT unnest(['clean_bound', 'noisy_bound', 'drop_bound']), 1
+              UNION ALL SELECT 'flipped_rows', floor(count(*) * 0.1) FROM base""",
+    ),
+)
 def clean_vs_noisy_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     noisy = noisy_split(spark, sf_dir)
     clean = noisy.withColumn("label", F.col("original_label"))
-    test = clean.where("is_test")
-    parts = {}
+    parts, scored = {}, None
     for name, source in (("clean", clean), ("noisy", noisy)):
-        model = M.fit_model(M.RANDOM_FOREST, source.where("not is_test"), I.BANDS, SMALL)
-        parts[name] = classification_metrics(M.score_model(model, test, I.BANDS))
-    return C.performance_degradation(parts["clean"], parts["noisy"])
+        model = M.fit_model(M.RANDOM_FOREST, source.where("not is_test"), I.BANDS, PARAMS)
+        scored = store(M.score_model(model, clean.where("is_test"), I.BANDS), "scored")
+        parts[name] = classification_metrics(scored)
+    drop = C.performance_degradation(parts["clean"], parts["noisy"]).where("metric = 'accuracy'")
+    flipped = noisy.agg(F.count_if(F.col("label") != F.col("original_label")).alias("n"))
+    return (
+        _supports(scored)
+        .unionByName(_bound("clean_bound", parts["clean"], "accuracy", CHANCE + 0.2))
+        .unionByName(_bound("noisy_bound", parts["noisy"], "accuracy", CHANCE))
+        .unionByName(_rows(drop, _row("drop_bound", F.col("absolute_drop").between(-0.1, 0.4))))
+        .unionByName(_rows(flipped, _row("flipped_rows", F.col("n"))))
+    )
 
 
-@query("confidence_suspects")
+def _suspect_facts(noisy: DataFrame, found: DataFrame, scored: DataFrame) -> DataFrame:
+    """Rows judged, suspects that break the rule, and whether suspects are mostly flipped."""
+    truth = noisy.select("id", (F.col("label") != F.col("original_label")).alias("flipped"))
+    judged = scored.agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids"))
+    facts = found.join(truth, "id").agg(
+        F.count_if((F.col("prediction_confidence") <= PARAMS.confidence) | (F.col("predicted_label") == F.col("true_label"))).alias("broken"),
+        F.coalesce(F.avg(F.col("flipped").cast("double")), F.lit(1.0)).alias("hits"),
+    )
+    return _rows(judged, _row("scored_rows", F.col("n")), _row("scored_ids", F.col("ids"))).unionByName(
+        _rows(facts, _row("rule_violations", F.col("broken")), _row("mostly_flipped", F.col("hits") >= 0.5))
+    )
+
+
+FACTS_SQL = I.with_sql(
+    I.PART_BANDS_SQL,
+    """SELECT unnest(['scored_rows', 'scored_ids']) AS measure, count(*)::DOUBLE AS value FROM base
+       UNION ALL SELECT 'rule_violations', 0 UNION ALL SELECT 'mostly_flipped', 1""",
+)
+
+
+@query("confidence_suspects", FACTS_SQL)
 def confidence_suspects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fitted and scored on the same rows."""
     noisy = noisy_split(spark, sf_dir)
-    model = M.fit_model(M.RANDOM_FOREST, noisy, I.BANDS, SMALL)
-    scored = M.score_model(model, noisy, I.BANDS)
-    return confident_disagreement(scored, M.vocabulary_of(model))
+    model = M.fit_model(M.RANDOM_FOREST, noisy, I.BANDS, PARAMS)
+    scored = store(M.score_model(model, noisy, I.BANDS), "scored")
+    return _suspect_facts(noisy, confident_disagreement(scored, M.vocabulary_of(model)), scored)
 
 
-@query("confidence_suspects_out_of_fold")
+@query("confidence_suspects_out_of_fold", FACTS_SQL)
 def confidence_suspects_out_of_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each row is scored by a model that has not seen it."""
     noisy = noisy_split(spark, sf_dir)
-    folded = store(stratified_folds(noisy, I.BANDS, 3), "folds")
-    found = None
-    for fold in range(1, 4):
-        model = M.fit_model(M.RANDOM_FOREST, folded.where(F.col("fold") != fold), I.BANDS, SMALL)
-        scored = M.score_model(model, folded.where(F.col("fold") == fold), I.BANDS)
+    folded = store(stratified_folds(noisy, I.BANDS, PARAMS.folds), "folds", "fold")
+    found, judged = None, None
+    for fold in range(1, PARAMS.folds + 1):
+        model = M.fit_model(M.RANDOM_FOREST, folded.where(F.col("fold") != fold), I.BANDS, PARAMS)
+        scored = store(M.score_model(model, folded.where(F.col("fold") == fold), I.BANDS), "scored")
         own = confident_disagreement(scored, M.vocabulary_of(model))
         found = own if found is None else found.unionByName(own)
-    return found
+        judged = scored if judged is None else judged.unionByName(scored)
+    return _suspect_facts(noisy, found, judged)
+
+
+# The correlation matrix of three columns has eigenvalues 1 + m, m the roots of
+# m^3 - (a^2 + b^2 + c^2) m - 2abc, and eigenvectors that are cross products of its rows.
+PCA_SQL = (
+    I.ORDER_BANDS_SQL,
+    I.SCALED_SQL,
+    "r AS (SELECT corr(z1, z2) AS a, corr(z1, z3) AS b, corr(z2, z3) AS c FROM z)",
+    "s AS (SELECT *, (a*a + b*b + c*c) / 3 AS s FROM r)",
+    """m AS (SELECT a, b, c, k, 2 * sqrt(s) * cos(acos(greatest(-1, least(1, a*b*c / pow(s, 1.5)))) / 3 - 2 * pi() * k / 3) AS m
+         FROM s, (SELECT unnest([0, 2, 1]) AS k))""",
+    "v AS (SELECT m, row_number() OVER (ORDER BY m DESC) AS i, a*c + b*m AS x, a*b + m*c AS y, m*m - a*a AS w FROM m)",
+    "u AS (SELECT m, i, x / sqrt(x*x + y*y + w*w) AS x, y / sqrt(x*x + y*y + w*w) AS y, w / sqrt(x*x + y*y + w*w) AS w FROM v)",
+)
 
 
-@query("pca_projection")
+@query(
+    "pca_projection",
+    I.with_sql(
+        *PCA_SQL,
+        I.noisy_sql((0.1,)),
+        """both_ AS (SELECT 'clean' AS dataset, id, label FROM base UNION ALL SELECT 'noisy', id, label FROM noisy)""",
+        """SELECT dataset, id, label, round(abs(z1 * p.x + z2 * p.y + z3 * p.w), 4) AS pc1, round(abs(z1 * q.x + z2 * q.y + z3 * q.w), 4) AS pc2,
+             round((1 + p.m) / 3, 6) AS ratio1, round((1 + q.m) / 3, 6) AS ratio2
+           FROM both_ t JOIN (SELECT id, z1, z2, z3 FROM z) USING (id), (SELECT * FROM u WHERE i = 1) p, (SELECT * FROM u WHERE i = 2) q""",
+    ),
+)
 def pca_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Standardised columns on the first two components of the clean ones; their signs are free."""
     bands = store(I.order_bands(spark, sf_dir), "bands")
-    noisy = fit_label_noise(bands, I.BANDS, (0.1,)).flip(bands, 0.1)
-    projected, _ = M.pca_projection(bands, {"noisy": noisy}, I.BANDS)
-    return projected
+    scaled = store(fit_scaler(bands, I.BANDS.feature_cols).transform(bands), "scaled")
+    noisy = fit_label_noise(scaled, I.BANDS, (0.1,)).flip(scaled, 0.1)
+    projected, ratio = M.pca_projection(scaled, {"noisy": noisy}, I.BANDS)
+    return projected.select(
+        "dataset",
+        "id",
+        "label",
+        *[F.round(F.abs(c), 4).alias(c) for c in ("pc1", "pc2")],
+        *[F.round(F.lit(r), 6).alias(f"ratio{i}") for i, r in enumerate(ratio, 1)],
+    )
 
 
-@query("feature_importance_stability")
+@query(
+    "feature_importance_stability",
+    "SELECT d AS dataset, m AS measure, v::DOUBLE AS value FROM (SELECT unnest(['clean', 'noisy']) AS d), "
+    "(SELECT unnest(['importance_sum', 'rank_sum', 'features', 'label_feature_leads']) AS m, unnest([1, 6, 3, 1]) AS v)",
+)
 def feature_importance_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importances of the clean and the noisy forest, and their ranks."""
     noisy = noisy_split(spark, sf_dir)
@@ -113,7 +286,12 @@ def feature_importance_stability(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("clean", noisy.withColumn("label", F.col("original_label"))),
         ("noisy", noisy),
     ):
-        model = M.fit_model(M.RANDOM_FOREST, source.where("not is_test"), I.BANDS, SMALL)
+        model = M.fit_model(M.RANDOM_FOREST, source.where("not is_test"), I.BANDS, PARAMS)
         values = sorted(M.feature_importances(model, I.BANDS), key=lambda v: -v[1])
         rows += [(name, f, v, i + 1) for i, (f, v) in enumerate(values)]
-    return local_table(spark, rows, "dataset string, feature string, importance double, rank int")
+    ranked = local_table(spark, rows, "dataset string, feature string, importance double, rank int")
+    facts = ranked.groupBy("dataset").agg(
+        F.round(F.sum("importance"), 6).alias("sum"), F.sum("rank").alias("ranks"), F.count("*").alias("n"), F.min_by("feature", "rank").alias("first")
+    )
+    entries = [_row("importance_sum", F.col("sum")), _row("rank_sum", F.col("ranks")), _row("features", F.col("n")), _row("label_feature_leads", F.col("first") == "c")]
+    return facts.select("dataset", F.explode(F.array(*entries)).alias("e")).select("dataset", "e.*")

@@ -34,12 +34,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write the frame as Parquet and return the written table."""
+def store(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write the frame as Parquet, partitioned if asked, and return the written table."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(df.columns)
 
 
 def discard(spark: SparkSession) -> int:

@@ -63,6 +63,7 @@ class Params:
     c: float = 1.0
     max_iter: int = 1000
     svm_iter: int = 100
+    kernel_features: int = 64
     max_classes: int = 10_000
 
 
