@@ -15,11 +15,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from labelwright.functions.local import local_table
 from labelwright.operators.detect import predicted
-from labelwright.spec import LabelledSpec
+from labelwright.spec import LabelledSpec, Params
 
 
-MAX_MOMENTS = 100_000
-
 
 @dataclass(frozen=True)
 class Centroids:
@@ -71,13 +69,17 @@ class Centroids:
 
 
 def fit_centroids(
-    df: DataFrame, spec: LabelledSpec, by: str | None = None, held_out: bool = False
+    df: DataFrame,
+    spec: LabelledSpec,
+    by: str | None = None,
+    held_out: bool = False,
+    max_moments: int = 10 * Params.max_classes,
 ) -> Centroids:
     """One aggregation over the table, for every run at once.
 
     With ``held_out`` the run named by a value is fitted on all rows that do *not*
     carry it: cross-validation without a pass per fold. Runs times classes is
-    what reaches the driver.
+    what reaches the driver, and more than ``max_moments`` of them is an error.
     """
     d = len(spec.feature_cols)
     aggs = [F.count("*").alias("n")]
@@ -89,11 +91,11 @@ def fit_centroids(
         df.where(F.col(spec.label_col).isNotNull())
         .groupBy(run.alias("_run"), F.col(spec.label_col).cast("string").alias("_label"))
         .agg(*aggs)
-        .limit(MAX_MOMENTS + 1)
+        .limit(max_moments + 1)
         .collect()
     )
-    if len(rows) > MAX_MOMENTS:
-        raise ValueError(f"runs times classes exceed {MAX_MOMENTS}")
+    if len(rows) > max_moments:
+        raise ValueError(f"runs times classes exceed {max_moments}")
     parts: dict[str, dict[str, tuple]] = {}
     for r in rows:
         moments = (r["n"], [r[f"m{i}"] for i in range(d)], [r[f"v{i}"] * r["n"] for i in range(d)])

@@ -89,11 +89,14 @@ def rank_cuts(
     picked = (
         _inside(base, shift, targets, schema)
         .withColumn("_need", F.row_number().over(within).cast("bigint"))
+        .withColumn("_same", F.count("*").over(Window.partitionBy("_g", "_bucket", *names)))
         .join(F.broadcast(local_table(spark, targets, schema)), ["_g", "_bucket", "_need"])
         .collect()
     )
     if len(picked) != len(wanted):
         raise ValueError("a wanted rank exceeds the number of rows of its group")
+    if any(r["_same"] > 1 for r in picked):
+        raise ValueError("rows at a cut share one order key; the row id must be unique")
     return [Cut(r["_g"], r["_rank"], tuple(r[n] for n in names)) for r in picked]
 
 

@@ -114,7 +114,9 @@ class NeighbourIndex:
         return np.repeat(np.ceil(self.sizes / self.parts).astype(np.int64), self.parts)
 
 
-def build_index(vectors: DataFrame, k: int = Params.k) -> NeighbourIndex:
+def build_index(
+    vectors: DataFrame, k: int = Params.k, max_classes: int = Params.max_classes
+) -> NeighbourIndex:
     """Index (id, x, label) for searches of up to k neighbours."""
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -126,11 +128,11 @@ def build_index(vectors: DataFrame, k: int = Params.k) -> NeighbourIndex:
             F.max(F.size("x")).alias("widest"),
             F.count_if(_unusable()).alias("nulls"),
         )
-        .limit(Params.max_classes + 1)
+        .limit(max_classes + 1)
         .collect()
     )
-    if len(shapes) > Params.max_classes:
-        raise ValueError(f"more than {Params.max_classes} classes")
+    if len(shapes) > max_classes:
+        raise ValueError(f"more than {max_classes} classes")
     rows = sum(r["n"] for r in shapes)
     if rows < k:
         raise ValueError(f"{k} neighbours need at least {k} rows, found {rows}")
@@ -161,7 +163,10 @@ def build_index(vectors: DataFrame, k: int = Params.k) -> NeighbourIndex:
 
 
 def nearest_neighbours(
-    vectors: DataFrame, k: int = Params.k, queries: DataFrame | None = None
+    vectors: DataFrame,
+    k: int = Params.k,
+    queries: DataFrame | None = None,
+    max_classes: int = Params.max_classes,
 ) -> DataFrame:
     """(id, label, neighbours) for every row: its k nearest other rows, nearest first.
 
@@ -169,8 +174,8 @@ def nearest_neighbours(
     Both are read more than once: store them first if they are costly to compute.
     """
     if queries is not None:
-        return search_index(build_index(vectors, k), queries)
-    index = build_index(vectors, k)
+        return search_index(build_index(vectors, k, max_classes), queries)
+    index = build_index(vectors, k, max_classes)
     if index.rows <= k:
         raise ValueError(f"{k} neighbours need at least {k + 1} rows, found {index.rows}")
     heads = index.points.where("head").select(F.col("id").alias("qid"), "x")

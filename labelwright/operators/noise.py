@@ -98,11 +98,12 @@ def fit_label_noise(
     spec: LabelledSpec,
     levels: tuple[float, ...] = Params.noise_levels,
     seed: int = Params.seed,
+    max_classes: int = Params.max_classes,
 ) -> LabelNoise:
     """Count classes and find the cut of every level. Rows without a label never flip."""
     levels = tuple(check_level(level) for level in levels)
     spec.check(df)
-    classes = class_counts(df, spec.label_col)
+    classes = class_counts(df, spec.label_col, max_classes)
     if len(classes) < 2:
         raise ValueError("labels cannot be flipped with fewer than two classes")
     n = sum(classes.values())

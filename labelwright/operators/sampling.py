@@ -38,8 +38,21 @@ def within_cut(id_col: Column | str, seed: int, cut: Cut | None) -> Column:
 
 def sample_exact(df: DataFrame, id_col: str, fraction: float, seed: int = 42) -> DataFrame:
     """Exactly ``int(n * fraction)`` rows, the same ones on every run."""
-    if not 0.0 <= fraction <= 1.0:
-        raise ValueError(f"fraction must be between 0.0 and 1.0, got {fraction}")
+    return sample_fractions(df, id_col, (fraction,), seed).drop("fraction")
+
+
+def sample_fractions(
+    df: DataFrame, id_col: str, fractions: tuple[float, ...], seed: int = 42
+) -> DataFrame:
+    """The exact samples of several fractions, each row with the ``fraction`` it is in.
+
+    One search finds all cuts, and one scan deals the rows out: smaller samples lie in larger.
+    """
+    for fraction in fractions:
+        if not 0.0 <= fraction <= 1.0:
+            raise ValueError(f"fraction must be between 0.0 and 1.0, got {fraction}")
     n = df.count()
-    cuts = hash_cuts(df, id_col, seed, {"": [int(n * fraction)]}, rows=n)
-    return df.where(within_cut(id_col, seed, cuts[0] if cuts else None))
+    ranks = {f: int(n * f) for f in fractions}
+    cuts = {c.rank: c for c in hash_cuts(df, id_col, seed, {"": list(ranks.values())}, rows=n)}
+    inside = [F.when(within_cut(id_col, seed, cuts.get(r)), F.lit(float(f))) for f, r in ranks.items()]
+    return df.withColumn("fraction", F.explode(F.array_compact(F.array(*inside))))

@@ -30,6 +30,7 @@ def train_test_split(
     test_size: float = Params.test_size,
     seed: int = Params.seed,
     stratify: bool = True,
+    max_classes: int = Params.max_classes,
 ) -> DataFrame:
     """Add ``is_test``: exactly ``ceil(n * test_size)`` rows, in class proportion.
 
@@ -37,7 +38,7 @@ def train_test_split(
     """
     if not 0.0 < test_size < 1.0:
         raise ValueError(f"test size must be between 0 and 1, got {test_size}")
-    counts = class_counts(df, spec.label_col)
+    counts = class_counts(df, spec.label_col, max_classes)
     test_rows = math.ceil(sum(counts.values()) * test_size)
     order = hash_order(spec.id_col, seed)
     label = F.col(spec.label_col).cast("string")
@@ -59,7 +60,12 @@ def train_test_split(
     return marked.withColumn("is_test", test).drop("_label", "_cuts")
 
 
-def stratified_folds(df: DataFrame, spec: LabelledSpec, folds: int = Params.folds) -> DataFrame:
+def stratified_folds(
+    df: DataFrame,
+    spec: LabelledSpec,
+    folds: int = Params.folds,
+    max_classes: int = Params.max_classes,
+) -> DataFrame:
     """Add ``fold`` (1..folds): consecutive runs by id within each class, unshuffled.
 
     Within a class the fold sizes differ by at most one; the earlier folds are
@@ -67,7 +73,7 @@ def stratified_folds(df: DataFrame, spec: LabelledSpec, folds: int = Params.fold
     """
     if folds < 2:
         raise ValueError("at least two folds are needed")
-    counts = class_counts(df, spec.label_col)
+    counts = class_counts(df, spec.label_col, max_classes)
     label = F.col(spec.label_col).cast("string")
     ranks = {}
     for c, n in counts.items():

@@ -10,12 +10,13 @@ from labelwright.operators import noise as N
 from labelwright.operators.checks import class_distribution, label_shift
 from labelwright.operators.feature_noise import add_feature_noise, inject_outliers
 from labelwright.operators.metrics import dataset_info
-from labelwright.operators.sampling import sample_exact
+from labelwright.operators.sampling import sample_fractions
 from labelwright.operators.split import stratified_folds, train_test_split
 from labelwright.plans import inputs as I
 from labelwright.plans.catalog import query
 from labelwright.sources.scratch import store
 from labelwright.sources.tables import scan_labelled
+from labelwright.spec import LabelledSpec
 
 
 @query(
@@ -221,16 +222,8 @@ def outlier_inject(spark: SparkSession, sf_dir: str) -> DataFrame:
        WHERE place <= floor(n * f)""",
 )
 def exact_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = I.orders(spark, sf_dir)
-    parts = [
-        sample_exact(df, "o_orderkey", f).select(
-            F.lit(f).alias("fraction"),
-            F.col("o_orderkey").alias("id"),
-            F.col("o_orderstatus").alias("label"),
-        )
-        for f in (0.5, 0.7, 0.9)
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    samples = sample_fractions(I.orders(spark, sf_dir), "o_orderkey", (0.5, 0.7, 0.9))
+    return samples.select("fraction", F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("label"))
 
 
 @query(
@@ -265,6 +258,38 @@ def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# More rows than are sorted at once, in few classes, so that cuts are counted in rounds.
+PAIRS = LabelledSpec("id", ("q",), "label")
+PAIRS_SQL = """base AS (SELECT l_orderkey * 1000000 + l_partkey AS id, min(l_linestatus) AS label
+  FROM lineitem GROUP BY l_orderkey, l_partkey)"""
+
+
+def line_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order and part pairs."""
+    pairs = I.table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_partkey")
+    made = pairs.agg(F.sum("l_quantity").alias("q"), F.min("l_linestatus").alias("label"))
+    return store(made.select((F.col("l_orderkey") * 1_000_000 + F.col("l_partkey")).alias("id"), "q", "label"), "pairs")
+
+
+@query("noise_select_counted", I.with_sql(PAIRS_SQL, I.noisy_sql((0.1,)), "SELECT id, label, original_label, flipped FROM noisy"))
+def noise_select_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = line_pairs(spark, sf_dir)
+    return N.fit_label_noise(df, PAIRS, (0.1,)).flip(df, 0.1).select("id", "label", "original_label", "flipped")
+
+
+@query("stratified_split_counted", I.with_sql(PAIRS_SQL, I.SPLIT_SQL, "SELECT id, label, is_test FROM split"))
+def stratified_split_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return train_test_split(line_pairs(spark, sf_dir), PAIRS).select("id", "label", "is_test")
+
+
+@query(
+    "stratified_folds_counted",
+    I.with_sql(PAIRS_SQL, "SELECT id, label, ntile(5) OVER (PARTITION BY label ORDER BY id)::INT AS fold FROM base"),
+)
+def stratified_folds_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stratified_folds(line_pairs(spark, sf_dir), PAIRS).select("id", "label", "fold")
+
+
 @query(
     "standardize",
     I.with_sql(

@@ -7,13 +7,17 @@ local-mode session without that setting gets a temporary one.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
+_scopes = threading.local()
 
 
 def root(spark: SparkSession) -> str:
@@ -31,9 +35,27 @@ def root(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     path = f"{root(spark)}/{name}-{uuid.uuid4().hex}"
     _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    for scope in getattr(_scopes, "open", []):
+        scope.append(path)
     return path
 
 
+@contextlib.contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete on leaving what this thread has stored meanwhile."""
+    scopes = _scopes.open = getattr(_scopes, "open", [])
+    paths: list[str] = []
+    scopes.append(paths)
+    try:
+        yield
+    finally:
+        scopes.pop()
+        kept = _written.get(spark.sparkContext.applicationId, [])
+        for path in paths:
+            _delete(spark, path)
+            kept.remove(path)
+
+
 def store(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write the frame as Parquet, partitioned if asked, and return the written table."""
     spark = df.sparkSession
@@ -43,11 +65,15 @@ def store(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path).select(df.columns)
 
 
+def _delete(spark: SparkSession, text: str) -> None:
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(text)
+    path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(spark: SparkSession) -> int:
     """Delete the tables this application stored, once their results are no longer read."""
-    sc = spark.sparkContext
-    paths = _written.pop(sc.applicationId, [])
+    paths = _written.pop(spark.sparkContext.applicationId, [])
     for text in paths:
-        path = sc._jvm.org.apache.hadoop.fs.Path(text)
-        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, text)
     return len(paths)

@@ -64,6 +64,8 @@ class Params:
     max_iter: int = 1000
     svm_iter: int = 100
     kernel_features: int = 64
+    # Class tables are held on the driver and broadcast; every function that does so takes
+    # this bound, and a label with more values is an error there.
     max_classes: int = 10_000
 
 

@@ -11,7 +11,7 @@ from labelwright.operators.noise import (
     noise_metadata,
     transitions,
 )
-from labelwright.operators.sampling import sample_exact
+from labelwright.operators.sampling import sample_exact, sample_fractions
 from labelwright.spec import LabelledSpec
 from tests.conftest import CLUSTERS
 
@@ -142,3 +142,17 @@ def test_outliers_leave_labels_alone(clean):
     assert out.where("outlier").count() == 5
     assert out.select("id", "target").exceptAll(clean.select("id", "target")).isEmpty()
     assert out.where("feature1 is null or feature2 is null").isEmpty()
+
+
+def test_repeated_ids_are_an_error_at_every_size(spark):
+    df = spark.range(400).selectExpr("id div 4 as id")
+    with pytest.raises(ValueError, match="unique"):
+        sample_exact(df, "id", 10 / 400)
+
+
+def test_fractions_nest_in_one_scan(spark):
+    df = spark.range(100).withColumnRenamed("id", "k")
+    rows = sample_fractions(df, "k", (0.0, 0.25, 0.5)).collect()
+    by = {f: {r.k for r in rows if r.fraction == f} for f in (0.0, 0.25, 0.5)}
+    assert (len(by[0.0]), len(by[0.25]), len(by[0.5])) == (0, 25, 50) and by[0.25] < by[0.5]
+    assert by[0.25] == {r.k for r in sample_exact(df, "k", 0.25).collect()}

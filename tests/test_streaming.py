@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from labelwright.operators.detect import neighbour_suspects
 from labelwright.operators.neighbours import build_index, feature_vectors, nearest_neighbours
+from labelwright.sources import scratch
 from labelwright.streaming.drift import (
     append_counts,
     class_counts_by_window,
@@ -18,7 +19,9 @@ def test_micro_batches_score_like_one_batch(spark, clean, flipped, tmp_path):
     vectors.repartition(3).write.parquet(source)
     stream = spark.readStream.schema(vectors.schema).option("maxFilesPerTrigger", 1).parquet(source)
     out, progress = str(tmp_path / "out"), str(tmp_path / "progress")
-    score_suspects(stream, index, out, progress, skip_same_id=True).awaitTermination()
+    before = sorted(scratch._written[spark.sparkContext.applicationId])
+    score_suspects(stream, index, out, progress, skip_same_id=True, trigger={"availableNow": True}).awaitTermination()
+    assert sorted(scratch._written[spark.sparkContext.applicationId]) == before
     got = spark.read.parquet(out)
     assert got.select("batch").distinct().count() == 3
     want = neighbour_suspects(
@@ -53,3 +56,5 @@ def test_late_rows_are_dropped_and_only_closed_windows_are_written(spark, tmp_pa
     }
     drift = {r.label: r.drift for r in class_share_drift(rows, {"a": 0.75}).where("minute(window_start) = 0").collect()}
     assert drift == {"a": -0.25, "b": 0.5}
+    absent = class_share_drift(rows, {"a": 0.5, "b": 0.25, "c": 0.25}).where("minute(window_start) = 10")
+    assert {(r.label, r.n, r.drift) for r in absent.collect()} == {("a", 1, 0.5), ("b", 0, -0.25), ("c", 0, -0.25)}
