@@ -7,7 +7,8 @@ with the substrings at the allowed places. Pairs that meet are verified by a ban
 bit-parallel edit distance: one number holds the vertical differences inside the band, and a
 step per character moves the band down.
 
-Equal lines are one line with its first place. A segment that very many different lines share
+Keys are counted first, and only lines that meet a different one are carried on; equal lines
+are one line with its first place. A segment that very many different lines share
 (``HOT`` or more) is not joined line by line: its lines are packed into blocks of bounded size,
 a probe meets a block as one row, and a cut-off edit distance thins the block before the
 bit-parallel one decides. Lines are classed by the connected components of their links.
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from labelwright.llm.components import components
-from labelwright.llm.rows import packed
+from labelwright.llm.rows import packed, small_side
 from labelwright.sources.scratch import store
 
 EDITS = 2
@@ -103,52 +104,30 @@ def _below(h: Column, j: Column, n: Column, edits: int) -> Column:
     return F.when(h["hp"].bitwiseAND(one) != 0, 1).when(h["hn"].bitwiseAND(one) != 0, -1).otherwise(0)
 
 
-def _key(length: Column, part: Column, text: Column, start: Column, size: Column) -> Column:
-    return F.xxhash64(length, part, F.substring(text, start + 1, size))
+def _segment(length: Column, part: int, edits: int) -> tuple[Column, Column]:
+    """Start and size of a segment (from 1); the later ones are longer by one where sizes differ."""
+    size = F.floor(length / (edits + 1)).cast("int")
+    longer = length % (edits + 1)
+    before = F.greatest(F.lit(part - 1 - (edits + 1)) + longer, F.lit(0))
+    return size * (part - 1) + before, size + F.when(longer >= edits + 2 - part, 1).otherwise(0)
 
 
-def _segment(length: Column, part: Column, edits: int) -> tuple[Column, Column]:
-    """Start and size of a segment; the later ones are longer by one where sizes differ."""
-    parts = edits + 1
-    size = F.floor(length / parts).cast("int")
-    short = parts - length % parts
-    longer = F.when(part > short, 1).otherwise(0)
-    return (part - 1) * size + F.greatest(part - 1 - short, F.lit(0)), size + longer
+def segment_keys(text: Column, edits: int) -> Column:
+    """Array of (key, index): hashes of the substrings that may be a segment of a line that is
+    not longer, and whether the substring is a segment of this line under its own length.
 
-
-def index_keys(text: Column, edits: int) -> Column:
-    """Hashes of the segments of a line under its length."""
-
-    def keys(n: Column) -> Column:
-        def one(part: Column) -> Column:
-            start, size = _segment(n, part, edits)
-            return _key(n, part, text, start, size)
-
-        return F.transform(F.sequence(F.lit(1), F.lit(edits + 1)), one)
-
-    return _each(F.char_length(text), keys)
-
-
-def probe_keys(text: Column, edits: int) -> Column:
-    """Hashes of the substrings that may equal a segment of a line that is not longer."""
-    parts = edits + 1
-
-    def keys(n: Column) -> Column:
-        def shorter(less: Column) -> Column:
-            length = n - less
-
-            def one(part: Column) -> Column:
-                start, size = _segment(length, part, edits)
-                low = F.greatest(F.lit(0), start - (part - 1), start + less - (parts - part))
-                high = F.least(n - size, start + (part - 1), start + less + (parts - part))
-                places = F.when(low <= high, F.sequence(low, F.greatest(low, high))).otherwise(F.array().cast("array<int>"))
-                return F.transform(places, lambda at: _key(length, part, text, at, size))
-
-            return F.flatten(F.transform(F.sequence(F.lit(1), F.lit(parts)), one))
-
-        return F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(edits)), shorter)))
-
-    return _each(F.char_length(text), keys)
+    A segment can only stand where the segments before and after it leave room for all edits.
+    """
+    n = F.char_length(text)
+    keys = []
+    for less in range(edits + 1):
+        for part in range(1, edits + 2):
+            start, size = _segment(n - less, part, edits)
+            left, right = part - 1, edits + 1 - part
+            for shift in range(max(-left, less - right), min(left, less + right) + 1):
+                key = F.xxhash64(n - less, F.lit(part), F.substring(text, start + 1 + shift, size))
+                keys.append(F.struct(key.alias("key"), F.lit(less == 0 and shift == 0).alias("index")))
+    return F.array(*keys)
 
 
 def _with_keys(docs: DataFrame) -> DataFrame:
@@ -157,13 +136,12 @@ def _with_keys(docs: DataFrame) -> DataFrame:
     return packed(docs).withColumns({"_k1": F.xxhash64("_row.doc_id", text), "_k2": F.xxhash64(text, "_row.doc_id", F.lit(71))})
 
 
-def _occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
+def _lines(docs: DataFrame, min_chars: int) -> DataFrame:
     """(doc_id, _k1, _k2, _pos, _line, _h1, _h2) of every line that is long enough."""
     keyed = _with_keys(docs.select("doc_id", "text"))
     lines = keyed.select("_row.doc_id", "_k1", "_k2", F.posexplode(F.split(F.coalesce("_row.text", F.lit("")), "\n")).alias("_pos", "_raw"))
-    line = F.trim("_raw")
     return (
-        lines.select("doc_id", "_k1", "_k2", "_pos", line.alias("_line"))
+        lines.select("doc_id", "_k1", "_k2", "_pos", F.trim("_raw").alias("_line"))
         .where(F.char_length("_line") >= min_chars)
         .withColumns({"_h1": F.xxhash64("_line"), "_h2": F.xxhash64("_line", F.lit(29))})
     )
@@ -174,28 +152,39 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.col("_pos").alias("pos"))
 
 
-def distinct_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """One row per different line: _id, hashes, text, first place, whether it has another."""
-    found = _occurrences(docs, min_chars)
-    lines = found.groupBy("_h1", "_h2").agg(F.first("_line").alias("_line"), F.min(_place()).alias("_first"), F.max(_place()).alias("_last"))
-    again = (F.col("_first") != F.col("_last")).alias("_again")
-    return store(lines.select("_h1", "_h2", "_line", "_first", again, F.monotonically_increasing_id().alias("_id")), "lines")
+def _meetings(lines: DataFrame, edits: int) -> DataFrame:
+    """(_key, _index, _h1, _h2, _line) at keys where different lines meet.
 
-
-def line_links(lines: DataFrame, edits: int = EDITS, hot: int = HOT) -> DataFrame:
-    """(u, v, distance): pairs of different lines within edits."""
-    index = lines.select("_id", F.explode(index_keys(F.col("_line"), edits)).alias("_key"))
-    probes = lines.select(F.col("_id").alias("_by"), F.explode(probe_keys(F.col("_line"), edits)).alias("_probe"))
-    sizes = index.groupBy(F.col("_key").alias("_hot")).agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") >= hot)
-    busy = store(sizes, "busy")
-    # Keys of few lines: pairs of numbers.
+    Keys are counted first, with nothing but hashes in the shuffle; only the lines of the few
+    keys with two different ones are carried on.
+    """
+    each = lines.select("_h1", "_h2", "_line", F.explode(segment_keys(F.col("_line"), edits)).alias("x"))
+    each = each.select(F.col("x.key").alias("_key"), F.col("x.index").alias("_index"), "_h1", "_h2", "_line")
+    ends = each.groupBy(F.col("_key").alias("_shared")).agg(F.min("_h1").alias("_low"), F.max("_h1").alias("_high"), F.max("_index").alias("_any"))
+    shared = store(ends.where("_low != _high and _any").select("_shared"), "shared")
+    met = each.join(small_side(shared, 16), F.col("_key") == F.col("_shared"))
+    return store(met.drop("_shared"), "met")
+
+
+def line_links(lines: DataFrame, edits: int = EDITS, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
+    """Lines that met others (_id, _h1, _h2, _line), and (u, v, distance) of those within edits."""
+    met = _meetings(lines, edits)
+    some = met.dropDuplicates(["_h1", "_h2"]).select("_h1", "_h2", "_line")
+    some = store(some.withColumn("_id", F.monotonically_increasing_id()), "some")
+    ids = some.select(F.col("_h1").alias("_g1"), F.col("_h2").alias("_g2"), "_id")
+    members = met.join(ids, (F.col("_h1") == F.col("_g1")) & (F.col("_h2") == F.col("_g2"))).select("_key", "_index", "_id").distinct()
+    members = store(members, "members")
+    index = members.where("_index").select("_key", "_id")
+    probes = members.select(F.col("_key").alias("_probe"), F.col("_id").alias("_by")).distinct()
+    sizes = index.groupBy(F.col("_key").alias("_hot")).agg(F.count(F.lit(1)).alias("_size"))
+    busy = store(sizes.where(F.col("_size") >= hot), "busy")
     cold = index.join(busy, F.col("_key") == F.col("_hot"), "left_anti")
-    met = cold.join(probes, (F.col("_key") == F.col("_probe")) & (F.col("_id") != F.col("_by")))
-    pairs = met.select(F.greatest("_id", "_by").alias("u"), F.least("_id", "_by").alias("v")).distinct()
-    left = lines.select(F.col("_id").alias("u"), F.col("_line").alias("_a"))
-    right = lines.select(F.col("_id").alias("v"), F.col("_line").alias("_b"))
+    together = cold.join(probes, (F.col("_key") == F.col("_probe")) & (F.col("_id") != F.col("_by")))
+    pairs = together.select(F.greatest("_id", "_by").alias("u"), F.least("_id", "_by").alias("v")).distinct()
+    left = some.select(F.col("_id").alias("u"), F.col("_line").alias("_a"))
+    right = some.select(F.col("_id").alias("v"), F.col("_line").alias("_b"))
     near = pairs.join(left, "u").join(right, "v").select("u", "v", "_a", "_b")
-    return _decided(near.unionByName(_hot_pairs(lines, index, probes, busy, edits, hot)), edits)
+    return some, _decided(near.unionByName(_hot_pairs(some, index, probes, busy, edits, hot)), edits)
 
 
 def _hot_pairs(lines: DataFrame, index: DataFrame, probes: DataFrame, busy: DataFrame, edits: int, hot: int) -> DataFrame:
@@ -223,34 +212,37 @@ def _decided(pairs: DataFrame, edits: int) -> DataFrame:
     return judged.where("distance is not null").groupBy("u", "v").agg(F.min("distance").alias("distance"))
 
 
-def _classed(docs: DataFrame, edits: int, min_chars: int, hot: int) -> DataFrame:
-    """Lines that occur twice or are linked: hashes, first place of the class, links."""
-    lines = distinct_lines(docs, min_chars)
-    links = store(line_links(lines, edits, hot), "links")
-    roots = components(links)
-    both = links.select(F.col("u").alias("_l")).unionAll(links.select(F.col("v").alias("_l")))
-    counts = both.groupBy("_l").agg(F.count(F.lit(1)).alias("_links"))
-    linked = roots.join(counts, F.col("node") == F.col("_l"))
-    small = lines.select("_id", "_h1", "_h2", "_first", "_again")
-    members = small.join(linked, F.col("_id") == F.col("node"), "left").where("_again or node is not null")
-    members = store(members.select("_h1", "_h2", "_first", F.coalesce("root", "_id").alias("_root"), F.coalesce("_links", F.lit(0)).cast("long").alias("_links")), "classes")
-    first = members.groupBy(F.col("_root").alias("_r")).agg(F.min("_first").alias("_stays"))
-    return members.join(first, F.col("_root") == F.col("_r")).select(F.col("_h1").alias("_c1"), F.col("_h2").alias("_c2"), "_stays", "_links")
-
-
 def _removals(docs: DataFrame, edits: int, min_chars: int, hot: int) -> DataFrame:
-    """Per document key: lines in classes, their links, places to remove, class names."""
-    classes = _classed(docs, edits, min_chars, hot)
-    found = _occurrences(docs, min_chars).drop("_line").distinct()
-    met = found.join(classes, (F.col("_h1") == F.col("_c1")) & (F.col("_h2") == F.col("_c2")))
+    """Per document key: links of its lines, places to remove, class names."""
+    if min_chars < (edits + 1) ** 2:
+        raise ValueError(f"{edits} edits need lines of at least {(edits + 1) ** 2} characters")
+    lines = _lines(docs, min_chars)
+    places = store(lines.drop("_line"), "places")
+    some, links = line_links(lines, edits, hot)
+    links = store(links, "links")
+    both = links.select(F.col("u").alias("_l")).unionAll(links.select(F.col("v").alias("_l")))
+    counts = both.groupBy("_l").agg(F.count(F.lit(1)).alias("_n_links"))
+    linked = components(links).join(counts, F.col("node") == F.col("_l")).join(some, F.col("node") == F.col("_id"))
+    linked = linked.select(F.col("_h1").alias("_g1"), F.col("_h2").alias("_g2"), "root", "_n_links")
+    # Lines in two places, or linked; the others are the first of their kind.
+    again = places.groupBy(F.col("_h1").alias("_a1"), F.col("_h2").alias("_a2")).agg(F.count(F.lit(1)).alias("_n"))
+    affected = again.join(linked, (F.col("_a1") == F.col("_g1")) & (F.col("_a2") == F.col("_g2")), "left").where("_n > 1 or root is not null")
+    affected = store(affected.select("_a1", "_a2", "root", F.coalesce("_n_links", F.lit(0)).cast("long").alias("_links")), "affected")
+    found = places.join(small_side(affected, 48), (F.col("_h1") == F.col("_a1")) & (F.col("_h2") == F.col("_a2")))
+    # A class is a component, or a single line.
+    kind = F.struct(F.col("root").isNull().alias("single"), F.coalesce("root", "_h1").alias("x"), F.when(F.col("root").isNull(), F.col("_h2")).alias("y"))
+    found = store(found.select("doc_id", "_k1", "_k2", "_pos", "_links", kind.alias("_class")).distinct(), "found")
+    first = found.groupBy(F.col("_class").alias("_c")).agg(F.min(_place()).alias("_stays"), F.max(_place()).alias("_last")).where("_stays != _last")
+    met = found.join(first, F.col("_class").eqNullSafe(F.col("_c")))
     s = F.col("_stays")
     stays = (s["k1"] == F.col("_k1")) & (s["k2"] == F.col("_k2")) & (s["pos"] == F.col("_pos"))
     name = F.concat_ws(":", F.coalesce(s["id"].cast("string"), F.lit("")), s["pos"])
-    return met.groupBy(F.col("_k1").alias("_d1"), F.col("_k2").alias("_d2")).agg(
+    gone = met.groupBy(F.col("_k1").alias("_d1"), F.col("_k2").alias("_d2")).agg(
         F.sum("_links").alias("_n_links"),
         F.collect_list(F.when(~stays, F.col("_pos"))).alias("_gone"),
         F.array_sort(F.collect_set(name)).alias("_names"),
     )
+    return store(gone, "removals")
 
 
 def _is_long(min_chars: int):
@@ -273,6 +265,8 @@ def near_equal_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_C
 
 def _joined(docs: DataFrame, edits: int, min_chars: int, hot: int) -> DataFrame:
     gone = _removals(docs, edits, min_chars, hot)
+    bytes_each = gone.agg(F.avg(64 + 24 * F.size("_gone") + 32 * F.size("_names"))).first()[0]
+    gone = small_side(gone, int(bytes_each or 0))
     return _with_keys(docs).join(gone, (F.col("_k1") == F.col("_d1")) & (F.col("_k2") == F.col("_d2")), "left")
 
 
