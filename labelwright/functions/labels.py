@@ -32,6 +32,19 @@ def vocabulary(df: DataFrame, label_col: str, max_classes: int = 10_000) -> list
     return list(class_counts(df, label_col, max_classes))
 
 
+def vocabulary_union(
+    versions: list[DataFrame], label_col: str, max_classes: int = 10_000
+) -> list[str]:
+    """Distinct labels of several versions of a table, ascending, so that they share an index."""
+    if not versions:
+        raise ValueError("at least one table is needed")
+    each = [df.select(F.col(label_col).cast("string").alias("label")) for df in versions]
+    whole = each[0]
+    for more in each[1:]:
+        whole = whole.unionByName(more)
+    return vocabulary(whole, "label", max_classes)
+
+
 def literal_array(labels: list[str]) -> Column:
     """The vocabulary as one constant, however many labels there are."""
     return F.from_json(F.lit(json.dumps(labels)), "array<string>")

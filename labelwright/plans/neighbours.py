@@ -16,6 +16,8 @@ from labelwright.operators.neighbours import (
 )
 from labelwright.operators.noise import LabelNoise, fit_label_noise
 from labelwright.operators.sampling import sample_exact
+from labelwright.functions.scaling import fit_scaler
+from labelwright.operators.split import train_test_split
 from labelwright.plans import inputs as I
 from labelwright.plans.catalog import query
 from labelwright.sources.scratch import store
@@ -27,13 +29,16 @@ def embedding_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def band_suspects(bands: DataFrame, levels: tuple[float, ...]) -> tuple[DataFrame, LabelNoise]:
-    """Flags at every noise level from one neighbour search."""
-    bands = store(bands, "bands")
+    """Flags at every noise level from one neighbour search over a stored table."""
     noise = fit_label_noise(bands, I.BANDS, levels)
     near = nearest_neighbours(feature_vectors(bands, I.BANDS))
     return D.neighbour_suspects(D.relabel(near, noise)), noise
 
 
+def stored_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return store(I.part_bands(spark, sf_dir), "bands")
+
+
 EMBEDDING_FLAGS = """pairs AS (SELECT n.id, n.label, b.label AS nlabel, b.id AS nid, u.d FROM
   (SELECT id, unnest(ns, recursive := true) FROM near) u JOIN near n ON n.id = u.id JOIN base b ON b.id = u.nid),
 flags AS (SELECT id, label, (count(*) FILTER (WHERE nlabel <> label))::INT AS disagreements,
@@ -108,7 +113,7 @@ ONE_LEVEL_SQL = (I.PART_BANDS_SQL, I.noisy_sql((0.1,)), I.SCALED_SQL, I.near_sql
     ),
 )
 def knn_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags, _ = band_suspects(I.part_bands(spark, sf_dir), (0.1,))
+    flags, _ = band_suspects(stored_bands(spark, sf_dir), (0.1,))
     return I.rounded(D.neighbour_detail(flags), "confidence_score", "distance")
 
 
@@ -123,7 +128,7 @@ def knn_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def suspicion_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags, _ = band_suspects(I.part_bands(spark, sf_dir), I.LEVELS)
+    flags, _ = band_suspects(stored_bands(spark, sf_dir), I.LEVELS)
     return I.rounded(D.suspicion_summary(flags, ("noise_level",)), "suspicion_rate")
 
 
@@ -138,7 +143,7 @@ def suspicion_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def suspicion_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags, _ = band_suspects(I.part_bands(spark, sf_dir), I.LEVELS)
+    flags, _ = band_suspects(stored_bands(spark, sf_dir), I.LEVELS)
     return I.rounded(D.suspicion_by_class(flags, ("noise_level",)), "ratio").orderBy(
         "noise_level", F.col("suspicious_rows").desc()
     )
@@ -184,7 +189,7 @@ def detection_effectiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def detection_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags, _ = band_suspects(I.part_bands(spark, sf_dir), I.LEVELS)
+    flags, _ = band_suspects(stored_bands(spark, sf_dir), I.LEVELS)
     return I.rounded(D.detection_roc(flags, ("noise_level",)), "tpr", "fpr")
 
 
@@ -193,8 +198,9 @@ def detection_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
     I.with_sql(*ONE_LEVEL_SQL, I.SUSPECTS_SQL, "SELECT id FROM suspects WHERE suspicious AND flipped"),
 )
 def suspects_confirmed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags, noise = band_suspects(I.part_bands(spark, sf_dir), (0.1,))
-    ledger = noise.flip(I.part_bands(spark, sf_dir), 0.1)
+    bands = stored_bands(spark, sf_dir)
+    flags, noise = band_suspects(bands, (0.1,))
+    ledger = noise.flip(bands, 0.1)
     return D.confirmed(flags, ledger)
 
 
@@ -208,8 +214,9 @@ def suspects_confirmed(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags, noise = band_suspects(I.part_bands(spark, sf_dir), (0.1,))
-    noisy = noise.flip(I.part_bands(spark, sf_dir), 0.1).drop("noise_level", "flipped")
+    bands = stored_bands(spark, sf_dir)
+    flags, noise = band_suspects(bands, (0.1,))
+    noisy = noise.flip(bands, 0.1).drop("noise_level", "flipped")
     return D.quarantine(noisy, flags, "id")
 
 
@@ -277,14 +284,11 @@ def confident_disagreement(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def knn_held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vote of the training neighbours on the held-out rows."""
-    return I.rounded(classification_metrics(held_out_votes(spark, sf_dir)), "value")
-
+    split = store(train_test_split(I.part_bands(spark, sf_dir), I.BANDS), "split")
+    return I.rounded(classification_metrics(held_out_votes(split)), "value")
 
-def held_out_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from labelwright.functions.scaling import fit_scaler
-    from labelwright.operators.split import train_test_split
 
-    split = store(train_test_split(I.part_bands(spark, sf_dir), I.BANDS), "split")
+def held_out_votes(split: DataFrame) -> DataFrame:
     train, test = split.where("not is_test"), split.where("is_test")
     scaler = fit_scaler(train, I.BANDS.feature_cols)
     near = nearest_neighbours(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from labelwright.functions.labels import encode, vocabulary, vocabulary_table
+from labelwright.functions.labels import encode, vocabulary, vocabulary_table, vocabulary_union
+from labelwright.functions.local import local_table
 from labelwright.functions.scaling import fit_scaler, raw_vector
 from labelwright.operators import noise as N
 from labelwright.operators.checks import class_distribution, label_shift
@@ -258,6 +259,19 @@ def folds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "label_vocabulary_union",
+    """SELECT label, (row_number() OVER (ORDER BY label) - 1)::INT AS label_idx FROM (
+         SELECT DISTINCT event_type AS label FROM events WHERE event_type <> 'view'
+         UNION SELECT DISTINCT event_type FROM events WHERE event_type <> 'click')""",
+)
+def label_vocabulary_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One index for two versions of a table that lack different classes."""
+    df = I.events(spark, sf_dir)
+    labels = vocabulary_union([df.where("event_type <> 'view'"), df.where("event_type <> 'click'")], "event_type")
+    return local_table(spark, [(label, i) for i, label in enumerate(labels)], "label string, label_idx int")
+
+
 # More rows than are sorted at once, in few classes, so that cuts are counted in rounds.
 PAIRS = LabelledSpec("id", ("q",), "label")
 PAIRS_SQL = """base AS (SELECT l_orderkey * 1000000 + l_partkey AS id, min(l_linestatus) AS label

@@ -142,7 +142,8 @@ def dataset_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_centroids(split.where("not is_test"), I.BANDS)
     noise = fit_label_noise(split, I.BANDS, LEVELS)
     test = split.where("is_test")
-    stacked = stack_datasets({f"noise_{level}": noise.flip(test, level) for level in LEVELS})
+    swept = noise.sweep(test)
+    stacked = swept.withColumn("dataset", F.concat(F.lit("noise_"), F.col("noise_level").cast("string")))
     return classification_metrics(model.score(stacked), ("dataset",))
 
 
@@ -298,7 +299,7 @@ def two_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     split = store(train_test_split(I.part_bands(spark, sf_dir), I.BANDS), "split")
     model = fit_centroids(split.where("not is_test"), I.BANDS)
     by_mean = model.score(split.where("is_test")).select("label", "prediction")
-    by_vote = held_out_votes(spark, sf_dir).select("label", "prediction")
+    by_vote = held_out_votes(split).select("label", "prediction")
     both = by_mean.withColumn("model", F.lit("centroid")).unionByName(
         by_vote.withColumn("model", F.lit("knn"))
     )
@@ -355,7 +356,7 @@ def best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def impact_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     metrics = level_metrics(spark, sf_dir)
     curve = metrics.where("metric = 'accuracy'").select("noise_level", F.col("value").alias("accuracy"))
-    flags, _ = band_suspects(I.part_bands(spark, sf_dir), LEVELS)
+    flags, _ = band_suspects(store(I.part_bands(spark, sf_dir), "bands"), LEVELS)
     return I.rounded(
         C.impact_summary(curve, suspicion_summary(flags, ("noise_level",))),
         "clean_accuracy",
