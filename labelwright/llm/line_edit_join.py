@@ -10,8 +10,8 @@ step per character moves the band down.
 Keys are counted first, and only lines that meet a different one are carried on; equal lines
 are one line with its first place. A segment that very many different lines share
 (``HOT`` or more) is not joined line by line: its lines are packed into blocks of bounded size,
-a probe meets a block as one row, and a cut-off edit distance thins the block before the
-bit-parallel one decides. Lines are classed by the connected components of their links.
+a probe meets a block as one row. Before a distance is computed, the counts of some characters
+must not differ by more than edits can change them. Lines are classed by the connected components of their links.
 
 Documents are addressed by id and two hashes of their text; rows equal in both are one
 document. Defined results: null is the empty text; lines are compared without outer blanks;
@@ -24,12 +24,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from labelwright.llm.components import components
-from labelwright.llm.rows import packed, small_side
+from labelwright.llm.rows import BROADCAST_BYTES, packed
 from labelwright.sources.scratch import store
 
 EDITS = 2
 MIN_CHARS = 40
-HOT = 64
+HOT = 16
+COUNTED = "etaoinshrdlucmfwgypbvkz ,."
 
 
 def _each(value: Column, f) -> Column:
@@ -55,6 +56,10 @@ def edit_distance(a: Column, b: Column, edits: int) -> Column:
 
     def run(s: Column) -> Column:
         def column(d: Column, j: Column) -> Column:
+            # The distance is at least the band's lowest row less its width.
+            return F.when(d["low"] > edits + width, d).otherwise(step(d, j))
+
+        def step(d: Column, j: Column) -> Column:
             # Rows of the band that hold the character of this column.
             equal = F.aggregate(
                 F.sequence(F.lit(0), F.lit(width - 1)),
@@ -112,24 +117,36 @@ def _segment(length: Column, part: int, edits: int) -> tuple[Column, Column]:
     return size * (part - 1) + before, size + F.when(longer >= edits + 2 - part, 1).otherwise(0)
 
 
-def segment_keys(text: Column, edits: int) -> Column:
+def segment_keys(wide: Column, n: Column, edits: int) -> Column:
     """Array of (key, index): hashes of the substrings that may be a segment of a line that is
     not longer, and whether the substring is a segment of this line under its own length.
 
-    A segment can only stand where the segments before and after it leave room for all edits.
+    ``wide`` is the line in four bytes a character, where cutting takes no counting, and ``n``
+    its characters. A segment can only stand where the segments before and after it leave room
+    for all edits.
     """
-    n = F.char_length(text)
     keys = []
     for less in range(edits + 1):
         for part in range(1, edits + 2):
             start, size = _segment(n - less, part, edits)
             left, right = part - 1, edits + 1 - part
             for shift in range(max(-left, less - right), min(left, less + right) + 1):
-                key = F.xxhash64(n - less, F.lit(part), F.substring(text, start + 1 + shift, size))
+                key = F.xxhash64(n - less, F.lit(part), F.substring(wide, 4 * (start + shift) + 1, 4 * size))
                 keys.append(F.struct(key.alias("key"), F.lit(less == 0 and shift == 0).alias("index")))
     return F.array(*keys)
 
 
+def character_counts(text: Column) -> Column:
+    """How often some characters stand in a line."""
+    whole = F.octet_length(text)
+    return F.array(*[whole - F.octet_length(F.replace(text, F.lit(c), F.lit(""))) for c in COUNTED])
+
+
+def may_be_near(a: Column, b: Column, edits: int) -> Column:
+    """An edit moves at most two counts by one each."""
+    return sum((F.abs(a[i] - b[i]) for i in range(len(COUNTED))), F.lit(0)) <= 2 * edits
+
+
 def _with_keys(docs: DataFrame) -> DataFrame:
     """The rows as _row, and their two keys."""
     text = F.coalesce("_row.text", F.lit(""))
@@ -152,25 +169,35 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_k1").alias("k1"), F.col("_k2").alias("k2"), F.col("_pos").alias("pos"))
 
 
-def _meetings(lines: DataFrame, edits: int) -> DataFrame:
-    """(_key, _index, _h1, _h2, _line) at keys where different lines meet.
+def _meetings(lines: DataFrame, edits: int) -> tuple[DataFrame, DataFrame]:
+    """(_key, _index, _h1, _h2) at keys where different lines meet, and those lines.
 
-    Keys are counted first, with nothing but hashes in the shuffle; only the lines of the few
-    keys with two different ones are carried on.
+    Keys are counted first, with nothing but hashes in the shuffle. If the keys with two
+    different lines are counted to fit, they are broadcast and the lines come along in the
+    same scan; else hashes are joined and the lines fetched by theirs.
     """
-    each = lines.select("_h1", "_h2", "_line", F.explode(segment_keys(F.col("_line"), edits)).alias("x"))
+    # Columns of their own, so that what the keys share is computed once.
+    wide = lines.select("_h1", "_h2", "_line", F.encode("_line", "UTF-32").alias("_wide"))
+    sized = wide.withColumn("_n", F.floor(F.octet_length("_wide") / 4).cast("int"))
+    keyed = sized.select("_h1", "_h2", "_line", segment_keys(F.col("_wide"), F.col("_n"), edits).alias("_keys"))
+    each = keyed.select("_h1", "_h2", "_line", F.explode("_keys").alias("x"))
     each = each.select(F.col("x.key").alias("_key"), F.col("x.index").alias("_index"), "_h1", "_h2", "_line")
     ends = each.groupBy(F.col("_key").alias("_shared")).agg(F.min("_h1").alias("_low"), F.max("_h1").alias("_high"), F.max("_index").alias("_any"))
     shared = store(ends.where("_low != _high and _any").select("_shared"), "shared")
-    met = each.join(small_side(shared, 16), F.col("_key") == F.col("_shared"))
-    return store(met.drop("_shared"), "met")
+    if shared.count() * 16 <= BROADCAST_BYTES:
+        met = store(each.join(F.broadcast(shared), F.col("_key") == F.col("_shared")).drop("_shared"), "met")
+        return met.drop("_line"), met.dropDuplicates(["_h1", "_h2"]).select("_h1", "_h2", "_line")
+    met = store(each.drop("_line").join(shared, F.col("_key") == F.col("_shared")).drop("_shared"), "met")
+    who = met.select(F.col("_h1").alias("_w1"), F.col("_h2").alias("_w2")).distinct()
+    texts = lines.select("_h1", "_h2", "_line").join(who, (F.col("_h1") == F.col("_w1")) & (F.col("_h2") == F.col("_w2")), "left_semi")
+    return met, texts.dropDuplicates(["_h1", "_h2"])
 
 
 def line_links(lines: DataFrame, edits: int = EDITS, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """Lines that met others (_id, _h1, _h2, _line), and (u, v, distance) of those within edits."""
-    met = _meetings(lines, edits)
-    some = met.dropDuplicates(["_h1", "_h2"]).select("_h1", "_h2", "_line")
-    some = store(some.withColumn("_id", F.monotonically_increasing_id()), "some")
+    met, some = _meetings(lines, edits)
+    some = some.withColumns({"_chars": character_counts(F.col("_line")), "_id": F.monotonically_increasing_id()})
+    some = store(some, "some")
     ids = some.select(F.col("_h1").alias("_g1"), F.col("_h2").alias("_g2"), "_id")
     members = met.join(ids, (F.col("_h1") == F.col("_g1")) & (F.col("_h2") == F.col("_g2"))).select("_key", "_index", "_id").distinct()
     members = store(members, "members")
@@ -181,21 +208,23 @@ def line_links(lines: DataFrame, edits: int = EDITS, hot: int = HOT) -> tuple[Da
     cold = index.join(busy, F.col("_key") == F.col("_hot"), "left_anti")
     together = cold.join(probes, (F.col("_key") == F.col("_probe")) & (F.col("_id") != F.col("_by")))
     pairs = together.select(F.greatest("_id", "_by").alias("u"), F.least("_id", "_by").alias("v")).distinct()
-    left = some.select(F.col("_id").alias("u"), F.col("_line").alias("_a"))
-    right = some.select(F.col("_id").alias("v"), F.col("_line").alias("_b"))
-    near = pairs.join(left, "u").join(right, "v").select("u", "v", "_a", "_b")
+    left = some.select(F.col("_id").alias("u"), F.col("_line").alias("_a"), F.col("_chars").alias("_ca"))
+    right = some.select(F.col("_id").alias("v"), F.col("_line").alias("_b"), F.col("_chars").alias("_cb"))
+    both = pairs.join(left, "u").join(right, "v")
+    near = both.where(may_be_near(F.col("_ca"), F.col("_cb"), edits)).select("u", "v", "_a", "_b")
     return some, _decided(near.unionByName(_hot_pairs(some, index, probes, busy, edits, hot)), edits)
 
 
 def _hot_pairs(lines: DataFrame, index: DataFrame, probes: DataFrame, busy: DataFrame, edits: int, hot: int) -> DataFrame:
-    """Pairs of lines that meet at a busy key and pass the cut-off distance."""
-    text = lines.select(F.col("_id").alias("_i"), "_line")
+    """Pairs of lines that meet at a busy key and whose character counts allow it."""
+    text = lines.select(F.col("_id").alias("_i"), "_line", "_chars")
     members = index.join(busy, F.col("_key") == F.col("_hot")).join(text, F.col("_id") == F.col("_i"))
-    block = F.pmod(F.xxhash64("_id"), F.ceil(F.col("_size") / hot).cast("long"))
-    blocks = members.groupBy("_key", block.alias("_block")).agg(F.collect_list(F.struct("_id", "_line")).alias("_many"))
-    asking = probes.join(busy, F.col("_probe") == F.col("_hot"), "left_semi").join(text.withColumnRenamed("_line", "_own"), F.col("_by") == F.col("_i"))
-    met = blocks.join(asking.select("_by", "_probe", "_own"), F.col("_key") == F.col("_probe"))
-    close = F.filter("_many", lambda x: (x["_id"] != F.col("_by")) & (F.levenshtein(x["_line"], F.col("_own"), edits) >= 0))
+    block = F.pmod(F.xxhash64("_id"), F.ceil(F.col("_size") / (4 * hot)).cast("long"))
+    blocks = members.groupBy("_key", block.alias("_block")).agg(F.collect_list(F.struct("_id", "_line", "_chars")).alias("_many"))
+    own = text.select("_i", F.col("_line").alias("_own"), F.col("_chars").alias("_own_chars"))
+    asking = probes.join(busy, F.col("_probe") == F.col("_hot"), "left_semi").join(own, F.col("_by") == F.col("_i"))
+    met = blocks.join(asking.select("_by", "_probe", "_own", "_own_chars"), F.col("_key") == F.col("_probe"))
+    close = F.filter("_many", lambda x: (x["_id"] != F.col("_by")) & may_be_near(x["_chars"], F.col("_own_chars"), edits))
     some = met.select("_by", "_own", close.alias("_close")).where(F.size("_close") > 0)
     each = some.select("_by", "_own", F.explode("_close").alias("x")).select("_by", "_own", F.col("x._id").alias("_id"), F.col("x._line").alias("_line"))
     up = F.col("_id") > F.col("_by")
@@ -228,7 +257,7 @@ def _removals(docs: DataFrame, edits: int, min_chars: int, hot: int) -> DataFram
     again = places.groupBy(F.col("_h1").alias("_a1"), F.col("_h2").alias("_a2")).agg(F.count(F.lit(1)).alias("_n"))
     affected = again.join(linked, (F.col("_a1") == F.col("_g1")) & (F.col("_a2") == F.col("_g2")), "left").where("_n > 1 or root is not null")
     affected = store(affected.select("_a1", "_a2", "root", F.coalesce("_n_links", F.lit(0)).cast("long").alias("_links")), "affected")
-    found = places.join(small_side(affected, 48), (F.col("_h1") == F.col("_a1")) & (F.col("_h2") == F.col("_a2")))
+    found = places.join(affected, (F.col("_h1") == F.col("_a1")) & (F.col("_h2") == F.col("_a2")))
     # A class is a component, or a single line.
     kind = F.struct(F.col("root").isNull().alias("single"), F.coalesce("root", "_h1").alias("x"), F.when(F.col("root").isNull(), F.col("_h2")).alias("y"))
     found = store(found.select("doc_id", "_k1", "_k2", "_pos", "_links", kind.alias("_class")).distinct(), "found")
@@ -265,8 +294,6 @@ def near_equal_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_C
 
 def _joined(docs: DataFrame, edits: int, min_chars: int, hot: int) -> DataFrame:
     gone = _removals(docs, edits, min_chars, hot)
-    bytes_each = gone.agg(F.avg(64 + 24 * F.size("_gone") + 32 * F.size("_names"))).first()[0]
-    gone = small_side(gone, int(bytes_each or 0))
     return _with_keys(docs).join(gone, (F.col("_k1") == F.col("_d1")) & (F.col("_k2") == F.col("_d2")), "left")
 
 
