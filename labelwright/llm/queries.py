@@ -6,8 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from labelwright.llm import oracles
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_line_frequency": oracles.LINE_FREQUENCY,
+    "op10_decontaminate": oracles.DECONTAMINATE,
+}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]):
