@@ -180,7 +180,8 @@ def _meetings(lines: DataFrame, edits: int) -> tuple[DataFrame, DataFrame]:
     wide = lines.select("_h1", "_h2", "_line", F.encode("_line", "UTF-32").alias("_wide"))
     sized = wide.withColumn("_n", F.floor(F.octet_length("_wide") / 4).cast("int"))
     keyed = sized.select("_h1", "_h2", "_line", segment_keys(F.col("_wide"), F.col("_n"), edits).alias("_keys"))
-    each = keyed.select("_h1", "_h2", "_line", F.explode("_keys").alias("x"))
+    # The outer form: for the inner one, the optimizer computes the array once more in a filter.
+    each = keyed.select("_h1", "_h2", "_line", F.explode_outer("_keys").alias("x"))
     each = each.select(F.col("x.key").alias("_key"), F.col("x.index").alias("_index"), "_h1", "_h2", "_line")
     ends = each.groupBy(F.col("_key").alias("_shared")).agg(F.min("_h1").alias("_low"), F.max("_h1").alias("_high"), F.max("_index").alias("_any"))
     shared = store(ends.where("_low != _high and _any").select("_shared"), "shared")
