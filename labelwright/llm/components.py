@@ -46,7 +46,7 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before or not now[0]:
             break
         before = now
-        down = store(_small_star(_large_star(down).distinct()), "links")
+        down = store(_small_star(_large_star(down)), "links")
     return down.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         down.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )

@@ -4,8 +4,8 @@ Five-word shingles are labelled with their occurrence in the text, so repeats co
 takes the three smallest labelled shingles under one hash and keeps them in text order, which
 makes agreement follow edit similarity and not only the set of shingles. Texts that agree in
 one of the sketches are candidates: every text is held against the hub of its bucket, the text
-that shares most places with others, and if it is not connected to it then against the next
-hub, as long as a round finds links. A link needs an alignment of the labelled shingles, in order and within the band that a similarity allows,
+that shares most places with others, and then against further hubs until all of the bucket is
+linked or a round finds no link. A link needs an alignment of the labelled shingles, in order and within the band that a similarity allows,
 that covers ``similarity`` of both texts' shingles; texts whose parts were moved are taken on
 the Jaccard similarity of their shingle sets.
 
@@ -194,44 +194,45 @@ def _shared_buckets(sketched: DataFrame) -> DataFrame:
 
 
 def linked_texts(sketched: DataFrame, keyed: DataFrame, size: int, wanted: float) -> DataFrame:
-    """(node, root) of the texts that are linked to another one.
+    """Similar pairs (u, v) of distinct texts, enough of them to connect every class.
 
-    A round holds the members of each bucket against one of them, its hub; the next round
-    takes the next hub, and only members of other components than the hub's are compared.
+    A round holds the members of each bucket against one of them, its hub, and the next round
+    against the next hub. Linked members carry the label of the hub that shares most; only
+    members with another label than the hub are compared, and a bucket of one label is done.
     """
     spark = sketched.sparkSession
-    members = _shared_buckets(sketched)
+    members = _shared_buckets(sketched).withColumn("_label", F.col("_id"))
     chosen = sketched.join(members.select("_id").distinct(), "_id", "left_semi").select("_id", F.col("_k1").alias("_p"), F.col("_k2").alias("_q"))
     texts = keyed.select("_k1", "_k2", "_text").join(chosen, (F.col("_k1") == F.col("_p")) & (F.col("_k2") == F.col("_q")))
     texts = store(texts.select("_id", "_text").dropDuplicates(["_id"]), "texts")
-    found = spark.createDataFrame([], "u long, v long")
-    tried = spark.createDataFrame([], "u long, v long")
-    roots = spark.createDataFrame([], "node long, root long")
-    hubs_left, rounds = members, 0
+    found, tried = None, spark.createDataFrame([], "u long, v long")
     while True:
-        rounds += 1
-        hubs = hubs_left.groupBy(F.col("_band").alias("_b"), F.col("_value").alias("_v")).agg(F.max("_rank").alias("_top"))
-        hubs = hubs.select("_b", "_v", (-F.col("_top._minus")).alias("_hub"))
-        same = (F.col("_band") == F.col("_b")) & (F.col("_value") == F.col("_v"))
-        met = members.join(hubs, same).where("_id != _hub").select(F.greatest("_id", "_hub").alias("u"), F.least("_id", "_hub").alias("v")).distinct()
-        if rounds > 1:
-            met = met.join(tried, ["u", "v"], "left_anti")
-            met = met.join(roots.select(F.col("node").alias("u"), F.col("root").alias("_ru")), "u", "left")
-            met = met.join(roots.select(F.col("node").alias("v"), F.col("root").alias("_rv")), "v", "left")
-            met = met.where(F.coalesce("_ru", "u") != F.coalesce("_rv", "v")).select("u", "v")
-        met = store(met, "pairs")
-        good = store(_verified(met, texts, size, wanted), "good")
-        found, tried = found.unionByName(good), tried.unionByName(met)
-        if rounds > 1 and good.isEmpty():
-            return roots
-        roots = components(found)
-        hubs_left = store(hubs_left.join(hubs, same & (F.col("_id") == F.col("_hub")), "left_anti"), "members")
+        top = F.max(F.struct("_rank", "_label")).alias("_top")
+        hubs = members.groupBy(F.col("_band").alias("_b"), F.col("_value").alias("_v")).agg(top, F.min("_label").alias("_low"), F.max("_label").alias("_high"))
+        hubs = hubs.where("_low != _high").select("_b", "_v", F.col("_top._rank").alias("_hub_rank"), F.col("_top._label").alias("_hub_label"))
+        hub = -F.col("_hub_rank._minus")
+        met = members.join(hubs, (F.col("_band") == F.col("_b")) & (F.col("_value") == F.col("_v"))).where(F.col("_id") != hub).drop("_b", "_v")
+        met = store(met.withColumns({"u": F.greatest("_id", hub), "v": F.least("_id", hub)}), "met")
+        fresh = met.where("_label != _hub_label").select("u", "v").distinct()
+        if found is not None:
+            fresh = fresh.join(tried, ["u", "v"], "left_anti")
+        fresh = store(fresh, "pairs")
+        good = store(_verified(fresh, texts, size, wanted), "good")
+        if found is not None and good.isEmpty():
+            return found
+        found = good if found is None else found.unionByName(good)
+        tried = tried.unionByName(fresh)
+        best = F.max(F.struct("_hub_rank", "_hub_label"))
+        labels = met.join(good, ["u", "v"]).groupBy(F.col("_id").alias("_i")).agg(best.alias("_best"))
+        members = met.join(labels, F.col("_id") == F.col("_i"), "left").select(
+            "_id", "_band", "_value", "_rank", F.coalesce("_best._hub_label", "_label").alias("_label")
+        )
 
 
 def _classes(keyed: DataFrame, size: int, wanted: float, count: int, kept: int) -> DataFrame:
     """Per distinct text with a word: its class, and the text and document that stand for the class."""
     sketched = _sketched(keyed, size, count, kept)
-    found = linked_texts(sketched, keyed, size, wanted)
+    found = components(linked_texts(sketched, keyed, size, wanted))
     sizes = keyed.groupBy(F.col("_k1").alias("_p"), F.col("_k2").alias("_q")).agg(F.min("doc_id").alias("_least"), F.count(F.lit(1)).alias("_copies"))
     named = sketched.select("_id", "_k1", "_k2").join(sizes, (F.col("_k1") == F.col("_p")) & (F.col("_k2") == F.col("_q")))
     named = named.join(found, F.col("_id") == F.col("node"), "left").select("_p", "_q", "_least", "_copies", F.coalesce("root", "_id").alias("_root"))
