@@ -8,7 +8,8 @@ blocks of a declared article are never deleted by recurrence, only containers ar
 passage that articles share stays.
 
 The number of templates of a host is not collected anywhere: subtrees are joined with the
-templates by (host, hash) and brought back by row number.
+templates by (host, hash) and brought back by row number, by broadcast if the pages that hold
+any are counted to fit, else by a shuffle.
 
 Defined results: null or empty html has the text ""; a url without a host counts under the
 empty host; equal rows are pages of their own; broken markup is read as browsers roughly do.
@@ -24,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from labelwright.llm.rows import small_side
 from labelwright.sources.scratch import store
 
 MIN_PAGES = 5
@@ -274,7 +276,9 @@ def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = M
     each = rows.select("_at", "_host", F.explode(F.array_distinct("_hashes")).alias("_hash")).where("_hash != 0")
     common = templates(rows, min_pages, min_share)
     found = each.join(common, (F.col("_host") == F.col("_h")) & (F.col("_hash") == F.col("_t")))
-    gone = found.groupBy(F.col("_at").alias("_a")).agg(F.collect_set("_hash").alias("_gone"))
+    gone = store(found.groupBy(F.col("_at").alias("_a")).agg(F.collect_set("_hash").alias("_gone")), "gone")
+    n_gone = gone.agg(F.avg(32 + 8 * F.size("_gone"))).first()[0] or 0
+    gone = small_side(gone, int(n_gone))
     out = rows.select("_at", "_row", "_hashes", "_parents", "_where", "_texts").join(gone, F.col("_at") == F.col("_a"), "left")
     source = out.select("_row", "_hashes", "_parents", "_where", "_texts", F.coalesce("_gone", F.array().cast("array<long>")).alias("_gone"))
     kind = source.schema["_row"].dataType.simpleString()
