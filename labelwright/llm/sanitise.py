@@ -17,7 +17,6 @@ are compared in lower case.
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
@@ -271,6 +270,3 @@ def sanitised(docs: DataFrame, around: int = AROUND, support: int = SUPPORT, sha
 
     return source.mapInArrow(cut, f"doc_id {key}, text string")
 
-
-def digest(spans: list[tuple[int, int, int]]) -> str:
-    return hashlib.sha256(",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans).encode()).hexdigest()
