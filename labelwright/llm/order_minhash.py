@@ -197,16 +197,17 @@ def linked_texts(sketched: DataFrame, keyed: DataFrame, size: int, wanted: float
     """Similar pairs (u, v) of distinct texts, enough of them to connect every class.
 
     A round holds the members of each bucket against one of them, its hub, and the next round
-    against the next hub. Linked members carry the label of the hub that shares most; only
-    members with another label than the hub are compared, and a bucket of one label is done.
+    against the next hub. Linked members carry the label of their component after the first
+    round, and later that of the hub that shares most; only members with another label than the hub are compared, and a bucket of one label is done.
     """
     spark = sketched.sparkSession
     members = _shared_buckets(sketched).withColumn("_label", F.col("_id"))
     chosen = sketched.join(members.select("_id").distinct(), "_id", "left_semi").select("_id", F.col("_k1").alias("_p"), F.col("_k2").alias("_q"))
     texts = keyed.select("_k1", "_k2", "_text").join(chosen, (F.col("_k1") == F.col("_p")) & (F.col("_k2") == F.col("_q")))
     texts = store(texts.select("_id", "_text").dropDuplicates(["_id"]), "texts")
-    found, tried = None, spark.createDataFrame([], "u long, v long")
+    found, tried, rounds = None, spark.createDataFrame([], "u long, v long"), 0
     while True:
+        rounds += 1
         top = F.max(F.struct("_rank", "_label")).alias("_top")
         hubs = members.groupBy(F.col("_band").alias("_b"), F.col("_value").alias("_v")).agg(top, F.min("_label").alias("_low"), F.max("_label").alias("_high"))
         hubs = hubs.where("_low != _high").select("_b", "_v", F.col("_top._rank").alias("_hub_rank"), F.col("_top._label").alias("_hub_label"))
@@ -222,8 +223,12 @@ def linked_texts(sketched: DataFrame, keyed: DataFrame, size: int, wanted: float
             return found
         found = good if found is None else found.unionByName(good)
         tried = tried.unionByName(fresh)
-        best = F.max(F.struct("_hub_rank", "_hub_label"))
-        labels = met.join(good, ["u", "v"]).groupBy(F.col("_id").alias("_i")).agg(best.alias("_best"))
+        best = F.max(F.struct("_hub_rank", "_hub_label")).alias("_best")
+        if rounds == 1:
+            # The first round finds most links; later ones need to look between its components only.
+            labels = components(good).select(F.col("node").alias("_i"), F.struct(F.col("root").alias("_hub_label")).alias("_best"))
+        else:
+            labels = met.join(good, ["u", "v"]).groupBy(F.col("_id").alias("_i")).agg(best)
         members = met.join(labels, F.col("_id") == F.col("_i"), "left").select(
             "_id", "_band", "_value", "_rank", F.coalesce("_best._hub_label", "_label").alias("_label")
         )
