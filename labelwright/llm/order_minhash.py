@@ -3,14 +3,17 @@
 Five-word shingles are labelled with their occurrence in the text, so repeats count. A sketch
 takes the three smallest labelled shingles under one hash and keeps them in text order, which
 makes agreement follow edit similarity and not only the set of shingles. Texts that agree in
-one of the sketches are candidates: every text is held against the hub of its bucket, the text
-that shares most places with others, and then against further hubs until all of the bucket is
-linked or a round finds no link. A link needs an alignment of the labelled shingles, in order and within the band that a similarity allows,
-that covers ``similarity`` of both texts' shingles; texts whose parts were moved are taken on
-the Jaccard similarity of their shingle sets.
-
-Equal texts are one text from the start. Each text is in one bucket per sketch, and a round
-gives one pair per member of a bucket, so work grows with the input whatever a group's size.
+one of the sketches are candidates, and every candidate pair is verified unless other links
+connect it. Every text is first held against the hub of its bucket, the text that shares most
+places with others, in two rounds that give one pair per member. What is still of different
+labels in one bucket is then held against one another: pair by pair in small buckets, in blocks
+in large ones, where a block of texts meets another as one row and shared shingles are counted
+by matrix products. A link needs an alignment of the labelled shingles, in order and within the
+band that a similarity allows, that covers ``similarity`` of both texts' shingles; texts whose
+parts were moved are taken on the Jaccard similarity of their shingle sets.
+
+Equal texts are one text from the start. Rows grow with the input whatever a group's size; the
+counting in blocks grows with the square of the texts of a bucket that hubs do not link.
 
 Defined results: texts of one to four words have one shingle, the words themselves; null texts
 and texts without a word are alike to nothing, each of them its own class; classes are named by
@@ -34,6 +37,13 @@ SHINGLE = 5
 SIMILARITY = 0.8
 SKETCHES = 20
 KEPT = 3
+HUB_ROUNDS = 2
+#: Members of an open bucket up to which its pairs are rows of their own; members and bytes of a block beyond.
+PAIRED = 12
+BLOCK = 256
+BLOCK_BYTES = 1 << 20
+#: Distinct shingles that a matrix product takes at once.
+WIDE = 4096
 
 _WORD = arrays.table(r"[^\x20\x09-\x0D]")
 
@@ -193,21 +203,23 @@ def _shared_buckets(sketched: DataFrame) -> DataFrame:
     return store(ranked.select("_id", "_band", "_value", F.struct("_shared", (-F.col("_id")).alias("_minus")).alias("_rank")), "members")
 
 
-def linked_texts(sketched: DataFrame, keyed: DataFrame, size: int, wanted: float) -> DataFrame:
+def linked_texts(
+    sketched: DataFrame, keyed: DataFrame, size: int, wanted: float, rounds: int = HUB_ROUNDS, paired: int = PAIRED, block: int = BLOCK
+) -> DataFrame:
     """Similar pairs (u, v) of distinct texts, enough of them to connect every class.
 
     A round holds the members of each bucket against one of them, its hub, and the next round
-    against the next hub. Linked members carry the label of their component after the first
-    round, and later that of the hub that shares most; only members with another label than the hub are compared, and a bucket of one label is done.
+    against the next hub. Linked members carry the label of their component; only members with
+    another label than the hub are compared, and a bucket of one label is done. After the rounds
+    every pair of different labels that is left in a bucket is verified.
     """
     spark = sketched.sparkSession
     members = _shared_buckets(sketched).withColumn("_label", F.col("_id"))
     chosen = sketched.join(members.select("_id").distinct(), "_id", "left_semi").select("_id", F.col("_k1").alias("_p"), F.col("_k2").alias("_q"))
     texts = keyed.select("_k1", "_k2", "_text").join(chosen, (F.col("_k1") == F.col("_p")) & (F.col("_k2") == F.col("_q")))
     texts = store(texts.select("_id", "_text").dropDuplicates(["_id"]), "texts")
-    found, tried, rounds = None, spark.createDataFrame([], "u long, v long"), 0
-    while True:
-        rounds += 1
+    found = tried = spark.createDataFrame([], "u long, v long")
+    for _ in range(rounds):
         top = F.max(F.struct("_rank", "_label")).alias("_top")
         hubs = members.groupBy(F.col("_band").alias("_b"), F.col("_value").alias("_v")).agg(top, F.min("_label").alias("_low"), F.max("_label").alias("_high"))
         hubs = hubs.where("_low != _high").select("_b", "_v", F.col("_top._rank").alias("_hub_rank"), F.col("_top._label").alias("_hub_label"))
@@ -215,23 +227,141 @@ def linked_texts(sketched: DataFrame, keyed: DataFrame, size: int, wanted: float
         met = members.join(hubs, (F.col("_band") == F.col("_b")) & (F.col("_value") == F.col("_v"))).where(F.col("_id") != hub).drop("_b", "_v")
         met = store(met.withColumns({"u": F.greatest("_id", hub), "v": F.least("_id", hub)}), "met")
         fresh = met.where("_label != _hub_label").select("u", "v").distinct()
-        if found is not None:
-            fresh = fresh.join(tried, ["u", "v"], "left_anti")
-        fresh = store(fresh, "pairs")
-        good = store(_verified(fresh, texts, size, wanted), "good")
-        if found is not None and good.isEmpty():
-            return found
-        found = good if found is None else found.unionByName(good)
+        fresh = store(fresh.join(tried, ["u", "v"], "left_anti"), "pairs")
+        found = found.unionByName(store(_verified(fresh, texts, size, wanted), "good"))
         tried = tried.unionByName(fresh)
-        best = F.max(F.struct("_hub_rank", "_hub_label")).alias("_best")
-        if rounds == 1:
-            # The first round finds most links; later ones need to look between its components only.
-            labels = components(good).select(F.col("node").alias("_i"), F.struct(F.col("root").alias("_hub_label")).alias("_best"))
-        else:
-            labels = met.join(good, ["u", "v"]).groupBy(F.col("_id").alias("_i")).agg(best)
-        members = met.join(labels, F.col("_id") == F.col("_i"), "left").select(
-            "_id", "_band", "_value", "_rank", F.coalesce("_best._hub_label", "_label").alias("_label")
-        )
+        labels = components(found).select(F.col("node").alias("_i"), F.col("root").alias("_root"))
+        members = met.join(labels, F.col("_id") == F.col("_i"), "left").select("_id", "_band", "_value", "_rank", F.coalesce("_root", "_id").alias("_label"))
+    open_ = members.groupBy(F.col("_band").alias("_b"), F.col("_value").alias("_v")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_label").alias("_low"), F.max("_label").alias("_high")
+    )
+    rest = members.join(open_.where("_low != _high"), (F.col("_band") == F.col("_b")) & (F.col("_value") == F.col("_v")))
+    rest = store(rest.select("_id", "_band", "_value", "_label", "_n"), "rest")
+    few = _pairs_left(rest.where(F.col("_n") <= paired), tried)
+    found = found.unionByName(store(_verified(few, texts, size, wanted), "good"))
+    many = _blocks_left(rest.where(F.col("_n") > paired), sketched, texts, block)
+    return found.unionByName(store(_verified_blocks(many, size, wanted), "good"))
+
+
+def _pairs_left(rest: DataFrame, tried: DataFrame) -> DataFrame:
+    """Untested pairs (u, v) of different labels in one bucket."""
+    left = rest.select("_band", "_value", F.col("_id").alias("u"), F.col("_label").alias("_lu"))
+    right = rest.select(F.col("_band").alias("_b"), F.col("_value").alias("_v"), F.col("_id").alias("v"), F.col("_label").alias("_lv"))
+    met = left.join(right, (F.col("_band") == F.col("_b")) & (F.col("_value") == F.col("_v")) & (F.col("u") > F.col("v")) & (F.col("_lu") != F.col("_lv")))
+    return met.select("u", "v").distinct().join(tried, ["u", "v"], "left_anti")
+
+
+def _blocks_left(rest: DataFrame, sketched: DataFrame, texts: DataFrame, block: int) -> DataFrame:
+    """(_band, _same, _left, _right): every two blocks of a bucket, and each with itself; blocks hold texts."""
+    held = rest.join(sketched.select(F.col("_id").alias("_i"), "_sketches"), F.col("_id") == F.col("_i")).drop("_i")
+    held = held.join(texts.select(F.col("_id").alias("_i"), "_text"), F.col("_id") == F.col("_i")).drop("_i")
+    held = store(held, "held")
+    sizes = held.groupBy(F.col("_band").alias("_b"), F.col("_value").alias("_v")).agg(
+        F.ceil(F.greatest(F.max("_n") / block, F.sum(F.octet_length("_text")) / BLOCK_BYTES)).cast("int").alias("_blocks")
+    )
+    dealt = held.join(sizes, (F.col("_band") == F.col("_b")) & (F.col("_value") == F.col("_v")))
+    dealt = dealt.withColumn("_block", F.pmod(F.xxhash64("_id"), F.col("_blocks")).cast("int"))
+    one = F.collect_list(F.struct("_id", "_label", "_sketches", "_text"))
+    blocks = store(dealt.groupBy("_band", "_value", "_blocks", "_block").agg(one.alias("_many")), "blocks")
+    # A block goes to every block from its own on, so that a bucket's meetings are dealt out one by one.
+    left = blocks.select("_band", "_value", F.col("_block").alias("_from"), F.col("_many").alias("_left"), F.explode(F.sequence(F.col("_block"), F.col("_blocks") - 1)).alias("_to"))
+    right = blocks.select(F.col("_band").alias("_b"), F.col("_value").alias("_v"), F.col("_block").alias("_at"), F.col("_many").alias("_right"))
+    met = left.join(right, (F.col("_band") == F.col("_b")) & (F.col("_value") == F.col("_v")) & (F.col("_to") == F.col("_at")))
+    return met.select("_band", (F.col("_from") == F.col("_to")).alias("_same"), "_left", "_right")
+
+
+def jaccard(a: np.ndarray, ra: np.ndarray, na: int, b: np.ndarray, rb: np.ndarray, nb: int) -> np.ndarray:
+    """Similarity of every set of one side to every set of the other: hashes without repeats in a row, and their rows."""
+    both = np.zeros((na, nb), np.float64)
+    if a is b:  # one side with itself: what a single row has is shared by none
+        common, times = np.unique(a, return_counts=True)
+        common = common[times > 1]
+    else:
+        common = np.intersect1d(a, b)
+    sides = []
+    for hashes, rows in ((a, ra), (b, rb)):
+        at = np.minimum(np.searchsorted(common, hashes), max(len(common) - 1, 0))
+        here = np.flatnonzero(common[at] == hashes) if len(common) else np.zeros(0, np.int64)
+        by = here[np.argsort(at[here], kind="stable")]
+        sides.append((at[by], rows[by]))
+    for first in range(0, len(common), WIDE):
+        width = min(WIDE, len(common) - first)
+        filled = []
+        for (at, rows), n in zip(sides, (na, nb)):
+            lo, hi = np.searchsorted(at, (first, first + width))
+            matrix = np.zeros((n, width), np.float32)
+            matrix[rows[lo:hi], at[lo:hi] - first] = 1
+            filled.append(matrix)
+        both += filled[0] @ filled[1].T
+    total = np.bincount(ra, minlength=na)[:, None] + np.bincount(rb, minlength=nb)[None, :]
+    return both / np.maximum(total - both, 1)
+
+
+class _Block:
+    """The texts of a block: ids, labels, sketches, shingles, labelled shingles and distinct ones."""
+
+    def __init__(self, many: pa.StructArray, size: int):
+        self.ids, self.labels = (many.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        self.n = len(self.ids)
+        self.sketches = many.field(2).flatten().to_numpy(zero_copy_only=False).reshape(self.n, -1)
+        self.hashes, self.owner = shingles(*arrays.flat(many.field(3)), size)
+        self.marked = labelled(self.hashes, self.owner)
+        self.bounds = np.searchsorted(self.owner, np.arange(self.n + 1))
+        by = np.lexsort((self.hashes, self.owner))
+        h, o = self.hashes[by], self.owner[by]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
+        self.kinds, self.kind_owner = h[new], o[new]
+
+    def text(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        at = slice(self.bounds[k], self.bounds[k + 1])
+        return self.hashes[at], self.marked[at]
+
+
+def links_between(a: _Block, b: _Block, same: bool, band: int, wanted: float) -> list[tuple[int, int]]:
+    """Similar pairs of two blocks of a bucket, enough of them to connect what is similar."""
+    asked = a.labels[:, None] != b.labels[None, :]
+    if same:
+        asked = np.triu(asked, 1)
+    # Two texts that share an earlier bucket have met there.
+    for t in range(band):
+        asked &= a.sketches[:, t][:, None] != b.sketches[:, t][None, :]
+    if not asked.any():
+        return []
+    sets = jaccard(a.kinds, a.kind_owner, a.n, b.kinds, b.kind_owner, b.n) >= wanted
+    # No alignment covers more than the labelled shingles that both texts have; the margin is for rounding only.
+    may = jaccard(a.marked, a.owner, a.n, b.marked, b.owner, b.n) >= wanted - 1e-9
+    parent: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while parent.setdefault(x, x) != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    good = []
+    for i, j in np.argwhere(asked & (sets | may)).tolist():
+        x, y = find(int(a.labels[i])), find(int(b.labels[j]))
+        if x != y and (sets[i, j] or similarity(*a.text(i), *b.text(j), wanted) >= wanted):
+            parent[x] = y
+            good.append((max(int(a.ids[i]), int(b.ids[j])), min(int(a.ids[i]), int(b.ids[j]))))
+    return good
+
+
+def _verified_blocks(meetings: DataFrame, size: int, wanted: float) -> DataFrame:
+    """Pairs (u, v) of blocks that are similar enough."""
+
+    def verified(batches):
+        for batch in batches:
+            for k in range(len(batch)):
+                row = batch.slice(k, 1)
+                same = row.column(1)[0].as_py()
+                left = _Block(row.column(2).flatten(), size)
+                right = left if same else _Block(row.column(3).flatten(), size)
+                good = links_between(left, right, same, row.column(0)[0].as_py(), wanted)
+                yield pa.RecordBatch.from_pydict({"u": pa.array([g[0] for g in good], pa.int64()), "v": pa.array([g[1] for g in good], pa.int64())})
+
+    # A row holds two blocks, so batches are short.
+    return meetings.mapInArrow(verified, "u long, v long")
 
 
 def _classes(keyed: DataFrame, size: int, wanted: float, count: int, kept: int) -> DataFrame:

@@ -109,6 +109,39 @@ def test_moved_parts_are_found_by_sets():
     assert O.similarity(*sides) > 0.9
 
 
+def variants(n, changed, seed):
+    """Copies of one text with words replaced, most pairs of them just under the similarity."""
+    rng = random.Random(seed)
+    base, rows = [f"w{i}" for i in range(300)], []
+    for d in range(n):
+        copy = list(base)
+        for at in rng.sample(range(250), changed):
+            copy[at] = f"v{d}x{at}"
+        rows.append((d, " ".join(copy)))
+    return rows
+
+
+def test_every_candidate_of_a_group_just_under_the_similarity_is_verified(spark):
+    rows = variants(300, 5, 2)
+    want = dict(brute(rows))
+    assert 100 < len(set(want.values())) < 290
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert dict(O.near_duplicates(docs).select("doc_id", "class_id").collect()) == want
+
+
+def test_small_blocks_and_pairs_find_the_same(spark):
+    rows = variants(90, 4, 3)
+    want = roots([r[0] for r in rows], [])
+    keyed = O._keyed(spark.createDataFrame(rows, "doc_id long, text string"))
+    sketched = O._sketched(keyed, O.SHINGLE, O.SKETCHES, O.KEPT)
+    names = sketched.join(keyed, ["_k1", "_k2"]).select("_id", "doc_id")
+    ids = {r._id: r.doc_id for r in names.collect()}
+    for paired, block in ((0, 8), (0, 1000), (10**6, 8)):
+        links = O.linked_texts(sketched, keyed, O.SHINGLE, O.SIMILARITY, rounds=1, paired=paired, block=block)
+        root = roots(list(want), [(ids[r.u], ids[r.v]) for r in links.collect()])
+        assert sorted(root.items()) == sorted(brute(rows))
+
+
 def test_real_rows(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     rows = [tuple(r) for r in docs.collect()]
