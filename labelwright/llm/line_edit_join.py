@@ -15,8 +15,10 @@ must not differ by more than edits can change them. Lines are classed by the con
 
 Documents are addressed by id and two hashes of their text; rows equal in both are one
 document. Defined results: null is the empty text; lines are compared without outer blanks;
-lines of fewer than ``min_chars`` characters take no part and are never removed; the first place
-of a class, by document id and then by place, is the one that stays.
+lines of fewer than ``min_chars`` characters, by default the fewest that the method can hold against
+one another, take no part and are never removed, unless ``shorter`` is asked for: then they are
+held for equality, as two edits turn a short line into any other. The first place of a class, by
+document id and then by place, is the one that stays. Blank lines always stay.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from labelwright.llm.rows import BROADCAST_BYTES, packed
 from labelwright.sources.scratch import store
 
 EDITS = 2
-MIN_CHARS = 40
+#: Below, a segment and the places where it may stand would overlap those of the next.
+MIN_CHARS = (EDITS + 1) ** 2
 HOT = 16
 COUNTED = "etaoinshrdlucmfwgypbvkz ,."
 
@@ -242,13 +245,13 @@ def _decided(pairs: DataFrame, edits: int) -> DataFrame:
     return judged.where("distance is not null").groupBy("u", "v").agg(F.min("distance").alias("distance"))
 
 
-def _removals(docs: DataFrame, edits: int, min_chars: int, hot: int) -> DataFrame:
+def _removals(docs: DataFrame, edits: int, min_chars: int, hot: int, shorter: bool) -> DataFrame:
     """Per document key: links of its lines, places to remove, class names."""
     if min_chars < (edits + 1) ** 2:
         raise ValueError(f"{edits} edits need lines of at least {(edits + 1) ** 2} characters")
-    lines = _lines(docs, min_chars)
+    lines = _lines(docs, 1 if shorter else min_chars)
     places = store(lines.drop("_line"), "places")
-    some, links = line_links(lines, edits, hot)
+    some, links = line_links(lines.where(F.char_length("_line") >= min_chars), edits, hot)
     links = store(links, "links")
     both = links.select(F.col("u").alias("_l")).unionAll(links.select(F.col("v").alias("_l")))
     counts = both.groupBy("_l").agg(F.count(F.lit(1)).alias("_n_links"))
@@ -279,13 +282,13 @@ def _is_long(min_chars: int):
     return lambda line: F.char_length(F.trim(line)) >= min_chars
 
 
-def near_equal_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, hot: int = HOT) -> DataFrame:
+def near_equal_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, hot: int = HOT, shorter: bool = False) -> DataFrame:
     """One row per document: n_lines, n_links of them to different lines, n_removed, kept_sha256, classes."""
-    joined = _joined(docs.select("doc_id", "text"), edits, min_chars, hot)
+    joined = _joined(docs.select("doc_id", "text"), edits, min_chars, hot, shorter)
     lines = F.split(F.coalesce("_row.text", F.lit("")), "\n")
     return joined.select(
         "_row.doc_id",
-        F.size(F.filter(lines, _is_long(min_chars))).cast("long").alias("n_lines"),
+        F.size(F.filter(lines, _is_long(1 if shorter else min_chars))).cast("long").alias("n_lines"),
         F.coalesce("_n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
         F.sha2(_left(), 256).alias("kept_sha256"),
@@ -293,8 +296,8 @@ def near_equal_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_C
     )
 
 
-def _joined(docs: DataFrame, edits: int, min_chars: int, hot: int) -> DataFrame:
-    gone = _removals(docs, edits, min_chars, hot)
+def _joined(docs: DataFrame, edits: int, min_chars: int, hot: int, shorter: bool) -> DataFrame:
+    gone = _removals(docs, edits, min_chars, hot, shorter)
     return _with_keys(docs).join(gone, (F.col("_k1") == F.col("_d1")) & (F.col("_k2") == F.col("_d2")), "left")
 
 
@@ -305,9 +308,9 @@ def _left() -> Column:
     return F.when(F.size("_gone") > 0, rest).otherwise(F.coalesce("_row.text", F.lit("")))
 
 
-def without_near_equal_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, hot: int = HOT) -> DataFrame:
+def without_near_equal_lines(docs: DataFrame, edits: int = EDITS, min_chars: int = MIN_CHARS, hot: int = HOT, shorter: bool = False) -> DataFrame:
     """The rows of docs with lines removed; a row that loses all its words with them goes too."""
-    joined = _joined(docs, edits, min_chars, hot)
+    joined = _joined(docs, edits, min_chars, hot, shorter)
     text = F.when(F.size("_gone") > 0, _left()).otherwise(F.col("_row.text"))
     left = joined.where(~((F.coalesce(F.size("_gone"), F.lit(0)) > 0) & (F.trim(F.translate(_left(), "\n\t\r", "   ")) == "")))
     return left.select(*[text.alias("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns])

@@ -93,7 +93,7 @@ def op3_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelwright.llm import line_edit_join
 
-    return line_edit_join.near_equal_lines(_table(spark, sf_dir, "documents"))
+    return line_edit_join.near_equal_lines(_table(spark, sf_dir, "documents"), shorter=True)
 
 
 @query

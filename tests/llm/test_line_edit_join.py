@@ -115,6 +115,19 @@ def test_lines(spark, hot):
         assert [x for x in left if x != empty] == sorted(x for x in gone if x != empty)
 
 
+def test_the_query_holds_short_lines_against_one_another(spark, tmp_path):
+    from labelwright.llm.queries import QUERIES
+
+    rows = [(1, "All rights kept\nAnd.\nThe."), (2, "All rights kept\nits own line of words\nAnd."), (3, "All right kept.\nAnd\n\n\n"), (4, "123456789\n12345678")]
+    rows += [(5, "12345678\n1234567"), (6, "x123456789"), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_lines, r.n_links, r.n_removed) for r in QUERIES["op8_line_edit_join"](spark, str(tmp_path)).collect()}
+    # Nine characters and more within two edits, shorter ones if they are equal.
+    assert got == {1: (3, 1, 0), 2: (3, 1, 2), 3: (2, 1, 1), 4: (2, 1, 0), 5: (2, 0, 1), 6: (1, 1, 1), 7: (0, 0, 0)}
+    assert sorted(map(tuple, L.near_equal_lines(docs).collect()), key=str) == brute(rows, 2, 9)
+
+
 def test_real_rows(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").where("doc_id < 30")
     rows = [tuple(r) for r in docs.collect()]
