@@ -96,6 +96,13 @@ def op8_line_edit_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_edit_join.near_equal_lines(_table(spark, sf_dir, "documents"), shorter=True)
 
 
+@query
+def op11_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelwright.llm import byte_network
+
+    return byte_network.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
