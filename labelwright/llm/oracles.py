@@ -37,3 +37,21 @@ base AS (SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transf
 judged AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM base)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
   NOT base_failed AND n_lost_words <= 0.5 * n_words AS kept, n_frequent_lines, n_lost_words FROM judged"""
+
+COLLOCATIONS = f"""WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}') AS x FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(x, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM t),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+grams AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase FROM places, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE i + m - 1 <= len(w)),
+f AS (SELECT lang, m, phrase, count(*)::BIGINT AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS s FROM f WHERE m > 1),
+inner_phrases AS (SELECT lang, array_to_string(s[i:i + k - 1], ' ') AS phrase, a FROM (SELECT lang, s, m, a, k, unnest(range(1, m - k + 2)) AS i FROM c, (SELECT unnest([2, 3, 4]) AS k) WHERE k < m)),
+gone AS (SELECT DISTINCT c.lang, c.phrase FROM c JOIN inner_phrases x ON c.lang = x.lang AND c.phrase = x.phrase WHERE 100 * x.a >= 100 * c.a),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(s[1:k], ' ') AS first, array_to_string(s[k + 1:], ' ') AS rest FROM (SELECT *, unnest(range(1, m)) AS k FROM c)),
+scored AS (SELECT x.lang, x.phrase, x.a, x.k, p.f AS l, q.f AS r, n, ((1000::HUGEINT * x.a * n) // (p.f::HUGEINT * q.f))::BIGINT AS score
+  FROM cuts x JOIN f p ON p.lang = x.lang AND p.phrase = x.first JOIN f q ON q.lang = x.lang AND q.phrase = x.rest JOIN total o ON o.lang = x.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase)::BIGINT AS rank, phrase, a, l, r, n, score
+  FROM best ANTI JOIN gone USING (lang, phrase))
+SELECT * FROM ranked WHERE rank <= 2000"""

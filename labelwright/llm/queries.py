@@ -12,6 +12,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {
     "op5_line_frequency": oracles.LINE_FREQUENCY,
     "op10_decontaminate": oracles.DECONTAMINATE,
+    "op12_collocations": oracles.COLLOCATIONS,
 }
 
 
@@ -103,6 +104,20 @@ def op11_byte_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_network.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelwright.llm import collocations
+
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from labelwright.llm import spelling
+
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

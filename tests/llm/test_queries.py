@@ -21,6 +21,6 @@ def test_equals_sql(spark, sf_dir, name):
 
 
 def test_all_operators_are_registered():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in QUERIES) == 1
     assert "pipeline" in QUERIES
