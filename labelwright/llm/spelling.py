@@ -9,8 +9,9 @@ the word as it was; the letters of that half are part of the key, so that words
 reduce alike do not meet. Keys are 64-bit hashes, computed for all edits of all words at once
 from prefix sums; pairs that meet are verified on the words themselves.
 
-Only ids travel with the keys, so a very long word costs in proportion to its length. A word has
-at most about 120 neighbours per letter; no group grows with the corpus. A null or empty text
+Words of up to ``CARRIED`` letters travel with their keys and are verified where they meet;
+longer ones are known by their id until then, so a very long word costs in proportion to its
+length. A word has at most about 120 neighbours per letter; no group grows with the corpus. A null or empty text
 has no words, a null id is an empty one, equal rows count each time, ties go to the word that
 comes first in code-point order, and other columns are not read.
 """
@@ -35,6 +36,7 @@ SYMBOLS = 4
 EVERY = 31
 DISTINCT = 1 << 18
 RUN_LETTERS = 1 << 17
+CARRIED = 24
 
 _RUN = re.compile(b"[A-Za-z\xc0-\xff]{%d,}" % LEAST_CHARS)
 _FIRST, _LAST = np.uint64(0x8CB92BA72F3D8DD7), np.uint64(0xAAAAAAAB5A17C1E3)
@@ -161,7 +163,7 @@ def neighbourhoods(w: _Letters, symbols: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _keyed(words: DataFrame, symbols: int, edits: bool) -> DataFrame:
-    """(key, id) of the words themselves or of their neighbourhoods."""
+    """(key, id, word) of the words themselves or of their neighbourhoods; a long word is left out."""
 
     def made(batches):
         for batch in batches:
@@ -173,17 +175,19 @@ def _keyed(words: DataFrame, symbols: int, edits: bool) -> DataFrame:
                 last = max(first + 1, int(np.searchsorted(ends, before + RUN_LETTERS, "right")))
                 w = _Letters(raws[first:last], symbols)
                 row, key = neighbourhoods(w, symbols) if edits else probes(w)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[first:last][row])], ["key", "id"])
+                named = pa.array([x.decode("latin-1") if len(x) <= CARRIED else None for x in raws[first:last]], pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(ids[first:last][row]), named.take(pa.array(row))], ["key", "id", "word"])
                 first = last
 
-    return words.select("id", "word").mapInArrow(made, "key long, id long")
+    return words.select("id", "word").mapInArrow(made, "key long, id long, word string")
 
 
 def near_pairs(words: DataFrame, symbols: int = SYMBOLS) -> DataFrame:
     """(x, nx, y, ny) of the words one edit apart, each pair once; words is (id, word, n)."""
-    ours = _keyed(words, symbols, edits=True).withColumnRenamed("id", "i")
-    theirs = _keyed(words, symbols, edits=False).withColumnRenamed("id", "j")
-    met = ours.join(theirs, "key").where("i != j").select("i", "j").distinct()
+    ours = _keyed(words, symbols, edits=True).select("key", F.col("id").alias("i"), F.col("word").alias("a"))
+    theirs = _keyed(words, symbols, edits=False).select("key", F.col("id").alias("j"), F.col("word").alias("b"))
+    may_be = F.coalesce(F.levenshtein("a", "b", 1) == 1, F.lit(True))
+    met = ours.join(theirs, "key").where((F.col("i") != F.col("j")) & may_be).select("i", "j").distinct()
     x = words.select(F.col("id").alias("i"), F.col("word").alias("x"), F.col("n").alias("nx"))
     y = words.select(F.col("id").alias("j"), F.col("word").alias("y"), F.col("n").alias("ny"))
     pairs = met.join(x, "i").join(y, "j").where(F.levenshtein("x", "y", 1) == 1)

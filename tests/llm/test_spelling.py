@@ -78,7 +78,8 @@ def docs(spark):
 def test_equals_brute_force(docs, monkeypatch):
     want = brute(ROWS)
     assert sum(r[1] is not None for r in want) > 50 and any(r[1] and r[2] != r[1] for r in want)
-    for symbols, distinct, run in ((4, 1 << 18, 1 << 17), (2, 7, 50), (9, 100, 1)):
+    for symbols, distinct, run, carried in ((4, 1 << 18, 1 << 17, 24), (2, 7, 50, 0), (9, 100, 1, 8)):
+        monkeypatch.setattr(S, "CARRIED", carried)
         monkeypatch.setattr(S, "DISTINCT", distinct)
         monkeypatch.setattr(S, "RUN_LETTERS", run)
         assert sorted(map(tuple, S.variants(docs, symbols=symbols).collect()), key=str) == want
