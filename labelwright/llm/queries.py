@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from labelwright.llm import oracles
 
@@ -73,7 +73,9 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from labelwright.llm import suffix_dedup
 
-    return suffix_dedup.without_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+    found = suffix_dedup.without_repeats(_table(spark, sf_dir, "documents"))
+    # What is left, as text; a character that a cut goes through is replaced.
+    return found.withColumn("text", F.make_valid_utf8(F.col("kept").cast("string"))).drop("kept")
 
 
 @query
