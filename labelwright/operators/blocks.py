@@ -1,8 +1,8 @@
 """Space partitioning for the neighbour join.
 
-A bounded sample decides how space is cut into cells; Spark assigns the rows to
-cells and shuffles cells against the queries that need them. Only these array
-helpers run inside the tasks.
+Samples of bounded size decide how space is cut into cells; Spark assigns the rows to cells and
+shuffles cells against the queries that need them. Only these array helpers run inside the
+tasks.
 """
 
 from __future__ import annotations
@@ -13,6 +13,42 @@ import numpy as np
 
 SAMPLE_BYTES = 64 << 20
 SAMPLE_PER_CELL = 32
+FEW_DIMS = 8
+LEADING = 16
+PARTIAL = 16
+
+
+@dataclass(frozen=True)
+class View:
+    """The space that is cut: the columns, or in many dimensions their leading components.
+
+    The axes are orthonormal, so no distance in the view is longer than the true one.
+    """
+
+    mean: np.ndarray | None = None
+    axes: np.ndarray | None = None
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        return x if self.axes is None else (x - self.mean) @ self.axes
+
+    def slack(self, x: np.ndarray) -> np.ndarray:
+        """What rounding may add to a distance in the view."""
+        if self.axes is None:
+            return np.zeros(len(x))
+        return 1e-12 * (1.0 + np.abs(x).max(axis=1, initial=0.0) + np.abs(self.mean).max()) * x.shape[1]
+
+
+def fit_view(sample: np.ndarray, leading: int = LEADING, rounds: int = 6) -> View:
+    """Leading components of a sample by block power iteration; a few columns are taken as they are."""
+    dims = sample.shape[1]
+    if dims <= FEW_DIMS or not len(sample):
+        return View()
+    mean = sample.mean(axis=0)
+    centred = sample - mean
+    axes = np.linalg.qr(np.random.default_rng(0).normal(size=(dims, min(leading, dims))))[0]
+    for _ in range(rounds):
+        axes = np.linalg.qr(centred.T @ (centred @ axes))[0]
+    return View(mean, axes)
 
 
 @dataclass(frozen=True)
@@ -56,6 +92,8 @@ class Cells:
             found_cell.append(self.cell[node[end]])
             who, node = who[~end], node[~end]
             who, node = np.repeat(who, 2), self.child[node].reshape(-1)
+        if not found_who:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(found_who), np.concatenate(found_cell)
 
 
@@ -103,6 +141,72 @@ def build_cells(sample: np.ndarray, smallest: int) -> Cells:
     return Cells(axis, np.array(value), np.array(child), np.array(low), np.array(high), cell)
 
 
+def _all_pairs(q: np.ndarray, p: np.ndarray, reach: np.ndarray, k: int, slack: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that may be among the k nearest and their squared distances; for few dimensions."""
+    square = np.zeros((len(q), len(p)))
+    for j in range(p.shape[1]):
+        gap = q[:, j, None] - p[None, :, j]
+        square += gap * gap
+    limit = _limits(square, reach, k, slack)
+    row, col = np.nonzero(square <= limit[:, None])
+    return row, col, square[row, col]
+
+
+def _limits(square: np.ndarray, reach: np.ndarray, k: int, slack: float) -> np.ndarray:
+    """Squared distance beyond which nothing is among a row's k nearest within its reach."""
+    limit = reach
+    if square.shape[1] > k:
+        limit = np.minimum(limit, np.sqrt(np.partition(square, k - 1, axis=1)[:, k - 1]))
+    return (limit + slack) ** 2
+
+
+class _Screen:
+    """Bounds of distances to the points of a block in many dimensions.
+
+    First the leading components of the block: their distance, and that between the lengths of
+    what they leave, bound the true one from below, which drops points that nobody reaches.
+    Then products give all distances up to rounding. Only pairs that pass are computed column
+    by column, and dropped once a partial sum is too long.
+    """
+
+    def __init__(self, p: np.ndarray):
+        self.p = p
+        self.view = fit_view(p)
+        self.lead = self.view(p)
+        self.rest = self._rest(p, self.lead)
+        self.length = np.einsum("ij,ij->i", p, p)
+
+    def _rest(self, x: np.ndarray, lead: np.ndarray) -> np.ndarray:
+        centred = x - self.view.mean
+        return np.sqrt(np.maximum(np.einsum("ij,ij->i", centred, centred) - np.einsum("ij,ij->i", lead, lead), 0.0))
+
+    def _reached(self, q: np.ndarray, reach: np.ndarray, slack: float) -> np.ndarray:
+        lead = self.view(q)
+        rest = self._rest(q, lead)
+        a, b = np.column_stack([lead, rest]), np.column_stack([self.lead, self.rest])
+        la, lb = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+        square = la[:, None] + lb[None, :] - 2.0 * (a @ b.T)
+        # The root in the rest doubles the relative error of the sums it comes from.
+        doubt = 8.0 * np.sqrt(1e-15 * q.shape[1]) * (la.max(initial=0.0) + lb.max(initial=0.0))
+        return np.flatnonzero((square - doubt <= ((reach + slack) ** 2)[:, None]).any(axis=0))
+
+    def pairs(self, q: np.ndarray, reach: np.ndarray, k: int, slack: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        at = np.arange(len(self.p)) if np.isinf(reach).any() else self._reached(q, reach, slack)
+        p, own = self.p[at], np.einsum("ij,ij->i", q, q)
+        about = np.maximum(own[:, None] + self.length[at][None, :] - 2.0 * (q @ p.T), 0.0)
+        doubt = 1e-15 * (8 + q.shape[1]) * (own.max(initial=0.0) + self.length.max(initial=0.0))
+        limit = _limits(about + doubt, reach, k, slack)
+        row, col = np.nonzero(about - doubt <= limit[:, None])
+        square = np.zeros(len(row))
+        for start in range(0, q.shape[1], PARTIAL):
+            for j in range(start, min(start + PARTIAL, q.shape[1])):
+                gap = q[row, j] - p[col, j]
+                square += gap * gap
+            short = square <= limit[row]
+            row, col, square = row[short], col[short], square[short]
+        return row, at[col], square
+
+
 def nearest_in_block(
     queries: np.ndarray,
     reach: np.ndarray,
@@ -117,20 +221,17 @@ def nearest_in_block(
     Points come sorted by id. Distances are rounded to ``1/scale`` before they are
     compared, and equal ones go to the smaller id.
     """
+    screen = None if points.shape[1] <= FEW_DIMS else _Screen(points)
+    slack = 2.0 / scale
     out = []
     for start in range(0, len(queries), step):
-        q = queries[start : start + step]
-        square = np.zeros((len(q), len(points)))
-        for j in range(points.shape[1]):
-            gap = q[:, j, None] - points[None, :, j]
-            square += gap * gap
-        limit = reach[start : start + step].copy()
-        if len(points) > k:
-            kth = np.sqrt(np.partition(square, k - 1, axis=1)[:, k - 1])
-            limit = np.minimum(limit, np.floor(kth * scale + 0.5) / scale)
-        row, col = np.nonzero(square <= ((limit + 2.0 / scale) ** 2)[:, None])
-        dist = np.floor(np.sqrt(square[row, col]) * scale + 0.5) / scale
-        keep = dist <= limit[row]
+        q, far = queries[start : start + step], reach[start : start + step]
+        if screen is None:
+            row, col, square = _all_pairs(q, points, far, k, slack)
+        else:
+            row, col, square = screen.pairs(q, far, k, slack)
+        dist = np.floor(np.sqrt(square) * scale + 0.5) / scale
+        keep = dist <= far[row]
         row, col, dist = row[keep], col[keep], dist[keep]
         order = np.lexsort((ids[col], dist, row))
         row, col, dist = row[order], col[order], dist[order]

@@ -6,20 +6,25 @@ Plan of the join:
    be among anyone's k nearest, and all copies share one search. The limit is
    applied before the shuffle, so a point that holds a third of all rows costs
    no more than any other.
-2. Space is cut into cells by a bounded sample. A cell with too many points, or
-   too many queries, is cut further by hashing, so no group outgrows a task.
-3. Each query searches its own cell, which bounds the distance of its k-th
-   neighbour. Then it visits only those other cells that come closer than that.
-4. The k best of a query's cells are its neighbours.
-
-No pair of cells is compared unless a query's bound requires it, and no task
-emits more than k rows per query.
+2. Space is cut into blocks by a bounded sample; in many dimensions the space is
+   that of the leading components. A block with too many points is cut again by
+   a sample of its own rows, and so on, so the points of a block stay bounded
+   whatever the number of rows. The deeper cuts are rows of a table, never held
+   together.
+3. Each query searches its own block, which bounds the distance of its k-th
+   neighbour. Then it visits only those other blocks that come closer than that.
+4. The lists of a query's blocks are merged by one aggregation.
+
+No pair of blocks is compared unless a query's bound requires it, and no task
+emits more than k rows per query. What the driver holds is bounded by the first
+sample; counts per block are tables.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +34,16 @@ from labelwright.functions.labels import literal_array
 from labelwright.functions.local import local_table
 from labelwright.functions.scaling import fit_scaler, raw_vector
 from labelwright.operators.blocks import (
+    FEW_DIMS,
     SAMPLE_BYTES,
     SAMPLE_PER_CELL,
     Cells,
+    View,
     build_cells,
+    fit_view,
     nearest_in_block,
 )
-from labelwright.sources.scratch import store
+from labelwright.sources.scratch import small, store
 from labelwright.spec import LabelledSpec, Params
 
 NEIGHBOURS = "array<struct<d:double,nid:bigint,label:string>>"
@@ -48,7 +56,10 @@ FEWEST_QUERIES = 128
 MOST_QUERIES = 4096
 PER_CELL = 512
 PER_CELL_MANY_DIMS = 4096
-FEW_DIMS = 8
+# A block is crowded from this many times the rows that a cell is cut for.
+CROWDED = 4
+LEVEL_SAMPLE = 16_384
+GROUP_ROWS = 65_536
 HOT_KEYS = 1000
 HOT_ROWS = 100_000
 
@@ -96,28 +107,19 @@ def _whole_number_id(df: DataFrame, id_col: str) -> None:
 
 
 @dataclass(frozen=True)
-class NeighbourIndex:
-    """Collapsed points of a table and the cells they lie in; serves any number of searches."""
+class Collapsed:
+    """Points of a table: (id, x, li, head), at most k+1 ids of equal ones; ``distinct`` if none are equal."""
 
     points: DataFrame
     labels: tuple[str, ...]
-    k: int
     rows: int
     dims: int
-    cells: Cells | None
-    sizes: np.ndarray
-    parts: np.ndarray
+    held: int
     distinct: bool
 
-    def per_block(self) -> np.ndarray:
-        """About how many points each block holds."""
-        return np.repeat(np.ceil(self.sizes / self.parts).astype(np.int64), self.parts)
 
-
-def build_index(
-    vectors: DataFrame, k: int = Params.k, max_classes: int = Params.max_classes
-) -> NeighbourIndex:
-    """Index (id, x, label) for searches of up to k neighbours."""
+def collapse(vectors: DataFrame, k: int, max_classes: int = Params.max_classes) -> Collapsed:
+    """Check (id, x, label) and keep of equal points what can be among the k nearest."""
     if k < 1:
         raise ValueError("k must be at least 1")
     shapes = (
@@ -139,27 +141,64 @@ def build_index(
     dims = shapes[0]["dims"]
     if any(r["dims"] != dims or r["widest"] != dims or r["nulls"] for r in shapes):
         raise ValueError("all feature vectors must have the same length and finite values")
-    labels = sorted(r["label"] for r in shapes)
+    labels = tuple(sorted(r["label"] for r in shapes))
     # The hash leads the sort key, because numbers sort faster than arrays.
     by_point = Window.partitionBy(F.xxhash64("x"), "x").orderBy("id")
-    index = F.array_position(literal_array(labels), F.col("label")) - 1
+    index = F.array_position(literal_array(list(labels)), F.col("label")) - 1
     points = store(
         vectors.withColumn("_n", F.row_number().over(by_point))
         .where(F.col("_n") <= k + 1)
         .select("id", "x", index.cast("int").alias("li"), (F.col("_n") == 1).alias("head")),
         "points",
     )
-    per_cell = PER_CELL if dims <= FEW_DIMS else PER_CELL_MANY_DIMS
     held = points.agg(F.count("*").alias("points"), F.count_if("head").alias("heads")).collect()[0]
-    total = held["points"]
-    cells = _cut_space(points, total, dims, k + 1, per_cell)
-    if cells is None:
-        sizes = np.array([total])
-    else:
-        sizes = _count_by(points.select("x"), _cells_of(points, cells), cells.count)
-    parts = np.maximum(1, np.ceil(sizes / (4 * per_cell))).astype(np.int64)
-    distinct = held["heads"] == rows
-    return NeighbourIndex(points, tuple(labels), k, rows, dims, cells, sizes, parts, distinct)
+    return Collapsed(points, labels, rows, dims, held["points"], held["heads"] == rows)
+
+
+@dataclass(frozen=True)
+class NeighbourIndex:
+    """Collapsed points of a table and the blocks they lie in; serves any number of searches.
+
+    ``points`` is (id, x, li, head, block), ``sizes`` (block, held), and each of ``deeper``
+    a table (block, cut) of the blocks that were cut again.
+    """
+
+    points: DataFrame
+    labels: tuple[str, ...]
+    k: int
+    rows: int
+    dims: int
+    distinct: bool
+    view: View
+    cells: Cells | None
+    sizes: DataFrame
+    blocks: int
+    deeper: list[DataFrame] = field(default_factory=list)
+
+
+def build_index(
+    vectors: DataFrame, k: int = Params.k, max_classes: int = Params.max_classes, per_cell: int | None = None
+) -> NeighbourIndex:
+    """Index (id, x, label) for searches of up to k neighbours.
+
+    ``per_cell`` is the number of points that cells are cut for, by default after the dimensions.
+    """
+    base = collapse(vectors, k, max_classes)
+    dims, points = base.dims, base.points
+    per_cell = per_cell or (PER_CELL if dims <= FEW_DIMS else PER_CELL_MANY_DIMS)
+    view, cells = _cut_space(points, base.held, dims, k + 1, per_cell)
+    located = points.mapInArrow(_home(points, view, cells), POINT + ", block bigint")
+    deeper: list[DataFrame] = []
+    while True:
+        sizes = store(located.groupBy("block").agg(F.count("*").alias("held")), "sizes")
+        crowded = sizes.where(F.col("held") > CROWDED * per_cell)
+        if crowded.isEmpty():
+            break
+        deeper.append(_cuts(located, crowded, view, k + 1, per_cell, len(deeper)))
+        located = store(_through(located, deeper[-1], _relocate(view), POINT + ", block bigint", "id"), "located")
+    return NeighbourIndex(
+        located, base.labels, k, base.rows, dims, base.distinct, view, cells, sizes, sizes.count(), deeper
+    )
 
 
 def nearest_neighbours(
@@ -167,19 +206,20 @@ def nearest_neighbours(
     k: int = Params.k,
     queries: DataFrame | None = None,
     max_classes: int = Params.max_classes,
+    per_cell: int | None = None,
 ) -> DataFrame:
     """(id, label, neighbours) for every row: its k nearest other rows, nearest first.
 
     With ``queries`` (id, x, label) those rows are searched among ``vectors`` instead.
     Both are read more than once: store them first if they are costly to compute.
     """
+    index = build_index(vectors, k, max_classes, per_cell)
     if queries is not None:
-        return search_index(build_index(vectors, k, max_classes), queries)
-    index = build_index(vectors, k, max_classes)
+        return search_index(index, queries)
     if index.rows <= k:
         raise ValueError(f"{k} neighbours need at least {k + 1} rows, found {index.rows}")
-    heads = index.points.where("head").select(F.col("id").alias("qid"), "x")
-    found = _search(index, heads, k + 1, index.per_block())
+    heads = index.points.where("head").select(F.col("id").alias("qid"), "x", "block")
+    found = _search(index, heads, k + 1)
     return _lists_per_row(index, vectors, found, index.rows, True, index.distinct)
 
 
@@ -195,7 +235,10 @@ def search_index(
     if asked["other"]:
         raise ValueError(f"queries need {index.dims} finite values each")
     heads = queries.groupBy("x").agg(F.min("id").alias("qid")).select("qid", "x")
-    found = _search(index, heads, index.k + 1 if skip_same_id else index.k, None)
+    heads = heads.mapInArrow(_home(heads, index.view, index.cells), QUERY + ", block bigint")
+    for cuts in index.deeper:
+        heads = store(_through(store(heads, "heads"), cuts, _relocate(index.view), QUERY + ", block bigint", "qid"), "heads")
+    found = _search(index, heads, index.k + 1 if skip_same_id else index.k)
     return _lists_per_row(index, queries, found, asked["n"], skip_same_id, False)
 
 
@@ -208,13 +251,10 @@ def _lists_per_row(
     distinct: bool,
 ) -> DataFrame:
     """One list per row; where no two rows share a point, the query id is the row id."""
-    near = F.array_sort(F.collect_list(F.struct("d", "nid", "li"))).alias("near")
     if distinct:
-        lists = found.groupBy(F.col("qid").alias("id")).agg(near)
-        joined = rows.drop("x").join(lists, "id")
+        joined = rows.drop("x").join(found.select(F.col("qid").alias("id"), "near"), "id")
     else:
-        lists = found.groupBy("qid").agg(F.first("x").alias("x"), near).drop("qid")
-        joined = _join_on_point(rows, lists, n)
+        joined = _join_on_point(rows, found.select("x", "near"), n)
     near = F.col("near")
     if skip_same_id:
         near = F.filter(near, lambda v: v["nid"] != F.col("id"))
@@ -255,183 +295,209 @@ def _join_on_point(rows: DataFrame, lists: DataFrame, n: int) -> DataFrame:
     return usual.unionByName(many)
 
 
-def _search(
-    index: NeighbourIndex, heads: DataFrame, k: int, expected: np.ndarray | None
-) -> DataFrame:
-    """(qid, x, d, nid, li): the k nearest points of each head.
-
-    ``expected`` bounds the heads per block where that is known.
-    """
-    unbounded = heads.select("qid", "x", F.lit(float("inf")).alias("reach"))
-    first = _visit(unbounded, _home(index), index, k, expected)
-    listed = F.explode(F.arrays_zip("d", "nid", "li")).alias("v")
-    if int(index.parts.sum()) == 1:
-        return first.select("qid", "x", listed).select("qid", "x", "v.*")
+def _search(index: NeighbourIndex, heads: DataFrame, k: int) -> DataFrame:
+    """(qid, x, near): the k nearest points of each head (qid, x, block)."""
+    near = F.arrays_zip("d", "nid", "li").alias("near")
+    first = _visit(heads.select("qid", "x", F.lit(float("inf")).alias("reach"), "block"), index, k)
+    if index.blocks == 1:
+        return first.select("qid", "x", near)
     first = store(first, "first")
     # A block may hold fewer than k points; then it bounds nothing.
     reach = F.when(F.size("d") >= k, F.element_at("d", -1)).otherwise(F.lit(float("inf")))
-    bounded = first.select("qid", "x", reach.alias("reach"), "block")
-    second = _visit(bounded, _abroad(index), index, k, None)
-    flat = first.unionByName(second).select("qid", "x", listed).select("qid", "x", "v.*")
-    best = Window.partitionBy("qid").orderBy("d", "nid")
-    return flat.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k).drop("_n")
+    second = _visit(store(_abroad(index, first.select("qid", "x", reach.alias("reach"), "block")), "abroad"), index, k)
+    lists = first.select("qid", "x", near).unionByName(second.select("qid", F.lit(None).cast("array<double>").alias("x"), near))
+    merged = F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k)
+    return lists.groupBy("qid").agg(F.first("x", ignorenulls=True).alias("x"), merged.alias("near"))
 
 
-def _cut_space(points: DataFrame, total: int, dims: int, k: int, per_cell: int):
-    """Cells from a hashed sample whose size in bytes is bounded whatever the table."""
+def _cut_space(points: DataFrame, total: int, dims: int, k: int, per_cell: int) -> tuple[View, Cells | None]:
+    """View and cells from a hashed sample whose size in bytes is bounded whatever the table."""
     if total <= 2 * per_cell:
-        return None
+        return View(), None
     rows = min(total * SAMPLE_PER_CELL // per_cell, SAMPLE_BYTES // (8 * dims))
     share = int(rows / total * (1 << 30)) + 1
     sample = (
         points.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share).select("x").toArrow()
     )
+    x = _matrix(sample.column("x"))
+    view = fit_view(x)
     if sample.num_rows < 2 * max(k, SAMPLE_PER_CELL):
-        return None
-    return build_cells(_matrix(sample.column("x")), k)
+        return view, None
+    return view, build_cells(view(x), k)
 
 
-def _matrix(column) -> np.ndarray:
-    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    if len(flat) == 0:
-        return np.zeros((0, 0))
-    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
+def _cuts(located: DataFrame, crowded: DataFrame, view: View, k: int, per_cell: int, depth: int) -> DataFrame:
+    """(block, cut) of the crowded blocks, each from a bounded sample of its own points.
 
+    Points that differ, but not in the view, cannot be cut there; their block is dealt into
+    parts by a hash, and all parts are visited together.
+    """
+    wanted = F.least(F.col("held") * SAMPLE_PER_CELL / per_cell, F.lit(float(LEVEL_SAMPLE))) / F.col("held")
+    inside = located.join(small(crowded, 16), "block")
+    sample = inside.where(F.pmod(F.xxhash64("id", F.lit(depth)), F.lit(1 << 30)) < wanted * (1 << 30))
+    shared = located.sparkSession.sparkContext.broadcast(view)
 
-def _part_of(ids: np.ndarray, cell: np.ndarray, parts: np.ndarray) -> np.ndarray:
-    """Sub-block of a row inside an oversized cell, by a multiplicative hash of its id."""
-    mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
-    return (mixed % parts[cell].astype(np.uint64)).astype(np.int64)
+    def cut(key, rows):
+        cells = build_cells(shared.value(_matrix(rows.column("x"))), k)
+        blob = pickle.dumps(cells) if cells.count > 1 else None
+        return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "cells": pa.array([blob], pa.binary())})
+
+    trees = sample.select("block", "x").groupBy("block").applyInArrow(cut, "block bigint, cells binary")
+    parts = F.least(F.lit(4096), F.ceil(F.col("held") / per_cell)).cast("int")
+    return store(crowded.join(trees, "block", "left").select("block", "cells", parts.alias("parts")), "cuts")
+
+
+Apply = Callable[[pa.Table, "Cells | int"], pa.Table]
 
 
-def _cell_of(x: np.ndarray, cells) -> np.ndarray:
-    return np.zeros(len(x), dtype=np.int64) if cells is None else cells.locate(x)
+def _through(rows: DataFrame, cuts: DataFrame, apply: Apply, schema: str, key: str) -> DataFrame:
+    """Rows of blocks that were cut get their blocks after the cut; the others stay.
+
+    The rows of one block meet its cut in groups of bounded size.
+    """
+    names = small(cuts.select("block"), 8)
+    inside = rows.join(names, "block", "left_semi")
+    turns = store(inside.groupBy("block").agg(F.ceil(F.count("*") / GROUP_ROWS).cast("int").alias("turns")), "turns")
+    spread = inside.join(small(turns, 16), "block").withColumn("turn", F.pmod(F.xxhash64(key), F.col("turns")).cast("int"))
+    copies = cuts.join(turns, "block").withColumn("turn", F.explode(F.sequence(F.lit(0), F.col("turns") - 1)))
+    columns = rows.columns
+    wanted = pa.schema(_arrow(schema))
+
+    def step(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return wanted.empty_table()
+        blob, parts = right.column("cells")[0].as_py(), right.column("parts")[0].as_py()
+        out = apply(left.select(columns), pickle.loads(blob) if blob is not None else parts)
+        return pa.Table.from_arrays([out.column(c).combine_chunks() for c in wanted.names], schema=wanted)
+
+    moved = spread.select(*columns, "turn").groupBy("block", "turn").cogroup(copies.select(F.col("block").alias("block"), "turn", "cells", "parts").groupBy("block", "turn"))
+    return rows.join(names, "block", "left_anti").select(columns).unionByName(moved.applyInArrow(step, schema).select(columns))
+
+
+def _arrow(schema: str) -> list[pa.Field]:
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    return list(to_arrow_schema(T.StructType.fromDDL(schema)))
+
+
+POINT = "id bigint, x array<double>, li int, head boolean"
+QUERY = "qid bigint, x array<double>"
+
+
+def _below(block: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Number of a part of a block. Should two numbers be equal, their points share a block."""
+    h = (block.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019)) * np.uint64(0x9E3779B97F4A7C15) + part.astype(np.uint64)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93)
+    return (h ^ (h >> np.uint64(32))).view(np.int64)
 
 
-def _starts(parts: np.ndarray) -> np.ndarray:
-    """Number of the first block of each cell; blocks are numbered through."""
-    return np.concatenate([[0], np.cumsum(parts)])
+def _relocate(view: View) -> Apply:
+    def apply(rows: pa.Table, cut: Cells | int) -> pa.Table:
+        block = rows.column("block").to_numpy()
+        if isinstance(cut, int):
+            ids = rows.column("id" if "id" in rows.column_names else "qid").to_numpy()
+            part = _hashed(ids, cut)
+        else:
+            part = cut.locate(view(_matrix(rows.column("x"))))
+        return rows.set_column(rows.column_names.index("block"), "block", pa.array(_below(block, part)))
+
+    return apply
+
+
+def _hashed(ids: np.ndarray, parts: int) -> np.ndarray:
+    mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+    return (mixed % np.uint64(parts)).astype(np.int64)
+
+
+def _matrix(column) -> np.ndarray:
+    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if len(flat) == 0:
+        return np.zeros((0, 0))
+    return flat.flatten().to_numpy(zero_copy_only=False).reshape(len(flat), -1)
 
 
 Batches = Iterator[pa.RecordBatch]
 Step = Callable[[Batches], Batches]
 
 
-def _cells_of(points: DataFrame, cells: Cells) -> Step:
-    shared = points.sparkSession.sparkContext.broadcast(cells)
+def _home(rows: DataFrame, view: View, cells: Cells | None) -> Step:
+    """Adds the block of the first cut that a row lies in."""
+    shared = rows.sparkSession.sparkContext.broadcast((view, cells))
 
     def step(batches: Batches) -> Batches:
+        view, cells = shared.value
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(_cell_of(_matrix(batch.column("x")), shared.value))], ["block"]
-            )
+            x = _matrix(batch.column("x"))
+            block = np.zeros(len(x), np.int64) if cells is None else cells.locate(view(x))
+            yield batch.append_column("block", pa.array(block))
 
     return step
 
 
-def _home(index: NeighbourIndex, id_col: str = "qid") -> Step:
-    """Adds the block that a row lies in."""
-    shared = index.points.sparkSession.sparkContext.broadcast((index.cells, index.parts))
+VISIT = QUERY + ", reach double, home bigint, block bigint"
 
-    def step(batches: Batches) -> Batches:
-        cells, parts = shared.value
-        for batch in batches:
-            cell = _cell_of(_matrix(batch.column("x")), cells)
-            block = _starts(parts)[cell] + _part_of(batch.column(id_col).to_numpy(), cell, parts)
-            yield batch.append_column("block", pa.array(block))
 
-    return step
+def _near_cells(view: View, cells: Cells, x: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row, cell) where the cell may hold a point within the row's reach."""
+    who, cell = [], []
+    for start in range(0, len(x), 512):
+        part = x[start : start + 512]
+        far = reach[start : start + 512] + 2.0 * 10.0**-DECIMALS + view.slack(part)
+        w, c = cells.within(view(part), far)
+        who.append(w + start)
+        cell.append(c)
+    return np.concatenate([np.zeros(0, np.int64), *who]), np.concatenate([np.zeros(0, np.int64), *cell])
 
 
-def _abroad(index: NeighbourIndex) -> Step:
-    """Each query with every other block that may hold a closer point."""
-    shared = index.points.sparkSession.sparkContext.broadcast((index.cells, index.parts))
-    slack = 2.0 * 10.0**-DECIMALS
+def _abroad(index: NeighbourIndex, bounded: DataFrame) -> DataFrame:
+    """Each query (qid, x, reach, block) with every other block that may hold a closer point."""
+    shared = bounded.sparkSession.sparkContext.broadcast((index.view, index.cells))
 
-    def step(batches: Batches) -> Batches:
-        cells, parts = shared.value
-        starts = _starts(parts)
+    def first(batches: Batches) -> Batches:
+        view, cells = shared.value
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 piece = batch.slice(start, 512)
-                x = _matrix(piece.column("x"))
-                reach = piece.column("reach").to_numpy()
-                home = piece.column("block").to_numpy()
+                x, reach = _matrix(piece.column("x")), piece.column("reach").to_numpy()
                 if cells is None:
                     who, cell = np.arange(len(x)), np.zeros(len(x), dtype=np.int64)
                 else:
-                    who, cell = cells.within(x, reach + slack)
-                times = parts[cell]
-                turn = _counting_up(times)
-                who, cell = np.repeat(who, times), np.repeat(cell, times)
-                block = starts[cell] + turn
-                away = block != home[who]
-                taken = piece.select(["qid", "x", "reach"]).take(pa.array(who[away]))
-                yield taken.append_column("block", pa.array(block[away]))
-
-    return step
-
+                    who, cell = _near_cells(view, cells, x, reach)
+                taken = piece.select(["qid", "x", "reach", "block"]).take(pa.array(who))
+                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cell)], ["qid", "x", "reach", "home", "block"])
 
-def _counting_up(times: np.ndarray) -> np.ndarray:
-    """0, 1, … for each entry as often as it is repeated."""
-    return np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    def deeper(rows: pa.Table, cut: Cells | int) -> pa.Table:
+        x, reach = _matrix(rows.column("x")), rows.column("reach").to_numpy()
+        if isinstance(cut, int):
+            who, part = np.repeat(np.arange(len(x)), cut), np.tile(np.arange(cut), len(x))
+        else:
+            who, part = _near_cells(shared.value[0], cut, x, reach)
+        taken = rows.take(pa.array(who))
+        block = _below(taken.column("block").to_numpy(), part)
+        return taken.set_column(taken.column_names.index("block"), "block", pa.array(block))
 
+    pairs = bounded.mapInArrow(first, VISIT)
+    for cuts in index.deeper:
+        pairs = _through(store(pairs, "pairs"), cuts, deeper, VISIT, "qid")
+    return pairs.where(F.col("block") != F.col("home")).select("qid", "x", "reach", "block")
 
-def _count_by(source: DataFrame, step: Step, size: int) -> np.ndarray:
-    """Rows per block after the step, added up per batch before the shuffle.
-
-    The number of blocks is bounded by the sample.
-    """
-
-    def count(batches: Batches) -> Batches:
-        for batch in step(batches):
-            block, n = np.unique(batch.column("block").to_numpy(), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(n)], ["block", "n"])
-
-    counted = (
-        source.mapInArrow(count, "block bigint, n bigint")
-        .groupBy("block")
-        .agg(F.sum("n").alias("n"))
-        .toArrow()
-    )
-    out = np.zeros(size, dtype=np.int64)
-    out[counted.column("block").to_numpy()] = counted.column("n").to_numpy()
-    return out
 
-
-def _visit(
-    source: DataFrame, step: Step, index: NeighbourIndex, k: int, expected: np.ndarray | None
-) -> DataFrame:
-    """Search the blocks that the step assigns to each query (qid, x, reach).
+def _visit(asked: DataFrame, index: NeighbourIndex, k: int) -> DataFrame:
+    """Search the block of each query (qid, x, reach, block).
 
     Gives one row per query and block with the k best points. Queries of one block
     are dealt over as many groups as keep a group small, and the block's points are
     copied to each of them.
     """
-    per_block = index.per_block()
-    if expected is None:
-        expected = _count_by(source, step, len(per_block))
-    context = source.sparkSession.sparkContext
-    work = np.maximum(1, per_block) * index.dims
-    goal = (expected * work).sum() // (4 * context.defaultParallelism)
-    goal = np.clip(goal, LEAST_WORK, MOST_WORK)
-    at_once = np.clip(goal // work, FEWEST_QUERIES, MOST_QUERIES)
-    groups = np.ceil(expected / at_once).astype(np.int64)
-    shared = context.broadcast(groups)
+    counts = asked.groupBy("block").agg(F.count("*").alias("n")).join(index.sizes, "block")
+    counts = store(counts, "counts")
+    context = asked.sparkSession.sparkContext
+    cost = F.col("n") * F.col("held").cast("double")
+    work, blocks = counts.agg(F.sum(cost), F.count("*")).first()
+    goal = min(max((work or 0.0) * index.dims / (4 * context.defaultParallelism), LEAST_WORK), MOST_WORK)
+    at_once = F.greatest(F.lit(FEWEST_QUERIES), F.least(F.lit(MOST_QUERIES), F.floor(F.lit(goal) / (F.col("held") * index.dims))))
+    groups = small(counts.select("block", F.ceil(F.col("n") / at_once).cast("int").alias("groups")), 16, rows=blocks)
     scale = 10.0**DECIMALS
-    place = _home(index, "id")
-
-    def deal(batches: Batches) -> Batches:
-        for batch in step(batches):
-            block = batch.column("block").to_numpy()
-            turn = _part_of(batch.column("qid").to_numpy(), block, np.maximum(shared.value, 1))
-            yield batch.append_column("turn", pa.array(turn))
-
-    def copy(batches: Batches) -> Batches:
-        for batch in place(batches):
-            times = shared.value[batch.column("block").to_numpy()]
-            who = np.repeat(np.arange(batch.num_rows), times)
-            yield batch.take(pa.array(who)).append_column("turn", pa.array(_counting_up(times)))
 
     def search(key, asked: pa.Table, held: pa.Table) -> pa.Table:
         if asked.num_rows == 0 or held.num_rows == 0:
@@ -456,11 +522,11 @@ def _visit(
         known = [taken.column(c).combine_chunks() for c in ("qid", "x", "block")]
         return pa.Table.from_arrays([*known, *lists], schema=_RESULT)
 
-    dealt = source.mapInArrow(
-        deal, "qid bigint, x array<double>, reach double, block bigint, turn bigint"
-    )
-    copied = index.points.select("id", "x", "li").mapInArrow(
-        copy, "id bigint, x array<double>, li int, block bigint, turn bigint"
+    turn = F.pmod(F.xxhash64("qid"), F.col("groups")).cast("int").alias("turn")
+    dealt = asked.join(groups, "block").select("qid", "x", "reach", "block", turn)
+    # Both sides may come from the points; a cogroup needs columns of its own on each.
+    copied = index.points.join(groups, "block").select(
+        *[F.col(c).alias(c) for c in ("id", "x", "li", "block")], F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("turn")
     )
     return (
         dealt.groupBy("block", "turn")

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from labelwright.functions.labels import vocabulary
+from labelwright.functions.local import local_table
 from labelwright.operators import detect as D
+from labelwright.operators.approximate import approximate_search, build_projection_index, recall
 from labelwright.operators.metrics import classification_metrics
 from labelwright.operators.neighbours import (
     array_vectors,
@@ -45,13 +47,13 @@ flags AS (SELECT id, label, (count(*) FILTER (WHERE nlabel <> label))::INT AS di
   count(*) FILTER (WHERE nlabel <> label) / 5::DOUBLE AS disagreement_ratio FROM pairs GROUP BY ALL)"""
 
 
+TOPK_SQL = """SELECT id, row_number() OVER (PARTITION BY id ORDER BY d, nid)::INT AS rank, nid AS neighbour_id,
+             round(d, 6) AS distance FROM (SELECT id, unnest(ns, recursive := true) FROM near)"""
+
+
 @query(
     "knn_topk",
-    I.with_sql(
-        I.EMBEDDING_NEAR_SQL,
-        """SELECT id, row_number() OVER (PARTITION BY id ORDER BY d, nid)::INT AS rank, nid AS neighbour_id,
-             round(d, 6) AS distance FROM (SELECT id, unnest(ns, recursive := true) FROM near)""",
-    ),
+    I.with_sql(I.EMBEDDING_NEAR_SQL, TOPK_SQL),
 )
 def knn_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = embedding_neighbours(spark, sf_dir)
@@ -64,6 +66,43 @@ def knn_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("knn_topk_blocks", I.with_sql(I.EMBEDDING_NEAR_SQL, TOPK_SQL))
+def knn_topk_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The search of ``knn_topk`` with blocks of a few points, cut twice where they are crowded."""
+    rows = store(array_vectors(I.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label"), "vectors")
+    flat = nearest_neighbours(rows, per_cell=4).select("id", F.posexplode("neighbours").alias("i", "n"))
+    return flat.select("id", (F.col("i") + 1).alias("rank"), F.col("n.nid").alias("neighbour_id"), F.round("n.d", 6).alias("distance"))
+
+
+@query(
+    "approximate_neighbours",
+    I.with_sql(
+        I.ORDER_BANDS_SQL,
+        """SELECT 'indexed_rows' AS measure, count(*)::DOUBLE AS value FROM base
+           UNION ALL SELECT 'queries', count(*) FROM base WHERE id % 20 = 0
+           UNION ALL SELECT 'expected', 5 * count(*) FROM base WHERE id % 20 = 0
+           UNION ALL SELECT unnest(['recall_bound', 'closer_than_exact']), unnest([1, 0])""",
+    ),
+)
+def approximate_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 20th id against all rows, by random projections and exactly; recall of at least 0.9."""
+    vectors = store(feature_vectors(store(I.order_bands(spark, sf_dir), "bands"), I.BANDS), "vectors")
+    asked = vectors.where("id % 20 = 0")
+    index = build_projection_index(vectors)
+    found = store(approximate_search(index, asked, skip_same_id=True), "found")
+    exact = store(search_index(build_index(vectors), asked, skip_same_id=True), "exact")
+    far = lambda c: F.aggregate(c, F.lit(0.0), lambda s, v: s + v["d"])
+    ours = found.where(F.size("neighbours") == index.k).select("id", far(F.col("neighbours")).alias("a"))
+    closer = ours.join(exact.select("id", far(F.col("neighbours")).alias("b")), "id").agg(F.count_if(F.col("a") < F.col("b") - 1e-6).alias("n"))
+    facts = recall(found, exact)
+    rows = local_table(spark, [("indexed_rows", float(index.rows))], "measure string, value double")
+    each = F.array(
+        *[F.struct(F.lit(m).alias("measure"), c.cast("double").alias("value")) for m, c in (("queries", F.col("queries")), ("expected", F.col("expected")), ("recall_bound", F.col("recall") >= 0.9))]
+    )
+    counted = closer.select(F.lit("closer_than_exact").alias("measure"), F.col("n").cast("double").alias("value"))
+    return rows.unionByName(facts.select(F.explode(each).alias("e")).select("e.*")).unionByName(counted)
+
+
 @query(
     "knn_suspects",
     I.with_sql(

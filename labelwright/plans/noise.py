@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from labelwright.functions.labels import encode, vocabulary, vocabulary_table, vocabulary_union
+from labelwright.functions.labels import vocabulary, vocabulary_union
+from labelwright.operators.dictionary import decode_labels, encode_labels as encode_labels_by, label_dictionary
 from labelwright.functions.local import local_table
 from labelwright.functions.scaling import fit_scaler, raw_vector
 from labelwright.operators import noise as N
@@ -48,7 +49,8 @@ def feature_label_split(spark: SparkSession, sf_dir: str) -> DataFrame:
        FROM (SELECT DISTINCT event_type AS label FROM events WHERE event_type IS NOT NULL)""",
 )
 def label_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return vocabulary_table(I.events(spark, sf_dir), "event_type")
+    dictionary = label_dictionary(I.events(spark, sf_dir), label_col="event_type")
+    return dictionary.select("label", F.col("label_idx").cast("int").alias("label_idx"))
 
 
 @query(
@@ -61,14 +63,27 @@ def label_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def encode_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = I.events(spark, sf_dir)
-    labels = vocabulary(df, "event_type")
-    return df.select(
+    encoded = encode_labels_by(df, "event_type", label_dictionary(df, label_col="event_type"))
+    return encoded.select(
         F.col("event_id").alias("id"),
         F.col("event_type").alias("label"),
-        encode(F.col("event_type"), labels).alias("label_idx"),
+        F.col("label_idx").cast("int").alias("label_idx"),
     )
 
 
+@query(
+    "encode_wide_vocabulary",
+    """WITH l AS (SELECT l_orderkey, l_orderkey || '-' || l_partkey AS label FROM lineitem)
+       SELECT l_orderkey AS id, label, dense_rank() OVER (ORDER BY label) - 1 AS label_idx, label AS decoded FROM l""",
+)
+def encode_wide_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearly as many classes as rows, encoded and decoded through a dictionary table."""
+    label = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_partkey").cast("string"))
+    df = I.table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), label.alias("label"))
+    dictionary = label_dictionary(df, label_col="label")
+    return decode_labels(encode_labels_by(df, "label", dictionary), "label_idx", dictionary, "decoded")
+
+
 @query(
     "noise_select",
     """SELECT id FROM (SELECT o_orderkey AS id,

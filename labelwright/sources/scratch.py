@@ -13,7 +13,7 @@ import threading
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _local_roots: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
@@ -65,6 +65,15 @@ def store(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path).select(df.columns)
 
 
+BROADCAST_BYTES = 32 << 20
+
+
+def small(table: DataFrame, row_bytes: int, rows: int | None = None, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The table, to be broadcast if its counted rows fit the limit; else it is shuffled."""
+    rows = table.count() if rows is None else rows
+    return F.broadcast(table) if rows * row_bytes <= limit else table
+
+
 def _delete(spark: SparkSession, text: str) -> None:
     sc = spark.sparkContext
     path = sc._jvm.org.apache.hadoop.fs.Path(text)

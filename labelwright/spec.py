@@ -63,7 +63,11 @@ class Params:
     c: float = 1.0
     max_iter: int = 1000
     svm_iter: int = 100
-    kernel_features: int = 64
+    # Relative duality gap at which a kernel machine is done, largest slope of a logistic one,
+    # and the mean kernel error up to which landmarks are added.
+    svm_gap: float = 0.01
+    slope: float = 1e-5
+    kernel_tolerance: float = 0.01
     # Class tables are held on the driver and broadcast; every function that does so takes
     # this bound, and a label with more values is an error there.
     max_classes: int = 10_000

@@ -55,13 +55,6 @@ def test_saved_model_scores_alike_with_its_own_scaler(clean, tmp_path):
     assert a.where("abs(aggregate(probs, 0D, (s, p) -> s + p) - 1) > 1e-9").isEmpty()
 
 
-def test_kernel_features_approximate_the_kernel(spark):
-    df = spark.createDataFrame([(0, 0.0, 0.0), (1, 0.6, -0.4)], "id int, z_0 double, z_1 double")
-    out = M.kernel_stage(2, 42, features=4000).transform(df).orderBy("id").toPandas()
-    r = out[[c for c in out.columns if c.startswith("r_")]].to_numpy()
-    assert r[0] @ r[1] == pytest.approx(np.exp(-0.5 * (0.36 + 0.16)), abs=0.05)
-
-
 def test_noise_in_training_costs_little_at_five_percent(clean):
     split = scratch.store(train_test_split(clean, CLUSTERS), "split")
     noisy = scratch.store(fit_label_noise(split, CLUSTERS, (0.05,)).flip(split, 0.05), "noisy")

@@ -71,25 +71,89 @@ def test_ties_go_to_the_smaller_id(spark, tiny_cells):
     assert result(N.nearest_neighbours(frame(spark, ids, grid), 6)) == brute(ids, grid, 6)
 
 
-def test_crowded_cells_are_cut_by_hash(spark, monkeypatch):
+def widest(index):
+    return index.points.groupBy("block").count().agg(F.max("count")).first()[0]
+
+
+@pytest.mark.parametrize("dims", [2, 12])
+def test_crowded_cells_are_cut_by_samples_of_their_own(spark, monkeypatch, dims):
+    """With a first sample of a few rows the deeper cuts keep the blocks as small as asked for."""
+    monkeypatch.setattr(N, "SAMPLE_BYTES", 8 * dims * 100)
+    monkeypatch.setattr(N, "LEVEL_SAMPLE", 64)
+    rng = np.random.default_rng(5)
+    ids, x = np.arange(3000), rng.normal(size=(3000, dims)) * np.linspace(3, 0.1, dims)
+    index = N.build_index(frame(spark, ids, x), 3, per_cell=20)
+    assert index.cells.count <= 6 and len(index.deeper) >= 2
+    assert widest(index) <= N.CROWDED * 20
+    assert result(N.nearest_neighbours(frame(spark, ids, x), 3, per_cell=20)) == brute(ids, x, 3)
+    asked = [(i, v) for i, v in zip(range(5000, 5050), rng.normal(size=(50, dims)))]
+    found = N.search_index(index, frame(spark, [i for i, _ in asked], [v for _, v in asked]))
+    assert result(found) == brute(ids, x, 3, asked)
+
+
+def test_without_a_first_cut(spark, monkeypatch):
     monkeypatch.setattr(N, "PER_CELL", 20)
     monkeypatch.setattr(N, "SAMPLE_BYTES", 8)
     rng = np.random.default_rng(5)
     ids, x = np.arange(500), rng.normal(size=(500, 2))
     index = N.build_index(frame(spark, ids, x), 3)
-    assert index.cells is None and index.parts[0] > 1
+    assert index.cells is None and widest(index) <= N.CROWDED * 20
     assert result(N.nearest_neighbours(frame(spark, ids, x), 3)) == brute(ids, x, 3)
 
 
+def test_points_that_the_view_cannot_tell_apart(spark, monkeypatch):
+    """One column takes all axes of the view; the rest differ outside it, and are dealt out by a hash."""
+    from labelwright.operators import blocks
+
+    monkeypatch.setattr(N, "fit_view", lambda x: blocks.View(np.zeros(10), np.eye(10)[:, :1]))
+    rng = np.random.default_rng(2)
+    x = np.zeros((400, 10))
+    x[:, 0] = np.repeat([0.0, 1000.0], 200)
+    x[:, 3] = np.round(rng.normal(size=400), 3)
+    ids = np.arange(400)
+    index = N.build_index(frame(spark, ids, x), 3, per_cell=10)
+    assert index.deeper and widest(index) <= N.CROWDED * 10
+    assert result(N.nearest_neighbours(frame(spark, ids, x), 3, per_cell=10)) == brute(ids, x, 3)
+
+
+def test_groups_of_bounded_size_meet_their_cut(spark, monkeypatch):
+    monkeypatch.setattr(N, "GROUP_ROWS", 7)
+    monkeypatch.setattr(N, "SAMPLE_BYTES", 8)
+    rng = np.random.default_rng(8)
+    ids, x = np.arange(300), np.round(rng.normal(size=(300, 3)), 1)
+    assert result(N.nearest_neighbours(frame(spark, ids, x), 4, per_cell=10)) == brute(ids, x, 4)
+
+
 def test_blocks_with_fewer_points_than_neighbours(spark, monkeypatch):
     monkeypatch.setattr(N, "PER_CELL", 3)
     monkeypatch.setattr(N, "SAMPLE_BYTES", 8)
     rng = np.random.default_rng(15)
     ids, x = np.arange(60), rng.normal(size=(60, 2))
-    assert N.build_index(frame(spark, ids, x), 25).parts[0] > 2
+    index = N.build_index(frame(spark, ids, x), 25)
+    assert index.blocks > 2 and widest(index) < 25
     assert result(N.nearest_neighbours(frame(spark, ids, x), 25)) == brute(ids, x, 25)
 
 
+def test_screen_bounds_hold_far_from_the_origin():
+    """The screen drops nothing that is near, with ties, copies and a large common offset."""
+    from labelwright.operators.blocks import nearest_in_block
+
+    rng = np.random.default_rng(3)
+    points = np.round(rng.normal(size=(700, 24)), 1) + 1e4
+    points[100:150] = points[0]
+    queries = np.concatenate([points[:20], points[200:220] + 0.05])
+    ids = np.arange(700)
+    d = np.floor(np.sqrt(((queries[:, None] - points[None]) ** 2).sum(axis=2)) * 1e9 + 0.5) / 1e9
+    for reach in (np.full(40, np.inf), np.sort(d, axis=1)[:, 7].copy(), np.full(40, 0.2)):
+        row, col, dist = nearest_in_block(queries, reach, points, ids, 9, 1e9)
+        got = {i: [] for i in range(40)}
+        for r, c, v in zip(row, col, dist):
+            got[r].append((v, c))
+        for i in range(40):
+            want = sorted((v, c) for c, v in enumerate(d[i]) if v <= reach[i])[:9]
+            assert [c for _, c in got[i]] == [c for _, c in want]
+
+
 def test_many_queries_of_one_block_are_dealt_out(spark, tiny_cells, monkeypatch):
     monkeypatch.setattr(N, "MOST_QUERIES", 10)
     monkeypatch.setattr(N, "FEWEST_QUERIES", 10)

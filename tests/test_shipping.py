@@ -11,7 +11,7 @@ from pyspark.sql import SparkSession
 spec = importlib.util.spec_from_file_location("__spark_entry__", sys.argv[1] + "/__spark_entry__.py")
 entry = importlib.util.module_from_spec(spec)
 spec.loader.exec_module(entry)
-spark = SparkSession.builder.master("local-cluster[1,2,1024]").config("spark.ui.enabled", "false").config(
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config(
     "spark.sql.shuffle.partitions", "4").config("spark.checkpoint.dir", sys.argv[3]).getOrCreate()
 print("ROWS", entry.queries()["knn_suspects"](spark, sys.argv[2]).count())
 spark.stop()
