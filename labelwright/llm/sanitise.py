@@ -1,15 +1,18 @@
 """Personal data, and the words that would give it away.
 
 Fixed patterns find protected entities: mail and network addresses, card and phone numbers.
-Words near an entity reveal it as far as the corpus says so: with N documents, n(e) distinct
-contexts of the entity, df(t) documents with the word and co(e, t) distinct contexts of the
-entity that hold the word, the word tells log2(co * N / (n * df)) of the log2(N / n) bits that
-name the entity. Words that tell more than ``share`` of them, seen in ``support`` or more
-distinct contexts, are disclosed: numbers are generalised to their shape, other words removed.
-
-Contexts are the words around an entity, so pairs grow with entities and not with text; equal
-contexts count once, so copies of a document prove nothing. Document frequencies cover every
-word of every document and are summed in the workers before they are dealt out.
+The corpus says how strongly a word reveals an entity: of the df(t) documents with the word,
+co(e, t) hold the entity too, so whoever sees the word can name the entity with a probability
+of co / df, which leaves -log2(co / df) bits of it untold. The probability is taken at the lower
+end of a confidence interval (Wilson), whose sample are distinct contents, so copies of a
+document prove nothing and one document alone never does. Words that leave at most ``left``
+bits are disclosing: everywhere in the documents that hold the entity, numbers are generalised
+to their shape and other words removed.
+
+Words are counted over whole documents. Entities that stand in the same documents are counted
+as one, and only words are paired with them that are rare enough to be disclosing at all, so
+pairs grow with the documents that hold entities. Document frequencies cover every word of
+every document and are summed in the workers before they are dealt out.
 
 Defined results: null is the empty text; equal rows are scanned each on their own; entities
 are compared in lower case.
@@ -28,9 +31,8 @@ from labelwright.llm import arrays
 from labelwright.sources.scratch import store
 
 KINDS = ("email", "ip", "card", "phone", "term")
-AROUND = 8
-SUPPORT = 3
-SHARE = 0.9
+LEFT = 1.0
+CONFIDENCE = 1.2816  # one-sided 90 %
 FLUSH = 1_000_000
 
 # Fixed patterns; possessive digits and the look behind only keep long runs linear.
@@ -39,7 +41,6 @@ _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz01234567
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 _IN_WORD = arrays.table(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -81,75 +82,68 @@ def entities(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def _hash(text: str) -> int:
-    """The hash that word frequencies use, of the word in ASCII lower case."""
-    body = _LOWER[np.frombuffer(text.encode(), np.uint8)]
-    return int(arrays.piece_hashes(arrays.prefix_sums(body), np.array([0]), np.array([len(body)])).view(np.int64)[0])
-
-
-def _words_before(text: str, end: int, count: int) -> list[tuple[int, int]]:
-    reach = 64
-    while True:
-        begin = max(0, end - reach)
-        found = [(m.start(), m.end()) for m in _WORD.finditer(text, begin, end)]
-        if len(found) > count or not begin:
-            return found[-count:]
-        reach *= 4
-
-
-def _words_after(text: str, start: int, count: int) -> list[tuple[int, int]]:
-    out = []
-    for m in _WORD.finditer(text, start):
-        out.append((m.start(), m.end()))
-        if len(out) == count:
-            break
-    return out
-
-
-def contexts(text: str, found: list[tuple[int, int, int]], around: int) -> list[tuple[int, int, list]]:
-    """Per entity its hash, the hash of its context, and the (word hash, start, end) in it."""
-    out = []
-    for start, kind, end in found:
-        near = _words_before(text, start, around) + _words_after(text, end, around)
-        # Words of other entities are protected already.
-        near = [(a, b) for a, b in near if not any(s < b and a < e for s, _, e in found)]
-        words = [(_hash(text[a:b]), a, b) for a, b in near]
-        name = xxhash.xxh64_intdigest(f"{kind}:{text[start:end].lower()}") - (1 << 63)
-        around_it = xxhash.xxh64_intdigest(",".join(str(w) for w, _, _ in words)) - (1 << 63)
-        out.append((name, around_it, words))
-    return out
-
-
-_NEAR = "array<struct<e:long,c:long,w:array<struct<t:long,s:int,f:int>>>>"
-_NEAR_TYPE = pa.list_(
-    pa.struct([("e", pa.int64()), ("c", pa.int64()), ("w", pa.list_(pa.struct([("t", pa.int64()), ("s", pa.int32()), ("f", pa.int32())])))])
-)
+def words_of(text: str, found: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end in code points of every word outside the entities, as word frequencies hash them."""
+    raw = text.encode()
+    low = _LOWER[np.frombuffer(raw, np.uint8)]
+    start, end, _ = arrays.spans_of(_IN_WORD[low], np.array([0, len(low)]))
+    hashed = arrays.piece_hashes(arrays.prefix_sums(low), start, end).view(np.int64)
+    # Code points up to a byte are those bytes that do not continue one.
+    points = np.concatenate([[0], np.cumsum((low & 0xC0) != 0x80)])
+    start, end = points[start], points[end]
+    protected = np.zeros(len(text) + 1, np.int64)
+    for s, _, e in found:
+        protected[s:e] = 1
+    inside = np.concatenate([[0], np.cumsum(protected)])
+    free = inside[end] == inside[start]
+    return hashed[free], start[free], end[free]
+
+
+def _name(kind: int, value: str) -> int:
+    return xxhash.xxh64_intdigest(f"{kind}:{value.lower()}") - (1 << 63)
+
+
+_WORDS_TYPE = pa.list_(pa.struct([("t", pa.int64()), ("s", pa.int32()), ("f", pa.int32())]))
+_WORDS = "array<struct<t:long,s:int,f:int>>"
 _SPANS_TYPE = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
 _SPANS = "array<struct<start:int,kind:int,end:int>>"
 
 
-def _scanned(docs: DataFrame, around: int, keep_text: bool) -> DataFrame:
-    """Per document its base spans and the contexts of its entities, stored."""
+def _listed(columns: list[np.ndarray], bounds: list[int]) -> pa.Array:
+    parts = pa.StructArray.from_arrays([pa.array(columns[0], pa.int64()), *(pa.array(c, pa.int32()) for c in columns[1:])], ["t", "s", "f"])
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), parts)
+
+
+def _scanned(docs: DataFrame, keep_text: bool) -> DataFrame:
+    """Per document its base spans and content hash; of those with entities also these and all words. Stored."""
     source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("_text"))
     key = source.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "_base", "_near", *(["_text"] if keep_text else [])]
+    names = ["doc_id", "_base", "_content", "_entities", "_words", *(["_text"] if keep_text else [])]
+    nothing = (np.zeros(0, np.int64),) * 3
 
     def scanned(batches):
         for batch in batches:
             for part in range(0, len(batch), 256):
                 rows = batch.slice(part, 256)
-                spans, near = [], []
+                spans, content, named, words, bounds = [], [], [], [], [0]
                 for text in rows.column(1):
                     text = text.as_py()
                     found = entities(text)
                     spans.append([{"start": s, "kind": k, "end": e} for s, k, e in found])
-                    near.append(
-                        [{"e": n, "c": c, "w": [{"t": t, "s": a, "f": b} for t, a, b in w]} for n, c, w in contexts(text, found, around)] if found else []
-                    )
-                columns = [rows.column(0), pa.array(spans, _SPANS_TYPE), pa.array(near, _NEAR_TYPE)]
+                    content.append(xxhash.xxh64_intdigest(text) - (1 << 63))
+                    named.append(sorted({_name(k, text[s:e]) for s, k, e in found}))
+                    words.append(words_of(text, found) if found else nothing)
+                    bounds.append(bounds[-1] + len(words[-1][0]))
+                columns = [
+                    rows.column(0),
+                    pa.array(spans, _SPANS_TYPE),
+                    pa.array(content, pa.int64()),
+                    pa.array(named, pa.list_(pa.int64())),
+                    _listed([np.concatenate(c) for c in zip(*words)], bounds),
+                ]
                 yield pa.RecordBatch.from_arrays(columns + ([rows.column(1)] if keep_text else []), names)
 
-    schema = f"doc_id {key}, _base {_SPANS}, _near {_NEAR}" + (", _text string" if keep_text else "")
+    schema = f"doc_id {key}, _base {_SPANS}, _content long, _entities array<long>, _words {_WORDS}" + (", _text string" if keep_text else "")
     return store(source.mapInArrow(scanned, schema).withColumn("_at", F.monotonically_increasing_id()), "entities")
 
 
@@ -194,24 +188,54 @@ def word_frequencies(docs: DataFrame) -> DataFrame:
     return source.mapInArrow(counted, "_t long, _n long").groupBy("_t").agg(F.sum("_n").alias("_df"))
 
 
-def disclosing(scanned: DataFrame, docs: DataFrame, support: int = SUPPORT, share: float = SHARE) -> DataFrame:
-    """(_e, _t, _told): words that tell more than share of an entity's information."""
-    near = scanned.select(F.explode("_near").alias("x")).select("x.e", "x.c", "x.w")
-    entity = near.select("e", "c").distinct().groupBy(F.col("e").alias("_e")).agg(F.count(F.lit(1)).alias("_n_e")).where(F.col("_n_e") >= support)
-    pairs = near.select("e", "c", F.explode(F.array_distinct(F.transform("w", lambda w: w["t"]))).alias("t")).distinct()
-    together = pairs.groupBy("e", "t").agg(F.count(F.lit(1)).alias("_co")).where(F.col("_co") >= support)
-    total = F.lit(float(max(1, scanned.count())))
-    known = together.join(entity, F.col("e") == F.col("_e")).join(word_frequencies(docs), F.col("t") == F.col("_t"))
-    # A word may stand in more contexts than documents, and an entity may be everywhere.
-    bits = F.log2(total * F.least(F.col("_co") / F.col("_n_e") / F.greatest("_df", "_co"), 1 / F.col("_n_e")))
-    whole = F.log2(total / F.least(F.col("_n_e").cast("double"), total))
-    return known.where((whole > 0) & (bits >= share * whole)).select(F.col("_e"), F.col("_t"), (bits / whole).alias("_told"))
-
-
-def _disclosed_spans(scanned: DataFrame, docs: DataFrame, support: int, share: float) -> DataFrame:
-    each = scanned.select("_at", F.explode("_near").alias("x")).select("_at", F.col("x.e").alias("e"), F.explode("x.w").alias("w"))
-    told = disclosing(scanned, docs, support, share)
-    hit = each.join(told, (F.col("e") == F.col("_e")) & (F.col("w.t") == F.col("_t")))
+def lower_bound(share, n, z: float):
+    """Lower end of the Wilson interval of a share of n cases; columns or numbers."""
+    root = (share * (1 - share) / n + z * z / (4 * n * n)) ** 0.5
+    return (share + z * z / (2 * n) - z * root) / (1 + z * z / n)
+
+
+def least_contents(left: float, z: float) -> int:
+    """Distinct contents that a word needs at least, if it never stands without the entity."""
+    n = 1
+    while lower_bound(1.0, n, z) < 2.0**-left:
+        n += 1
+    return n
+
+
+def disclosing(scanned: DataFrame, docs: DataFrame, left: float = LEFT, confidence: float = CONFIDENCE) -> tuple[DataFrame, DataFrame]:
+    """Documents of entity classes (_at, _class), and the words that disclose them (_class, _t, _share)."""
+    least, share = least_contents(left, confidence), 2.0**-left
+    held = scanned.select("_at", "_content", F.explode("_entities").alias("_e"))
+    per_content = held.groupBy("_e", "_content").agg(F.count(F.lit(1)).alias("_n"), F.bit_xor(F.xxhash64("_at")).alias("_x"), F.bit_xor(F.xxhash64("_at", F.lit(1))).alias("_y"))
+    entity = per_content.groupBy("_e").agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_contents"), F.bit_xor("_x").alias("_x"), F.bit_xor("_y").alias("_y"))
+    # Entities of the same documents have the same sums over them.
+    entity = entity.where(F.col("_contents") >= least).select("_e", "_rows", F.xxhash64("_x", "_y", "_rows").alias("_class"))
+    entity = store(entity.withColumnRenamed("_e", "_name"), "named")
+    classes = held.join(entity, F.col("_e") == F.col("_name")).groupBy("_at", "_content", "_class").agg(F.max("_rows").alias("_rows"))
+    classes = store(classes, "classes")
+    widest = F.col("_rows") / share
+    reach = classes.groupBy(F.col("_at").alias("_a")).agg(F.max(widest).alias("_reach"))
+    most = reach.agg(F.max("_reach")).first()[0] or 0.0
+    frequency = word_frequencies(docs).where((F.col("_df") >= least) & (F.col("_df") <= most)).select(F.col("_t").alias("_w"), "_df")
+    words = scanned.join(reach, F.col("_at") == F.col("_a")).select("_at", "_reach", F.explode(F.array_distinct(F.transform("_words", lambda w: w["t"]))).alias("_t"))
+    words = words.join(frequency, F.col("_t") == F.col("_w")).where(F.col("_df") <= F.col("_reach")).select(F.col("_at").alias("_a"), "_t", "_df")
+    pairs = classes.join(words, F.col("_at") == F.col("_a")).where(F.col("_df") <= widest)
+    by_content = pairs.groupBy("_class", "_t", "_df", "_content").agg(F.count(F.lit(1)).alias("_n"))
+    together = by_content.groupBy("_class", "_t", "_df").agg(F.sum("_n").alias("_co"), F.count(F.lit(1)).alias("_contents"))
+    # A hash that two words share may make a word seem rarer than it is, never the other way round.
+    told = F.least(F.col("_co") / F.col("_df"), F.lit(1.0))
+    known = together.withColumn("_share", lower_bound(told, F.col("_contents") / told, confidence))
+    return classes.select("_at", "_class"), known.where(F.col("_share") >= share).select("_class", "_t", "_share")
+
+
+def _disclosed_spans(scanned: DataFrame, docs: DataFrame, left: float, confidence: float) -> DataFrame:
+    classes, told = disclosing(scanned, docs, left, confidence)
+    words = told.select(F.col("_class").alias("_c"), F.col("_t").alias("_told"))
+    wanted = classes.join(words, F.col("_class") == F.col("_c")).select(F.col("_at").alias("_a"), "_told").distinct()
+    wanted = store(wanted, "told")
+    rows = scanned.join(wanted.select(F.col("_a").alias("_b")).distinct(), F.col("_at") == F.col("_b"), "left_semi")
+    each = rows.select("_at", F.explode("_words").alias("w"))
+    hit = each.join(wanted, (F.col("_at") == F.col("_a")) & (F.col("w.t") == F.col("_told")))
     span = F.struct(F.col("w.s").alias("start"), F.lit(4).alias("kind"), F.col("w.f").alias("end"))
     return hit.groupBy(F.col("_at").alias("_a")).agg(F.collect_set(span).alias("_terms"))
 
@@ -221,10 +245,10 @@ def _written(spans) -> object:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["end"])), ",")
 
 
-def personal_data(docs: DataFrame, around: int = AROUND, support: int = SUPPORT, share: float = SHARE) -> DataFrame:
-    """One row per document: counts and hash of the fixed kinds, and all spans."""
-    rows = _scanned(docs, around, False)
-    terms = _disclosed_spans(rows, docs, support, share)
+def personal_data(docs: DataFrame, left: float = LEFT, confidence: float = CONFIDENCE) -> DataFrame:
+    """One row per document: counts and hash of the fixed kinds, all spans, and the number of disclosing words."""
+    rows = _scanned(docs, False)
+    terms = _disclosed_spans(rows, docs, left, confidence)
     out = rows.select("_at", "doc_id", "_base").join(terms, F.col("_at") == F.col("_a"), "left")
     more = F.coalesce("_terms", F.array().cast(_SPANS))
     count = lambda kind: F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long")
@@ -233,6 +257,7 @@ def personal_data(docs: DataFrame, around: int = AROUND, support: int = SUPPORT,
         *[count(i).alias(f"n_{k}") for i, k in enumerate(KINDS[:4])],
         F.sha2(_written(F.col("_base")), 256).alias("base_sha256"),
         _written(F.array_sort(F.concat("_base", more))).alias("spans"),
+        F.size(more).cast("long").alias("n_terms"),
     )
 
 
@@ -243,10 +268,10 @@ def generalised(word: str) -> str:
     return ""
 
 
-def sanitised(docs: DataFrame, around: int = AROUND, support: int = SUPPORT, share: float = SHARE) -> DataFrame:
+def sanitised(docs: DataFrame, left: float = LEFT, confidence: float = CONFIDENCE) -> DataFrame:
     """doc_id and text: entities replaced by their kind, disclosing words generalised or removed."""
-    rows = _scanned(docs, around, True)
-    terms = _disclosed_spans(rows, docs, support, share)
+    rows = _scanned(docs, True)
+    terms = _disclosed_spans(rows, docs, left, confidence)
     out = rows.select("_at", "doc_id", "_text", "_base").join(terms, F.col("_at") == F.col("_a"), "left")
     spans = F.array_sort(F.concat("_base", F.coalesce("_terms", F.array().cast(_SPANS))))
     source = out.select("doc_id", "_text", spans.alias("_spans"))

@@ -1,18 +1,29 @@
 """Main text of web pages: site templates are found by subtrees that recur within a host.
 
-Each page is parsed once. Markup that says itself that it is no content (scripts, menus,
-forms, adverts, comments of readers and the like) is dropped; of the rest, every element's
-subtree is hashed. Spark counts per host the distinct contents a subtree stands in, so that
-copies of one page count once, and subtrees that recur in many of them are deleted. Text
-blocks of a declared article are never deleted by recurrence, only containers are, so that a
-passage that articles share stays.
-
-The number of templates of a host is not collected anywhere: subtrees are joined with the
-templates by (host, hash) and brought back by row number, by broadcast if the pages that hold
-any are counted to fit, else by a shuffle.
+Each page is parsed once into a tree of elements; inline markup and elements that hold no text
+to read (scripts, styles, media, hidden ones) are left out. Every subtree with text is hashed:
+menus, adverts and footers as well as sections, lists and paragraphs. Spark counts per host the
+distinct contents a subtree stands in, so that copies of one page count once. What is removed,
+in this order of evidence:
+
+1. Subtrees that recur in ``min_pages`` distinct contents of their host, or in ``min_texts`` of
+   them for a single text block (headings and lines of a list or table go only with the element
+   around them). Text blocks of a declared article stay, so that a passage which articles share
+   is kept. Both counts are absolute: they ask the same of a large host as of a small one.
+2. Elements that say by their tag or role that they are no content: menus, headers and footers
+   outside an article, sidebars, forms, dialogs.
+3. Elements whose class or id says so. In an article a text block is never judged by its name,
+   and another element only if all words of its class are of that kind or about layout. An
+   element that holds most of a page's text is not judged by its name either.
+4. If declared articles hold at least half of the text that is left, or most of its blocks,
+   the rest goes; failing that, the same for ``main``.
+
+Templates are not collected anywhere: subtrees are joined with them by (host, hash) and brought
+back by row number, by broadcast if what is sent is counted to fit, else by a shuffle.
 
 Defined results: null or empty html has the text ""; a url without a host counts under the
-empty host; equal rows are pages of their own; broken markup is read as browsers roughly do.
+empty host; equal rows are pages of their own; broken markup is read as browsers roughly do. A
+menu, header, footer, sidebar or form that is never closed ends where an article begins.
 """
 
 from __future__ import annotations
@@ -20,7 +31,6 @@ from __future__ import annotations
 import html
 import re
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
@@ -29,7 +39,7 @@ from labelwright.llm.rows import small_side
 from labelwright.sources.scratch import store
 
 MIN_PAGES = 5
-MIN_SHARE = 0.2
+MIN_TEXTS = 20
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)"
@@ -40,15 +50,19 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"([a-zA-Z][\w:-]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = set("script style title textarea xmp iframe noembed noframes plaintext".split())
-_DROPPED = set(
+_SILENT = set(
     "head script style noscript template iframe object embed svg math canvas audio video map"
-    " nav footer aside form button select textarea input label fieldset dialog menu xmp noembed noframes title".split()
+    " select textarea xmp noembed noframes title button input".split()
 )
+_FURNITURE = set("nav footer aside form fieldset dialog menu label".split())
+_NEVER_CLOSED = set("nav header footer aside form".split())
 _INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark nobr q rp rt ruby s samp"
     " small span strike strong sub sup time tt u var wbr br".split()
 )
 _TEXT_BLOCKS = set("p h1 h2 h3 h4 h5 h6 li dt dd blockquote pre table thead tbody tfoot tr td th caption figcaption address".split())
+# Text blocks that are not templates on their own.
+_LINES = set("h1 h2 h3 h4 h5 h6 li dt dd thead tbody tfoot tr td th caption figcaption".split())
 _ENDS_P = set(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form"
     " h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section summary table ul li dt dd".split()
@@ -73,21 +87,34 @@ _NOISE = re.compile(
     r"|social|related|recommended|recommendations|widgets?|toolbar|login|signup|searchform|searchbox)(?:$|[\s_-])",
     re.I,
 )
+# Words of a class that are about layout and say nothing about the content.
+_LAYOUT = set(
+    "bar block body bottom box boxes btn button buttons card center col column container content count counts fixed flex float"
+    " full grid group hidden holder icon icons inline inner item items left line link links list lists main media mobile modal"
+    " module outer panel row section side small sticky tab table tabs text title top unit wrap wrapper xs sm md lg xl".split()
+)
+_PART = re.compile(r"[A-Za-z]+")
 _HEADER = re.compile(r"(?:^|[\s_-])(?:header|topbar)(?:$|[\s_-])", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 
 
 class _Page:
-    """Elements left after the structural rules, and the text blocks under them."""
+    """Elements in page order (parents first) with their evidence, and the text blocks under them.
+
+    ``rule`` is 0, 1 for an element that is no content by tag or role, 2 by its name. ``home`` is
+    1 inside an article, 2 inside main only.
+    """
 
     def __init__(self, source: str):
         self.tag, self.parent, self.parts = ["#root"], [-1], [["#root"]]
-        self.blocks: list[tuple[int, list[str]]] = []
+        self.rule, self.home = [0], [0]
+        self.blocks: list[tuple[int, str]] = []
         self.stack: list[tuple[str, int]] = [("#root", 0)]
         self.open_text: list[str] = []
         self.node = 0
         self.dropped = 0
-        self.inside = 0
+        self.source, self.place = source, 0
+        self.ends: dict[str, int] = {}
         self.read(source)
         self.flush()
 
@@ -103,17 +130,28 @@ class _Page:
         if raw and not self.dropped:
             self.open_text.append(html.unescape(raw) if "&" in raw else raw)
 
-    def unwanted(self, tag: str, attributes: dict) -> bool:
-        if tag in _DROPPED or attributes.get("role", "").lower() in _ROLES:
-            return True
-        if tag == "header" and not self.inside:
-            return True
-        if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(attributes.get("style", "")):
+    def silent(self, tag: str, attributes: dict) -> bool:
+        """Nothing of it is read."""
+        if tag in _SILENT or "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true":
             return True
+        return bool(_HIDDEN.search(attributes.get("style", "")))
+
+    def named(self, tag: str, attributes: dict) -> bool:
+        """Whether class and id say that it is no content."""
         if tag in ("html", "body", "main"):
             return False
         names = f"{attributes.get('class', '')} {attributes.get('id', '')}"
-        return bool(_NOISE.search(names) or not self.inside and _HEADER.search(names))
+        if not self.home[self.node]:
+            return bool(_NOISE.search(names) or _HEADER.search(names))
+        if tag in _TEXT_BLOCKS or not _NOISE.search(names):
+            return False
+        words = _PART.findall(names.lower())
+        return all(w in _LAYOUT or _NOISE.search(w) for w in words)
+
+    def evidence(self, tag: str, attributes: dict) -> int:
+        if tag in _FURNITURE or attributes.get("role", "").lower() in _ROLES or tag == "header" and not self.home[self.node]:
+            return 1
+        return 2 * self.named(tag, attributes)
 
     def pop(self) -> None:
         tag, node = self.stack.pop()
@@ -122,10 +160,21 @@ class _Page:
         elif tag not in _INLINE:
             if not self.dropped:
                 self.flush()
-            if tag in ("article", "main"):
-                self.inside -= 1
             self.node = self.parent[node]
 
+    def closes_later(self, tag: str) -> bool:
+        """Whether an end tag follows; the place found is kept for the next question."""
+        at = self.ends.get(tag, -1)
+        if at < self.place and at != len(self.source):
+            found = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(self.source, self.place)
+            self.ends[tag] = at = found.start() if found else len(self.source)
+        return at < len(self.source)
+
+    def end_open_furniture(self) -> None:
+        for tag in {t for t, _ in self.stack} & _NEVER_CLOSED:
+            if not self.closes_later(tag):
+                self.pop_to({tag}, {"#root"})
+
     def pop_to(self, wanted: set, stops: set) -> None:
         """Close the nearest of the wanted elements, unless one of the stops is nearer."""
         for k in range(len(self.stack) - 1, 0, -1):
@@ -141,6 +190,8 @@ class _Page:
             self.pop_to({"p"}, _SCOPE)
         if tag in _SIBLINGS:
             self.pop_to(*_SIBLINGS[tag])
+        if tag in ("article", "main"):
+            self.end_open_furniture()
         void = tag in _VOID
         if self.dropped:
             if not void:
@@ -157,7 +208,7 @@ class _Page:
             elif tag == "hr":
                 self.flush()
             return
-        if self.unwanted(tag, attributes):
+        if self.silent(tag, attributes) or tag in _INLINE and self.evidence(tag, attributes):
             if tag not in _INLINE:
                 self.flush()
             self.stack.append((tag, -1))
@@ -168,13 +219,13 @@ class _Page:
             return
         self.flush()
         node = len(self.tag)
+        self.rule.append(self.evidence(tag, attributes))
+        self.home.append(1 if tag == "article" else self.home[self.node] or 2 * (tag == "main"))
         self.tag.append(tag)
         self.parent.append(self.node)
         self.parts.append([f"<{tag} {attributes.get('class', '')}#{attributes.get('id', '')}>"])
         self.stack.append((tag, node))
         self.node = node
-        if tag in ("article", "main"):
-            self.inside += 1
 
     def read(self, source: str) -> None:
         place, end = 0, len(source)
@@ -184,7 +235,7 @@ class _Page:
                 self.text(source[place:])
                 return
             self.text(source[place : found.start()])
-            place = found.end()
+            self.place = place = found.end()
             tag = found[2] or found[5]
             if not tag:
                 continue
@@ -203,37 +254,67 @@ class _Page:
                 continue
             self.start(tag, raw)
 
-    def result(self) -> tuple[list[int], list[int], list[int], list[str], int]:
-        """Hash (0: never deleted) and parent of the elements; element and text of the main blocks; content hash."""
+    def result(self) -> dict:
+        """Per element: hash (0: never deleted, odd: a single text block), parent, rule and home; blocks; content hash."""
         n = len(self.tag)
-        children: list[list[str]] = self.parts
-        hashes = [0] * n
+        hashes, below = [0] * n, [0] * n
+        for b, t in self.blocks:
+            below[b] += len(t)
         # Parents come before children; texts and subtrees are hashed from the last one back.
         for k in range(n - 1, 0, -1):
-            hashes[k] = xxhash.xxh64_intdigest("\x1f".join(children[k])) - (1 << 63)
-            children[self.parent[k]].append(f"{hashes[k]:x}")
-        under = {}
-        home = [0] * n
-        for k in range(1, n):
-            home[k] = home[self.parent[k]] or (k if self.tag[k] == "article" else 0)
-        mains = [0] * n
-        for k in range(1, n):
-            mains[k] = mains[self.parent[k]] or (k if self.tag[k] == "main" else 0)
-        under = home if any(home[b] for b, _ in self.blocks) else mains
-        declared = any(under[b] for b, _ in self.blocks)
-        blocks = [(b, t) for b, t in self.blocks if under[b] or not declared]
+            hashes[k] = xxhash.xxh64_intdigest("\x1f".join(self.parts[k])) - (1 << 63)
+            self.parts[self.parent[k]].append(f"{hashes[k]:x}")
+            below[self.parent[k]] += below[k]
         for k in range(1, n):
-            if self.tag[k] in ("html", "body", "main", "article") or declared and under[k] and self.tag[k] in _TEXT_BLOCKS:
-                hashes[k] = 0
+            tag, single = self.tag[k], self.tag[k] in _TEXT_BLOCKS
+            never = tag in ("html", "body", "main", "article") or tag in _LINES or single and self.home[k] == 1 or not below[k]
+            hashes[k] = 0 if never else hashes[k] & ~1 | single
+            if self.rule[k] == 2 and not self.home[self.parent[k]] and 2 * below[k] > below[0]:
+                self.rule[k] = 0
         hashes[0] = 0
-        content = xxhash.xxh64_intdigest("\n".join(t for _, t in blocks)) - (1 << 63)
-        return hashes, self.parent, [b for b, _ in blocks], [t for _, t in blocks], content
+        texts = [t for _, t in self.blocks]
+        content = xxhash.xxh64_intdigest("\n".join(t for b, t in self.blocks if not self.ruled(b))) - (1 << 63)
+        return {"hashes": hashes, "parents": self.parent, "rules": self.rule, "homes": self.home, "where": [b for b, _ in self.blocks], "texts": texts, "content": content}
 
+    def ruled(self, k: int) -> bool:
+        while k > 0:
+            if self.rule[k]:
+                return True
+            k = self.parent[k]
+        return False
 
-def parse(source: str | None) -> tuple[list[int], list[int], list[int], list[str], int]:
+
+def parse(source: str | None) -> dict:
     return _Page(source or "").result()
 
 
+def remaining(page: dict, gone: set[int]) -> tuple[list[str], int, int]:
+    """Blocks left when the subtrees with these hashes go; subtrees removed by recurrence and by markup."""
+    hashes, parents, rules, homes = page["hashes"], page["parents"], page["rules"], page["homes"]
+    lost = [False] * len(hashes)
+    n_templates = n_rules = 0
+    for k in range(1, len(hashes)):
+        if lost[parents[k]]:
+            lost[k] = True
+        elif hashes[k] in gone:
+            lost[k] = True
+            n_templates += 1
+        elif rules[k]:
+            lost[k] = True
+            n_rules += 1
+    left = [(homes[b], t) for b, t in zip(page["where"], page["texts"]) if not lost[b]]
+    whole = sum(len(t) for _, t in left)
+    for wanted in ((1,), (1, 2)):
+        own = [(h, t) for h, t in left if h in wanted]
+        if own and (2 * sum(len(t) for _, t in own) >= whole or 2 * len(own) > len(left)):
+            left = own
+            break
+    return [t for _, t in left], n_templates, n_rules
+
+
+_COLUMNS = {"hashes": pa.list_(pa.int64()), "parents": pa.list_(pa.int32()), "rules": pa.list_(pa.int32()), "homes": pa.list_(pa.int32()), "where": pa.list_(pa.int32()), "texts": pa.list_(pa.string()), "content": pa.int64()}
+
+
 def _parsed(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1))
     source = pages.select("html", F.struct("page_id", "url").alias("_row"), host.alias("_host"))
@@ -244,60 +325,51 @@ def _parsed(pages: DataFrame) -> DataFrame:
             for part in range(0, len(batch), 64):
                 rows = batch.slice(part, 64)
                 done = [parse(x.as_py()) for x in rows.column(0)]
-                hashes, parents, where, texts, content = zip(*done)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        rows.column(1),
-                        rows.column(2),
-                        pa.array(hashes, pa.list_(pa.int64())),
-                        pa.array(parents, pa.list_(pa.int32())),
-                        pa.array(where, pa.list_(pa.int32())),
-                        pa.array(texts, pa.list_(pa.string())),
-                        pa.array(content, pa.int64()),
-                    ],
-                    ["_row", "_host", "_hashes", "_parents", "_where", "_texts", "_content"],
-                )
+                columns = [pa.array([d[name] for d in done], type_) for name, type_ in _COLUMNS.items()]
+                yield pa.RecordBatch.from_arrays([rows.column(1), rows.column(2), *columns], ["_row", "_host", *(f"_{n}" for n in _COLUMNS)])
 
-    schema = f"_row {kind}, _host string, _hashes array<long>, _parents array<int>, _where array<int>, _texts array<string>, _content long"
+    schema = (
+        f"_row {kind}, _host string, _hashes array<long>, _parents array<int>, _rules array<int>, _homes array<int>,"
+        " _where array<int>, _texts array<string>, _content long"
+    )
     return store(source.mapInArrow(parsed, schema).withColumn("_at", F.monotonically_increasing_id()), "pages")
 
 
-def templates(parsed: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, subtree) that recur in many distinct contents of the host."""
-    sizes = parsed.select("_host", "_content").distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("_pages"))
+def templates(parsed: DataFrame, min_pages: int = MIN_PAGES, min_texts: int = MIN_TEXTS) -> DataFrame:
+    """(_h host, _t subtree) that recur in enough distinct contents of the host."""
     each = parsed.select("_host", "_content", F.explode(F.array_distinct("_hashes")).alias("_hash")).where("_hash != 0")
-    counted = each.distinct().groupBy("_host", "_hash").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_pages)
-    return counted.join(sizes, "_host").where(F.col("_n") >= min_share * F.col("_pages")).select(F.col("_host").alias("_h"), F.col("_hash").alias("_t"))
+    counted = each.distinct().groupBy("_host", "_hash").agg(F.count(F.lit(1)).alias("_n"))
+    needed = F.when(F.col("_hash") % 2 == 0, min_pages).otherwise(min_texts)
+    return counted.where(F.col("_n") >= needed).select(F.col("_host").alias("_h"), F.col("_hash").alias("_t"))
 
 
-def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
-    """One row per page: page_id, url, text, n_chars, n_templates (subtrees deleted)."""
+def main_text(pages: DataFrame, min_pages: int = MIN_PAGES, min_texts: int = MIN_TEXTS) -> DataFrame:
+    """One row per page: page_id, url, text, n_chars, and the subtrees removed by recurrence and by markup."""
     rows = _parsed(pages)
     each = rows.select("_at", "_host", F.explode(F.array_distinct("_hashes")).alias("_hash")).where("_hash != 0")
-    common = templates(rows, min_pages, min_share)
+    common = small_side(store(templates(rows, min_pages, min_texts), "templates"), 64)
     found = each.join(common, (F.col("_host") == F.col("_h")) & (F.col("_hash") == F.col("_t")))
     gone = store(found.groupBy(F.col("_at").alias("_a")).agg(F.collect_set("_hash").alias("_gone")), "gone")
     n_gone = gone.agg(F.avg(32 + 8 * F.size("_gone"))).first()[0] or 0
     gone = small_side(gone, int(n_gone))
-    out = rows.select("_at", "_row", "_hashes", "_parents", "_where", "_texts").join(gone, F.col("_at") == F.col("_a"), "left")
-    source = out.select("_row", "_hashes", "_parents", "_where", "_texts", F.coalesce("_gone", F.array().cast("array<long>")).alias("_gone"))
+    parts = [f"_{n}" for n in _COLUMNS if n != "content"]
+    out = rows.select("_at", "_row", *parts).join(gone, F.col("_at") == F.col("_a"), "left")
+    source = out.select("_row", *parts, F.coalesce("_gone", F.array().cast("array<long>")).alias("_gone"))
     kind = source.schema["_row"].dataType.simpleString()
 
     def cut(batches):
         for batch in batches:
-            texts, counts = [], []
-            for hashes, parents, where, blocks, gone in zip(*[batch.column(i).to_pylist() for i in range(1, 6)]):
-                n = 0
-                if gone:
-                    bad = set(gone)
-                    lost = np.zeros(len(hashes), bool)
-                    for k in range(1, len(hashes)):
-                        lost[k] = lost[parents[k]] or hashes[k] in bad
-                        n += bool(hashes[k] in bad and not lost[parents[k]])
-                    blocks = [t for b, t in zip(where, blocks) if not lost[b]]
-                texts.append("\n".join(blocks))
-                counts.append(n)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(counts, pa.int64())], ["_row", "text", "n_templates"])
-
-    done = source.mapInArrow(cut, f"_row {kind}, text string, n_templates long")
-    return done.select("_row.page_id", "_row.url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_templates")
+            for part in range(0, len(batch), 256):
+                held = batch.slice(part, 256)
+                done = []
+                for *values, gone in zip(*[held.column(i).to_pylist() for i in range(1, len(parts) + 2)]):
+                    blocks, n_templates, n_rules = remaining(dict(zip((p[1:] for p in parts), values)), set(gone))
+                    done.append(("\n".join(blocks), n_templates, n_rules))
+                texts, by_count, by_rule = zip(*done)
+                yield pa.RecordBatch.from_arrays(
+                    [held.column(0), pa.array(texts, pa.string()), pa.array(by_count, pa.int64()), pa.array(by_rule, pa.int64())],
+                    ["_row", "text", "n_templates", "n_rules"],
+                )
+
+    done = source.mapInArrow(cut, f"_row {kind}, text string, n_templates long, n_rules long")
+    return done.select("_row.page_id", "_row.url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_templates", "n_rules")

@@ -45,39 +45,34 @@ def test_any_text(text):
     assert S.entities(text) == brute(text)
 
 
-def plain(rows, around, support, share):
-    """Disclosing words again, with dictionaries."""
+def plain(rows, left=S.LEFT, z=S.CONFIDENCE):
+    """Disclosing words again, with dictionaries over whole documents."""
     word = re.compile(r"[0-9A-Za-z\u0080-\U0010ffff]+")
     low = lambda t: "".join(c.lower() if "A" <= c <= "Z" else c for c in t)
-    contexts, df, places = defaultdict(set), Counter(), defaultdict(list)
+    holds, df, places = defaultdict(set), Counter(), []
     for i, (_, text) in enumerate(rows):
         text = text or ""
         found = brute(text)
         df.update({low(w) for w in word.findall(text)})
+        places.append([(m.start(), m.end(), low(m[0])) for m in word.finditer(text) if not any(s < m.end() and m.start() < e for s, _, e in found)] if found else [])
         for s, k, e in found:
-            near = [m.span() for m in word.finditer(text[:s])][-around:]
-            near += [(e + a, e + b) for a, b in [m.span() for m in word.finditer(text[e:])][:around]]
-            near = [(a, b) for a, b in near if not any(p < b and a < q for p, _, q in found)]
-            name = (k, text[s:e].lower())
-            contexts[name].add(tuple(low(text[a:b]) for a, b in near))
-            places[name] += [(i, a, b, low(text[a:b])) for a, b in near]
+            holds[k, text[s:e].lower()].add(i)
     spans = defaultdict(set)
-    n = len(rows)
-    for name, seen in contexts.items():
-        for t in {t for c in seen for t in c}:
-            co = sum(t in c for c in seen)
-            if len(seen) >= support and co >= support and len(seen) < n:
-                bits = math.log2(n * min(co / len(seen) / max(df[t], co), 1 / len(seen)))
-                if bits >= share * math.log2(n / len(seen)):
-                    for i, a, b, w in places[name]:
-                        if w == t:
-                            spans[i].add((a, 4, b))
+    for docs in holds.values():
+        for t in {t for i in docs for _, _, t in places[i]}:
+            both = [i for i in docs if any(w == t for _, _, w in places[i])]
+            share = min(1.0, len(both) / df[t])
+            n = len({rows[i][1] for i in both}) / share
+            centre, root = share + z * z / (2 * n), math.sqrt(share * (1 - share) / n + z * z / (4 * n * n))
+            if (centre - z * root) / (1 + z * z / n) >= 2**-left:
+                for i in both:
+                    spans[i] |= {(a, 4, b) for a, b, w in places[i] if w == t}
     out = []
     for i, (d, text) in enumerate(rows):
         base = brute(text or "")
         counts = [sum(k == kind for _, k, _ in base) for kind in range(4)]
         write = lambda x: ",".join(f"{S.KINDS[k]}:{s}:{e}" for s, k, e in sorted(x))
-        out.append((d, *counts, hashlib.sha256(write(base).encode()).hexdigest(), write(base + list(spans[i]))))
+        out.append((d, *counts, hashlib.sha256(write(base).encode()).hexdigest(), write(base + list(spans[i])), len(spans[i])))
     return sorted(out, key=str)
 
 
@@ -93,14 +88,36 @@ def test_disclosure(spark):
     rows = made_rows()
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, spans string").repartition(4)
     got = S.personal_data(docs).collect()
-    assert sorted(map(tuple, got), key=str) == plain(rows, S.AROUND, S.SUPPORT, S.SHARE)
-    assert sum("term" in r.spans for r in got) == 4
+    want = plain(rows)
+    assert sorted(map(tuple, got), key=str) == want
+    found = {r.doc_id: r.n_terms for r in got}
+    # The captain's name is told wherever the address stands, far from it too; copies prove nothing.
+    assert found[100] >= 2 and found[300] == 0 and found[200] == 0 and found[5] == 0
     text = {r.doc_id: r.text for r in S.sanitised(docs).collect()}
-    assert text[101] == "today1  xxxx00   [EMAIL]   trip1 of a plain text"
+    assert "xxxx00" in text[101] and "Nemo77" not in text[101] and "[EMAIL]" in text[101] and "plain text" in text[101]
     assert S.personal_data(docs.limit(0)).count() == 0
 
 
-def test_real_rows(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+def test_far_away_and_in_classes(spark):
+    """Words a thousand words from the entity; two entities of the same documents; a frequent word."""
+    filler = lambda i: " ".join(f"w{(i * 37 + k) % 900}" for k in range(1000))
+    rows = [(i, f"zanzibar {filler(i)} ask me@x.org or 10.0.0.{i % 2 + 1} common") for i in range(6)]
+    rows += [(50 + i, f"{filler(i)} common") for i in range(40)] + [(200, "mail me@x.org"), (201, "z" * 200_000 + " me@x.org")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = S.personal_data(docs).collect()
-    assert sorted(map(tuple, got), key=str) == plain([tuple(r) for r in docs.collect()], S.AROUND, S.SUPPORT, S.SHARE)
+    assert sorted(map(tuple, got), key=str) == plain(rows)
+    assert all(("term:0:8" in r.spans) == (r.doc_id < 6) for r in got)
+
+
+def test_no_single_document_discloses():
+    assert S.least_contents(S.LEFT, S.CONFIDENCE) == 2
+    assert S.lower_bound(0.5, 10, 1.2816) < 0.5 < S.lower_bound(0.9, 50, 1.2816)
+
+
+def test_real_rows_with_planted_cases(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    rows = [(d, (t or "") + (f" reach grobnik at secret.agent{i % 3}@hidden.example soon" if i % 10 == 0 else "")) for i, (d, t) in enumerate(rows)]
+    got = S.personal_data(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert sorted(map(tuple, got), key=str) == plain(rows)
+    assert sum(r.n_terms > 0 for r in got) > 0

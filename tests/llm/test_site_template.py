@@ -4,6 +4,7 @@ import html
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from labelwright.llm import site_template as S
 
@@ -26,12 +27,19 @@ PAGES = [
     ("<p hidden>h</p><p style='display: none'>n</p><p>v</p>", ["v"]),
     ("<div>" * 5000 + "deep" + "</div>" * 5000, ["deep"]),
     ("</div></p>x</b>", ["x"]),
+    ("<div id=content><p>Main body of some length</p></div><article><h3>Teaser</h3></article>", ["Main body of some length", "Teaser"]),
+    ('<article><p class="notice">An important paragraph</p><p>x</p></article>', ["An important paragraph", "x"]),
+    ('<article><div class="social sciences"><p>Social text</p></div></article>', ["Social text"]),
+    ("<body><nav><a>m</a><article><p>body</p></article>", ["body"]),
+    ("<aside><article><p>card</p></article></aside><article><p>body of the page</p></article>", ["body of the page"]),
+    ("<div class='promo page'><p>nearly all of the page</p></div><div class=promo>buy</div>", ["nearly all of the page"]),
+    ("<p>" + "long words " * 30_000 + "</p><aside>" + "x " * 50_000 + "</aside>", [("long words " * 30_000).strip()]),
 ]
 
 
 @pytest.mark.parametrize("source, blocks", PAGES)
 def test_blocks(source, blocks):
-    assert S.parse(source)[3] == blocks
+    assert S.remaining(S.parse(source), set())[0] == blocks
 
 
 def test_templates_per_host(spark):
@@ -54,6 +62,45 @@ def test_templates_per_host(spark):
     assert S.main_text(pages.limit(0)).count() == 0
 
 
+def brute_templates(pages):
+    """Subtrees by host, counted over distinct contents with dictionaries."""
+    seen = {}
+    for url, source in pages:
+        host = re.match(r"(?:[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+))?", url or "")[1] or ""
+        page = S.parse(source)
+        for h in page["hashes"]:
+            if h:
+                seen.setdefault((host.lower(), h), set()).add(page["content"])
+    return {k for k, v in seen.items() if len(v) >= (S.MIN_TEXTS if k[1] % 2 else S.MIN_PAGES)}
+
+
+def hosted():
+    """Menus, adverts and notices that recur, under names and tags that say nothing."""
+    menu = "<div class=x1><ul><li>Home</li><li>News</li></ul></div>"
+    page = lambda i: f"<body>{menu}<div class=x2><p>Offer {i % 4} of the week</p></div><h2>Part</h2><p>words {i} of the page</p><p>All rights reserved</p></body>"
+    rows = [(i, f"https://big.example/{i}", page(i)) for i in range(30)]
+    return rows + [(100 + i, f"https://small.example/{i}", page(i)) for i in range(4)]
+
+
+def test_templates_equal_brute_force(spark, sf_dir):
+    made = spark.createDataFrame(hosted(), "page_id long, url string, html string")
+    for pages in (made, spark.read.parquet(f"{sf_dir}/pages.parquet")):
+        parsed = S._parsed(pages)
+        got = {(r._h, r._t) for r in S.templates(parsed).collect()}
+        assert got == brute_templates([(r.url, r.html) for r in pages.select("url", "html").collect()])
+    rows = {r.page_id: r for r in S.main_text(made).collect()}
+    # The menu, each offer and the notice recur; headings and the page's own words stay.
+    assert rows[7].text == "Part\nwords 7 of the page" and rows[7].n_templates == 3 and rows[7].n_rules == 0
+    assert rows[101].text.startswith("Home\nNews\nOffer 1") and rows[101].n_templates == 0
+
+
+def test_recurrence_decides_on_given_pages(spark, sf_dir):
+    """With the host as one, menus and adverts that recur are removed by their count."""
+    pages = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/pages.parquet").withColumn("url", F.lit("http://one.example/"))
+    found = S.main_text(pages).agg(F.sum("n_templates").alias("n"), F.count("*").alias("rows")).first()
+    assert found.n > 0 and found.rows == pages.count()
+
+
 def test_real_pages(spark, sf_dir):
     """Whole articles, and nothing else, of pages whose article is plainly marked."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
