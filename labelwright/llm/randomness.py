@@ -1,20 +1,23 @@
 """Secret scan: fixed patterns, and a battery of randomness tests under a discovery rate.
 
 Everything is a column expression. Positions come from the lengths of the pieces between
-matches, so they count code points. A candidate is a run of 16 or more letters, digits and
-base-64 signs with both a letter and a digit. Its encoding is inferred from its characters,
-and three tests ask whether it is a random string over that alphabet: a chi-squared statistic
-of symbol counts, a runs test of the upper and lower half of the alphabet, and the serial
-correlation of neighbours. Fisher's method joins them to one probability.
-
-How often ordinary text looks that random is measured on decoys: up to three neighbouring words of eight
-or more plain letters, joined to 16 or more and judged over the alphabet of letters and
-digits. Per length class the lowest cut is taken at which decoys would make at most ``rate``
-of what passes; a class with few decoys also counts those of shorter ones, which look random
-more easily. Counts per class and cut cover all documents; their table has a fixed size,
-whatever the input.
-
-Defined results: null is the empty text; equal rows are scanned each on their own; a table
+matches, so they count code points; they are added up in groups of pieces, so that the cost of
+a document grows with its matches. A candidate is every run of 16 or more letters, digits and
+base-64 signs. Its encoding is inferred from its characters, and three tests ask whether it is a
+random string over that alphabet: a chi-squared statistic of symbol counts, a runs test of the
+upper and lower half of the alphabet, and the serial correlation of neighbours. Fisher's method
+joins them to one probability.
+
+How often ordinary text looks that random is measured on decoys. Candidates with letters and
+digits have up to three neighbouring words of eight or more plain letters, joined to 16 or more
+and judged over letters and digits; candidates of letters alone have the same words judged over
+their own letters; candidates without a letter have neighbouring numbers, joined. Per such class
+and length class the lowest cut is taken at which decoys would make at most ``rate`` of what
+passes; a length class with few decoys also counts those of shorter ones, which look random more
+easily. Counts per class and cut cover all documents; their table has a fixed size, whatever the
+input. Texts are scanned once: candidates and decoys are written with their results.
+
+Defined results: null is the empty text; equal rows are scanned each on their own; a class
 without decoys accepts no candidate.
 """
 
@@ -22,6 +25,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from labelwright.sources.scratch import store
+
 # Fixed patterns of the three known kinds; group 2 of the first is the value.
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -36,14 +41,21 @@ CUTS = (0.0001, 0.0003, 0.001, 0.003, 0.01, 0.03, 0.1, 0.2, 0.3, 0.5, 0.7, 0.9)
 
 _SET = "A-Za-z0-9+/_-"
 _RUN = rf"[{_SET}]{{{MIN_LENGTH},}}+={{0,2}}"
-_CANDIDATE = rf"(?<![{_SET}])(?=[+/_-]*+[A-Za-z][A-Za-z+/_-]*+[0-9]|[+/_-]*+[0-9][0-9+/_-]*+[A-Za-z]){_RUN}"
+_CANDIDATE = rf"(?<![{_SET}]){_RUN}"
 _DECOY = rf"(?<![{_SET}])[A-Za-z]{{8,}}+(?:\x20[A-Za-z]{{8,}}+){{0,2}}+(?![={_SET}])"
+_NUMBERS = rf"(?<![{_SET}])[0-9]{{4,}}+(?:\x20[0-9]{{4,}}+){{1,3}}+(?![={_SET}])"
+MIXED, LETTERS, NO_LETTERS = range(3)
+GROUP = 256
 
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Encodings from the narrowest alphabet to the widest: pattern, symbols in order.
 ENCODINGS = (
+    ("^[0-9]+$", _DIGITS),
     ("^[0-9a-f]+$", _DIGITS + "abcdef"),
     ("^[0-9A-F]+$", _DIGITS + "ABCDEF"),
+    ("^[a-z]+$", _LOWER),
+    ("^[A-Z]+$", _UPPER),
+    ("^[A-Za-z]+$", _UPPER + _LOWER),
     ("^[A-Z2-7]+=*$", _UPPER + "234567"),
     ("^[0-9a-z]+$", _DIGITS + _LOWER),
     ("^[0-9A-Z]+$", _DIGITS + _UPPER),
@@ -66,8 +78,26 @@ def pieces(text: Column, pattern: str) -> Column:
         found = F.struct(start.alias("start"), end.alias("end"), pair["m"].alias("match"))
         return F.struct(end.alias("at"), F.when(F.length(pair["m"]) > 0, F.concat(done["out"], F.array(found))).otherwise(done["out"]).alias("out"))
 
-    got = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), add, lambda x: x["out"])
-    return F.when(F.regexp_like(text, F.lit(pattern)), got).otherwise(empty)
+    zero = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+
+    def grouped(all_pairs: Column) -> Column:
+        """Each group from place 0 on."""
+        last = F.floor((F.size(all_pairs) - 1) / GROUP).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda g: F.aggregate(F.slice(all_pairs, g * GROUP + 1, F.lit(GROUP)), zero, add))
+
+    def moved(groups: Column) -> Column:
+        """The groups one behind the other."""
+        first = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        starts = F.aggregate(
+            groups,
+            first,
+            lambda a, g: F.struct((a["at"] + g["at"]).alias("at"), F.concat(a["starts"], F.array(a["at"])).alias("starts")),
+            lambda a: a["starts"],
+        )
+        shift = lambda s, by: F.struct((s["start"] + by).alias("start"), (s["end"] + by).alias("end"), s["match"].alias("match"))
+        return F.flatten(F.zip_with(groups, starts, lambda g, by: F.transform(g["out"], lambda s: shift(s, by))))
+
+    return F.when(F.regexp_like(text, F.lit(pattern)), _each(_each(pairs, grouped), moved)).otherwise(empty)
 
 
 def _kept(found: Column, kind: int, test) -> Column:
@@ -169,46 +199,76 @@ def _cut_class(p: Column) -> Column:
     return sum((F.when(p >= c, 1).otherwise(0) for c in CUTS), F.lit(0))
 
 
-def thresholds(texts: DataFrame, rate: float = RATE) -> dict[int, float]:
-    """Length class to the lowest accepted probability."""
-    text = F.col("text")
-    target = F.when(F.regexp_like(text, F.lit(_CANDIDATE)), F.regexp_extract_all(text, F.lit(_CANDIDATE), F.lit(0)))
-    decoy = F.when(F.regexp_like(text, F.lit(_DECOY)), F.regexp_extract_all(text, F.lit(_DECOY), F.lit(0)))
-    none = F.array().cast("array<string>")
-    joined = F.transform(F.coalesce(decoy, none), lambda t: F.replace(t, F.lit(" "), F.lit("")))
-    both = F.concat(
-        F.transform(F.coalesce(target, none), lambda t: F.struct(t.alias("t"), F.lit(False).alias("decoy"))),
-        F.transform(F.filter(joined, lambda t: F.char_length(t) >= MIN_LENGTH), lambda t: F.struct(t.alias("t"), F.lit(True).alias("decoy"))),
-    )
-    each = texts.select(F.explode(both).alias("x")).select("x.t", "x.decoy")
-    # Letters alone are judged as letters and digits, as candidates are.
-    judged = F.when(F.col("decoy"), F.concat("t", F.lit("0"))).otherwise(F.col("t"))
-    scored = each.select("decoy", _length_class(F.char_length("t")).alias("size"), _cut_class(randomness(judged)).alias("cut"))
-    counts = {(r[0], r[1], r[2]): r[3] for r in scored.groupBy("decoy", "size", "cut").count().collect()}
+def _kind(token: Column) -> Column:
+    """Whether a token has letters and digits, letters alone, or no letters."""
+    letters, digits = F.regexp_like(token, F.lit("[A-Za-z]")), F.regexp_like(token, F.lit("[0-9]"))
+    return F.when(~letters, NO_LETTERS).when(digits, MIXED).otherwise(LETTERS)
+
+
+def _extracted(text: Column, pattern: str) -> Column:
+    found = F.when(F.regexp_like(text, F.lit(pattern)), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
+    joined = F.transform(F.coalesce(found, F.array().cast("array<string>")), lambda t: F.replace(t, F.lit(" "), F.lit("")))
+    return F.filter(joined, lambda t: F.char_length(t) >= MIN_LENGTH)
+
+
+def _judged(token: Column, kind: Column, judged: Column) -> Column:
+    return F.struct(kind.cast("int").alias("kind"), _length_class(F.char_length(token)).alias("size"), _cut_class(randomness(judged)).alias("cut"))
+
+
+def candidates(text: Column) -> Column:
+    """(start, end, kind, size, cut) of every run, judged."""
+    token = lambda x: _judged(x["match"], _kind(x["match"]), x["match"])
+    each = lambda x: _each(token(x), lambda j: F.struct(x["start"].alias("start"), x["end"].alias("end"), *[j[c].alias(c) for c in ("kind", "size", "cut")]))
+    return F.transform(pieces(text, _CANDIDATE), each)
+
+
+def decoys(text: Column) -> Column:
+    """(kind, size, cut) of the decoys of each class."""
+    words = _extracted(text, _DECOY)
+    # A digit behind the letters makes them be judged as letters and digits, as candidates are.
+    as_mixed = F.transform(words, lambda t: _judged(t, F.lit(MIXED), F.concat(t, F.lit("0"))))
+    as_letters = F.transform(words, lambda t: _judged(t, F.lit(LETTERS), t))
+    numbers = F.transform(_extracted(text, _NUMBERS), lambda t: _judged(t, F.lit(NO_LETTERS), t))
+    return F.concat(as_mixed, as_letters, numbers)
+
+
+def scanned(docs: DataFrame, keep_text: bool = False) -> DataFrame:
+    """Written once: doc_id, base spans, judged candidates and decoys."""
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", text.alias("_t"))
+    columns = [base_spans(F.col("_t")).alias("_base"), candidates(F.col("_t")).alias("_found"), decoys(F.col("_t")).alias("_decoys")]
+    return store(rows.select("doc_id", *columns, *(["_t"] if keep_text else [])), "secrets")
+
+
+def thresholds(rows: DataFrame, rate: float = RATE) -> dict[tuple[int, int], int]:
+    """(class, length class) to the number of cuts that an accepted candidate reaches at least."""
+    one = lambda column, decoy: rows.select(F.explode(column).alias("x")).select(F.lit(decoy).alias("decoy"), "x.kind", "x.size", "x.cut")
+    both = one("_found", False).unionByName(one("_decoys", True))
+    counts = {tuple(r)[:4]: r[4] for r in both.groupBy("decoy", "kind", "size", "cut").count().collect()}
     found = {}
-    for size in range(len(LENGTH_CLASSES)):
-        first = size
-        decoys_from = lambda first: sum(n for (d, s, _), n in counts.items() if d and first <= s <= size)
-        while first and decoys_from(first) < ENOUGH_DECOYS:
-            first -= 1
-        decoys = decoys_from(first)
-        targets = sum(n for (d, s, _), n in counts.items() if not d and s == size)
-        for i, cut in enumerate(CUTS, 1):
-            passed = sum(n for (d, s, c), n in counts.items() if not d and s == size and c >= i)
-            wrong = sum(n for (d, s, c), n in counts.items() if d and first <= s <= size and c >= i)
-            if decoys and passed and (wrong + 1) / (decoys + 1) * targets <= rate * passed:
-                found[size] = cut
-                break
+    for kind in range(3):
+        for size in range(len(LENGTH_CLASSES)):
+            first = size
+            decoys_from = lambda first: sum(n for (d, k, s, _), n in counts.items() if d and k == kind and first <= s <= size)
+            while first and decoys_from(first) < ENOUGH_DECOYS:
+                first -= 1
+            n_decoys = decoys_from(first)
+            targets = sum(n for (d, k, s, _), n in counts.items() if not d and k == kind and s == size)
+            for i in range(1, len(CUTS) + 1):
+                passed = sum(n for (d, k, s, c), n in counts.items() if not d and k == kind and s == size and c >= i)
+                wrong = sum(n for (d, k, s, c), n in counts.items() if d and k == kind and first <= s <= size and c >= i)
+                if n_decoys and passed and (wrong + 1) / (n_decoys + 1) * targets <= rate * passed:
+                    found[kind, size] = i
+                    break
     return found
 
 
-def random_spans(text: Column, accepted: dict[int, float]) -> Column:
-    """(start, kind, end) of candidates that pass the cut of their length class."""
+def random_spans(found: Column, accepted: dict[tuple[int, int], int]) -> Column:
+    """(start, kind, end) of judged candidates that pass the cut of their class."""
     if not accepted:
         return F.array().cast("array<struct<start:int,kind:int,end:int>>")
-    cuts = F.create_map([F.lit(v) for kv in accepted.items() for v in kv])
-    passes = lambda x: F.coalesce(randomness(x["match"]) >= F.element_at(cuts, _length_class(x["end"] - x["start"])), F.lit(False))
-    return _kept(pieces(text, _CANDIDATE), 3, passes)
+    cuts = F.create_map([F.lit(v) for (kind, size), cut in accepted.items() for v in (kind * 100 + size, cut)])
+    return _kept(found, 3, lambda x: F.coalesce(x["cut"] >= F.try_element_at(cuts, x["kind"] * 100 + x["size"]), F.lit(False)))
 
 
 def _written(spans: Column) -> Column:
@@ -218,11 +278,8 @@ def _written(spans: Column) -> Column:
 
 def secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
     """One row per document: counts and hash of the fixed kinds, and all spans."""
-    accepted = thresholds(docs.select("text"), rate)
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("_t")).select(
-        "doc_id", base_spans(F.col("_t")).alias("_base"), random_spans(F.col("_t"), accepted).alias("_more")
-    )
+    held = scanned(docs)
+    rows = held.select("doc_id", "_base", random_spans(F.col("_found"), thresholds(held, rate)).alias("_more"))
     outside = F.filter("_more", lambda m: ~F.exists("_base", lambda b: (b["start"] <= m["start"]) & (m["end"] <= b["end"])))
     count = lambda kind: F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long")
     return rows.select(
@@ -232,16 +289,15 @@ def secrets(docs: DataFrame, rate: float = RATE) -> DataFrame:
         count(2).alias("n_hex"),
         F.sha2(_written(F.col("_base")), 256).alias("base_sha256"),
         _written(F.array_sort(F.concat("_base", outside))).alias("spans"),
+        F.size(outside).cast("long").alias("n_random"),
     )
 
 
 def redacted(docs: DataFrame, mark: str = "[SECRET]", rate: float = RATE) -> DataFrame:
     """doc_id and text with every span replaced."""
-    accepted = thresholds(docs.select("text"), rate)
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select("doc_id", text.alias("_t")).select(
-        "doc_id", "_t", F.array_sort(F.concat(base_spans(F.col("_t")), random_spans(F.col("_t"), accepted))).alias("_s")
-    )
+    held = scanned(docs, keep_text=True)
+    spans = F.concat("_base", random_spans(F.col("_found"), thresholds(held, rate)))
+    rows = held.select("doc_id", "_t", F.array_sort(spans).alias("_s"))
     whole = F.col("_t")
 
     def add(done: Column, s: Column) -> Column:

@@ -4,7 +4,9 @@ import hashlib
 import math
 import random
 import re
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from labelwright.llm import randomness as R
@@ -87,13 +89,87 @@ def test_battery(spark):
     assert max(r.p for r in rows[:2]) < 1e-4
 
 
-def test_finds_random_strings_and_leaves_words(spark):
+@pytest.mark.parametrize("alphabet", [R._UPPER + R._LOWER + R._DIGITS, R._UPPER + R._LOWER])
+def test_finds_random_strings_and_leaves_words(spark, alphabet):
     rng = random.Random(3)
     word = lambda: "".join(rng.choice(["tion", "er", "ing", "the", "and", "ver", "schaft", "en"]) for _ in range(rng.randint(3, 6)))
-    secret = lambda: "".join(rng.choice(R._UPPER + R._LOWER + R._DIGITS) for _ in range(40))
+    secret = lambda: "".join(rng.choice(alphabet) for _ in range(40))
     rows = [(i, " ".join(word() for _ in range(50)) + (f" key {secret()} end" if i % 5 == 0 else f" name-{i}-of-the-first-page ")) for i in range(400)]
     got = R.secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     hit = {r.doc_id for r in got if "random" in r.spans}
     wanted = {i for i, _ in rows if i % 5 == 0}
     assert len(hit & wanted) >= 0.9 * len(wanted)
     assert len(hit - wanted) <= 2
+
+
+def brute_scan(texts, rate=R.RATE):
+    """Cuts and random spans again, with plain matching and counting."""
+    size = lambda n: sum(n >= x for x in R.LENGTH_CLASSES[1:])
+    cut = lambda token: sum(plain_p(token) >= c for c in R.CUTS)
+    kind = lambda t: R.NO_LETTERS if not re.search("[A-Za-z]", t) else R.MIXED if re.search("[0-9]", t) else R.LETTERS
+    found, decoys = [], []
+    for text in texts:
+        found.append([(m.start(), m.end(), kind(m[0]), size(len(m[0])), cut(m[0])) for m in re.finditer(R._CANDIDATE, text or "")])
+        words = [m[0].replace(" ", "") for m in re.finditer(R._DECOY, text or "")]
+        numbers = [m[0].replace(" ", "") for m in re.finditer(R._NUMBERS, text or "")]
+        for w in words:
+            if len(w) >= 16:
+                decoys += [(R.MIXED, size(len(w)), cut(w + "0")), (R.LETTERS, size(len(w)), cut(w))]
+        decoys += [(R.NO_LETTERS, size(len(w)), cut(w)) for w in numbers if len(w) >= 16]
+    accepted = {}
+    for k in range(3):
+        for s in range(len(R.LENGTH_CLASSES)):
+            first = s
+            while first and sum(d[0] == k and first <= d[1] <= s for d in decoys) < R.ENOUGH_DECOYS:
+                first -= 1
+            held = [d for d in decoys if d[0] == k and first <= d[1] <= s]
+            mine = [f for x in found for f in x if f[2] == k and f[3] == s]
+            for i in range(1, len(R.CUTS) + 1):
+                passed, wrong = sum(f[4] >= i for f in mine), sum(d[2] >= i for d in held)
+                if held and passed and (wrong + 1) / (len(held) + 1) * len(mine) <= rate * passed:
+                    accepted[k, s] = i
+                    break
+    spans = [[(a, b) for a, b, k, s, c in x if c >= accepted.get((k, s), 99)] for x in found]
+    return accepted, spans
+
+
+def planted(docs, every=7):
+    """Given texts with random keys of several alphabets, two of them without a digit."""
+    rng = random.Random(5)
+    alphabets = [R._UPPER + R._LOWER + R._DIGITS, R._UPPER + R._LOWER, R._LOWER, R._UPPER + R._LOWER + R._DIGITS + "-_"]
+    out = []
+    for i, (d, t) in enumerate(docs):
+        key = "".join(rng.choice(alphabets[i // every % 4]) for _ in range(40))
+        out.append((d, f"{t or ''} use {key} now" if i % every == 0 else t, key if i % every == 0 else None))
+    return out
+
+
+def test_cuts_and_spans_equal_brute_force(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()
+    rows = planted([tuple(r) for r in docs])
+    table = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(3)
+    accepted, spans = brute_scan([t for _, t, _ in rows])
+    held = R.scanned(table)
+    assert R.thresholds(held) == accepted
+    got = {r.doc_id: r for r in R.secrets(table).collect()}
+    for (d, text, key), want in zip(rows, spans):
+        base = [tuple(map(int, x.split(":")[1:])) for x in got[d].spans.split(",") if x and not x.startswith("random")]
+        outside = sorted(f"random:{a}:{b}" for a, b in want if not any(s <= a and b <= e for s, e in base))
+        assert sorted(x for x in got[d].spans.split(",") if x.startswith("random")) == outside
+    # Planted keys with digits are found and hardly anything else. Of keys without, so small a
+    # table has too few decoys of their length to tell them from words.
+    keys = [(d, t, k) for d, t, k in rows if k and re.search("[0-9]", k)]
+    hit = [d for d, t, k in keys if f"random:{t.rindex(k)}:{t.rindex(k) + 40}" in got[d].spans]
+    assert len(hit) >= 0.9 * len(keys) > 0
+    assert sum(r.n_random > 0 for r in got.values()) - len(hit) <= 0.05 * len(rows)
+
+
+def test_many_matches_in_one_document(spark):
+    """20,000 keys in one text, in time and in the right places."""
+    text = " ".join(f"{i:016x}" for i in range(20_000))
+    docs = spark.createDataFrame([(1, text), (2, "é " + text[:17000])], "doc_id long, text string")
+    began = time.time()
+    got = {r.doc_id: r for r in R.secrets(docs).collect()}
+    assert time.time() - began < 120
+    assert got[1].n_hex == 20_000 and tuple(got[1])[1:5] == brute(text)
+    assert tuple(got[2])[1:5] == brute("é " + text[:17000])
