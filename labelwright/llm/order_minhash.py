@@ -2,15 +2,17 @@
 
 Five-word shingles are labelled with their occurrence in the text, so repeats count. A sketch
 takes the three smallest labelled shingles under one hash and keeps them in text order, which
-makes agreement follow edit similarity and not only the set of shingles. Texts that agree in
-one of the sketches are candidates, and every candidate pair is verified unless other links
-connect it. Every text is first held against the hub of its bucket, the text that shares most
-places with others, in two rounds that give one pair per member. What is still of different
-labels in one bucket is then held against one another: pair by pair in small buckets, in blocks
-in large ones, where a block of texts meets another as one row and shared shingles are counted
-by matrix products. A link needs an alignment of the labelled shingles, in order and within the
-band that a similarity allows, that covers ``similarity`` of both texts' shingles; texts whose
-parts were moved are taken on the Jaccard similarity of their shingle sets.
+makes agreement follow edit similarity and not only the set of shingles. As texts are also alike
+if their sets of shingles are, whatever was moved or repeated, further sketches take the three
+smallest of the distinct shingles without order or label. Texts that agree in one of the
+sketches are candidates, and every candidate pair is verified unless other links connect it.
+Every text is first held against the hub of its bucket, the text that shares most places with
+others, in two rounds that give one pair per member. What is still of different labels in one
+bucket is then held against one another: pair by pair in small buckets, in blocks in large ones,
+where a block of texts meets another as one row and shared shingles are counted by matrix
+products. A link needs an alignment of the labelled shingles, in order and within the band that
+a similarity allows, that covers ``similarity`` of both texts' shingles; texts whose parts were
+moved or repeated are taken on the Jaccard similarity of their shingle sets.
 
 Equal texts are one text from the start. Rows grow with the input whatever a group's size; the
 counting in blocks grows with the square of the texts of a bucket that hubs do not link.
@@ -35,7 +37,8 @@ from labelwright.sources.scratch import store
 
 SHINGLE = 5
 SIMILARITY = 0.8
-SKETCHES = 20
+SKETCHES = 14
+SET_SKETCHES = 10
 KEPT = 3
 HUB_ROUNDS = 2
 #: Members of an open bucket up to which its pairs are rows of their own; members and bytes of a block beyond.
@@ -81,8 +84,17 @@ def labelled(hashes: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketches(labels: np.ndarray, owner: np.ndarray, n_rows: int, count: int = SKETCHES, kept: int = KEPT) -> np.ndarray:
-    """(rows, count) hashes of the smallest labelled shingles in text order; rows without any get 0."""
+def distinct(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different shingles of each row in the order of their hashes, and their rows."""
+    by = np.lexsort((hashes, owner))
+    h, o = hashes[by], owner[by]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
+    return h[new], o[new]
+
+
+def sketches(labels: np.ndarray, owner: np.ndarray, n_rows: int, count: int = SKETCHES, kept: int = KEPT, first: int = 0) -> np.ndarray:
+    """(rows, count) hashes of the smallest labelled shingles in the order given; rows without any get 0."""
     out = np.zeros((n_rows, count), np.uint64)
     if not len(labels):
         return out
@@ -91,7 +103,7 @@ def sketches(labels: np.ndarray, owner: np.ndarray, n_rows: int, count: int = SK
     group = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(owner))))
     top = ~np.uint64(0)
     for t in range(count):
-        h = arrays.mixed(labels ^ arrays.mixed(np.array([t + 1], np.uint64)))
+        h = arrays.mixed(labels ^ arrays.mixed(np.array([first + t + 1], np.uint64)))
         places = []
         for _ in range(kept):
             least = np.minimum.reduceat(h, begin)
@@ -148,9 +160,11 @@ def _sketched(keyed: DataFrame, size: int, count: int, kept: int) -> DataFrame:
             body, offsets = arrays.flat(batch.column(2))
             for a, b in arrays.runs(offsets):
                 hashes, owner = shingles(body[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], size)
-                found = sketches(labelled(hashes, owner), owner, b - a, count, kept)
+                ordered = sketches(labelled(hashes, owner), owner, b - a, count, kept)
+                sets = sketches(*distinct(hashes, owner), b - a, SET_SKETCHES, kept, first=1 << 16)
+                found = np.hstack([ordered, sets])
                 rows = np.unique(owner)
-                at = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * count)
+                at = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * found.shape[1])
                 take = pa.array(rows + a)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -307,11 +321,7 @@ class _Block:
         self.hashes, self.owner = shingles(*arrays.flat(many.field(3)), size)
         self.marked = labelled(self.hashes, self.owner)
         self.bounds = np.searchsorted(self.owner, np.arange(self.n + 1))
-        by = np.lexsort((self.hashes, self.owner))
-        h, o = self.hashes[by], self.owner[by]
-        new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (o[1:] != o[:-1])
-        self.kinds, self.kind_owner = h[new], o[new]
+        self.kinds, self.kind_owner = distinct(self.hashes, self.owner)
 
     def text(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         at = slice(self.bounds[k], self.bounds[k + 1])

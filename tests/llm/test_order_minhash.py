@@ -147,3 +147,38 @@ def test_real_rows(spark, sf_dir):
     rows = [tuple(r) for r in docs.collect()]
     got = dict(O.near_duplicates(docs).select("doc_id", "class_id").collect())
     assert got == dict(brute(rows))
+
+
+def changed(kind, rng):
+    """A text and one alike by its shingles: repeated, moved, edited, or repeated and moved."""
+    paragraphs = [[f"v{rng.randrange(10**6)}" for _ in range(40)] for _ in range(10)]
+    flat = lambda p: " ".join(w for x in p for w in x)
+    text = flat(paragraphs)
+    if kind == "repeated":
+        return text, " ".join([text] * rng.choice([2, 3, 5, 10]))
+    moved = rng.sample(paragraphs, len(paragraphs))
+    if kind == "moved":
+        return text, flat(moved)
+    if kind == "both":
+        return text, flat(moved + paragraphs[:5])
+    words = text.split()
+    for at in rng.sample(range(len(words)), 6):
+        words[at] = f"u{at}"
+    return text, " ".join(words)
+
+
+def test_recall_of_ids_divisible_by_20_against_all_rows(spark):
+    """Every kind of pair the relation takes: at least 0.9 of what brute force links."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(160):
+        a, b = changed(("repeated", "moved", "edited", "both")[i % 4], rng)
+        rows += [(20 * i, a), (20 * i + 1 + i % 19, b)]
+    rows += [(20 * i + 7, " ".join(f"x{rng.randrange(10**6)}" for _ in range(300))) for i in range(160, 300)]
+    want = dict(brute(rows))
+    got = dict(O.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).select("doc_id", "class_id").collect())
+    asked = [d for d, _ in rows if d % 20 == 0]
+    linked = [d for d in asked if sum(want[e] == want[d] for e, _ in rows) > 1]
+    assert len(linked) >= 150
+    assert sum(got[d] == want[d] and sum(got[e] == got[d] for e, _ in rows) > 1 for d in linked) >= 0.97 * len(linked)
+    assert all(got[d] == d for d, _ in rows if d >= 3200 + 7)
