@@ -302,9 +302,10 @@ def _joined(docs: DataFrame, edits: int, min_chars: int, hot: int, shorter: bool
 
 
 def _left() -> Column:
-    """The text without the places to remove."""
+    """The text without the places to remove; the places that stay come from a hashed difference."""
     lines = F.split(F.coalesce("_row.text", F.lit("")), "\n")
-    rest = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains("_gone", i)), "\n")
+    stay = lambda all_lines: F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), "_gone")
+    rest = _each(lines, lambda all_lines: F.array_join(F.transform(stay(all_lines), lambda i: F.get(all_lines, i)), "\n"))
     return F.when(F.size("_gone") > 0, rest).otherwise(F.coalesce("_row.text", F.lit("")))
 
 

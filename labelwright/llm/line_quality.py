@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from labelwright.llm import arrays
+from labelwright.llm.rows import small_side
 from labelwright.sources.scratch import store
 
 MAX_DOCS = 20
@@ -127,10 +128,16 @@ def _measured(docs: DataFrame, host: str, keep: list[str]) -> DataFrame:
 
 
 def _frequent(rows: DataFrame, max_docs: int) -> DataFrame:
-    """(host, line) found in more than max_docs documents."""
-    each = rows.select("_host", F.explode(F.array_distinct("_lines")).alias("_line"))
-    counted = each.groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("_docs"))
-    return counted.where(F.col("_docs") > max_docs).select(F.col("_host").alias("_h"), F.col("_line").alias("_l"))
+    """(host, line) found in more than max_docs documents.
+
+    Rows are counted first; only lines of enough rows have their distinct documents counted.
+    """
+    each = rows.select("_host", F.col("_row.doc_id").alias("_doc"), F.explode(F.array_distinct("_lines")).alias("_line"))
+    counted = each.groupBy("_host", "_line").agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > max_docs)
+    often = small_side(store(counted.select(F.col("_host").alias("_h"), F.col("_line").alias("_l")), "often"), 64)
+    held = each.join(often, F.col("_host").eqNullSafe(F.col("_h")) & (F.col("_line") == F.col("_l"))).select("_h", "_l", "_doc").where("_doc is not null")
+    documents = held.distinct().groupBy("_h", "_l").agg(F.count(F.lit(1)).alias("_docs"))
+    return documents.where(F.col("_docs") > max_docs).select("_h", "_l")
 
 
 def _matched(rows: DataFrame, max_docs: int) -> DataFrame:

@@ -25,7 +25,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from labelwright.llm import arrays
 from labelwright.sources.scratch import store
@@ -315,8 +315,11 @@ def _hot_windows(texts: DataFrame, length: int) -> DataFrame:
     rows = store(texts.mapInArrow(windows, "_key long, _sid long, _n int, _o int, _w long"), "windows")
     again = rows.groupBy(F.col("_key").alias("_hk"), F.col("_w").alias("_hw")).agg(F.count(F.lit(1)).alias("_c")).where("_c > 1")
     hit = rows.join(again, (F.col("_key") == F.col("_hk")) & (F.col("_w") == F.col("_hw")))
-    one = F.struct(F.col("_o").alias("o"), F.lit(1).alias("c"))
-    return hit.groupBy("_key", "_sid", "_n").agg(F.collect_list(one).alias("_found"))
+    # Windows one behind the other become one range; a segment has a bounded number of them.
+    segment = ["_key", "_sid", "_n"]
+    island = F.col("_o") - F.row_number().over(Window.partitionBy(*segment).orderBy("_o"))
+    ranges = hit.select(*segment, "_o", island.alias("_island")).groupBy(*segment, "_island").agg(F.min("_o").alias("o"), F.count(F.lit(1)).cast("int").alias("c"))
+    return ranges.groupBy(*segment).agg(F.collect_list(F.struct("o", "c")).alias("_found"))
 
 
 def repeated_ranges(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot: int = HOT):

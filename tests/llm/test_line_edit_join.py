@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,3 +133,12 @@ def test_real_rows(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").where("doc_id < 30")
     rows = [tuple(r) for r in docs.collect()]
     assert sorted(map(tuple, L.near_equal_lines(docs).collect()), key=str) == brute(rows, L.EDITS, L.MIN_CHARS)
+
+
+def test_one_long_document_of_repeated_lines(spark):
+    """The cost of a document grows with its lines, not with lines times removals."""
+    rows = [(1, "\n".join(f"line number {i % 50:05} {i % 50:05}" for i in range(60_000))), (2, "first here\n" * 3)]
+    began = time.time()
+    got = {r.doc_id: r for r in L.near_equal_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert time.time() - began < 90
+    assert got[1].n_lines == 60_000 and got[1].n_removed >= 60_000 - 50 and got[2].n_removed == 2

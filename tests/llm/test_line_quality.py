@@ -16,7 +16,8 @@ def brute(rows, max_docs=2, max_lost=0.5):
     seen = defaultdict(set)
     for i, ((_, _, host), doc) in enumerate(zip(rows, lines)):
         for _, words in doc:
-            seen[host, words].add(i)
+            if rows[i][0] is not None:
+                seen[host, words].add(rows[i][0])
     out = []
     for (d, text, host), doc in zip(rows, lines):
         text = text or ""
@@ -57,6 +58,13 @@ def test_against_brute_force(spark):
     assert L.line_quality(docs.limit(0)).count() == 0
 
 
+def test_repeated_rows_are_one_document(spark):
+    """The same rows twice have the same frequent lines."""
+    rows = [(i, f"line {chr(97 + i % 7)} of many\nown {chr(97 + i // 26)}{chr(97 + i % 26)} words", "h") for i in range(60)]
+    count = lambda r: sum(x.n_frequent_lines for x in L.line_quality(spark.createDataFrame(r, "doc_id long, text string, source string"), max_docs=1).collect())
+    assert count(rows) == 60 and count(rows * 2) == 120
+
+
 def test_removed_lines(spark):
     docs = spark.createDataFrame(ROWS, "doc_id long, text string, source string")
     got = {r.doc_id: r.text for r in L.without_frequent_lines(docs, max_docs=2).collect()}

@@ -18,10 +18,9 @@ def brute_lines(rows):
         kept = []
         for i, raw in enumerate((text or "").split("\n")):
             line = raw.strip(" ")
-            if len(line) >= line_edit_join.MIN_CHARS:
-                # First place of a line that is near equal, by brute force over all lines.
-                if FIRST[line] != (d, i):
-                    continue
+            # First place of a line that is near equal, by brute force over all lines.
+            if line and FIRST[line] != (d, i):
+                continue
             kept.append(raw)
         new = "\n".join(kept)
         if new == (text or "") or new.strip(" \n\t\r"):
@@ -36,12 +35,13 @@ def first_places(rows):
     places = {}
     for d, t in sorted(rows):
         for i, line in enumerate((t or "").split("\n")):
-            if len(line.strip(" ")) >= line_edit_join.MIN_CHARS:
+            if line.strip(" "):
                 places.setdefault(line.strip(" "), (d, i))
     lines = sorted(places, key=len)
     pairs = []
     for x, a in enumerate(lines):
-        for b in lines[x + 1 :]:
+        # Shorter lines are held for equality.
+        for b in lines[x + 1 :] if len(a) >= line_edit_join.MIN_CHARS else []:
             if len(b) - len(a) > line_edit_join.EDITS:
                 break
             # Equal halves or thirds are needed for so few edits; others are not compared.
