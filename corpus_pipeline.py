@@ -25,9 +25,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines nearly equal to an earlier one go, and documents that consist of such lines."""
+    """Lines nearly equal to an earlier one go, short ones if they are equal, and documents that consist of such lines."""
     ship(spark)
-    return line_edit_join.without_near_equal_lines(docs)
+    return line_edit_join.without_near_equal_lines(docs, shorter=True)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
