@@ -45,7 +45,7 @@ ROWS = [
     (8, "é\x85ü ö #*$%&|<> same\nsame\nsame\nsame \n", None),
     (9, "long " * 50_000 + "end\n" + "y" * 400_000, "c"),
     *[(10 + i // 2, "one two three four five\n" * 3 + PROSE.replace("w", f"v{i}"), None) for i in range(4)],
-    *[(30, "\n".join(f"shared line number {k} of many" for k in "abcdefghijklm"), "d")] * 4,
+    *[(30 + 10 * i, "\n".join(f"shared line number {k} of many" for k in "abcdefghijklm"), "d") for i in range(4)],
     (None, "aa\naa", "c"),
     (31, "tail without break", "c"),
 ]
