@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from labelwright.functions.labels import literal_array
+from labelwright.functions.local import local_table
 from labelwright.operators.noise import label_grid
 from labelwright.sources.scratch import store
 from labelwright.spec import Params
@@ -147,17 +148,38 @@ def roc_auc_ovr(scored: DataFrame, labels: list[str]) -> DataFrame:
     """(class, auc) one against the rest, and the macro mean.
 
     Defined for more than two true classes. Rows are counted per (class, score)
-    first. The running counts need an order over all scores: the counted table is
-    range-partitioned and written, each range is accumulated on its own, and the
-    totals of the ranges before it are added. No class and no score ends up in
-    one task.
+    first. Only scores other than zero become rows; how many rows of a class have
+    none follows from the counts of the labels, so rows grow with the scores that
+    a model gives and not with the number of classes. The running counts need an
+    order over all scores: the counted table is range-partitioned and written,
+    each range is accumulated on its own, and the totals of the ranges before it
+    are added. No class and no score ends up in one task.
     """
-    scores = scored.select(
-        F.col("label"), F.posexplode("probs").alias("_i", "score")
-    ).withColumn("class", F.element_at(literal_array(labels), F.col("_i") + 1))
-    counted = scores.groupBy("class", "score").agg(
-        F.count_if(F.col("label") == F.col("class")).alias("pos"), F.count("*").alias("rows")
+    given = F.filter(
+        F.transform("probs", lambda p, i: F.struct(i.alias("_i"), p.alias("score"))), lambda x: x["score"] != 0
     )
+    scores = scored.select("label", F.explode(given).alias("_s")).select(
+        "label", F.element_at(literal_array(labels), F.col("_s._i") + 1).alias("class"), F.col("_s.score").alias("score")
+    )
+    some = store(
+        scores.groupBy("class", "score").agg(
+            F.count_if(F.col("label") == F.col("class")).alias("pos"), F.count("*").alias("rows")
+        ),
+        "counted",
+    )
+    of_label = dict(scored.groupBy("label").count().collect())
+    whole_rows = sum(of_label.values())
+    classes = local_table(
+        scored.sparkSession, [(c, of_label.get(c, 0), whole_rows) for c in labels], "_class string, _pos bigint, _rows bigint"
+    )
+    seen = some.groupBy("class").agg(F.sum("pos").alias("pos"), F.sum("rows").alias("rows"))
+    rest = classes.join(seen, F.col("_class") == F.col("class"), "left").select(
+        F.col("_class").alias("class"),
+        F.lit(0.0).alias("score"),
+        (F.col("_pos") - F.coalesce("pos", F.lit(0))).alias("pos"),
+        (F.col("_rows") - F.coalesce("rows", F.lit(0))).alias("rows"),
+    )
+    counted = some.unionByName(rest.where("rows > 0"))
     ranged = store(
         counted.orderBy("class", "score").withColumn("range", F.spark_partition_id()), "scores"
     )
