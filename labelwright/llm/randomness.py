@@ -212,7 +212,9 @@ def _extracted(text: Column, pattern: str) -> Column:
 
 
 def _judged(token: Column, kind: Column, judged: Column) -> Column:
-    return F.struct(kind.cast("int").alias("kind"), _length_class(F.char_length(token)).alias("size"), _cut_class(randomness(judged)).alias("cut"))
+    # Inside a lambda nothing is shared, so the classes get values that are computed once.
+    size, cut = _each(F.char_length(token), _length_class), _each(randomness(judged), _cut_class)
+    return F.struct(kind.cast("int").alias("kind"), size.alias("size"), cut.alias("cut"))
 
 
 def candidates(text: Column) -> Column:
