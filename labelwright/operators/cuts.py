@@ -43,8 +43,9 @@ def rank_cuts(
     """Order values of the rows at the wanted ranks (1 is the smallest).
 
     ``key`` is a whole number in [0, 2**bits) that never decreases along
-    ``order``; the order must be total. ``ranks`` has one entry per group ("" when
-    there is no grouping). The driver holds about ``COUNTED_BUCKETS`` counts per round,
+    ``order``; the order must be total. Equal order values are an error where they stand
+    at a cut, as they would make the count wrong there; elsewhere they change nothing and
+    are not looked for. ``ranks`` has one entry per group ("" when there is no grouping). The driver holds about ``COUNTED_BUCKETS`` counts per round,
     shared by the groups, whatever the number of rows. ``largest`` is the size of the
     largest group where it is known; counting is skipped if that can be sorted.
     """
