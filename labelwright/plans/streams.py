@@ -20,12 +20,14 @@ from labelwright.streaming.drift import (
 
 
 def read_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    file = f"{sf_dir}/{name}.parquet"
-    return (
-        spark.readStream.schema(spark.read.parquet(file).schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(sf_dir)
-    )
+    """The table as a stream, whether it is one file or a folder of them."""
+    sc, text = spark.sparkContext, f"{sf_dir}/{name}.parquet"
+    path = sc._jvm.org.apache.hadoop.fs.Path(text)
+    reader = spark.readStream.schema(spark.read.parquet(text).schema)
+    if path.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        return reader.parquet(text)
+    # A stream starts from a folder.
+    return reader.option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
 
 
 @query(

@@ -2,6 +2,7 @@ from pyspark.sql import functions as F
 
 from labelwright.operators.detect import neighbour_suspects
 from labelwright.operators.neighbours import build_index, feature_vectors, nearest_neighbours
+from labelwright.plans import streams
 from labelwright.sources import scratch
 from labelwright.streaming.drift import (
     append_counts,
@@ -91,3 +92,11 @@ def test_alerts_go_on_after_a_restart(spark, tmp_path):
     got = spark.read.parquet(out).collect()
     assert {(r.label, str(r.window_start), r.n, r.direction, round(r.level, 9)) for r in got} == want
     assert len(got) == len(want) > 4
+
+
+def test_streams_read_a_table_of_many_files(spark, sf_dir, tmp_path):
+    for name, parts in (("embeddings", 3), ("events", 3)):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").repartition(parts).write.parquet(str(tmp_path / f"{name}.parquet"))
+    pick = lambda df: sorted(map(tuple, df.collect()))
+    for query in (streams.stream_suspects, streams.stream_class_drift):
+        assert pick(query(spark, str(tmp_path))) == pick(query(spark, sf_dir)) != []
