@@ -4,11 +4,15 @@ Every choice is a hash: the bootstrap weight of a row in a tree of (seed, tree,
 that a node may split on of (seed, tree, place of the node). Split points are quantiles of a
 sample picked by id, and histograms are whole numbers, so sums come out the same in any order.
 
-All trees of all folds grow together. Nodes with many rows are split level by level: a scan
+A tree sees nothing of a row but its bins and its class. Rows that agree on these, and on their
+fold, are collapsed into one cell with the number of times that each tree drew them, so a table
+costs one pass over its rows, and growing costs what its different cells cost.
+
+All trees of all folds grow together. Nodes with many cells are split level by level: a scan
 counts (node, column, bin, class) by task, the counts are added up, and each node's best split is
-chosen in the task that holds its counts. A node with few rows is finished in one task, which
-gathers them and grows the rest of the tree. What is gathered is bounded by ``LOCAL_ROWS``
-whatever the table; the driver holds the nodes of the model.
+chosen in the task that holds its counts. A node with few cells is finished in one task, which
+gathers them and grows the rest of the tree. What is gathered is bounded by ``LOCAL_ROWS`` cells
+and ``LOCAL_BYTES`` whatever the table; the driver holds the nodes of the model.
 """
 
 from __future__ import annotations
@@ -27,7 +31,10 @@ from labelwright.spec import LabelledSpec
 
 BINS = 64
 SAMPLE_ROWS = 100_000
-LOCAL_ROWS = 8192
+LOCAL_ROWS = 1 << 17
+LOCAL_BYTES = 32 << 20
+DRAWN_ROWS = 1 << 17
+KNOWN_CELLS = 1 << 16
 CELLS = 1 << 23
 MOST_NODES = 20_000_000
 _GAIN = 1e-9
@@ -132,6 +139,94 @@ def grow(bins: np.ndarray, y: np.ndarray, w: np.ndarray, path: int, seed: int, t
     return [np.concatenate(part) for part in zip(*out)]
 
 
+def _packed(*parts: np.ndarray) -> np.ndarray:
+    """Rows of several arrays as one byte string each."""
+    whole = np.concatenate([np.ascontiguousarray(p).view(np.uint8).reshape(len(p), -1) for p in parts], axis=1)
+    return np.ascontiguousarray(whole).view(np.dtype((np.void, whole.shape[1]))).ravel()
+
+
+def _binary(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """An array cut at the given places as byte strings."""
+    offsets = np.concatenate([[0], ends]) * flat.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat))])
+
+
+def _joined(column) -> bytes:
+    return b"".join(column.to_pylist())
+
+
+def _weights(column, trees: int) -> np.ndarray:
+    """(cell, tree) counts, which are written as narrow as each batch allows."""
+    blobs = column.to_pylist()
+    sizes = np.array([len(b) for b in blobs], np.int64) // trees
+    out = np.zeros((len(blobs), trees), np.int64)
+    for size in np.unique(sizes):
+        at = np.flatnonzero(sizes == size)
+        out[at] = np.frombuffer(b"".join(blobs[i] for i in at), f"<u{size}").reshape(len(at), trees)
+    return out
+
+
+_CELLS = "b binary, y int, fold int, w binary"
+
+
+def _cell_batch(bins: np.ndarray, y: np.ndarray, fold: np.ndarray, w: np.ndarray) -> pa.RecordBatch:
+    n, most = len(y), w.max(initial=0)
+    narrow = w.astype(next(t for t in ("<u1", "<u2", "<u4", "<u8") if most <= np.iinfo(t).max))
+    each = np.arange(1, n + 1)
+    return pa.RecordBatch.from_arrays(
+        [_binary(bins.ravel(), each * bins.shape[1]), pa.array(y.astype(np.int32)), pa.array(fold.astype(np.int32)), _binary(narrow.ravel(), each * w.shape[1])],
+        ["b", "y", "fold", "w"],
+    )
+
+
+def _cells(table: DataFrame, edges: list[np.ndarray], trees: int, seed: int) -> DataFrame:
+    """(b, y, fold, w): the rows of equal bins, class and fold as one, with how often each tree drew them.
+
+    Tasks collapse their own rows first, so a cell that holds most of the table is no larger than
+    any other; cells of equal bins and class lie next to each other.
+    """
+    dims = len(edges)
+
+    def drawn(x, y, fold, ids) -> pa.RecordBatch:
+        bins = _binned(x, edges)
+        _, first, cell = np.unique(_packed(bins, y.astype(np.int32), fold.astype(np.int32)), return_index=True, return_inverse=True)
+        w = np.stack([np.bincount(cell, bootstrap(ids, seed, t), len(first)).astype(np.int64) for t in range(trees)], axis=1)
+        return _cell_batch(bins[first], y[first], fold[first], w)
+
+    def draw(batches):
+        held, rows = [], 0
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+            held.append((x, *(batch.column(c).to_numpy() for c in ("y", "fold")), batch.column("id").to_numpy().astype(np.int64)))
+            rows += len(batch)
+            if rows >= DRAWN_ROWS:
+                yield drawn(*(np.concatenate(part) for part in zip(*held)))
+                held, rows = [], 0
+        if rows:
+            yield drawn(*(np.concatenate(part) for part in zip(*held)))
+
+    def merge(batches):
+        """Add up neighbours with one key; the last cell of a batch may go on in the next."""
+        carried = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bins = np.frombuffer(_joined(batch.column("b")), np.uint8).reshape(-1, dims)
+            own = (bins, batch.column("y").to_numpy(), batch.column("fold").to_numpy(), _weights(batch.column("w"), trees))
+            bins, y, fold, w = own if carried is None else (np.concatenate(part) for part in zip(carried, own))
+            new = (bins[1:] != bins[:-1]).any(axis=1) | (y[1:] != y[:-1]) | (fold[1:] != fold[:-1])
+            starts = np.concatenate([[0], np.flatnonzero(new) + 1])
+            bins, y, fold, w = bins[starts], y[starts], fold[starts], np.add.reduceat(w, starts, axis=0)
+            carried = tuple(part[-1:] for part in (bins, y, fold, w))
+            if len(y) > 1:
+                yield _cell_batch(bins[:-1], y[:-1], fold[:-1], w[:-1])
+        if carried is not None:
+            yield _cell_batch(*carried)
+
+    parts = table.select("x", "y", "fold", "id").mapInArrow(draw, _CELLS)
+    return store(parts.repartition("b", "y").sortWithinPartitions("b", "y", "fold").mapInArrow(merge, _CELLS), "cells")
+
+
 def row_key(df: DataFrame, spec: LabelledSpec):
     """The id as a whole number; other ids by their hash."""
     whole = isinstance(df.schema[spec.id_col].dataType, T.IntegralType)
@@ -159,6 +254,59 @@ class _Upper:
         return node
 
 
+@dataclass(frozen=True)
+class _Walk:
+    """What scoring needs of a forest: splits of the nodes of all trees and class shares of the leaves.
+
+    ``next`` is the left child of a split node and the place of a leaf's shares.
+    """
+
+    edges: tuple[np.ndarray, ...]
+    tree: np.ndarray
+    root: np.ndarray
+    next: np.ndarray
+    feature: np.ndarray
+    cut: np.ndarray
+    shares: np.ndarray
+    seed: int
+
+    def leaves(self, bins: np.ndarray) -> np.ndarray:
+        """(row, tree): the leaf that each row ends in."""
+        out = np.zeros((len(bins), len(self.root)), np.int32)
+        for t, root in enumerate(self.root):
+            node = np.full(len(bins), root, np.int32)
+            rows = np.flatnonzero(self.feature[node] >= 0)
+            while len(rows):
+                i = node[rows]
+                node[rows] = self.next[i] + (bins[rows, self.feature[i]] > self.cut[i])
+                rows = rows[self.feature[node[rows]] >= 0]
+            out[:, t] = self.next[node]
+        return out
+
+    def probabilities(self, x: np.ndarray, ids: np.ndarray | None, known: dict[bytes, np.ndarray]) -> np.ndarray:
+        """Rows of equal bins end in the same leaves; ``known`` keeps those of a bounded number of cells."""
+        bins = _binned(x, list(self.edges))
+        cells, first, inverse = np.unique(_packed(bins), return_index=True, return_inverse=True)
+        if len(known) > KNOWN_CELLS:
+            known.clear()
+        keys = [c.tobytes() for c in cells]
+        new = [i for i, key in enumerate(keys) if key not in known]
+        if new:
+            known.update(zip([keys[i] for i in new], self.leaves(bins[first[new]])))
+        leaf = np.stack([known[key] for key in keys])
+        total, used = np.zeros((len(x), self.shares.shape[1])), np.zeros(len(x))
+        for t, tree in enumerate(self.tree):
+            share = self.shares[leaf[:, t]][inverse]
+            if ids is None:
+                total += share
+                used += 1
+            else:
+                counts = bootstrap(ids, self.seed, int(tree)) == 0
+                total += share * counts[:, None]
+                used += counts
+        return np.where(used[:, None] > 0, total / np.maximum(used, 1)[:, None], 1.0 / self.shares.shape[1])
+
+
 @dataclass(frozen=True)
 class ForestModel:
     """Trees of one forest as arrays over all nodes, sorted by (tree, path)."""
@@ -174,30 +322,23 @@ class ForestModel:
     counts: np.ndarray
     seed: int
 
+    def walk(self) -> _Walk:
+        starts = np.append(np.flatnonzero(np.append(True, self.tree[1:] != self.tree[:-1])), len(self.tree))
+        ends = self.feature < 0
+        after = (np.cumsum(ends) - 1).astype(np.int32)
+        for low, high in zip(starts[:-1], starts[1:]):
+            inner = low + np.flatnonzero(~ends[low:high])
+            after[inner] = low + np.searchsorted(self.path[low:high], 2 * self.path[inner])
+        shares = self.counts[ends] / self.counts[ends].sum(axis=1, keepdims=True)
+        return _Walk(self.edges, self.tree[starts[:-1]], starts[:-1], after, self.feature.astype(np.int32), self.cut.astype(np.uint8), shares, self.seed)
+
     def probabilities(self, x: np.ndarray, ids: np.ndarray | None = None) -> np.ndarray:
         """Mean over the trees of the class shares of each row's leaf.
 
         With ids, only trees that did not draw the row count; a row that all trees drew has
         equal shares.
         """
-        bins = _binned(x, list(self.edges))
-        used = np.zeros(len(x))
-        starts = np.append(np.flatnonzero(np.append(True, self.tree[1:] != self.tree[:-1])), len(self.tree))
-        total = np.zeros((len(x), len(self.labels)))
-        for low, high in zip(starts[:-1], starts[1:]):
-            path, feature, cut = self.path[low:high], self.feature[low:high], self.cut[low:high]
-            left = np.searchsorted(path, 2 * path)
-            node = np.zeros(len(x), np.int64)
-            rows = np.flatnonzero(feature[node] >= 0)
-            while len(rows):
-                i = node[rows]
-                node[rows] = left[i] + (bins[rows, feature[i]] > cut[i])
-                rows = rows[feature[node[rows]] >= 0]
-            leaf = self.counts[low:high][node]
-            counts = np.ones(len(x)) if ids is None else bootstrap(ids, self.seed, int(self.tree[low])) == 0
-            total += leaf / leaf.sum(axis=1, keepdims=True) * counts[:, None]
-            used += counts
-        return np.where(used[:, None] > 0, total / np.maximum(used, 1)[:, None], 1.0 / len(self.labels))
+        return self.walk().probabilities(x, ids, {})
 
     def score(self, df: DataFrame, spec: LabelledSpec, out_of_bag: bool = False) -> DataFrame:
         """(id, label, prediction, probs, …) like the other models; ties go to the first label.
@@ -205,17 +346,18 @@ class ForestModel:
         ``out_of_bag`` is for rows that the forest was trained on: each is judged by the trees
         that did not draw it, so no row vouches for its own label.
         """
-        shared = df.sparkSession.sparkContext.broadcast(self)
+        shared, classes = df.sparkSession.sparkContext.broadcast(self.walk()), len(self.labels)
         keep = [c for c in df.columns if c not in (spec.id_col, spec.label_col, *spec.feature_cols)]
         row = F.struct(F.col(spec.id_col).alias("id"), F.col(spec.label_col).cast("string").alias("label"), *[F.col(f"`{c}`") for c in keep])
         x = F.array(*[F.col(c).cast("double") for c in spec.feature_cols])
         source = df.select(x.alias("_x"), row.alias("_row"), row_key(df, spec).alias("_id"))
 
         def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known: dict[bytes, np.ndarray] = {}
             for batch in batches:
                 x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
                 ids = batch.column(2).to_numpy() if out_of_bag else None
-                p = shared.value.probabilities(x, ids) if len(x) else np.zeros((0, len(shared.value.labels)))
+                p = shared.value.probabilities(x, ids, known) if len(x) else np.zeros((0, classes))
                 ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * p.shape[1])
                 lists = pa.ListArray.from_arrays(ends, pa.array(p.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(p.argmax(axis=1).astype(np.int32)), lists], ["_row", "_best", "probs"])
@@ -277,64 +419,66 @@ def fit_forests(
     sample = table.where(picked).select("x").limit(2 * SAMPLE_ROWS).toArrow().column("x").combine_chunks()
     sample = sample.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
     edges = [_edges(sample[:, j]) for j in range(dims)]
-    sizes = dict(table.groupBy("fold").count().collect())
+    source = _cells(table, edges, trees, seed)
+    sizes = dict(source.groupBy("fold").count().collect())
     rows_of = {r: sum(n for f, n in sizes.items() if r == 0 or f != r) for r in runs}
     if not all(rows_of.values()):
         raise ValueError("every run needs training rows")
+    most = min(LOCAL_ROWS, LOCAL_BYTES // dims)
     context = table.sparkSession.sparkContext
     upper = {(r, t): _Upper(*(np.zeros(0, np.int64) for _ in range(3))) for r in runs for t in range(trees)}
-    big = {(r, t): [1] for r in runs for t in range(trees) if rows_of[r] > LOCAL_ROWS}
-    local = {(r, t): [1] for r in runs for t in range(trees) if rows_of[r] <= LOCAL_ROWS}
+    big = {(r, t): [1] for r in runs for t in range(trees) if rows_of[r] > most}
+    local = {(r, t): [1] for r in runs for t in range(trees) if rows_of[r] <= most}
     done: list[tuple] = []
     n_bins = max(len(e) for e in edges) + 1
 
     def rows_in(batch, places, upper):
-        """(run, tree, paths in question, rows in the tree, their node) of a batch, with bins, classes and weights."""
-        x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
-        bins, y = _binned(x, edges), batch.column("y").to_numpy().astype(np.int64)
-        fold, ids = batch.column("fold").to_numpy(), batch.column("id").to_numpy().astype(np.int64)
-        drawn = {}
+        """(run, tree, bins, classes, weights and nodes) of a batch's cells that lie in the places asked for."""
+        bins = np.frombuffer(_joined(batch.column("b")), np.uint8).reshape(-1, dims)
+        y, fold, drawn = batch.column("y").to_numpy().astype(np.int64), batch.column("fold").to_numpy(), _weights(batch.column("w"), trees)
+        # Cells that differ by their fold alone are one to a run.
+        starts = np.concatenate([[0], np.flatnonzero((bins[1:] != bins[:-1]).any(axis=1) | (y[1:] != y[:-1])) + 1])
+        bins, y = bins[starts], y[starts]
+        weights = {r: np.add.reduceat(drawn * ((fold != r) | (r == 0))[:, None], starts, axis=0) for r in {r for r, _ in places}}
         for (r, t), wanted in places.items():
-            if t not in drawn:
-                drawn[t] = bootstrap(ids, seed, t)
             node = upper[r, t].descend(bins)
             wanted = np.array(sorted(wanted), np.int64)
             i = np.minimum(np.searchsorted(wanted, node), len(wanted) - 1)
-            inside = np.flatnonzero((wanted[i] == node) & (drawn[t] > 0) & ((fold != r) | (r == 0)))
-            yield r, t, bins[inside], y[inside], drawn[t][inside], node[inside]
+            inside = np.flatnonzero((wanted[i] == node) & (weights[r][:, t] > 0))
+            yield r, t, bins[inside], y[inside], weights[r][inside, t], node[inside]
 
-    source = table.select("x", "y", "fold", "id")
     while big:
         shared = context.broadcast((big, upper))
 
         def count(batches):
             places, uppers = shared.value
             for batch in batches:
-                for start in range(0, len(batch), 8192):
-                    for r, t, bins, y, w, node in rows_in(batch.slice(start, 8192), places, uppers):
-                        paths, at = np.unique(node, return_inverse=True)
-                        chosen = candidates(paths, seed, np.full(len(paths), t), dims)
-                        for j in range(chosen.shape[1]):
-                            f = chosen[at, j]
-                            key = (at * n_bins + bins[np.arange(len(at)), f]) * classes + y
-                            cells, inverse = np.unique(key, return_inverse=True)
-                            n = np.bincount(inverse, weights=w).astype(np.int64)
-                            which = cells // (n_bins * classes)
-                            yield pa.RecordBatch.from_arrays(
-                                [
-                                    pa.array(np.full(len(cells), r, np.int32)),
-                                    pa.array(np.full(len(cells), t, np.int32)),
-                                    pa.array(paths[which]),
-                                    pa.array(chosen[which, j].astype(np.int32)),
-                                    pa.array((cells % (n_bins * classes)).astype(np.int32)),
-                                    pa.array(n),
-                                ],
-                                ["run", "tree", "path", "f", "cell", "n"],
-                            )
+                if not batch.num_rows:
+                    continue
+                for r, t, bins, y, w, node in rows_in(batch, places, uppers):
+                    paths, at = np.unique(node, return_inverse=True)
+                    chosen = candidates(paths, seed, np.full(len(paths), t), dims)
+                    for j in range(chosen.shape[1]):
+                        f = chosen[at, j]
+                        key = (at * n_bins + bins[np.arange(len(at)), f]) * classes + y
+                        cells, inverse = np.unique(key, return_inverse=True)
+                        which = cells // (n_bins * classes)
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.full(len(cells), r, np.int32)),
+                                pa.array(np.full(len(cells), t, np.int32)),
+                                pa.array(paths[which]),
+                                pa.array(chosen[which, j].astype(np.int32)),
+                                pa.array((cells % (n_bins * classes)).astype(np.int32)),
+                                pa.array(np.bincount(inverse, weights=w).astype(np.int64)),
+                                pa.array(np.bincount(inverse).astype(np.int64)),
+                            ],
+                            ["run", "tree", "path", "f", "cell", "n", "held"],
+                        )
 
         def choose(key, held):
             r, t, path = (k.as_py() for k in key)
-            f, cell, n = (held.column(c).to_numpy() for c in ("f", "cell", "n"))
+            f, cell, n, m = (held.column(c).to_numpy() for c in ("f", "cell", "n", "held"))
             best = (-1.0, -1, 0, np.zeros(classes), np.zeros(2))
             for column in np.unique(f):
                 hist = np.zeros(n_bins * classes)
@@ -342,8 +486,8 @@ def fit_forests(
                 hist = hist.reshape(1, n_bins, classes)
                 gain, at = _best(hist)
                 if best[1] < 0 or gain[0] > best[0] + _GAIN:
-                    left = hist[0, : at[0] + 1].sum()
-                    best = (float(gain[0]), int(column), int(at[0]), hist[0].sum(axis=0), np.array([left, hist.sum() - left]))
+                    own, here = m[f == column], cell[f == column] // classes <= at[0]
+                    best = (float(gain[0]), int(column), int(at[0]), hist[0].sum(axis=0), np.array([own[here].sum(), own[~here].sum()], float))
             gain, column, at, counts, parts = best
             inner = gain > _GAIN * counts.sum() and int(path).bit_length() - 1 < max_depth
             return pa.table(
@@ -359,8 +503,8 @@ def fit_forests(
                 }
             )
 
-        sums = source.mapInArrow(count, "run int, tree int, path bigint, f int, cell int, n bigint")
-        sums = sums.groupBy("run", "tree", "path", "f", "cell").agg(F.sum("n").alias("n"))
+        sums = source.mapInArrow(count, "run int, tree int, path bigint, f int, cell int, n bigint, held bigint")
+        sums = sums.groupBy("run", "tree", "path", "f", "cell").agg(F.sum("n").alias("n"), F.sum("held").alias("held"))
         found = sums.groupBy("run", "tree", "path").applyInArrow(choose, _NODES + ", parts array<double>").collect()
         big = {}
         for row in found:
@@ -368,10 +512,14 @@ def fit_forests(
             done.append(tuple(row)[:7])
             if row["feature"] >= 0:
                 for side in (0, 1):
-                    where = big if row["parts"][side] > LOCAL_ROWS else local
+                    where = big if row["parts"][side] > most else local
                     where.setdefault(key, []).append(2 * row["path"] + side)
-        for key in upper:
-            own = sorted((d[2], d[3], d[4]) for d in done if d[:2] == key and d[3] >= 0)
+        inner: dict[tuple[int, int], list] = {}
+        for d in done:
+            if d[3] >= 0:
+                inner.setdefault(d[:2], []).append((d[2], d[3], d[4]))
+        for key, own in inner.items():
+            own.sort()
             upper[key] = _Upper(*(np.array([o[i] for o in own], np.int64) for i in range(3)))
         shared.unpersist()
     shared = context.broadcast((local, upper))
@@ -379,28 +527,28 @@ def fit_forests(
     def gather(batches):
         places, uppers = shared.value
         for batch in batches:
-            for start in range(0, len(batch), 8192):
-                for r, t, bins, y, w, node in rows_in(batch.slice(start, 8192), places, uppers):
-                    n = len(y)
-                    packed = pa.Array.from_buffers(
-                        pa.binary(), n, [None, pa.py_buffer(np.arange(n + 1, dtype=np.int32) * dims), pa.py_buffer(np.ascontiguousarray(bins))]
-                    )
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(n, r, np.int32)),
-                            pa.array(np.full(n, t, np.int32)),
-                            pa.array(node),
-                            packed,
-                            pa.array(y.astype(np.int32)),
-                            pa.array(w.astype(np.int32)),
-                        ],
-                        ["run", "tree", "path", "b", "y", "w"],
-                    )
+            if not batch.num_rows:
+                continue
+            for r, t, bins, y, w, node in rows_in(batch, places, uppers):
+                order = np.argsort(node, kind="stable")
+                paths, ends = np.unique(node, return_counts=True)
+                ends = np.cumsum(ends)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(np.full(len(paths), r, np.int32)),
+                        pa.array(np.full(len(paths), t, np.int32)),
+                        pa.array(paths),
+                        _binary(bins[order].ravel(), ends * dims),
+                        _binary(y[order].astype("<i4"), ends),
+                        _binary(w[order].astype("<i8"), ends),
+                    ],
+                    ["run", "tree", "path", "b", "y", "w"],
+                )
 
     def finish(key, held):
         r, t, path = (k.as_py() for k in key)
-        bins = np.frombuffer(b"".join(held.column("b").to_pylist()), np.uint8).reshape(-1, dims)
-        y, w = held.column("y").to_numpy().astype(np.int64), held.column("w").to_numpy().astype(float)
+        bins = np.frombuffer(_joined(held.column("b")), np.uint8).reshape(-1, dims)
+        y, w = np.frombuffer(_joined(held.column("y")), "<i4").astype(np.int64), np.frombuffer(_joined(held.column("w")), "<i8").astype(float)
         paths, feature, cut, gain, counts = grow(bins, y, w, path, seed, t, n_bins, classes, max_depth)
         ends = pa.array(np.arange(len(paths) + 1, dtype=np.int32) * classes)
         return pa.table(
@@ -415,12 +563,12 @@ def fit_forests(
             }
         )
 
-    gathered = source.mapInArrow(gather, "run int, tree int, path bigint, b binary, y int, w int")
+    gathered = source.mapInArrow(gather, "run int, tree int, path bigint, b binary, y binary, w binary")
     grown = store(gathered.groupBy("run", "tree", "path").applyInArrow(finish, _NODES), "nodes")
-    total = grown.count() + len(done)
-    if total > MOST_NODES:
-        raise ValueError(f"{total} nodes are more than a model of {MOST_NODES} may hold; lower the depth")
     rest = table.sparkSession.createDataFrame(done, _NODES) if done else None
-    whole = (grown if rest is None else grown.unionByName(rest)).withColumnRenamed("bin", "cut").toArrow()
-    run = whole.column("run").to_numpy()
-    return {r: _model(whole.filter(pa.array(run == r)), tuple(labels), tuple(features), tuple(edges), seed) for r in runs}
+    whole = (grown if rest is None else grown.unionByName(rest)).withColumnRenamed("bin", "cut")
+    most_nodes = max(n for _, n in whole.groupBy("run").count().collect())
+    if most_nodes > MOST_NODES:
+        raise ValueError(f"{most_nodes} nodes are more than a model of {MOST_NODES} may hold; lower the depth")
+    # One model at a time passes the driver.
+    return {r: _model(whole.where(F.col("run") == r).drop("run").toArrow(), tuple(labels), tuple(features), tuple(edges), seed) for r in runs}

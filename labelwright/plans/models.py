@@ -397,7 +397,7 @@ def forest_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forest_reproducible(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same forest from the same rows under two partitionings and orders: all predictions are equal."""
     bands = store(I.part_bands(spark, sf_dir), "bands")
-    one = store(M.score_model(M.fit_model(M.RANDOM_FOREST, bands.coalesce(1), I.BANDS, PARAMS), bands, I.BANDS), "one")
+    one = store(M.score_model(M.fit_model(M.RANDOM_FOREST, bands.repartition(5, "id"), I.BANDS, PARAMS), bands, I.BANDS), "one")
     shuffled = store(bands.repartition(13, F.xxhash64("p")).sortWithinPartitions(F.desc("q")), "shuffled")
     two = store(M.score_model(M.fit_model(M.RANDOM_FOREST, shuffled, I.BANDS, PARAMS), shuffled, I.BANDS), "two")
     met = one.join(two.select("id", F.col("prediction").alias("_prediction"), F.col("probs").alias("_probs")), "id")

@@ -1,6 +1,7 @@
 """Fold-parallel fits, the kernel machine's bounds, and forests that do not depend on partitions."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -168,3 +169,20 @@ def test_depth_and_single_class(spark):
     assert set(M.score_model(one, df, CLUSTERS).select("prediction").toPandas()["prediction"]) == {"only"}
     with pytest.raises(ValueError):
         M.fit_model(M.LOGISTIC, df.withColumn("target", F.lit("only")), CLUSTERS)
+
+
+def test_forests_grow_from_cells_and_the_node_limit_is_that_of_one_model(spark, monkeypatch):
+    """Rows of equal bins, class and fold are one; draws add up to those of the rows."""
+    rng = np.random.default_rng(3)
+    x, fold = rng.integers(0, 6, size=(30_000, 2)).astype(float), np.arange(30_000) % 2 + 1
+    y = (x.sum(axis=1) > 5).astype(int)
+    rows = [(v.tolist(), int(c), int(f), i) for i, (v, c, f) in enumerate(zip(x, y, fold))]
+    df = scratch.store(spark.createDataFrame(rows, "x array<double>, y int, fold int, id bigint"), "rows").repartition(3)
+    cells = R._cells(df, [R._edges(x[:, j]) for j in range(2)], 4, 42).toPandas()
+    assert len(cells) == 72
+    drawn = R._weights(pa.array(cells["w"]), 4).sum(axis=0)
+    assert drawn.tolist() == [R.bootstrap(np.arange(30_000), 42, t).sum() for t in range(4)]
+    args = (["a", "b"], ("f", "g"), (0, 1, 2), 4, 30, 42)
+    want = {r: nodes(m) for r, m in R.fit_forests(df, *args).items()}
+    monkeypatch.setattr(R, "MOST_NODES", max(len(n[0]) for n in want.values()))
+    assert {r: nodes(m) for r, m in R.fit_forests(df, *args).items()} == want
