@@ -115,10 +115,10 @@ def _linear_runs(name: str, folded: DataFrame, spec: LabelledSpec, params: Param
         }
     share = min(1.0, P.LANDMARK_ROWS / max(1, max(rows.values())))
     picked = F.pmod(F.xxhash64("id", F.lit(params.seed)), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
-    sample = table.where(picked).select("x", "fold", "id").limit(2 * P.LANDMARK_ROWS).toPandas().sort_values("id")
-    points, fold = np.stack(sample["x"].to_numpy()), sample["fold"].to_numpy()
+    sample = table.where(picked).select("x", "y", "fold", "id").limit(2 * P.LANDMARK_ROWS).toPandas().sort_values("id")
+    points, y, fold = np.stack(sample["x"].to_numpy()), sample["y"].to_numpy(), sample["fold"].to_numpy()
     landmarks = {r: P.fit_landmarks(maps[r], points[fold != r] if r else points, params.kernel_tolerance) for r in runs}
-    margins = P.fit_margins(table, landmarks, rows, len(labels), params.c, params.svm_iter, params.svm_gap)
+    margins = P.fit_margins(table, landmarks, rows, len(labels), params.c, params.svm_iter, params.svm_gap, (points, y, fold))
     error = P.kernel_error(table, landmarks, rows)
     # Probabilities of the margins of one class against the rest, as Platt scaling gives them.
     scaled = {r: P.Margins(landmarks[r], margins[r].weights) for r in runs}

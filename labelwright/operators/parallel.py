@@ -9,8 +9,11 @@ state, so problems that are done wait while the others go on.
 Support vector problems are one class against the rest, with a hinge that is rounded over half
 a unit. Their duality gap comes with the gradient: the slopes of the losses are a dual point,
 and the gap between both values bounds how far a solution is from the best one. The constant
-is a feature like any other there, which makes the bound hold. Softmax problems leave the
-constant free of penalty.
+is a feature like any other there, which makes the bound hold. The more rows, the less penalty
+there is and the more the directions differ in curvature. Up to ``CURVED`` features the scan
+therefore sums second derivatives too and steps are Newton's; beyond, a bounded sample of rows says
+how curved each direction is. That shapes the steps alone: values, gradients and gaps are sums over
+all rows. Softmax problems leave the constant free of penalty.
 """
 
 from __future__ import annotations
@@ -27,6 +30,9 @@ MEMORY = 10
 LANDMARK_ROWS = 4096
 MOST_LANDMARKS = 512
 HALVINGS = 25
+CURVED = 128
+# Share of the curvature of all sampled rows that is added to that of the rows within the margin.
+SPREAD = 0.01
 
 
 @dataclass(frozen=True)
@@ -184,13 +190,14 @@ class Fit:
 class _Descent:
     """One problem: where it is, what it has learned of its curvature, and the point it wants to try."""
 
-    def __init__(self, size: int):
+    def __init__(self, size: int, curved: Callable[[np.ndarray], np.ndarray] | None = None):
+        self.curved, self.caution = curved, 1.0
         self.at, self.value, self.grad, self.gap = np.zeros(size), np.inf, np.zeros(size), None
         self.trial, self.direction, self.step = self.at, None, 1.0
         self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
         self.steps, self.halved, self.over = 0, 0, False
 
-    def tell(self, value: float, grad: np.ndarray, gap: float | None) -> None:
+    def tell(self, value: float, grad: np.ndarray, gap: float | None, second: np.ndarray | None = None) -> None:
         fits = self.direction is None or value <= self.value + 1e-4 * self.step * (self.grad @ self.direction)
         if not fits:
             self.halved += 1
@@ -203,13 +210,20 @@ class _Descent:
             if s @ y > 1e-12 * np.sqrt((s @ s) * (y @ y)):
                 self.pairs = [*self.pairs, (s, y)][-MEMORY:]
             self.steps += 1
+            self.caution = max(1e-4, self.caution * 0.3) if self.step == 1.0 else min(1.0, self.caution * 4.0)
         self.at, self.value, self.grad, self.gap = self.trial, value, grad, gap
+        if second is not None:
+            self.direction, self.step, self.halved = -np.linalg.solve(second, grad), 1.0, 0
+            self.trial = self.at + self.direction
+            return
         q, used = grad.copy(), []
         for s, y in reversed(self.pairs):
             a = (s @ q) / (s @ y)
             q -= a * y
             used.append(a)
-        if self.pairs:
+        if self.curved is not None:
+            q = np.linalg.solve(self.curved(self.at), q)
+        elif self.pairs:
             s, y = self.pairs[-1]
             q *= (s @ y) / (y @ y)
         else:
@@ -220,13 +234,13 @@ class _Descent:
         self.trial = self.at + self.direction
 
 
-def _minimise(evaluate, sizes: list[int], steps: int, done) -> list[_Descent]:
-    """Descend on all problems; ``evaluate`` gives (value, gradient, gap) of each trial point."""
-    problems = [_Descent(size) for size in sizes]
+def _minimise(evaluate, sizes: list[int], steps: int, done, curved=None) -> list[_Descent]:
+    """Descend on all problems; ``evaluate`` gives (value, gradient, gap) of each trial point, and may give the second derivative."""
+    problems = [_Descent(size, how) for size, how in zip(sizes, curved or [None] * len(sizes))]
     while any(not p.over for p in problems):
-        for p, (value, grad, gap) in zip(problems, evaluate([p.trial for p in problems])):
+        for p, found in zip(problems, evaluate([p.trial for p in problems], [p.caution for p in problems])):
             if not p.over:
-                p.tell(value, grad, gap)
+                p.tell(*found)
                 if p.over or p.steps >= steps or (p.halved == 0 and done(p)):
                     p.over, p.trial = True, p.at
     return problems
@@ -236,19 +250,42 @@ def _kept(fold: np.ndarray, run: int) -> np.ndarray:
     return np.ones(len(fold)) if run == 0 else (fold != run).astype(float)
 
 
-def fit_margins(table: DataFrame, maps: dict[int, Map], rows: dict[int, int], classes: int, c: float, steps: int, gap: float) -> dict[int, Fit]:
-    """One class against the rest, for every run; stops at a gap relative to the value."""
+Sample = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def _curvature(own: np.ndarray, f: np.ndarray, weight: float) -> Callable[[np.ndarray], np.ndarray]:
+    """About the second derivative of a problem at a point, from the features and signs of sampled rows."""
+    n = max(1, len(own))
+    least = weight * np.eye(f.shape[1]) + SPREAD / (ROUND * n) * (f.T @ f)
+
+    def at(w: np.ndarray) -> np.ndarray:
+        inside = f[1.0 - own * (f @ w) > 0.0]
+        return least + (inside.T @ inside) / (ROUND * n)
+
+    return at
+
+
+def fit_margins(
+    table: DataFrame, maps: dict[int, Map], rows: dict[int, int], classes: int, c: float, steps: int, gap: float, sample: Sample | None = None
+) -> dict[int, Fit]:
+    """One class against the rest, for every run; stops at a gap relative to the value.
+
+    A sample (x, y, fold) of the rows makes for fewer steps and does not change what is minimised.
+    """
     runs = list(maps)
-    widths = [classes * (2 + maps[r].size) for r in runs]
+    newton = max(maps[r].size for r in runs) <= CURVED
+    widths = [classes * (2 + maps[r].size + newton * maps[r].size ** 2) for r in runs]
     cuts = np.concatenate([[0], np.cumsum(widths)])
     context = table.sparkSession.sparkContext
 
-    def evaluate(points: list[np.ndarray]):
+    def evaluate(points: list[np.ndarray], cautions: list[float]):
         weights = {r: np.stack(points[i * classes : (i + 1) * classes]) for i, r in enumerate(runs)}
-        shared = context.broadcast((maps, weights))
+        # Rows beyond the rounding have no curvature; a descent that is far off counts them too.
+        caution = {r: np.array(cautions[i * classes : (i + 1) * classes]) for i, r in enumerate(runs)}
+        shared = context.broadcast((maps, weights, caution))
 
         def per_batch(x, y, fold):
-            maps, weights = shared.value
+            maps, weights, caution = shared.value
             out = np.zeros(cuts[-1])
             own = np.where(y[:, None] == np.arange(classes), 1.0, -1.0)
             for r, low, high in zip(runs, cuts[:-1], cuts[1:]):
@@ -258,7 +295,13 @@ def fit_margins(table: DataFrame, maps: dict[int, Map], rows: dict[int, int], cl
                 slope = np.clip(short / ROUND, 0.0, 1.0)
                 loss = np.where(short > ROUND, short - ROUND / 2, slope * slope * ROUND / 2)
                 dual = slope - ROUND / 2 * slope * slope
-                out[low:high] = np.concatenate([(loss * kept).sum(axis=0), (dual * kept).sum(axis=0), (-(slope * own * kept).T @ f).ravel()])
+                sums = [(loss * kept).sum(axis=0), (dual * kept).sum(axis=0), (-(slope * own * kept).T @ f).ravel()]
+                if newton:
+                    curved = np.where(short > ROUND, caution[r], 1.0) * (short > 0.0) * kept
+                    for k in range(classes):
+                        at = np.flatnonzero(curved[:, k])
+                        sums.append(((f[at] * curved[at, k, None]).T @ f[at]).ravel())
+                out[low:high] = np.concatenate(sums)
             return out
 
         sums = summed(table, per_batch, int(cuts[-1]))
@@ -266,16 +309,23 @@ def fit_margins(table: DataFrame, maps: dict[int, Map], rows: dict[int, int], cl
         out = []
         for r, low, high in zip(runs, cuts[:-1], cuts[1:]):
             part, n, weight = sums[low:high], rows[r], 1.0 / (c * rows[r])
-            slopes = part[2 * classes :].reshape(classes, -1) / n
+            size = maps[r].size
+            slopes = part[2 * classes : (2 + size) * classes].reshape(classes, -1) / n
+            second = part[(2 + size) * classes :].reshape(-1, size, size) / (ROUND * n) + weight * np.eye(size)
             for k in range(classes):
                 w = weights[r][k]
                 value = weight / 2 * (w @ w) + part[k] / n
                 bound = part[classes + k] / n - (slopes[k] @ slopes[k]) / (2 * weight)
-                out.append((value, weight * w + slopes[k], value - bound))
+                out.append((value, weight * w + slopes[k], value - bound, second[k] if newton else None))
         return out
 
     sizes = [maps[r].size for r in runs for _ in range(classes)]
-    found = _minimise(evaluate, sizes, steps, lambda p: p.gap <= gap * max(p.value, 1e-12))
+    curved = []
+    for r in runs if sample is not None and not newton else ():
+        x, y, fold = (part[_kept(sample[2], r) > 0] for part in sample)
+        f = maps[r](x)
+        curved += [_curvature(np.where(y == k, 1.0, -1.0), f, 1.0 / (c * rows[r])) for k in range(classes)]
+    found = _minimise(evaluate, sizes, steps, lambda p: p.gap <= gap * max(p.value, 1e-12), curved)
     out = {}
     for i, r in enumerate(runs):
         own = found[i * classes : (i + 1) * classes]
@@ -291,7 +341,7 @@ def fit_softmax(table: DataFrame, maps: dict[int, Map], rows: dict[int, int], cl
     cuts = np.concatenate([[0], np.cumsum([1 + s for s in sizes])])
     context = table.sparkSession.sparkContext
 
-    def evaluate(points: list[np.ndarray]):
+    def evaluate(points: list[np.ndarray], _):
         weights = {r: p.reshape(classes, -1) for r, p in zip(runs, points)}
         shared = context.broadcast((maps, weights))
 

@@ -9,7 +9,7 @@ from labelwright.operators import forest as R
 from labelwright.operators import models as M
 from labelwright.operators import parallel as P
 from labelwright.sources import scratch
-from labelwright.spec import Params
+from labelwright.spec import LabelledSpec, Params
 from tests.conftest import CLUSTERS, clusters
 
 
@@ -186,3 +186,18 @@ def test_forests_grow_from_cells_and_the_node_limit_is_that_of_one_model(spark,
     want = {r: nodes(m) for r, m in R.fit_forests(df, *args).items()}
     monkeypatch.setattr(R, "MOST_NODES", max(len(n[0]) for n in want.values()))
     assert {r: nodes(m) for r, m in R.fit_forests(df, *args).items()} == want
+
+
+@pytest.mark.parametrize("curved", [P.CURVED, 0])
+def test_kernel_machine_of_little_penalty_reaches_its_gap(spark, monkeypatch, curved):
+    """As little penalty a row as a table of many rows has; the steps are the usual ones."""
+    monkeypatch.setattr(P, "CURVED", curved)
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 3))
+    label = np.where(x[:, 0] + 0.5 * np.sin(3 * x[:, 1]) > 0.3, "a", np.where(x[:, 2] > 0, "b", "c"))
+    rows = [(i, *map(float, v), str(c)) for i, (v, c) in enumerate(zip(x, label))]
+    df = spark.createDataFrame(rows, "id bigint, f double, g double, h double, label string")
+    spec = LabelledSpec("id", ("f", "g", "h"), "label")
+    run = M.fit_run(M.KERNEL_SVM, df, spec, Params(c=50.0))
+    assert run.facts["gap"] <= Params.svm_gap
+    assert M.score_model(run.model, df, spec).where("label = prediction").count() > 2800
