@@ -60,6 +60,8 @@ PER_CELL_MANY_DIMS = 4096
 CROWDED = 4
 LEVEL_SAMPLE = 16_384
 GROUP_ROWS = 65_536
+# Bytes that the pairs of queries and cells under way in a task may take.
+PAIR_BYTES = 64 << 20
 HOT_KEYS = 1000
 HOT_ROWS = 100_000
 
@@ -440,9 +442,11 @@ VISIT = QUERY + ", reach double, home bigint, block bigint"
 def _near_cells(view: View, cells: Cells, x: np.ndarray, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (row, cell) where the cell may hold a point within the row's reach."""
     who, cell = [], []
-    for start in range(0, len(x), 512):
-        part = x[start : start + 512]
-        far = reach[start : start + 512] + 2.0 * 10.0**-DECIMALS + view.slack(part)
+    # A query may stand before every cell at once, with a gap per axis.
+    some = int(min(512, max(1, PAIR_BYTES // (32 * cells.count * cells.low.shape[1]))))
+    for start in range(0, len(x), some):
+        part = x[start : start + some]
+        far = reach[start : start + some] + 2.0 * 10.0**-DECIMALS + view.slack(part)
         w, c = cells.within(view(part), far)
         who.append(w + start)
         cell.append(c)
@@ -456,15 +460,21 @@ def _abroad(index: NeighbourIndex, bounded: DataFrame) -> DataFrame:
     def first(batches: Batches) -> Batches:
         view, cells = shared.value
         for batch in batches:
-            for start in range(0, batch.num_rows, 512):
-                piece = batch.slice(start, 512)
+            if not batch.num_rows:
+                continue
+            some = 512 if cells is None else int(min(512, max(1, PAIR_BYTES // (16 * cells.count))))
+            for start in range(0, batch.num_rows, some):
+                piece = batch.slice(start, some)
                 x, reach = _matrix(piece.column("x")), piece.column("reach").to_numpy()
                 if cells is None:
                     who, cell = np.arange(len(x)), np.zeros(len(x), dtype=np.int64)
                 else:
                     who, cell = _near_cells(view, cells, x, reach)
-                taken = piece.select(["qid", "x", "reach", "block"]).take(pa.array(who))
-                yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cell)], ["qid", "x", "reach", "home", "block"])
+                # Each pair carries its query's columns.
+                pairs = max(1, PAIR_BYTES // (8 * (x.shape[1] + 5)))
+                for low in range(0, len(who), pairs):
+                    taken = piece.select(["qid", "x", "reach", "block"]).take(pa.array(who[low : low + pairs]))
+                    yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cell[low : low + pairs])], ["qid", "x", "reach", "home", "block"])
 
     def deeper(rows: pa.Table, cut: Cells | int) -> pa.Table:
         x, reach = _matrix(rows.column("x")), rows.column("reach").to_numpy()

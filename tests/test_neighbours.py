@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -261,3 +263,20 @@ def test_relabelled_lists_equal_a_search_on_the_noisy_table(clean):
     again = suspects(noise.flip(clean, 0.2))
     pick = lambda df: {(r.id, r.label, r.disagreements, r.suspicious) for r in df.collect()}
     assert pick(once) == pick(again)
+
+
+def test_pairs_of_queries_and_cells_leave_a_task_in_bounded_pieces(spark, monkeypatch):
+    """Points far from each other reach every cell; what a task holds of their pairs is bounded."""
+    x = np.random.default_rng(4).normal(size=(600, 12))
+    df = frame(spark, np.arange(600), x)
+    index = N.build_index(df, 5, per_cell=4)
+    assert index.cells.count > 10
+    asked = df.selectExpr("id AS qid", "x", "CAST('inf' AS double) AS reach", "CAST(-1 AS bigint) AS block").repartition(1)
+    monkeypatch.setattr(N, "PAIR_BYTES", 8 * 17 * 100)
+    sizes = []
+    near = N._near_cells
+    monkeypatch.setattr(N.Cells, "within", lambda self, p, r, _own=N.Cells.within: (sizes.append(len(p)), _own(self, p, r))[1])
+    who, cell = near(index.view, index.cells, x, np.full(600, np.inf))
+    assert len(who) == 600 * index.cells.count and max(sizes) == 1
+    assert N._abroad(replace(index, deeper=[]), asked).count() == 600 * index.cells.count
+    assert result(N.nearest_neighbours(df, 5, per_cell=4)) == brute(np.arange(600), x, 5)
