@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from labelwright.operators.blocks import SAMPLE_BYTES
 from labelwright.operators.neighbours import _lists_per_row, _matrix, _unusable, _visit, collapse
-from labelwright.sources.scratch import small, store
+from labelwright.sources.scratch import BROADCAST_BYTES, small, store
 from labelwright.spec import Params
 
 TABLES = 4
@@ -34,6 +34,8 @@ DIGITS = 16
 BITS = 3
 SAMPLE_ROWS = 20_000
 CLOSEST = 8
+# Of a leaf in the sorted arrays of all leaves.
+LEAF_BYTES = 13
 
 _CODES = "t int, code bigint"
 
@@ -135,13 +137,48 @@ def _leaves(counts: DataFrame, bucket_rows: int) -> DataFrame:
     return store(leaves, "leaves")
 
 
+def _starts(t: np.ndarray, code: np.ndarray) -> np.ndarray:
+    return (t.astype(np.int64) << (DIGITS * BITS)) | code
+
+
+def _found(coded: DataFrame, leaves: DataFrame) -> DataFrame:
+    """Rows with a code get the leaf that it lies in from the sorted leaves, which every worker holds.
+
+    Leaves are ranges of codes that do not meet, so one search by bisection finds the only one.
+    """
+    held = leaves.select("t", "depth", "head", "parts").toArrow()
+    t, depth, head, parts = (held.column(c).to_numpy().astype(np.int64) for c in ("t", "depth", "head", "parts"))
+    starts = _starts(t, head << ((DIGITS - depth) * BITS))
+    order = np.argsort(starts)
+    shared = coded.sparkSession.sparkContext.broadcast((starts[order], depth[order].astype(np.int8), parts[order].astype(np.int32)))
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        starts, depth, parts = shared.value
+        for batch in batches:
+            t, code = batch.column("t").to_numpy(), batch.column("code").to_numpy()
+            at = np.maximum(np.searchsorted(starts, _starts(t, code), "right") - 1, 0)
+            shift = (DIGITS - depth[at].astype(np.int64)) * BITS
+            head = code >> shift
+            met = np.flatnonzero(starts[at] == _starts(t, head << shift))
+            known = batch.take(pa.array(met))
+            yield pa.RecordBatch.from_arrays(
+                [*known.columns, pa.array(depth[at][met].astype(np.int32)), pa.array(head[met]), pa.array(parts[at][met])],
+                [*known.schema.names, "depth", "head", "parts"],
+            )
+
+    return coded.mapInArrow(find, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in coded.schema) + ", depth int, head bigint, parts int")
+
+
 def _in_buckets(coded: DataFrame, leaves: DataFrame, depths: tuple[int, ...], part: Column) -> DataFrame:
     """Rows with a code get the number of the bucket that the code lies in."""
-    held = small(leaves.select(F.col("t").alias("_t"), F.col("depth").alias("_depth"), F.col("head").alias("_head"), "parts"), 32)
-    each = coded.withColumn("depth", F.explode(F.array(*[F.lit(d) for d in depths])))
-    met = each.withColumn("head", _beginning(F.col("depth"))).join(
-        held, (F.col("t") == F.col("_t")) & (F.col("depth") == F.col("_depth")) & (F.col("head") == F.col("_head"))
-    )
+    if leaves.count() * LEAF_BYTES <= BROADCAST_BYTES:
+        met = _found(coded, leaves)
+    else:
+        held = leaves.select(F.col("t").alias("_t"), F.col("depth").alias("_depth"), F.col("head").alias("_head"), "parts")
+        each = coded.withColumn("depth", F.explode(F.array(*[F.lit(d) for d in depths])))
+        met = each.withColumn("head", _beginning(F.col("depth"))).join(
+            held, (F.col("t") == F.col("_t")) & (F.col("depth") == F.col("_depth")) & (F.col("head") == F.col("_head"))
+        )
     return met.withColumn("part", part).withColumn("block", F.xxhash64("t", "depth", "head", "part"))
 
 

@@ -72,3 +72,18 @@ def test_partitioning_does_not_matter(spark):
     df = frame(spark, range(500), clustered(500, 5, 4))
     one, two = (result(A.approximate_search(A.build_projection_index(d, 4), df)) for d in (df, df.repartition(11)))
     assert one == two
+
+
+def test_leaves_are_found_without_copies_of_the_rows_per_depth(spark, monkeypatch):
+    """The bisection finds the buckets that the join on every depth finds."""
+    df = frame(spark, range(800), clustered(800, 3, 6))
+    index = A.build_projection_index(df, 4, tables=2, bucket_rows=8)
+    assert len(index.depths) > 1
+    plan = index.points._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan
+    pick = lambda index: {(r.id, r.block) for r in index.points.select("id", "block").collect()}
+    looks = lambda index: {(r.qid, r.block) for r in A.visits(index, df.where("id % 20 = 0")).collect()}
+    own, seen = pick(index), looks(index)
+    monkeypatch.setattr(A, "LEAF_BYTES", 1 << 40)
+    other = A.build_projection_index(df, 4, tables=2, bucket_rows=8)
+    assert pick(other) == own and looks(other) == seen and len(own) == 1600
