@@ -44,7 +44,8 @@ COUNTS_SQL = """counts AS (SELECT 'train_rows' AS measure, count(*)::DOUBLE AS v
 
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return store(train_test_split(I.part_bands(spark, sf_dir), I.BANDS), "split")
+    bands = store(I.part_bands(spark, sf_dir), "bands")
+    return store(train_test_split(bands, I.BANDS), "split")
 
 
 def noisy_split(spark: SparkSession, sf_dir: str, level: float = 0.1) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 from labelwright.operators.noise import fit_label_noise
 from labelwright.operators.split import stratified_folds, train_test_split
-from labelwright.plans import inputs as I
+from labelwright.plans import inputs as I, models
 
 
 def plan(df):
@@ -46,3 +46,20 @@ def test_entry(spark):
 
 def test_every_oracle_has_a_query():
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
+
+
+def test_the_split_groups_the_lines_once(spark, sf_dir, monkeypatch):
+    """The split reads its rows more than once; the table behind them is grouped for the first time only."""
+    bands, seen = I.part_bands, spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def counted(spark, sf_dir):
+        rows = bands(spark, sf_dir)
+        return rows.mapInArrow(count, rows.schema)
+
+    monkeypatch.setattr(I, "part_bands", counted)
+    assert models._split(spark, sf_dir).count() == seen.value == bands(spark, sf_dir).count()
