@@ -78,8 +78,9 @@ def relabel(near: DataFrame, noise: LabelNoise, levels: list[float] | None = Non
             decided.alias("_near"),
             noise.other_label(F.col("_h"), label).alias("_other"),
             noise.flips_from(F.col("_h"), F.col("id"), label).alias("_from"),
-            F.explode(F.array(*[F.lit(v) for v in levels])).alias("noise_level"),
         )
+        # On its own: what a select computes beside an explode is computed for every level.
+        .withColumn("noise_level", F.explode(F.array(*[F.lit(v) for v in levels])))
         .select(
             "noise_level",
             "id",

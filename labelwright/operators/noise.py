@@ -73,13 +73,9 @@ class LabelNoise:
             spec.project(df, kept)
             .withColumnRenamed(spec.label_col, "original_label")
             .withColumn("_h", self.hash(row_id))
-            .withColumns(
-                {
-                    "_from": self.flips_from(h, row_id, label),
-                    "_other": self.other_label(h, label),
-                    "noise_level": F.explode(F.array(*[F.lit(level) for level in levels])),
-                }
-            )
+            .withColumns({"_from": self.flips_from(h, row_id, label), "_other": self.other_label(h, label)})
+            # On its own, so that the two are computed once and not for every level.
+            .withColumn("noise_level", F.explode(F.array(*[F.lit(level) for level in levels])))
             .withColumn("flipped", F.coalesce(F.col("noise_level") >= F.col("_from"), F.lit(False)))
             .select(
                 "noise_level",

@@ -208,7 +208,7 @@ FROM (SELECT noise_level, count(*) FILTER (WHERE suspicious AND flipped) AS tp,
     ),
 )
 def detection_effectiveness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flags, _ = band_suspects(I.order_bands(spark, sf_dir), I.CURVE_LEVELS)
+    flags, _ = band_suspects(store(I.order_bands(spark, sf_dir), "bands"), I.CURVE_LEVELS)
     return I.rounded(
         D.detection_effectiveness(flags, ("noise_level",)), "precision", "recall", "false_positive_rate"
     )

@@ -5,9 +5,11 @@ import re
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
+from labelwright.operators.detect import relabel
 from labelwright.operators.noise import fit_label_noise
 from labelwright.operators.split import stratified_folds, train_test_split
-from labelwright.plans import inputs as I, models
+from labelwright.plans import inputs as I, models, neighbours
+from labelwright.sources.scratch import store
 
 
 def plan(df):
@@ -63,3 +65,30 @@ def test_the_split_groups_the_lines_once(spark, sf_dir, monkeypatch):
 
     monkeypatch.setattr(I, "part_bands", counted)
     assert models._split(spark, sf_dir).count() == seen.value == bands(spark, sf_dir).count()
+
+
+def test_flips_are_decided_once_for_all_levels(spark, sf_dir):
+    """Hashes and other labels are computed below the explode over the levels, not for each of them."""
+    bands = store(I.part_bands(spark, sf_dir), "bands")
+    noise = fit_label_noise(bands, I.BANDS)
+    near = spark.createDataFrame([], "id long, label string, neighbours array<struct<d:double,nid:bigint,label:string>>")
+    for df in (relabel(near, noise), noise.sweep(bands)):
+        above, below = df._jdf.queryExecution().optimizedPlan().toString().split("Generate", 1)
+        assert "conv(" not in above and "md5(" not in above
+
+
+def test_detection_effectiveness_groups_the_lines_once(spark, sf_dir, monkeypatch):
+    bands, seen = I.order_bands, spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    def counted(spark, sf_dir):
+        rows = bands(spark, sf_dir)
+        return rows.mapInArrow(count, rows.schema)
+
+    monkeypatch.setattr(I, "order_bands", counted)
+    neighbours.detection_effectiveness(spark, sf_dir).collect()
+    assert seen.value == bands(spark, sf_dir).count()
