@@ -123,9 +123,9 @@ def _beginning(depth: int | Column) -> Column:
 
 
 def _leaves(counts: DataFrame, bucket_rows: int) -> DataFrame:
-    """The shortest beginnings that few rows share; one more digit per round, for what is still open."""
+    """The shortest beginnings that few rows share, the empty one first; one more digit per round, for what is still open."""
     leaves, left = None, counts
-    for depth in range(1, DIGITS + 1):
+    for depth in range(DIGITS + 1):
         sums = store(left.groupBy("t", _beginning(depth).alias("head")).agg(F.sum("n").alias("n")), "beginnings")
         done = F.col("n") <= bucket_rows if depth < DIGITS else F.lit(True)
         own = sums.where(done).select("t", F.lit(depth).alias("depth"), "head", F.ceil(F.col("n") / bucket_rows).cast("int").alias("parts"), "n")

@@ -44,6 +44,17 @@ def test_distances_are_exact_and_all_buckets_give_the_exact_result(spark):
     assert result(A.approximate_search(index, df, skip_same_id=True)) == brute(ids, x, 5)
 
 
+@pytest.mark.parametrize("leaf_bytes", [13, 1 << 40])
+def test_rows_that_fit_one_bucket_lie_in_one(spark, monkeypatch, leaf_bytes):
+    """The empty beginning is a bucket too, and no neighbour lies behind a border then."""
+    monkeypatch.setattr(A, "LEAF_BYTES", leaf_bytes)
+    x = clustered(60, 3, 5)
+    df = frame(spark, np.arange(60), x)
+    index = A.build_projection_index(df, 5, tables=2)
+    assert index.depths == (0,) and [r.held for r in index.sizes.collect()] == [60, 60]
+    assert result(A.approximate_search(index, df, skip_same_id=True)) == brute(np.arange(60), x, 5)
+
+
 def test_points_of_one_code_are_dealt_into_parts(spark, monkeypatch):
     """Rows that no projection tells apart: the sample has one value, so all share a code."""
     monkeypatch.setattr(A, "SAMPLE_ROWS", 10)
