@@ -122,7 +122,8 @@ def _linear_runs(name: str, folded: DataFrame, spec: LabelledSpec, params: Param
     error = P.kernel_error(table, landmarks, rows)
     # Probabilities of the margins of one class against the rest, as Platt scaling gives them.
     scaled = {r: P.Margins(landmarks[r], margins[r].weights) for r in runs}
-    fits = P.fit_softmax(table, scaled, rows, len(labels), {r: 1.0 / rows[r] for r in runs}, params.svm_iter, params.slope)
+    held, columns = P.mapped(table, scaled)
+    fits = P.fit_softmax(held, columns, rows, len(labels), {r: 1.0 / rows[r] for r in runs}, params.svm_iter, params.slope)
     out = {}
     for r in runs:
         stages = _kernel_stages(landmarks[r], margins[r].weights) + _scores([f"margin_{k}" for k in range(len(labels))], fits[r].weights)

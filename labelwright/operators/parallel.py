@@ -14,6 +14,10 @@ there is and the more the directions differ in curvature. Up to ``CURVED`` featu
 therefore sums second derivatives too and steps are Newton's; beyond, a bounded sample of rows says
 how curved each direction is. That shapes the steps alone: values, gradients and gaps are sums over
 all rows. Softmax problems leave the constant free of penalty.
+
+A large table is first fitted on a sample of bounded size, with the penalty of the whole table, and
+the steps over all rows start from there. Most steps then cost the same whatever the table; where
+the descent ends is decided by values, gradients and gaps over all rows as before.
 """
 
 from __future__ import annotations
@@ -25,12 +29,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from labelwright.sources.scratch import store
+
 ROUND = 0.5
 MEMORY = 10
 LANDMARK_ROWS = 4096
 MOST_LANDMARKS = 512
 HALVINGS = 25
 CURVED = 128
+# Rows of the sample that a fit of more than four times as many rows starts from.
+WARM_ROWS = 1 << 16
 # Share of the curvature of all sampled rows that is added to that of the rows within the margin.
 SPREAD = 0.01
 
@@ -124,7 +132,22 @@ class Margins:
         return len(self.weights) + 1
 
 
-Map = Standard | Landmarks | Margins
+@dataclass(frozen=True)
+class Columns:
+    """Features that the table holds already, and the constant."""
+
+    first: int
+    count: int
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        return np.column_stack([x[:, self.first : self.first + self.count], np.ones(len(x))])
+
+    @property
+    def size(self) -> int:
+        return self.count + 1
+
+
+Map = Standard | Landmarks | Margins | Columns
 PerBatch = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
 
 
@@ -146,6 +169,35 @@ def summed(table: DataFrame, per_batch: PerBatch, size: int) -> np.ndarray:
     return out
 
 
+def mapped(table: DataFrame, maps: dict[int, Map]) -> tuple[DataFrame, dict[int, Columns]]:
+    """The table (x, y, fold, id) with the features of all runs as x, written once, and where each run finds its own."""
+    shared = table.sparkSession.sparkContext.broadcast(maps)
+
+    def apply(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                f = np.concatenate([m(x)[:, :-1] for m in shared.value.values()], axis=1)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(f) + 1, dtype=np.int32) * f.shape[1]), pa.array(f.ravel()))
+                yield pa.RecordBatch.from_arrays([lists, *(batch.column(c) for c in ("y", "fold", "id"))], ["x", "y", "fold", "id"])
+
+    rows = table.select("x", "y", "fold", "id").mapInArrow(apply, "x array<double>, y int, fold int, id bigint")
+    ends = np.cumsum([m.size - 1 for m in maps.values()])
+    return store(rows, "features"), {r: Columns(int(end) - m.size + 1, m.size - 1) for (r, m), end in zip(maps.items(), ends)}
+
+
+def _warm(table: DataFrame, rows: dict[int, int]) -> tuple[DataFrame, dict[int, int]] | None:
+    """A stored sample by id of a large table, and its rows per run."""
+    most = max(rows.values())
+    if most <= 4 * WARM_ROWS:
+        return None
+    share = int(WARM_ROWS / most * (1 << 30))
+    few = store(table.where(F.pmod(F.xxhash64("id", F.lit("warm")), F.lit(1 << 30)) < share), "warm")
+    counts = few.groupBy("fold").count().collect()
+    found = {r: sum(c["count"] for c in counts if r == 0 or c["fold"] != r) for r in rows}
+    return (few, found) if all(found.values()) else None
+
+
 def standards(table: DataFrame, runs: tuple[int, ...], dims: int) -> tuple[dict[int, Standard], dict[int, int]]:
     """Scaling and number of rows of every run; deviations are taken about means, in a second scan."""
     folds = max(runs)
@@ -190,9 +242,9 @@ class Fit:
 class _Descent:
     """One problem: where it is, what it has learned of its curvature, and the point it wants to try."""
 
-    def __init__(self, size: int, curved: Callable[[np.ndarray], np.ndarray] | None = None):
+    def __init__(self, start: np.ndarray, curved: Callable[[np.ndarray], np.ndarray] | None = None):
         self.curved, self.caution = curved, 1.0
-        self.at, self.value, self.grad, self.gap = np.zeros(size), np.inf, np.zeros(size), None
+        self.at, self.value, self.grad, self.gap = start, np.inf, np.zeros(len(start)), None
         self.trial, self.direction, self.step = self.at, None, 1.0
         self.pairs: list[tuple[np.ndarray, np.ndarray]] = []
         self.steps, self.halved, self.over = 0, 0, False
@@ -234,11 +286,15 @@ class _Descent:
         self.trial = self.at + self.direction
 
 
-def _minimise(evaluate, sizes: list[int], steps: int, done, curved=None) -> list[_Descent]:
-    """Descend on all problems; ``evaluate`` gives (value, gradient, gap) of each trial point, and may give the second derivative."""
-    problems = [_Descent(size, how) for size, how in zip(sizes, curved or [None] * len(sizes))]
+def _minimise(evaluate, starts: list[np.ndarray], steps: int, done, curved=None) -> list[_Descent]:
+    """Descend on all problems; ``evaluate`` gives (value, gradient, gap) of each trial point, and may give the second derivative.
+
+    It is told which problems go on; what it gives for the others is not looked at.
+    """
+    problems = [_Descent(start, how) for start, how in zip(starts, curved or [None] * len(starts))]
     while any(not p.over for p in problems):
-        for p, found in zip(problems, evaluate([p.trial for p in problems], [p.caution for p in problems])):
+        live = [not p.over for p in problems]
+        for p, found in zip(problems, evaluate([p.trial for p in problems], [p.caution for p in problems], live)):
             if not p.over:
                 p.tell(*found)
                 if p.over or p.steps >= steps or (p.halved == 0 and done(p)):
@@ -273,15 +329,22 @@ def fit_margins(
     A sample (x, y, fold) of the rows makes for fewer steps and does not change what is minimised.
     """
     runs = list(maps)
+    starts = [np.zeros(maps[r].size) for r in runs for _ in range(classes)]
+    if warm := _warm(table, rows):
+        # The penalty stays that of all rows.
+        more = max(rows.values()) / max(warm[1].values())
+        near = fit_margins(warm[0], maps, warm[1], classes, c * more, steps, gap, sample)
+        starts = [w for r in runs for w in near[r].weights]
     newton = max(maps[r].size for r in runs) <= CURVED
     widths = [classes * (2 + maps[r].size + newton * maps[r].size ** 2) for r in runs]
     cuts = np.concatenate([[0], np.cumsum(widths)])
     context = table.sparkSession.sparkContext
 
-    def evaluate(points: list[np.ndarray], cautions: list[float]):
+    def evaluate(points: list[np.ndarray], cautions: list[float], live: list[bool]):
         weights = {r: np.stack(points[i * classes : (i + 1) * classes]) for i, r in enumerate(runs)}
         # Rows beyond the rounding have no curvature; a descent that is far off counts them too.
         caution = {r: np.array(cautions[i * classes : (i + 1) * classes]) for i, r in enumerate(runs)}
+        going = {r: live[i * classes : (i + 1) * classes] for i, r in enumerate(runs)}
         shared = context.broadcast((maps, weights, caution))
 
         def per_batch(x, y, fold):
@@ -289,6 +352,8 @@ def fit_margins(
             out = np.zeros(cuts[-1])
             own = np.where(y[:, None] == np.arange(classes), 1.0, -1.0)
             for r, low, high in zip(runs, cuts[:-1], cuts[1:]):
+                if not any(going[r]):
+                    continue
                 f = maps[r](x)
                 kept = _kept(fold, r)[:, None]
                 short = 1.0 - own * (f @ weights[r].T)
@@ -299,7 +364,7 @@ def fit_margins(
                 if newton:
                     curved = np.where(short > ROUND, caution[r], 1.0) * (short > 0.0) * kept
                     for k in range(classes):
-                        at = np.flatnonzero(curved[:, k])
+                        at = np.flatnonzero(curved[:, k] * going[r][k])
                         sums.append(((f[at] * curved[at, k, None]).T @ f[at]).ravel())
                 out[low:high] = np.concatenate(sums)
             return out
@@ -319,13 +384,12 @@ def fit_margins(
                 out.append((value, weight * w + slopes[k], value - bound, second[k] if newton else None))
         return out
 
-    sizes = [maps[r].size for r in runs for _ in range(classes)]
     curved = []
     for r in runs if sample is not None and not newton else ():
         x, y, fold = (part[_kept(sample[2], r) > 0] for part in sample)
         f = maps[r](x)
         curved += [_curvature(np.where(y == k, 1.0, -1.0), f, 1.0 / (c * rows[r])) for k in range(classes)]
-    found = _minimise(evaluate, sizes, steps, lambda p: p.gap <= gap * max(p.value, 1e-12), curved)
+    found = _minimise(evaluate, starts, steps, lambda p: p.gap <= gap * max(p.value, 1e-12), curved)
     out = {}
     for i, r in enumerate(runs):
         own = found[i * classes : (i + 1) * classes]
@@ -338,17 +402,23 @@ def fit_softmax(table: DataFrame, maps: dict[int, Map], rows: dict[int, int], cl
     """Multinomial logistic weights of every run; stops when no slope is steeper than asked."""
     runs = list(maps)
     sizes = [classes * maps[r].size for r in runs]
+    starts = [np.zeros(size) for size in sizes]
+    if warm := _warm(table, rows):
+        near = fit_softmax(warm[0], maps, warm[1], classes, penalty, steps, max(slope, min(warm[1].values()) ** -0.5))
+        starts = [near[r].weights.ravel() for r in runs]
     cuts = np.concatenate([[0], np.cumsum([1 + s for s in sizes])])
     context = table.sparkSession.sparkContext
 
-    def evaluate(points: list[np.ndarray], _):
+    def evaluate(points: list[np.ndarray], _, live: list[bool]):
         weights = {r: p.reshape(classes, -1) for r, p in zip(runs, points)}
         shared = context.broadcast((maps, weights))
 
         def per_batch(x, y, fold):
             maps, weights = shared.value
             out = np.zeros(cuts[-1])
-            for r, low, high in zip(runs, cuts[:-1], cuts[1:]):
+            for r, low, high, going in zip(runs, cuts[:-1], cuts[1:], live):
+                if not going:
+                    continue
                 f, kept = maps[r](x), _kept(fold, r)
                 z = f @ weights[r].T
                 z -= z.max(axis=1, keepdims=True)
@@ -368,7 +438,7 @@ def fit_softmax(table: DataFrame, maps: dict[int, Map], rows: dict[int, int], cl
             out.append((value, sums[low + 1 : high] / rows[r] + penalty[r] * w.ravel(), None))
         return out
 
-    found = _minimise(evaluate, sizes, steps, lambda p: np.abs(p.grad).max() <= slope)
+    found = _minimise(evaluate, starts, steps, lambda p: np.abs(p.grad).max() <= slope)
     return {r: Fit(p.at.reshape(classes, -1), p.value, float(np.abs(p.grad).max()), None) for r, p in zip(runs, found)}
 
 

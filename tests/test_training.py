@@ -201,3 +201,45 @@ def test_kernel_machine_of_little_penalty_reaches_its_gap(spark, monkeypatch, cu
     run = M.fit_run(M.KERNEL_SVM, df, spec, Params(c=50.0))
     assert run.facts["gap"] <= Params.svm_gap
     assert M.score_model(run.model, df, spec).where("label = prediction").count() > 2800
+
+
+def test_large_tables_are_fitted_on_a_sample_first(table, monkeypatch):
+    """From there the steps over all rows are few, and the bounds over all rows are those of a cold start."""
+    runs = (0, 2)
+    df, points, _, _ = table
+    maps, rows = P.standards(df, runs, 3)
+    landmarks = {r: P.fit_landmarks(maps[r], points, 0.01) for r in runs}
+    penalty = {r: 1.0 / rows[r] for r in runs}
+    asked, summed = [], P.summed
+    monkeypatch.setattr(P, "summed", lambda t, per_batch, size: asked.append(t) or summed(t, per_batch, size))
+    found = []
+    for most in (1 << 16, 100):
+        monkeypatch.setattr(P, "WARM_ROWS", most, raising=False)
+        margins = P.fit_margins(df, landmarks, rows, 3, 1.0, 200, 1e-3)
+        scans = sum(t is df for t in asked)
+        asked.clear()
+        softmax = P.fit_softmax(df, maps, rows, 3, penalty, 500, 1e-5)
+        found.append((scans, sum(t is df for t in asked), margins, softmax))
+        asked.clear()
+    cold, warm = found
+    assert warm[0] < cold[0] and warm[1] < cold[1]
+    for r in runs:
+        assert warm[2][r].gap <= 1e-3 and warm[3][r].slope <= 1e-5
+        assert warm[2][r].value == pytest.approx(cold[2][r].value, rel=3e-3)
+        assert warm[3][r].value == pytest.approx(cold[3][r].value, rel=1e-3)
+
+
+def test_margins_are_computed_once_for_all_steps(table):
+    """The stored columns of each run are its features, and fits on them are the same."""
+    df = table[0]
+    maps, rows = P.standards(df, (0, 2), 3)
+    held, columns = P.mapped(df, maps)
+    assert held.count() == df.count() and held.columns == ["x", "y", "fold", "id"]
+    before = {i: np.array(x) for i, x in df.select("id", "x").collect()}
+    for row in held.collect():
+        x = np.array([row.x])
+        for r in maps:
+            assert (columns[r](x) == maps[r](before[row.id][None])).all()
+    penalty = {r: 0.01 for r in maps}
+    one, two = (P.fit_softmax(t, m, rows, 3, penalty, 200, 1e-6) for t, m in ((df, maps), (held, columns)))
+    assert all(np.allclose(one[r].weights, two[r].weights, atol=1e-9) for r in maps)
