@@ -16,6 +16,8 @@ SAMPLE_PER_CELL = 32
 FEW_DIMS = 8
 LEADING = 16
 PARTIAL = 16
+# Points per query and neighbour within reach up to which the k-th of a block need not be looked for.
+FEW_IN_REACH = 4
 
 
 @dataclass(frozen=True)
@@ -166,7 +168,9 @@ class _Screen:
     First the leading components of the block: their distance, and that between the lengths of
     what they leave, bound the true one from below, which drops points that nobody reaches.
     Then products give all distances up to rounding. Only pairs that pass are computed column
-    by column, and dropped once a partial sum is too long.
+    by column, and dropped once a partial sum is too long. Where the first bound keeps most points
+    it is not asked again for that block, and where few pairs are within reach the k-th nearest
+    of the block, which could only shorten the reach, is not looked for.
     """
 
     def __init__(self, p: np.ndarray):
@@ -175,6 +179,8 @@ class _Screen:
         self.lead = self.view(p)
         self.rest = self._rest(p, self.lead)
         self.length = np.einsum("ij,ij->i", p, p)
+        self.product = np.column_stack([p, np.ones(len(p)), self.length])
+        self.drops = True
 
     def _rest(self, x: np.ndarray, lead: np.ndarray) -> np.ndarray:
         centred = x - self.view.mean
@@ -191,12 +197,22 @@ class _Screen:
         return np.flatnonzero((square - doubt <= ((reach + slack) ** 2)[:, None]).any(axis=0))
 
     def pairs(self, q: np.ndarray, reach: np.ndarray, k: int, slack: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        at = np.arange(len(self.p)) if np.isinf(reach).any() else self._reached(q, reach, slack)
-        p, own = self.p[at], np.einsum("ij,ij->i", q, q)
-        about = np.maximum(own[:, None] + self.length[at][None, :] - 2.0 * (q @ p.T), 0.0)
+        at, p, product = np.arange(len(self.p)), self.p, self.product
+        bounded = not np.isinf(reach).any()
+        if bounded and self.drops:
+            at = self._reached(q, reach, slack)
+            self.drops = 2 * len(at) <= len(p)
+            p, product = p[at], product[at]
+        own = np.einsum("ij,ij->i", q, q)
+        # Lengths and products in one: |q|^2 + |p|^2 - 2 q p.
+        about = np.column_stack([-2.0 * q, own, np.ones(len(q))]) @ product.T
         doubt = 1e-15 * (8 + q.shape[1]) * (own.max(initial=0.0) + self.length.max(initial=0.0))
-        limit = _limits(about + doubt, reach, k, slack)
-        row, col = np.nonzero(about - doubt <= limit[:, None])
+        limit = (reach + slack) ** 2
+        near = np.flatnonzero(about <= (limit + doubt)[:, None]) if bounded else None
+        if near is None or len(near) > FEW_IN_REACH * k * len(q):
+            limit = _limits(np.maximum(about, 0.0) + doubt, reach, k, slack)
+            near = np.flatnonzero(about <= (limit + doubt)[:, None])
+        row, col = np.divmod(near, max(1, len(p)))
         square = np.zeros(len(row))
         for start in range(0, q.shape[1], PARTIAL):
             for j in range(start, min(start + PARTIAL, q.shape[1])):

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from labelwright.operators import neighbours as N
+from labelwright.operators import blocks, neighbours as N
 from labelwright.operators.blocks import build_cells
 from labelwright.operators.detect import (
     confirmed,
@@ -280,3 +280,19 @@ def test_pairs_of_queries_and_cells_leave_a_task_in_bounded_pieces(spark, monkey
     assert len(who) == 600 * index.cells.count and max(sizes) == 1
     assert N._abroad(replace(index, deeper=[]), asked).count() == 600 * index.cells.count
     assert result(N.nearest_neighbours(df, 5, per_cell=4)) == brute(np.arange(600), x, 5)
+
+
+@pytest.mark.parametrize("reach", [9.0, 30.0, np.inf])
+def test_reach_alone_decides_where_few_points_are_within_it(monkeypatch, reach):
+    """The k nearest within reach, by all pairs; the k-th of the block is looked for only where many are."""
+    rng = np.random.default_rng(8)
+    p, q = np.round(rng.normal(size=(500, 64)), 1), np.round(rng.normal(size=(300, 64)), 1)
+    p[100:110] = p[0]
+    asked, limits = [], blocks._limits
+    monkeypatch.setattr(blocks, "_limits", lambda *a: asked.append(1) or limits(*a))
+    row, col, dist = blocks.nearest_in_block(q, np.full(300, reach), p, np.arange(500), 5, 1e9)
+    far = np.round(np.sqrt(((q[:, None] - p[None]) ** 2).sum(axis=2)), 9)
+    want = [(i, j) for i in range(300) for j in sorted(range(500), key=lambda j: (far[i, j], j))[:5] if far[i, j] <= reach]
+    assert list(zip(row.tolist(), col.tolist())) == want
+    assert dist.tolist() == pytest.approx([far[i, j] for i, j in want], abs=1e-9)
+    assert bool(asked) == (reach > 9.0) and 300 < len(want) <= 1500
