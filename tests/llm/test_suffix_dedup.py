@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from labelwright.llm import suffix_dedup as S
 
@@ -65,3 +66,33 @@ def test_real_rows(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     got = S.without_repeats(docs).collect()
     assert sorted((tuple(r)[:5] for r in got), key=str) == brute([tuple(r) for r in docs.collect()], S.LENGTH)
+
+
+def test_common_windows_are_not_gathered(spark):
+    """One window in half of the rows; shuffled by window, these would be one task's."""
+    rows = [(1, i, 2, 0, 77) for i in range(4000)] + [(1, i, 2, 1, 1000 + i // 2 * (i < 3000) + i * (i >= 3000)) for i in range(4000)]
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = spark.createDataFrame(rows, "_key long, _sid long, _n int, _o int, _w long").repartition(8)
+        found = S._met_again(df).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    times = Counter(r[4] for r in rows)
+    assert sorted(tuple(r)[:5] for r in found) == sorted(r for r in rows if times[r[4]] > 1)
+    assert max(Counter(r.part for r in found).values()) < 0.3 * len(found)
+
+
+def test_passages_of_many_words_go_from_the_contract_size_on(spark):
+    """Passages of over 50 words in two documents each: whole from 400 bytes on, not at all below; sizes stay those of the input."""
+    rng = random.Random(7)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 11))) for _ in range(n))
+    passages = [words(rng.randint(51, 60)) for _ in range(20)]
+    rows = [(2 * i + k, f"{words(40)} #{k} {p} {k}# {words(30)}") for i, p in enumerate(passages) for k in (0, 1)]
+    rows += [(1000 + i, words(150)) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in S.without_repeats(docs).collect()}
+    assert sorted((tuple(r)[:5] for r in got.values()), key=str) == brute(rows, S.LENGTH)
+    lengths = {d: len(passages[d // 2]) + 2 for d, _ in rows if d < 1000}  # with the space on either side
+    assert min(lengths.values()) < S.LENGTH < max(lengths.values())
+    assert all(got[d].n_removed == (lengths.get(d, 0) if lengths.get(d, 0) >= S.LENGTH else 0) for d, _ in rows)
