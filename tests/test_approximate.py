@@ -1,9 +1,12 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from labelwright.operators import approximate as A
 from labelwright.operators.neighbours import build_index, search_index
+from labelwright.sources.scratch import store
 from tests.test_neighbours import brute, frame, result
 
 
@@ -98,3 +101,28 @@ def test_leaves_are_found_without_copies_of_the_rows_per_depth(spark, monkeypatc
     monkeypatch.setattr(A, "LEAF_BYTES", 1 << 40)
     other = A.build_projection_index(df, 4, tables=2, bucket_rows=8)
     assert pick(other) == own and looks(other) == seen and len(own) == 1600
+
+
+def test_dense_regions_get_finer_bins(spark):
+    """Rows that lie in one bin of every direction are told apart by the next digits, not visited together."""
+    x = np.random.default_rng(9).normal(size=(4000, 3))
+    x[:300] = 40 + 0.005 * x[:300]
+    df = frame(spark, np.arange(4000), x)
+    index = A.build_projection_index(df, 5)
+    assert index.leaves.agg(F.max("parts")).first()[0] == 1
+    assert index.leaves.groupBy("t").agg(F.sum("n").alias("n")).where("n <> 4000").isEmpty()
+    asked = df.where("id % 20 = 0")
+    found = A.approximate_search(index, asked, skip_same_id=True)
+    assert A.recall(found, search_index(build_index(df, 5), asked, skip_same_id=True)).first().recall >= 0.9
+
+
+def test_shuffle_files_go_with_the_write_that_needed_them(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {n for f in [manager.getAllFiles()] for n in (f.apply(i).getName() for i in range(f.size())) if n.startswith("shuffle_")}
+    before = held()
+    store(spark.range(5000).repartition(3, "id"), "rows")
+    for _ in range(50):
+        if not held() - before:
+            break
+        time.sleep(0.1)
+    assert not held() - before
