@@ -15,6 +15,10 @@ Plan of the join:
    neighbour. Then it visits only those other blocks that come closer than that.
 4. The lists of a query's blocks are merged by one aggregation.
 
+Blocks cut for fewer points than that are packed into bundles of neighbouring blocks, and queries
+visit bundles: the rows that are written and shuffled do not grow with the number of blocks. Inside
+a bundle the blocks that none of a group's queries reach are left out.
+
 No pair of blocks is compared unless a query's bound requires it, and no task
 emits more than k rows per query. What the driver holds is bounded by the first
 sample; counts per block are tables.
@@ -62,6 +66,9 @@ LEVEL_SAMPLE = 16_384
 GROUP_ROWS = 65_536
 # Bytes that the pairs of queries and cells under way in a task may take.
 PAIR_BYTES = 64 << 20
+# Points of a bundle of small blocks, and coordinate differences per group there.
+BUNDLE_ROWS = 16_384
+BUNDLE_WORK = 1 << 34
 HOT_KEYS = 1000
 HOT_ROWS = 100_000
 
@@ -157,6 +164,57 @@ def collapse(vectors: DataFrame, k: int, max_classes: int = Params.max_classes)
     return Collapsed(points, labels, rows, dims, held["points"], held["heads"] == rows)
 
 
+@dataclass(frozen=True)
+class Bundles:
+    """Neighbouring cells of the first cut that are visited together; one too large is dealt into parts by a hash."""
+
+    of: np.ndarray
+    parts: np.ndarray
+
+    @property
+    def starts(self) -> np.ndarray:
+        return np.cumsum(self.parts) - self.parts
+
+    def home(self, cell: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """Number of the part of a bundle that each row lies in."""
+        bundle = self.of[cell]
+        mixed = (ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+        return self.starts[bundle] + (mixed % self.parts[bundle].astype(np.uint64)).astype(np.int64)
+
+    def visited(self, who: np.ndarray, cell: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs (row, part of a bundle), each once, from pairs (row, cell)."""
+        both = np.unique(who * len(self.parts) + self.of[cell])
+        who, bundle = np.divmod(both, len(self.parts))
+        n = self.parts[bundle]
+        part = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        return np.repeat(who, n), np.repeat(self.starts[bundle], n) + part
+
+
+def bundles(cells: Cells | None, held: np.ndarray, most: int) -> Bundles:
+    """The largest subtrees of the cells with at most that many of the ``held`` points."""
+    if cells is None:
+        return Bundles(np.zeros(1, np.int64), np.maximum(1, -(-held // most)))
+    total = np.where(cells.axis < 0, held[cells.cell], 0)
+    for node in range(len(total) - 1, -1, -1):
+        if cells.axis[node] >= 0:
+            total[node] = total[cells.child[node]].sum()
+    of, parts, todo = np.zeros(cells.count, np.int64), [], [0]
+    while todo:
+        node = todo.pop()
+        if cells.axis[node] >= 0 and total[node] > most:
+            todo.extend(cells.child[node])
+            continue
+        inside = [node]
+        while inside:
+            node_ = inside.pop()
+            if cells.axis[node_] < 0:
+                of[cells.cell[node_]] = len(parts)
+            else:
+                inside.extend(cells.child[node_])
+        parts.append(max(1, -(-int(total[node]) // most)))
+    return Bundles(of, np.array(parts, np.int64))
+
+
 @dataclass(frozen=True)
 class NeighbourIndex:
     """Collapsed points of a table and the blocks they lie in; serves any number of searches.
@@ -176,6 +234,7 @@ class NeighbourIndex:
     sizes: DataFrame
     blocks: int
     deeper: list[DataFrame] = field(default_factory=list)
+    bundles: Bundles | None = None
 
 
 def build_index(
@@ -187,7 +246,8 @@ def build_index(
     """
     base = collapse(vectors, k, max_classes)
     dims, points = base.dims, base.points
-    per_cell = per_cell or (PER_CELL if dims <= FEW_DIMS else PER_CELL_MANY_DIMS)
+    usual = PER_CELL if dims <= FEW_DIMS else PER_CELL_MANY_DIMS
+    per_cell = per_cell or usual
     view, cells = _cut_space(points, base.held, dims, k + 1, per_cell)
     located = points.mapInArrow(_home(points, view, cells), POINT + ", block bigint")
     deeper: list[DataFrame] = []
@@ -198,8 +258,16 @@ def build_index(
             break
         deeper.append(_cuts(located, crowded, view, k + 1, per_cell, len(deeper)))
         located = store(_through(located, deeper[-1], _relocate(view), POINT + ", block bigint", "id"), "located")
+    packed = None
+    if per_cell < usual:
+        # At most one count per cell of the first cut.
+        home = points.mapInArrow(_home(points, view, cells), POINT + ", block bigint").groupBy("block").count().collect()
+        held = np.zeros(1 if cells is None else cells.count, np.int64)
+        for cell, n in home:
+            held[cell] = n
+        packed = bundles(cells, held, BUNDLE_ROWS)
     return NeighbourIndex(
-        located, base.labels, k, base.rows, dims, base.distinct, view, cells, sizes, sizes.count(), deeper
+        located, base.labels, k, base.rows, dims, base.distinct, view, cells, sizes, sizes.count(), deeper, packed
     )
 
 
@@ -300,13 +368,15 @@ def _join_on_point(rows: DataFrame, lists: DataFrame, n: int) -> DataFrame:
 def _search(index: NeighbourIndex, heads: DataFrame, k: int) -> DataFrame:
     """(qid, x, near): the k nearest points of each head (qid, x, block)."""
     near = F.arrays_zip("d", "nid", "li").alias("near")
+    if index.bundles is not None:
+        heads = _in_bundles(heads.select("qid", "x", "block"), index, "qid")
     first = _visit(heads.select("qid", "x", F.lit(float("inf")).alias("reach"), "block"), index, k)
     if index.blocks == 1:
         return first.select("qid", "x", near)
     first = store(first, "first")
     # A block may hold fewer than k points; then it bounds nothing.
     reach = F.when(F.size("d") >= k, F.element_at("d", -1)).otherwise(F.lit(float("inf")))
-    second = _visit(store(_abroad(index, first.select("qid", "x", reach.alias("reach"), "block")), "abroad"), index, k)
+    second = _visit(store(_abroad(index, first.select("qid", "x", reach.alias("reach"), "block"), index.bundles), "abroad"), index, k)
     lists = first.select("qid", "x", near).unionByName(second.select("qid", F.lit(None).cast("array<double>").alias("x"), near))
     merged = F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k)
     return lists.groupBy("qid").agg(F.first("x", ignorenulls=True).alias("x"), merged.alias("near"))
@@ -453,8 +523,45 @@ def _near_cells(view: View, cells: Cells, x: np.ndarray, reach: np.ndarray) -> t
     return np.concatenate([np.zeros(0, np.int64), *who]), np.concatenate([np.zeros(0, np.int64), *cell])
 
 
-def _abroad(index: NeighbourIndex, bounded: DataFrame) -> DataFrame:
-    """Each query (qid, x, reach, block) with every other block that may hold a closer point."""
+def _in_bundles(rows: DataFrame, index: NeighbourIndex, key: str) -> DataFrame:
+    """Rows with their bundle for a block; the block itself is ``inner``."""
+    shared = rows.sparkSession.sparkContext.broadcast((index.view, index.cells, index.bundles))
+
+    def step(batches: Batches) -> Batches:
+        view, cells, packed = shared.value
+        for batch in batches:
+            x, ids = _matrix(batch.column("x")), batch.column(key).to_numpy()
+            cell = np.zeros(len(x), np.int64) if cells is None or not len(x) else cells.locate(view(x))
+            number = pa.array(packed.home(cell, ids))
+            columns = [number if c == "block" else batch.column(c) for c in batch.schema.names]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column("block")], [*batch.schema.names, "inner"])
+
+    return rows.mapInArrow(step, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", inner bigint")
+
+
+def _reached(view: View, q: np.ndarray, reach: np.ndarray, p: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """The points in blocks that some query reaches; a block is the box around its points in the view."""
+    if np.isinf(reach).any():
+        return np.arange(len(p))
+    order = np.argsort(block, kind="stable")
+    starts = np.flatnonzero(np.append(True, np.diff(block[order]) != 0))
+    seen, asked = view(p)[order], view(q)
+    low, high = np.minimum.reduceat(seen, starts, axis=0), np.maximum.reduceat(seen, starts, axis=0)
+    far = reach + 2.0 * 10.0**-DECIMALS + view.slack(q) + view.slack(p).max()
+    near = np.zeros(len(starts), bool)
+    some = int(max(1, PAIR_BYTES // (32 * len(starts) * seen.shape[1])))
+    for start in range(0, len(q), some):
+        left = np.flatnonzero(~near)
+        part = asked[start : start + some, None]
+        gap = np.maximum(np.maximum(low[left] - part, part - high[left]), 0.0)
+        near[left] = (np.sqrt((gap * gap).sum(axis=2)) <= far[start : start + some, None]).any(axis=0)
+        if near.all():
+            return np.arange(len(p))
+    return np.sort(order[np.repeat(near, np.diff(np.append(starts, len(p))))])
+
+
+def _abroad(index: NeighbourIndex, bounded: DataFrame, packed: Bundles | None = None) -> DataFrame:
+    """Each query (qid, x, reach, block) with every other block, or bundle, that may hold a closer point."""
     shared = bounded.sparkSession.sparkContext.broadcast((index.view, index.cells))
 
     def first(batches: Batches) -> Batches:
@@ -470,6 +577,8 @@ def _abroad(index: NeighbourIndex, bounded: DataFrame) -> DataFrame:
                     who, cell = np.arange(len(x)), np.zeros(len(x), dtype=np.int64)
                 else:
                     who, cell = _near_cells(view, cells, x, reach)
+                if packed is not None:
+                    who, cell = packed.visited(who, cell)
                 # Each pair carries its query's columns.
                 pairs = max(1, PAIR_BYTES // (8 * (x.shape[1] + 5)))
                 for low in range(0, len(who), pairs):
@@ -487,7 +596,7 @@ def _abroad(index: NeighbourIndex, bounded: DataFrame) -> DataFrame:
         return taken.set_column(taken.column_names.index("block"), "block", pa.array(block))
 
     pairs = bounded.mapInArrow(first, VISIT)
-    for cuts in index.deeper:
+    for cuts in index.deeper if packed is None else []:
         pairs = _through(store(pairs, "pairs"), cuts, deeper, VISIT, "qid")
     return pairs.where(F.col("block") != F.col("home")).select("qid", "x", "reach", "block")
 
@@ -499,13 +608,19 @@ def _visit(asked: DataFrame, index: NeighbourIndex, k: int) -> DataFrame:
     are dealt over as many groups as keep a group small, and the block's points are
     copied to each of them.
     """
-    counts = asked.groupBy("block").agg(F.count("*").alias("n")).join(index.sizes, "block")
+    points, sizes, view = index.points.select("id", "x", "li", "block"), index.sizes, None
+    most_work, most_queries, columns = MOST_WORK, MOST_QUERIES, ["id", "x", "li", "block"]
+    if index.bundles is not None:
+        points, view, columns = _in_bundles(points, index, "id"), index.view, [*columns, "inner"]
+        sizes = points.groupBy("block").agg(F.count("*").alias("held"))
+        most_work, most_queries = BUNDLE_WORK, BUNDLE_ROWS
+    counts = asked.groupBy("block").agg(F.count("*").alias("n")).join(sizes, "block")
     counts = store(counts, "counts")
     context = asked.sparkSession.sparkContext
     cost = F.col("n") * F.col("held").cast("double")
     work, blocks = counts.agg(F.sum(cost), F.count("*")).first()
-    goal = min(max((work or 0.0) * index.dims / (4 * context.defaultParallelism), LEAST_WORK), MOST_WORK)
-    at_once = F.greatest(F.lit(FEWEST_QUERIES), F.least(F.lit(MOST_QUERIES), F.floor(F.lit(goal) / (F.col("held") * index.dims))))
+    goal = min(max((work or 0.0) * index.dims / (4 * context.defaultParallelism), LEAST_WORK), most_work)
+    at_once = F.greatest(F.lit(FEWEST_QUERIES), F.least(F.lit(most_queries), F.floor(F.lit(goal) / (F.col("held") * index.dims))))
     groups = small(counts.select("block", F.ceil(F.col("n") / at_once).cast("int").alias("groups")), 16, rows=blocks)
     scale = 10.0**DECIMALS
 
@@ -513,6 +628,11 @@ def _visit(asked: DataFrame, index: NeighbourIndex, k: int) -> DataFrame:
         if asked.num_rows == 0 or held.num_rows == 0:
             return _RESULT.empty_table()
         held = held.sort_by("id")
+        if view is not None:
+            blocks = held.column("inner").to_numpy()
+            held = held.take(pa.array(_reached(view, _matrix(asked.column("x")), asked.column("reach").to_numpy(), _matrix(held.column("x")), blocks)))
+        if not held.num_rows:
+            return _RESULT.empty_table()
         ids = held.column("id").to_numpy()
         row, col, dist = nearest_in_block(
             _matrix(asked.column("x")),
@@ -535,8 +655,8 @@ def _visit(asked: DataFrame, index: NeighbourIndex, k: int) -> DataFrame:
     turn = F.pmod(F.xxhash64("qid"), F.col("groups")).cast("int").alias("turn")
     dealt = asked.join(groups, "block").select("qid", "x", "reach", "block", turn)
     # Both sides may come from the points; a cogroup needs columns of its own on each.
-    copied = index.points.join(groups, "block").select(
-        *[F.col(c).alias(c) for c in ("id", "x", "li", "block")], F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("turn")
+    copied = points.join(groups, "block").select(
+        *[F.col(c).alias(c) for c in columns], F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("turn")
     )
     return (
         dealt.groupBy("block", "turn")

@@ -296,3 +296,30 @@ def test_reach_alone_decides_where_few_points_are_within_it(monkeypatch, reach):
     assert list(zip(row.tolist(), col.tolist())) == want
     assert dist.tolist() == pytest.approx([far[i, j] for i, j in want], abs=1e-9)
     assert bool(asked) == (reach > 9.0) and 300 < len(want) <= 1500
+
+
+@pytest.mark.parametrize("dims,most,sample", [(12, 100, 1 << 20), (2, 100, 1 << 20), (12, 100, 8)])
+def test_small_blocks_are_visited_in_bundles(spark, monkeypatch, dims, most, sample):
+    """The pairs that are written grow with the bundles, not with the blocks; the lists are those of all pairs."""
+    monkeypatch.setattr(N, "BUNDLE_ROWS", most)
+    monkeypatch.setattr(N, "SAMPLE_BYTES", sample)
+    rng = np.random.default_rng(6)
+    ids, x = np.arange(600), np.concatenate([rng.normal(size=(400, dims)), rng.normal(size=(200, dims)) * 0.1 + 30])
+    df = frame(spark, ids, x)
+    pairs, abroad = [], N._abroad
+    monkeypatch.setattr(N, "_abroad", lambda *a: pairs.append(N.store(abroad(*a), "pairs")) or pairs[-1])
+    assert result(N.nearest_neighbours(df, 5, per_cell=4)) == brute(ids, x, 5)
+    index = N.build_index(df, 5, per_cell=4)
+    assert index.blocks > 40 and int(index.bundles.parts.sum()) < 20
+    assert pairs[0].count() < 600 * 20
+    held = N._in_bundles(index.points.select("id", "x", "li", "block"), index, "id").groupBy("block").count()
+    assert held.agg(F.sum("count")).first()[0] == 600 and held.agg(F.max("count")).first()[0] <= 2 * most
+
+
+def test_blocks_that_no_query_reaches_are_left_out():
+    rng = np.random.default_rng(7)
+    p, block = np.concatenate([rng.normal(size=(50, 3)) + 10 * i for i in range(4)]), np.repeat([7, 3, 9, 1], 50)
+    view = blocks.View()
+    assert N._reached(view, p[:5], np.full(5, 1.0), p, block).tolist() == list(range(50))
+    assert N._reached(view, p[[0, 120]], np.array([1.0, 1.0]), p, block).tolist() == [*range(50), *range(100, 150)]
+    assert len(N._reached(view, p[:2], np.array([1.0, np.inf]), p, block)) == 200
