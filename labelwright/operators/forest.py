@@ -12,13 +12,14 @@ All trees of all folds grow together. Nodes with many cells are split level by l
 counts (node, column, bin, class) by task, the counts are added up, and each node's best split is
 chosen in the task that holds its counts. A node with few cells is finished in one task, which
 gathers them and grows the rest of the tree. What is gathered is bounded by ``LOCAL_ROWS`` cells
-and ``LOCAL_BYTES`` whatever the table; the driver holds the nodes of the model.
+and ``LOCAL_BYTES`` whatever the table. The nodes of all forests are a table; the driver holds those
+of a model that is loaded, or of some trees at a time where rows are scored without loading it.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from labelwright.functions.labels import literal_array
-from labelwright.sources.scratch import store
+from labelwright.sources.scratch import store, temporary
 from labelwright.spec import LabelledSpec
 
 BINS = 64
@@ -37,6 +38,8 @@ DRAWN_ROWS = 1 << 17
 KNOWN_CELLS = 1 << 16
 CELLS = 1 << 23
 MOST_NODES = 20_000_000
+# Nodes that pass the driver at a time where rows are scored by a stored forest.
+SCORED_NODES = 1 << 19
 _GAIN = 1e-9
 # Upper ends of the first values of a Poisson variable of mean 1.
 _POISSON = np.cumsum(np.exp(-1.0) / np.array([1, 1, 2, 6, 24, 120, 720, 5040, 40320]))
@@ -284,7 +287,15 @@ class _Walk:
         return out
 
     def probabilities(self, x: np.ndarray, ids: np.ndarray | None, known: dict[bytes, np.ndarray]) -> np.ndarray:
-        """Rows of equal bins end in the same leaves; ``known`` keeps those of a bounded number of cells."""
+        total, used = np.zeros((len(x), self.shares.shape[1])), np.zeros(len(x))
+        self.add(x, ids, known, total, used)
+        return mean_share(total, used)
+
+    def add(self, x: np.ndarray, ids: np.ndarray | None, known: dict[bytes, np.ndarray], total: np.ndarray, used: np.ndarray) -> None:
+        """Add the class shares of each row's leaves, tree by tree, and the number of trees that judge it.
+
+        Rows of equal bins end in the same leaves; ``known`` keeps those of a bounded number of cells.
+        """
         bins = _binned(x, list(self.edges))
         cells, first, inverse = np.unique(_packed(bins), return_index=True, return_inverse=True)
         if len(known) > KNOWN_CELLS:
@@ -294,7 +305,6 @@ class _Walk:
         if new:
             known.update(zip([keys[i] for i in new], self.leaves(bins[first[new]])))
         leaf = np.stack([known[key] for key in keys])
-        total, used = np.zeros((len(x), self.shares.shape[1])), np.zeros(len(x))
         for t, tree in enumerate(self.tree):
             share = self.shares[leaf[:, t]][inverse]
             if ids is None:
@@ -304,7 +314,28 @@ class _Walk:
                 counts = bootstrap(ids, self.seed, int(tree)) == 0
                 total += share * counts[:, None]
                 used += counts
-        return np.where(used[:, None] > 0, total / np.maximum(used, 1)[:, None], 1.0 / self.shares.shape[1])
+
+
+def mean_share(total: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """Probabilities from sums over the trees; equal ones where no tree judges a row."""
+    return np.where(used[:, None] > 0, total / np.maximum(used, 1)[:, None], 1.0 / total.shape[1])
+
+
+def _asked(df: DataFrame, spec: LabelledSpec) -> tuple[DataFrame, list[str]]:
+    """(_x, _row, _id) of the rows to score, and the further columns that are kept."""
+    keep = [c for c in df.columns if c not in (spec.id_col, spec.label_col, *spec.feature_cols)]
+    row = F.struct(F.col(spec.id_col).alias("id"), F.col(spec.label_col).cast("string").alias("label"), *[F.col(f"`{c}`") for c in keep])
+    x = F.array(*[F.col(c).cast("double") for c in spec.feature_cols])
+    return df.select(x.alias("_x"), row.alias("_row"), row_key(df, spec).alias("_id")), keep
+
+
+def _lists(values: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(values) + 1, dtype=np.int32) * values.shape[1]), pa.array(values.ravel()))
+
+
+def _judged(found: DataFrame, labels: tuple[str, ...], keep: list[str]) -> DataFrame:
+    prediction = F.element_at(literal_array(list(labels)), F.col("_best") + 1)
+    return found.select("_row.id", "_row.label", prediction.alias("prediction"), "probs", *[F.col(f"_row.`{c}`") for c in keep])
 
 
 @dataclass(frozen=True)
@@ -347,10 +378,7 @@ class ForestModel:
         that did not draw it, so no row vouches for its own label.
         """
         shared, classes = df.sparkSession.sparkContext.broadcast(self.walk()), len(self.labels)
-        keep = [c for c in df.columns if c not in (spec.id_col, spec.label_col, *spec.feature_cols)]
-        row = F.struct(F.col(spec.id_col).alias("id"), F.col(spec.label_col).cast("string").alias("label"), *[F.col(f"`{c}`") for c in keep])
-        x = F.array(*[F.col(c).cast("double") for c in spec.feature_cols])
-        source = df.select(x.alias("_x"), row.alias("_row"), row_key(df, spec).alias("_id"))
+        source, keep = _asked(df, spec)
 
         def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known: dict[bytes, np.ndarray] = {}
@@ -358,14 +386,10 @@ class ForestModel:
                 x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
                 ids = batch.column(2).to_numpy() if out_of_bag else None
                 p = shared.value.probabilities(x, ids, known) if len(x) else np.zeros((0, classes))
-                ends = pa.array(np.arange(len(x) + 1, dtype=np.int32) * p.shape[1])
-                lists = pa.ListArray.from_arrays(ends, pa.array(p.ravel()))
-                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(p.argmax(axis=1).astype(np.int32)), lists], ["_row", "_best", "probs"])
+                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(p.argmax(axis=1).astype(np.int32)), _lists(p)], ["_row", "_best", "probs"])
 
         kind = source.schema["_row"].dataType.simpleString()
-        found = source.mapInArrow(scored, f"_row {kind}, _best int, probs array<double>")
-        prediction = F.element_at(literal_array(list(self.labels)), F.col("_best") + 1)
-        return found.select("_row.id", "_row.label", prediction.alias("prediction"), "probs", *[F.col(f"_row.`{c}`") for c in keep])
+        return _judged(source.mapInArrow(scored, f"_row {kind}, _best int, probs array<double>"), self.labels, keep)
 
     def importances(self) -> np.ndarray:
         """Share of the gain of each column, per tree and then over the trees."""
@@ -406,9 +430,83 @@ def _model(rows: pa.Table, labels, features, edges, seed: int) -> ForestModel:
     return ForestModel(labels, features, edges, tree[order], path[order], pick("feature"), pick("cut"), pick("gain"), counts[order], seed)
 
 
+@dataclass(frozen=True)
+class StoredForest:
+    """A forest whose nodes (tree, path, feature, cut, gain, counts) stay a table, with their number by tree."""
+
+    labels: tuple[str, ...]
+    features: tuple[str, ...]
+    edges: tuple[np.ndarray, ...]
+    nodes: DataFrame
+    sizes: tuple[tuple[int, int], ...]
+    seed: int
+
+    def load(self) -> ForestModel:
+        return _model(self.nodes.toArrow(), self.labels, self.features, self.edges, self.seed)
+
+    def pieces(self) -> list[tuple[int, int]]:
+        """First and last trees of pieces of at most SCORED_NODES nodes, or of one tree."""
+        out, held = [], 0
+        for tree, n in sorted(self.sizes):
+            if out and held + n <= SCORED_NODES:
+                out[-1], held = (out[-1][0], tree), held + n
+            else:
+                out.append((tree, tree))
+                held = n
+        return out
+
+    def score(self, df: DataFrame, spec: LabelledSpec, out_of_bag: bool = False) -> DataFrame:
+        """The scored table of ForestModel, written: trees are added to the rows' sums one piece after the other."""
+        spark, classes = df.sparkSession, len(self.labels)
+        source, keep = _asked(df, spec)
+        kind = source.schema["_row"].dataType.simpleString()
+        sums = "_x array<double>, _row {}, _id bigint, _total array<double>, _used double".format(kind)
+        pieces = self.pieces()
+        with temporary(spark) as kept:
+            for i, (low, high) in enumerate(pieces):
+                part = self.nodes.where(F.col("tree").between(low, high)).toArrow()
+                shared = spark.sparkContext.broadcast(_model(part, self.labels, self.features, self.edges, self.seed).walk())
+                del part
+                ends = i == len(pieces) - 1
+                step = self._step(shared, classes, out_of_bag, i == 0, ends)
+                source = store(source.mapInArrow(step, f"_row {kind}, _best int, probs array<double>" if ends else sums), "sums")
+                shared.destroy()
+            kept.pop()
+        return _judged(source, self.labels, keep)
+
+    @staticmethod
+    def _step(shared, classes: int, out_of_bag: bool, starts: bool, ends: bool) -> Callable:
+        def step(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known: dict[bytes, np.ndarray] = {}
+            for batch in batches:
+                n = len(batch)
+                x = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
+                ids = batch.column(2).to_numpy() if out_of_bag else None
+                if starts or not n:
+                    total, used = np.zeros((n, classes)), np.zeros(n)
+                else:
+                    total, used = batch.column(3).flatten().to_numpy(zero_copy_only=False).reshape(n, -1).copy(), batch.column(4).to_numpy().copy()
+                if n:
+                    shared.value.add(x, ids, known, total, used)
+                if ends:
+                    p = mean_share(total, used)
+                    yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(p.argmax(axis=1).astype(np.int32)), _lists(p)], ["_row", "_best", "probs"])
+                else:
+                    yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(3)), _lists(total), pa.array(used)], ["_x", "_row", "_id", "_total", "_used"])
+
+        return step
+
+
 def fit_forests(
     table: DataFrame, labels: list[str], features: tuple[str, ...], runs: tuple[int, ...], trees: int, max_depth: int, seed: int
 ) -> dict[int, ForestModel]:
+    """The forests of ``grow_forests``, loaded."""
+    return {r: forest.load() for r, forest in grow_forests(table, labels, features, runs, trees, max_depth, seed).items()}
+
+
+def grow_forests(
+    table: DataFrame, labels: list[str], features: tuple[str, ...], runs: tuple[int, ...], trees: int, max_depth: int, seed: int
+) -> dict[int, StoredForest]:
     """A forest per run of a stored table (x, y, fold, id): run 0 takes all rows, run f those outside fold f.
 
     Ids must be unique whole numbers. ``max_depth`` is at most 60.
@@ -564,11 +662,15 @@ def fit_forests(
         )
 
     gathered = source.mapInArrow(gather, "run int, tree int, path bigint, b binary, y binary, w binary")
-    grown = store(gathered.groupBy("run", "tree", "path").applyInArrow(finish, _NODES), "nodes")
+    grown = store(gathered.groupBy("run", "tree", "path").applyInArrow(finish, _NODES), "nodes", by="run")
     rest = table.sparkSession.createDataFrame(done, _NODES) if done else None
     whole = (grown if rest is None else grown.unionByName(rest)).withColumnRenamed("bin", "cut")
-    most_nodes = max(n for _, n in whole.groupBy("run").count().collect())
+    sizes: dict[int, list[tuple[int, int]]] = {r: [] for r in runs}
+    for r, t, n in whole.groupBy("run", "tree").count().collect():
+        sizes[r].append((t, n))
+    most_nodes = max(sum(n for _, n in own) for own in sizes.values())
     if most_nodes > MOST_NODES:
         raise ValueError(f"{most_nodes} nodes are more than a model of {MOST_NODES} may hold; lower the depth")
-    # One model at a time passes the driver.
-    return {r: _model(whole.where(F.col("run") == r).drop("run").toArrow(), tuple(labels), tuple(features), tuple(edges), seed) for r in runs}
+    return {
+        r: StoredForest(tuple(labels), tuple(features), tuple(edges), whole.where(F.col("run") == r).drop("run"), tuple(sorted(sizes[r])), seed) for r in runs
+    }

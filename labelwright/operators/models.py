@@ -24,7 +24,7 @@ from labelwright.functions.scaling import Scaler, fit_scaler
 from labelwright.operators.compare import cv_summary
 from labelwright.operators import parallel as P
 from labelwright.operators.components import principal_components
-from labelwright.operators.forest import ForestModel, fit_forests, row_key
+from labelwright.operators.forest import ForestModel, StoredForest, grow_forests, row_key
 from labelwright.operators.metrics import classification_metrics
 from labelwright.operators.split import stratified_folds, train_test_split
 from labelwright.sources.scratch import store
@@ -37,8 +37,8 @@ LOGISTIC = "logistic_regression"
 MODELS = (RANDOM_FOREST, KERNEL_SVM, LOGISTIC)
 
 
-#: What is fitted: a pipeline, or a forest with the same use.
-Model = PipelineModel | ForestModel
+#: What is fitted: a pipeline, or a forest with the same use; those of folds stay tables.
+Model = PipelineModel | ForestModel | StoredForest
 
 
 def scaling_stage(scaler: Scaler) -> SQLTransformer:
@@ -144,8 +144,8 @@ def _forest_runs(folded: DataFrame, spec: LabelledSpec, params: Params, runs: tu
     """Forests of every run, grown together; columns need no scaling there."""
     labels = vocabulary(folded, spec.label_col, params.max_classes)
     table = _training(folded, spec, labels)
-    found = fit_forests(table, labels, spec.feature_cols, runs, params.trees, params.max_depth, params.seed)
-    return {r: Run(model) for r, model in found.items()}
+    found = grow_forests(table, labels, spec.feature_cols, runs, params.trees, params.max_depth, params.seed)
+    return {r: Run(forest if r else forest.load()) for r, forest in found.items()}
 
 
 def _known(name: str) -> None:
@@ -175,12 +175,12 @@ def fit_model(
 
 
 def vocabulary_of(model: Model) -> list[str]:
-    return list(model.labels if isinstance(model, ForestModel) else model.stages[0].labels)
+    return list(model.labels if isinstance(model, ForestModel | StoredForest) else model.stages[0].labels)
 
 
 def score_model(model: Model, df: DataFrame, spec: LabelledSpec) -> DataFrame:
     """Scored table with the training encoder and scaler; ``probs`` in vocabulary order."""
-    if isinstance(model, ForestModel):
+    if isinstance(model, ForestModel | StoredForest):
         return model.score(df, spec)
     labels = vocabulary_of(model)
     scored = model.transform(df)
@@ -198,6 +198,8 @@ def score_model(model: Model, df: DataFrame, spec: LabelledSpec) -> DataFrame:
 
 def save_model(model: Model, path: str) -> None:
     """Replace what is at the path by the model."""
+    if isinstance(model, StoredForest):
+        model = model.load()
     if isinstance(model, ForestModel):
         model.save(SparkSession.active(), path)
     else:

@@ -243,3 +243,31 @@ def test_margins_are_computed_once_for_all_steps(table):
     penalty = {r: 0.01 for r in maps}
     one, two = (P.fit_softmax(t, m, rows, 3, penalty, 200, 1e-6) for t, m in ((df, maps), (held, columns)))
     assert all(np.allclose(one[r].weights, two[r].weights, atol=1e-9) for r in maps)
+
+
+def test_stored_forest_scores_like_the_loaded_one_some_trees_at_a_time(table, monkeypatch):
+    """No more nodes pass the driver at once than asked for, and the sums are the same to the last digit."""
+    df, *_ = table
+    forests = R.grow_forests(df, ["a", "b", "c"], ("f", "g", "h"), (0, 2), 7, 30, 42)
+    spec = LabelledSpec("id", ("f", "g", "h"), "label")
+    rows = scratch.store(df.select("id", *[F.col("x")[i].alias(c) for i, c in enumerate("fgh")], F.lit("a").alias("label"), "fold"), "asked")
+    pick = lambda scored: sorted((r.id, r.label, r.prediction, tuple(r.probs), r.fold) for r in scored.collect())
+    loaded, model = [], R._model
+    monkeypatch.setattr(R, "_model", lambda nodes, *a: loaded.append(nodes.num_rows) or model(nodes, *a))
+    for r, limit in ((2, 1 << 19), (2, 300), (0, 1)):
+        monkeypatch.setattr(R, "SCORED_NODES", limit)
+        forest = forests[r]
+        for out_of_bag in (False, True):
+            loaded.clear()
+            found = forest.score(rows, spec, out_of_bag)
+            assert sum(loaded) == sum(n for _, n in forest.sizes)
+            assert max(loaded) <= max(limit, *(n for _, n in forest.sizes)) and len(loaded) == len(forest.pieces())
+            assert pick(found) == pick(forest.load().score(rows, spec, out_of_bag))
+    assert len(forests[0].pieces()) == 7
+    assert forests[2].score(rows.where("id < 0"), spec).isEmpty()
+
+
+def test_models_of_folds_stay_tables(clean):
+    runs = M.fit_runs(M.RANDOM_FOREST, M.folds_of(clean, CLUSTERS, Params(folds=2)), CLUSTERS, Params(trees=3, folds=2))
+    assert isinstance(runs[0].model, R.ForestModel)
+    assert isinstance(runs[1].model, R.StoredForest) and isinstance(runs[2].model, R.StoredForest)
